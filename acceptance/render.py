@@ -322,7 +322,7 @@ def expert_pages(t: Tables, *wanted: int) -> DataFrame:
     score = pick(
         k % 3 == 0,
         '<span class="k-rating" aria-valuenow="0"></span> Not Rated',
-        cat('<span class="k-rating" aria-valuenow="', k % 5, '"></span>'),
+        cat('<span class="k-rating" aria-valuenow="', k % 5, '"><span class="k-icon k-i-star"></span></span>'),
     )
     table = (
         '<table class="table"><thead><tr><th>a</th><th>b</th><th>c</th><th>d</th></tr></thead><tbody><tr>',
@@ -418,7 +418,7 @@ def facility_detail_pages(t: Tables) -> DataFrame:
     html = bar(
         panel(
             1, labelled("Facility Name:", name), labelled("Website", site, "Site"), labelled("Contact", mail), hall,
-            labelled("Rating", cat('<span class="k-rating" aria-valuenow="', pick(k % 5 == 0, "", k % 5), '"></span>')),
+            labelled("Rating", cat('<span class="k-rating" aria-valuenow="', pick(k % 5 == 0, "", (k % 5).cast("string")), '"></span>')),
             labelled("Notes", ""),
             '<ol class="breadcrumb"><li>', F.col("institution"), "</li><li>", branch, "</li></ol>",
             '<img alt="" src="/img/', k, '.png">',
