@@ -72,21 +72,21 @@ def nations(t: R.Tables) -> DataFrame:
 
 @query
 def page_links(t):
-    nodes = html_nodes(t.pages, tags=("a",))
+    nodes = html_nodes(t.captured, tags=("a",))
     linked = nodes.filter(grid.attr("href").isNotNull())
     return linked.groupBy("page_id").agg(F.count("*").alias("n_links"))
 
 
 @query
 def page_tag_counts(t):
-    nodes = html_nodes(t.pages, tags=("li", "h1", "p"))
+    nodes = html_nodes(t.captured, tags=("li", "h1", "p"))
     count = lambda tag: F.count_if(F.col("tag") == tag).alias(f"n_{tag}")
     return nodes.groupBy("page_id").agg(count("li"), count("h1"), count("p"))
 
 
 @query
 def page_head(t):
-    nodes = html_nodes(t.pages, tags=("html", "title"))
+    nodes = html_nodes(t.captured, tags=("html", "title"))
     return nodes.groupBy("page_id").agg(
         F.min_by(grid.attr("lang"), F.when(F.col("tag") == "html", F.col("pre"))).alias("lang"),
         F.min_by(X.clean_text(F.col("text")), F.when(F.col("tag") == "title", F.col("pre"))).alias("title"),
@@ -95,7 +95,7 @@ def page_head(t):
 
 @query
 def page_nav(t):
-    return listing.links_in_lists(html_nodes(t.pages, tags=("a",)))
+    return listing.links_in_lists(html_nodes(t.captured, tags=("a",)))
 
 
 @query
@@ -383,21 +383,33 @@ def top_values(t):
     return summary.top_values(org_listing(t), "Provinces").withColumnRenamed("Provinces", "provinces")
 
 
-def expert_parts(t: R.Tables, *wanted: int) -> DataFrame:
-    nodes = html_nodes(R.expert_pages(t, *wanted), tags=profile.SECTION_TAGS)
-    return profile.page_sections(nodes, "expert")
+def sections_of(pages: DataFrame, kind: str, *only: str, carry: str = "k") -> DataFrame:
+    nodes = html_nodes(pages.withColumn("k", F.col(carry)), carry=("k",), tags=profile.SECTION_TAGS)
+    return sections.page_sections(profile.share_by_page(nodes, ("page_id", "k")), kind, ("page_id", "k"), only).drop("page_id")
+
+
+def expert_sections(t: R.Tables, panel: int, section: str) -> DataFrame:
+    return sections_of(R.expert_pages(t, panel), "expert", section, carry="page_id")
+
+
+def facility_sections(t: R.Tables, *only: str) -> DataFrame:
+    return sections_of(R.facility_detail_pages(t), "facility", *only, carry="page_id")
+
+
+def organization_sections(t: R.Tables, *only: str) -> DataFrame:
+    return sections_of(R.organization_detail_pages(t), "organization", *only, carry="page_id")
 
 
 @query
 def section_presence(t):
-    found = summary.section_presence(expert_parts(t, 4), {"expertise": F.col("Expertise")})
+    found = summary.section_presence(expert_sections(t, 4, "Expertise"), {"expertise": F.col("Expertise")})
     return found.select("profiles", "with_expertise", "expertise_entries")
 
 
 @query
 def section_sizes(t):
-    sizes = summary.section_sizes(expert_parts(t, 4), ["page_id"], {"expertise": F.col("Expertise")})
-    return sizes.withColumnRenamed("page_id", "k")
+    found = expert_sections(t, 4, "Expertise")
+    return summary.section_sizes(found, ["k"], {"expertise": F.col("Expertise")})
 
 
 @query
@@ -492,15 +504,14 @@ def web_presence(t):
 
 @query
 def price_flags(t):
-    parts = expert_parts(t, 5)
     names = ["Daily_Rate", *sections.AVAILABILITY]
-    return parts.select(F.col("page_id").alias("k"), *[F.col("Price_Availability")[n].alias(n) for n in names])
+    return expert_sections(t, 5, "Price_Availability").select("k", *[F.col("Price_Availability")[n].alias(n) for n in names])
 
 
 @query
 def expert_general(t):
     names = ["Academic_Unit", "Enabled", "Email", "Phone", "Reputation_Score"]
-    return expert_parts(t, 1).select(F.col("page_id").alias("k"), *[F.col("General_Information")[n].alias(n) for n in names])
+    return expert_sections(t, 1, "General_Information").select("k", *[F.col("General_Information")[n].alias(n) for n in names])
 
 
 @query
@@ -537,14 +548,9 @@ def grid_rows(t):
     return record.select("k", F.col("item_ord").cast("bigint"), *[F.col("m")[c].alias(c) for c in ("Code", "Research_Area", "Code_URL")])
 
 
-def facility_parts(t: R.Tables) -> DataFrame:
-    nodes = html_nodes(R.facility_detail_pages(t), tags=profile.SECTION_TAGS)
-    return profile.page_sections(nodes, "facility").withColumnRenamed("page_id", "k")
-
-
 @query
 def section_items(t):
-    parts = facility_parts(t).select("k", F.col("Provinces_Served").alias("s"))
+    parts = facility_sections(t, "Provinces_Served").select("k", F.col("Provinces_Served").alias("s"))
     stage = F.when(F.size("s.rows") > 0, "grid").when(F.col("k") % 3 == 1, "items").otherwise("text")
     names = F.when(F.size("s.rows") > 0, F.transform("s.rows", lambda m: m["Province"])).otherwise(F.col("s.items"))
     return parts.select("k", stage.alias("stage"), F.explode(names).alias("item"))
@@ -552,27 +558,20 @@ def section_items(t):
 
 @query
 def contacts(t):
-    nodes = html_nodes(R.contact_pages(t), carry=("k",))
-    parts = profile.page_sections(nodes, "organization", ("page_id", "k"))
-    people = parts.select("k", F.explode("Contacts").alias("c"))
+    people = sections_of(R.contact_pages(t), "organization", "Contacts").select("k", F.explode("Contacts").alias("c"))
     return people.select("k", *[F.col("c")[n].alias(n) for n in ("Name", "Email", "Phone")])
 
 
-def organization_parts(t: R.Tables) -> DataFrame:
-    nodes = html_nodes(R.organization_detail_pages(t), tags=profile.SECTION_TAGS)
-    return profile.page_sections(nodes, "organization").withColumnRenamed("page_id", "k")
-
-
 @query
 def locations(t):
-    places = organization_parts(t).select("k", F.explode("Locations").alias("p"))
+    places = organization_sections(t, "Locations").select("k", F.explode("Locations").alias("p"))
     return places.select("k", *[F.col("p")[n].alias(n) for n in ("Address", "City")])
 
 
 @query
 def descriptors(t):
     d = F.col("Facility_Descriptors")
-    return facility_parts(t).select(
+    return facility_sections(t, "Facility_Descriptors").select(
         "k", d["fields"]["Brand"].alias("descriptor_brand"), F.get(d["tags"], F.lit(0)).alias("tag"),
         F.size(d["rows"]).alias("n_list_rows"),
     )
@@ -607,13 +606,13 @@ def expert_facts(t):
 @query
 def facility_facts(t):
     """Every section of the facilities' profiles in long form."""
-    return profile.section_facts(facility_parts(t), ("k",))
+    return profile.section_facts(facility_sections(t), ("k",))
 
 
 @query
 def organization_facts(t):
     """Every section of the organizations' profiles in long form."""
-    return profile.section_facts(organization_parts(t), ("k",))
+    return profile.section_facts(organization_sections(t), ("k",))
 
 
 @query

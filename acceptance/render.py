@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.sources.tables import read_pages
+
 PORTAL = "https://portal.example"
 ORG_PAGE = 100
 FAC_PAGE = 50
@@ -18,11 +20,15 @@ GROUPS = 22  # facility groups; nations beyond have none
 
 
 class Tables:
+    """The given tables by name; ``captured`` is the page table as the library reads it."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name == "captured":
+            return read_pages(self.spark, f"{self.dir}/pages.parquet")
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
 
@@ -53,6 +59,16 @@ def join_rows(order: str, html: str) -> Column:
     return F.array_join(F.transform(ordered, lambda r: r[html]), "")
 
 
+def placed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a page together, over as many tasks as the session shuffles to.
+
+    With a number of partitions given, small pages are not put together in one task; reading
+    them afterwards is what takes time.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, *keys)
+
+
 def grid_page(*body: Column | str) -> Column:
     return cat("<html><body><div><table><tbody>", *body, "</tbody></table></div></body></html>")
 
@@ -110,6 +126,7 @@ def organization_pages(t: Tables, rows: DataFrame | None = None) -> DataFrame:
     return (
         (organizations(t) if rows is None else rows)
         .select("page_no", "row_ord", html.alias("html"))
+        .transform(placed, "page_no")
         .groupBy("page_no")
         .agg(join_rows("row_ord", "html").alias("rows"))
         .select(F.col("page_no").alias("page_id"), "page_no", grid_page(F.col("rows")).alias("html"))
@@ -146,6 +163,7 @@ def facility_pages(t: Tables, rows: DataFrame | None = None) -> DataFrame:
     return (
         (facilities(t) if rows is None else rows)
         .select("g", "institution", "page_no", "k", html.alias("html"))
+        .transform(placed, "g", "institution", "page_no")
         .groupBy("g", "institution", "page_no")
         .agg(join_rows("k", "html").alias("rows"), F.count("*").alias("n"))
         .select(
@@ -207,6 +225,7 @@ def expert_listing_pages(t: Tables) -> DataFrame:
         experts(t)
         .withColumn("block", F.expr(f"k div {EXPERT_PAGE}"))
         .select("g", "institution", "block", "k", html.alias("html"))
+        .transform(placed, "g", "institution", "block")
         .groupBy("g", "institution", "block")
         .agg(join_rows("k", "html").alias("rows"))
         .select((F.col("block") * 25 + F.col("g")).alias("page_id"), "institution", grid_page(F.col("rows")).alias("html"))
@@ -276,6 +295,7 @@ def activity_pages(t: Tables) -> DataFrame:
     table = grid("Project,Type,Organization,Status", F.col("rows"), "webGrid")
     return (
         t.orders.select(k.alias("k"), chunked_id(k, "o_orderkey").alias("page_id"), "o_orderkey", html.alias("html"))
+        .transform(placed, "page_id", "k")
         .groupBy("page_id", "k")
         .agg(join_rows("o_orderkey", "html").alias("rows"))
         .select("page_id", "k", bar(panel(9, table)).alias("html"))
@@ -313,7 +333,7 @@ def expert_pages(t: Tables, *wanted: int) -> DataFrame:
     Experts whose key ends in 1 get a page without a panel bar.
     """
     k = F.col("k")
-    df = experts(t)
+    df = experts(t).transform(placed, "k")
     if 4 in wanted:
         df = df.join(expertise_rows(t), "k", "left")
     if 6 in wanted:
@@ -443,6 +463,7 @@ def facility_detail_pages(t: Tables) -> DataFrame:
     )
     return (
         facilities(t)
+        .transform(placed, "k")
         .join(provinces_of(t), k % 5 == F.col("m"))
         .select(k.alias("page_id"), cat(f"{PORTAL}/Fac/", k).alias("url"), html.alias("html"))
     )
@@ -460,6 +481,7 @@ def contact_pages(t: Tables) -> DataFrame:
     content = pick(F.col("k") % 2 == 0, grid("Name,Mail,Call", F.col("rows")), F.col("rows"))
     return (
         t.orders.select(k.alias("k"), chunked_id(k, "o_orderkey").alias("page_id"), "o_orderkey", html.alias("html"))
+        .transform(placed, "page_id", "k")
         .groupBy("page_id", "k")
         .agg(join_rows("o_orderkey", "html").alias("rows"))
         .select("page_id", "k", bar(*[panel(n) for n in range(1, 5)], panel(5, content)).alias("html"))
@@ -522,6 +544,7 @@ def organization_detail_pages(t: Tables) -> DataFrame:
     )
     return (
         organizations(t)
+        .transform(placed, "k")
         .join(annual_rows(t), k == F.col("o_custkey"), "left")
         .select(k.alias("page_id"), cat(f"{PORTAL}/Org/", k).alias("url"), html.alias("html"))
     )
@@ -536,6 +559,7 @@ def option_pages(t: Tables) -> DataFrame:
     item = cat("<li>", F.col("s_name"), "</li>")
     return (
         t.supplier.select(F.expr("s_suppkey div 25").alias("page_id"), "s_suppkey", item.alias("html"))
+        .transform(placed, "page_id")
         .groupBy("page_id")
         .agg(join_rows("s_suppkey", "html").alias("rows"))
         .select(

@@ -6,7 +6,7 @@ choice among that: its grid, else its list items, else its text, and so on.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,38 +76,45 @@ def _per_page(df: DataFrame, value: str, out: str, keys: Sequence[str], name: st
     return df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(name, value))).alias(out))
 
 
-def page_parts(nodes: DataFrame, kind: str, keys: Sequence[str] = ("page_id",), shuffle: bool = False) -> DataFrame:
+def page_parts(
+    nodes: DataFrame,
+    kind: str,
+    keys: Sequence[str] = ("page_id",),
+    parts: Sequence[str] = ("kv", "grids", "parts", "cards", "addresses", "flags"),
+) -> DataFrame:
     """One row per page that has a panel bar, with what each of its panels holds.
 
     Give nodes that lie together by page (``share_by_page``): then all parts are built and
-    joined where they lie.
+    joined where they lie. Only the parts asked for are built.
     """
     keys = list(keys)
-    if kind == "expert":
-        by = "id"
-        scopes = panel_scopes(by)
-        kv = kv_maps(kv_pairs(nodes, scopes, EXPERT_KV, keys, shuffle), keys)
-        grids = _per_page(fixed_grids(nodes, EXPERT_GRIDS, keys, shuffle), "rows", "grids", keys, "panel_id")
-    else:
-        by = "item"
-        scopes = panel_scopes(by)
-        rules = FACILITY if kind == "facility" else ORGANIZATION
-        kv = kv_maps(kv_pairs(nodes, scopes, rules, keys, shuffle), keys)
-        grids = _per_page(section_grids(nodes, scopes, kind, keys, shuffle=shuffle), "rows", "grids", keys)
-    parts = panel_parts(nodes, scopes, keys, shuffle)
-    lists = F.struct("items", "contents", "links", "crumbs", "images", "blurbs")
-    pages = (
-        panel_lists(nodes, by, keys)
-        .filter(F.col("ready"))
-        .join(_per_page(kv, "fields", "kv", keys), keys, "left")
-        .join(grids, keys, "left")
-        .join(_per_page(parts.withColumn("lists", lists), "lists", "parts", keys), keys, "left")
-    )
-    if kind == "expert":
-        return pages.join(availability_flags(nodes, keys, shuffle), keys, "left")
-    return pages.join(
-        _per_page(panel_cards(nodes, scopes, keys, shuffle), "cards", "cards", keys), keys, "left"
-    ).join(_per_page(panel_addresses(nodes, scopes, keys, shuffle), "addresses", "addresses", keys), keys, "left")
+    by = "id" if kind == "expert" else "item"
+    scopes = panel_scopes(by)
+    pages = panel_lists(nodes, by, keys).filter(F.col("ready"))
+
+    def add(found: DataFrame) -> None:
+        nonlocal pages
+        pages = pages.join(found, keys, "left")
+
+    if "kv" in parts:
+        rules = {"expert": EXPERT_KV, "facility": FACILITY, "organization": ORGANIZATION}[kind]
+        add(_per_page(kv_maps(kv_pairs(nodes, scopes, rules, keys, False), keys), "fields", "kv", keys))
+    if "grids" in parts:
+        if kind == "expert":
+            add(_per_page(fixed_grids(nodes, EXPERT_GRIDS, keys, False), "rows", "grids", keys, "panel_id"))
+        else:
+            add(_per_page(section_grids(nodes, scopes, kind, keys, shuffle=False), "rows", "grids", keys))
+    if "parts" in parts:
+        lists = F.struct("items", "contents", "links", "crumbs", "images", "blurbs")
+        found = panel_parts(nodes, scopes, keys, False).select(*keys, "panel_pre", lists.alias("lists"))
+        add(_per_page(found, "lists", "parts", keys))
+    if "cards" in parts and kind != "expert":
+        add(_per_page(panel_cards(nodes, scopes, keys, False), "cards", "cards", keys))
+    if "addresses" in parts and kind != "expert":
+        add(_per_page(panel_addresses(nodes, scopes, keys, False), "addresses", "addresses", keys))
+    if "flags" in parts and kind == "expert":
+        add(availability_flags(nodes, keys, False))
+    return pages
 
 
 def availability_flags(nodes: DataFrame, keys: Sequence[str] = ("page_id",), shuffle: bool = True) -> DataFrame:
@@ -383,54 +390,69 @@ def price_availability(panel: Panel) -> Column:
     return F.map_concat(daily, or_empty(F.col("flags"), "map<string,string>"))
 
 
-def expert_sections() -> dict[str, Column]:
-    p = {n: Panel(f"ProfileBar-{n}") for n in (1, 2, 3, 5, 10)}
-    return {
-        "General_Information": expert_general(p[1]),
-        "Details": p[2].fields,
-        "Expert_Demographics": p[3].fields,
-        "Expertise": expert_rows("ProfileBar-4", expertise_row),
-        "Price_Availability": price_availability(p[5]),
-        "Facility_Affiliation": expert_rows("ProfileBar-6", affiliation_row),
-        "Web_Presence": expert_rows("ProfileBar-8", web_row),
-        "Activity": expert_rows("ProfileBar-9", activity_row),
-        "Audit_Trail": p[10].fields,
-    }
-
-
-def facility_sections() -> dict[str, Column]:
-    p = {n: Panel(n) for n in range(1, 13)}
-    return {
-        "General_Information": facility_general(p[1]),
-        "Academic_Unit_Details": p[2].fields,
-        "Provinces_Served": cascade(p[3], ("li", "item", "tag"), None, "comma"),
-        "Activities_Offered": cascade(p[4], ("li", "item", "tag", "chip"), "Activities Offered"),
-        "Sectors_Served": cascade(p[5], ("li", "item", "tag", "chip"), "Sectors Served"),
-        "Contacts": contacts(p[6], "facility"),
-        "Locations": locations(p[7], "facility"),
-        "Facility_Descriptors": facility_descriptors(p[8]),
-        "Languages_Serviced": cascade(p[9], ("li", "tag", "chip", "badge"), "Languages Serviced", "comma"),
-        "Web_Presence": web_links(p[10], "facility"),
-        "Activity": activity(p[11], "facility"),
-        "Audit_Trail": p[12].fields,
-    }
-
-
-def organization_sections() -> dict[str, Column]:
-    p = {n: Panel(n) for n in range(1, 11)}
-    every = ("li", "item", "tag", "chip", "badge")
-    return {
-        "General_Information": organization_general(p[1]),
-        "Organization_Information": fields_and_rows(p[2]),
-        "Annual_Information": fields_and_rows(p[3]),
-        "NAICS_Sectors": cascade(p[4], every, "NAICS Sectors", "first", longer_than=1),
-        "Contacts": contacts(p[5], "organization"),
-        "Locations": locations(p[6], "organization"),
-        "Languages_Serviced": cascade(p[7], every, "Languages Serviced", "comma", longer_than=1),
-        "Web_Presence": web_links(p[8], "organization"),
-        "Activity": activity(p[9], "organization"),
-        "Audit_Trail": fields_and_rows(p[10]),
-    }
-
-
-SECTIONS = {"expert": expert_sections, "facility": facility_sections, "organization": organization_sections}
+# Sections of each kind of profile in order: the parts a section is built from, and how.
+_CODES = ("li", "item", "tag", "chip", "badge")
+SECTIONS: dict[str, dict[str, tuple[tuple[str, ...], Callable[[], Column]]]] = {
+    "expert": {
+        "General_Information": (("kv", "parts"), lambda: expert_general(Panel("ProfileBar-1"))),
+        "Details": (("kv",), lambda: Panel("ProfileBar-2").fields),
+        "Expert_Demographics": (("kv",), lambda: Panel("ProfileBar-3").fields),
+        "Expertise": (("grids",), lambda: expert_rows("ProfileBar-4", expertise_row)),
+        "Price_Availability": (("kv", "flags"), lambda: price_availability(Panel("ProfileBar-5"))),
+        "Facility_Affiliation": (("grids",), lambda: expert_rows("ProfileBar-6", affiliation_row)),
+        "Web_Presence": (("grids",), lambda: expert_rows("ProfileBar-8", web_row)),
+        "Activity": (("grids",), lambda: expert_rows("ProfileBar-9", activity_row)),
+        "Audit_Trail": (("kv",), lambda: Panel("ProfileBar-10").fields),
+    },
+    "facility": {
+        "General_Information": (("kv", "parts"), lambda: facility_general(Panel(1))),
+        "Academic_Unit_Details": (("kv",), lambda: Panel(2).fields),
+        "Provinces_Served": (("grids", "parts"), lambda: cascade(Panel(3), ("li", "item", "tag"), None, "comma")),
+        "Activities_Offered": (
+            ("grids", "parts"), lambda: cascade(Panel(4), ("li", "item", "tag", "chip"), "Activities Offered")
+        ),
+        "Sectors_Served": (
+            ("grids", "parts"), lambda: cascade(Panel(5), ("li", "item", "tag", "chip"), "Sectors Served")
+        ),
+        "Contacts": (("grids", "cards"), lambda: contacts(Panel(6), "facility")),
+        "Locations": (("grids", "addresses", "kv"), lambda: locations(Panel(7), "facility")),
+        "Facility_Descriptors": (("kv", "grids", "parts"), lambda: facility_descriptors(Panel(8))),
+        "Languages_Serviced": (
+            ("grids", "parts"),
+            lambda: cascade(Panel(9), ("li", "tag", "chip", "badge"), "Languages Serviced", "comma"),
+        ),
+        "Web_Presence": (("grids", "parts"), lambda: web_links(Panel(10), "facility")),
+        "Activity": (("grids", "kv"), lambda: activity(Panel(11), "facility")),
+        "Audit_Trail": (("kv",), lambda: Panel(12).fields),
+    },
+    "organization": {
+        "General_Information": (("kv", "parts"), lambda: organization_general(Panel(1))),
+        "Organization_Information": (("kv", "grids"), lambda: fields_and_rows(Panel(2))),
+        "Annual_Information": (("kv", "grids"), lambda: fields_and_rows(Panel(3))),
+        "NAICS_Sectors": (
+            ("grids", "parts"), lambda: cascade(Panel(4), _CODES, "NAICS Sectors", "first", longer_than=1)
+        ),
+        "Contacts": (("grids", "cards"), lambda: contacts(Panel(5), "organization")),
+        "Locations": (("grids", "addresses", "kv"), lambda: locations(Panel(6), "organization")),
+        "Languages_Serviced": (
+            ("grids", "parts"), lambda: cascade(Panel(7), _CODES, "Languages Serviced", "comma", longer_than=1)
+        ),
+        "Web_Presence": (("grids", "parts"), lambda: web_links(Panel(8), "organization")),
+        "Activity": (("grids", "kv", "parts"), lambda: activity(Panel(9), "organization")),
+        "Audit_Trail": (("kv", "grids"), lambda: fields_and_rows(Panel(10))),
+    },
+}
+
+
+def page_sections(
+    nodes: DataFrame, kind: str, keys: Sequence[str] = ("page_id",), only: Sequence[str] | None = None
+) -> DataFrame:
+    """Sections of every page that has a panel bar: ``keys, <section> ...``.
+
+    ``nodes`` lie together by page (``share_by_page``). ``only`` names the sections wanted;
+    what the others need is not built.
+    """
+    wanted = {name: SECTIONS[kind][name] for name in (only or SECTIONS[kind])}
+    needed = {part for parts, _ in wanted.values() for part in parts}
+    pages = page_parts(nodes, kind, keys, sorted(needed))
+    return pages.select(*keys, *[build().alias(name) for name, (_, build) in wanted.items()])

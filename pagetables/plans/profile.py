@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.text import valid_link
-from pagetables.operators.sections import SECTIONS, page_parts
+from pagetables.operators.sections import page_sections
 from pagetables.sources.html import html_nodes
 
 # Elements any section extractor looks at; others become rows only if their class matters.
@@ -48,15 +48,12 @@ def share_by_page(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataF
     grouping by page (and anything finer) afterwards needs no further exchange.
     """
     rest = [c for c in nodes.columns if c not in keys]
+    for k in keys:
+        # joins would add this test to some branches only, and then nothing could be reused
+        nodes = nodes.filter(F.col(k).isNotNull())
     return nodes.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_n")).select(*keys, F.inline("_n"))
 
 
-def page_sections(nodes: DataFrame, kind: str, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """All sections of every page that has a panel bar: ``keys, <section> ...``."""
-    parts = page_parts(share_by_page(nodes, keys), kind, keys)
-    return parts.select(*keys, *[c.alias(name) for name, c in SECTIONS[kind]().items()])
-
-
 def meta(kind: str, scraped_at: Column) -> Column:
     """``Meta`` struct from the master columns; a missing value is ''."""
     fields = [F.col("Manage_URL").alias("Source_URL"), scraped_at.alias("Scraped_At")]
@@ -86,7 +83,8 @@ def profiles(
     """
     if nodes is None:
         nodes = html_nodes(newest_pages(pages), tags=SECTION_TAGS)
-    return enrich(master, pages, kind, scraped_at).join(page_sections(nodes, kind), "page_id")
+    sections = page_sections(share_by_page(nodes), kind)
+    return enrich(master, pages, kind, scraped_at).join(sections, "page_id")
 
 
 def ready_pages(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:

@@ -8,6 +8,7 @@ enclosing elements, so "inside of" needs no join between nodes.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator, Sequence
 from html import unescape
@@ -36,6 +37,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style noscript iframe template".split())
 PLAIN = frozenset("title textarea".split())
 FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+UNNAMED = FORMATTING | {"html", "body"}  # part of a path only with an id or a class
 BLOCK = frozenset(
     "address article aside blockquote caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol option p pre search section "
@@ -71,8 +73,8 @@ TEXT_CLASSES = frozenset(
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<[!?][^>]*>"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)"
-    r"(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)"
+    r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
     re.S,
 )
 _ATTR = re.compile(r"([^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
@@ -80,6 +82,34 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW | PLAIN}
 _SPACES = re.compile(r"[ \t\n\r\f]{2,}|[\t\n\r\f]")
 _BREAKS = re.compile(r" ?\x00[ \x00]*")
 _BREAK = "\x00"
+_NO_ATTRS: tuple = ((), (), None, [], False, "")
+_seen_attrs: dict[str, tuple] = {}
+
+
+def read_attrs(raw: str) -> tuple:
+    """Attribute text -> (names, values, id, classes, text wanted, selector part).
+
+    Markup repeats itself, so short attribute texts are remembered.
+    """
+    found = _seen_attrs.get(raw)
+    if found is not None:
+        return found
+    attrs: dict[str, str] = {}
+    for key, double, single, bare in _ATTR.findall(raw):
+        key = key.lower()
+        if key not in attrs:
+            value = double or single or bare
+            attrs[key] = unescape(value) if "&" in value else value
+    element_id = attrs.pop("id", None)
+    classes = attrs.pop("class", "").split()
+    named = any(c in TEXT_CLASSES or c.startswith("col-") for c in classes)
+    sel = (f"#{element_id} " if element_id else "") + "".join(f".{c} " for c in classes)
+    found = (tuple(attrs), tuple(attrs.values()), element_id, classes, named, sel)
+    if len(raw) < 60:
+        if len(_seen_attrs) > 5000:
+            _seen_attrs.clear()
+        _seen_attrs[raw] = found
+    return found
 
 
 def rendered(parts: Sequence[str]) -> str:
@@ -169,21 +199,13 @@ class NodeRows:
                     open_element("tbody", "")
             while len(names) >= MAX_DEPTH:
                 close_top()
-            attrs: dict[str, str] = {}
-            if raw and not raw.isspace():
-                for key, double, single, bare in _ATTR.findall(raw):
-                    key = key.lower()
-                    if key not in attrs:
-                        value = double or single or bare
-                        attrs[key] = unescape(value) if "&" in value else value
-            element_id = attrs.pop("id", None)
-            classes = attrs.pop("class", "").split()
-            if tag in BLOCK or tag == "br":
+            keys, values, element_id, classes, named, sel = read_attrs(raw) if raw else _NO_ATTRS
+            block = tag in BLOCK
+            if block or tag == "br":
                 parts.append(_BREAK)
             pre = count
             count += 1
             row = -1
-            named = any(c in TEXT_CLASSES or c.startswith("col-") for c in classes)
             if wanted is None or named or tag in wanted:
                 row = len(self.pre)
                 self.page.append(page)
@@ -194,10 +216,12 @@ class NodeRows:
                 self.tag.append(tag)
                 self.id.append(element_id)
                 self.text.append(None)
-                self.cls.extend(classes)
+                if classes:
+                    self.cls.extend(classes)
                 self.cls_at.append(len(self.cls))
-                self.attr_key.extend(attrs.keys())
-                self.attr_value.extend(attrs.values())
+                if keys:
+                    self.attr_key.extend(keys)
+                    self.attr_value.extend(values)
                 self.attr_at.append(len(self.attr_key))
                 self.path_pre.extend(path_pre)
                 self.path_sel.extend(path_sel)
@@ -209,11 +233,10 @@ class NodeRows:
             if row >= 0 and not (tag == "li" and path_sel and names[-1] == "ul" and " .k-panelbar " in path_sel[-1]):
                 if named or tag in TEXT_TAGS:
                     text_from = len(parts)
-            in_path = bool(element_id or classes) or not (tag in FORMATTING or tag == "html" or tag == "body")
+            in_path = sel != "" or tag not in UNNAMED
             if in_path:
                 path_pre.append(pre)
-                sel = f"{tag} #{element_id} " if element_id else tag + " "
-                path_sel.append(sel + "." + " .".join(classes) + " " if classes else sel)
+                path_sel.append(f"{tag} {sel}")
             names.append(tag)
             frames.append((pre, row, text_from, in_path))
 
@@ -228,11 +251,14 @@ class NodeRows:
                 s = html[at:start]
                 parts.append(unescape(s) if "&" in s else s)
             at = m.end()
-            tag = m["tag"]
+            is_end, tag, raw = m.groups()
             if tag is None:
                 continue
             tag = tag.lower()
-            if m["end"]:
+            if is_end:
+                if names and names[-1] == tag:
+                    close_top()
+                    continue
                 walls = TABLE_WALL if tag in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption") else CELL_WALL
                 if tag in FORMATTING:
                     walls = BLOCK
@@ -247,7 +273,7 @@ class NodeRows:
                         open_element("p", "")
                         close_top()
                 continue
-            open_element(tag, m["attrs"])
+            open_element(tag, raw)
             if tag in RAW or tag in PLAIN:
                 end = _RAW_END[tag].search(html, at)
                 stop = end.start() if end else size
@@ -258,6 +284,7 @@ class NodeRows:
         if at < size:
             parts.append(unescape(html[at:]))
         close_from(0)
+        open_element = None  # the function refers to itself; let go of the page at once
 
     def columns(self) -> list[pa.Array]:
         """Node columns in the order of ``NODE_FIELDS``."""
@@ -284,6 +311,22 @@ class NodeRows:
         ]
 
 
+SMALL = 256 * 1024 * 1024
+
+
+def spread_small(pages: DataFrame) -> DataFrame:
+    """Small page sets over all cores; large ones as they are.
+
+    Reading pages costs far more than moving a few of them, and a small file is one split.
+    Beyond ``SMALL`` bytes (by the plan's own statistics) there are splits enough and
+    nothing is moved.
+    """
+    plan = getattr(pages, "_jdf", None)
+    if plan is None or int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL:
+        return pages
+    return pages.repartition(pages.sparkSession.sparkContext.defaultParallelism)
+
+
 def html_nodes(
     pages: DataFrame, carry: Sequence[str] = (), tags: Sequence[str] | None = None, flush: int = 20_000
 ) -> DataFrame:
@@ -300,22 +343,29 @@ def html_nodes(
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = NodeRows(keep)
-        for batch in batches:
-            html = batch.column(len(keys))
-            held = [batch.column(i) for i in range(len(keys))]
-
-            def piece() -> pa.RecordBatch:
-                take = pa.array(rows.page, pa.int32())
-                return pa.RecordBatch.from_arrays([c.take(take) for c in held] + rows.columns(), names=schema.names)
-
-            for i in range(batch.num_rows):
-                rows.add_page(i, html[i].as_py())
-                if len(rows.pre) >= flush:
+        # buffers grow by many small objects that all stay alive; collect garbage less often
+        usual = gc.get_threshold()
+        gc.set_threshold(200_000, 50, 50)
+        try:
+            for batch in batches:
+                html = batch.column(len(keys))
+                held = [batch.column(i) for i in range(len(keys))]
+
+                def piece() -> pa.RecordBatch:
+                    take = pa.array(rows.page, pa.int32())
+                    columns = [c.take(take) for c in held] + rows.columns()  # noqa: B023
+                    return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+                for i in range(batch.num_rows):
+                    rows.add_page(i, html[i].as_py())
+                    if len(rows.pre) >= flush:
+                        yield piece()
+                        rows.clear()
+                if rows.pre:
                     yield piece()
                     rows.clear()
-            if rows.pre:
-                yield piece()
-                rows.clear()
+        finally:
+            gc.set_threshold(*usual)
 
     return source.mapInArrow(expand, schema)
 

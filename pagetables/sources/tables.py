@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pagetables import schema
 from pagetables.functions.text import first_truthy, json_text, percent
+from pagetables.sources.html import spread_small
 
 CORRUPT = "_corrupt_record"
 
@@ -89,7 +90,8 @@ def read_errors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Captured pages ``page_id, url, html``; a small file is spread over all cores."""
+    return spread_small(spark.read.parquet(path))
 
 
 def record_count(records: Column) -> Column:
