@@ -72,9 +72,9 @@ TEXT_CLASSES = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<[!?][^>]*>"
+    r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)"
-    r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
+    r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)",
     re.S,
 )
 _ATTR = re.compile(r"([^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
@@ -252,8 +252,8 @@ class NodeRows:
                 parts.append(unescape(s) if "&" in s else s)
             at = m.end()
             is_end, tag, raw = m.groups()
-            if tag is None:
-                continue
+            if tag is None or html[at - 1] != ">":
+                continue  # no element; a tag that the page ends in is none either
             tag = tag.lower()
             if is_end:
                 if names and names[-1] == tag:

@@ -17,43 +17,52 @@ CORRUPT = "_corrupt_record"
 
 
 def read_master(spark: SparkSession, path: str, kind: str, multi_line: bool = False) -> DataFrame:
-    """Master records; ``multi_line`` for files that hold one JSON array instead of JSON lines.
+    """Master records from JSON lines, or (``multi_line``) from files that hold one array each.
 
-    Unreadable records are left out; ``unreadable`` shows them. A missing path is an error.
+    Unreadable records (or whole array files) are left out; ``unreadable`` shows them. A
+    missing path is an error.
     """
     df = _json(spark, path, schema.MASTER[kind], multi_line)
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return df.filter(F.col("_bad").isNull()).select(*schema.master_fields(kind))
 
 
 def unreadable(spark: SparkSession, path: str, kind: str, multi_line: bool = False) -> DataFrame:
-    """The texts of records that ``read_master`` leaves out."""
-    # the corrupt column alone may not be asked of a raw file; a count of all columns may
+    """The texts that ``read_master`` leaves out: ``text``."""
     df = _json(spark, path, schema.MASTER[kind], multi_line)
-    return df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, df.columns[0]).select(CORRUPT)
+    return df.filter(F.col("_bad").isNotNull()).select(F.col("_bad").alias("text"))
 
 
 def _json(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) -> DataFrame:
-    return (
-        spark.read.schema(f"{ddl}, {CORRUPT} string")
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    """Records with the given fields and ``_bad``, the text where it could not be read.
 
-
-def _snapshot(spark: SparkSession, path: str, records: str) -> DataFrame:
-    counters = [*schema.SNAPSHOT_PROCESSED, *schema.SNAPSHOT_TOTAL, *schema.SNAPSHOT_CURSOR]
-    ddl = ", ".join(f"{c} bigint" for c in [*counters, "errors_count"])
-    return _json(spark, path, f"timestamp string, {ddl}, data array<struct<{_fields(records)}>>", True).filter(
-        F.col(CORRUPT).isNull()
+    The text is parsed in a column, so that any selection of columns may be made of it.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = spark.read.option("wholetext", multi_line).text(path).filter(F.trim("value") != "")
+    record = f"struct<{_fields(ddl)}, {CORRUPT}:string>"
+    if not multi_line:
+        parsed = text.select(F.from_json("value", record, options).alias("r"))
+        return parsed.select("r.*").withColumnRenamed(CORRUPT, "_bad")
+    files = text.select("value", F.from_json("value", f"array<{record}>", options).alias("rs"))
+    # an array file is whole or unreadable
+    bad = F.col("rs").isNull() | F.exists("rs", lambda r: r.isNull() | r[CORRUPT].isNotNull())
+    one = F.array(F.lit(None).cast(record))
+    rows = files.select(
+        F.when(bad, F.col("value")).alias("_bad"), F.explode(F.when(bad, one).otherwise(F.col("rs"))).alias("r")
     )
+    return rows.select("r.*", "_bad").drop(CORRUPT)
 
 
 def _fields(ddl: str) -> str:
     return ", ".join(":".join(f.split(" ", 1)) for f in ddl.split(", "))
 
 
+def _snapshot(spark: SparkSession, path: str, records: str) -> DataFrame:
+    counters = [*schema.SNAPSHOT_PROCESSED, *schema.SNAPSHOT_TOTAL, *schema.SNAPSHOT_CURSOR, "errors_count"]
+    ddl = f"timestamp string, {', '.join(f'{c} bigint' for c in counters)}, data array<struct<{_fields(records)}>>"
+    return spark.read.schema(ddl).options(multiLine=True, mode="DROPMALFORMED").json(path)
+
+
 def read_snapshot(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
     """Checkpoint files -> (records, progress).
 
@@ -81,8 +90,7 @@ def read_snapshot(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame,
 def read_errors(spark: SparkSession, path: str) -> DataFrame:
     """Error rows; none if the path is absent or holds nothing readable."""
     try:
-        df = _json(spark, path, schema.ERRORS)
-        return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        return _json(spark, path, schema.ERRORS).filter(F.col("_bad").isNull()).drop("_bad")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
             raise

@@ -63,7 +63,11 @@ def test_rendered_text():
 
 
 def test_a_stray_bracket_is_text():
-    assert found("<p>1 < 2 <3 and a<b", "p") == ["1 < 2 <3 and a<b"]
+    assert found("<p>1 < 2 <3 and a</p>", "p") == ["1 < 2 <3 and a"]
+
+
+def test_a_tag_the_page_ends_in_is_dropped():
+    assert found("<p>a<b", "p") == ["a"] and found("<p>a<b x='>", "p") == ["a"]
 
 
 def test_pre_and_post_enclose():
@@ -83,7 +87,7 @@ def test_very_deep_pages_keep_all_text():
 
 
 def test_broken_markup_is_read_in_linear_time():
-    for html in ('<a title="' * 20_000, "<" * 50_000, "<a b=" * 20_000, "<!--" * 20_000, "</div>" * 50_000):
+    for html in ('<a title="' * 20_000, "<" * 50_000, "<a b=" * 20_000, "<!--" * 20_000, "<!x" * 20_000, "</div>" * 50_000):
         read(html)
 
 
