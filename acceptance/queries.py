@@ -353,7 +353,7 @@ def activity_union(t):
     """Grid rows of the experts' activity; linked and plain project names side by side."""
     nodes = html_nodes(R.activity_pages(t), carry=("k",))
     grids = grid.fixed_grids(nodes, {"ProfileBar-9": (None, 4)}, ("page_id", "k"))
-    rows = grids.select("k", F.inline(F.transform("rows", sections.activity_row)))
+    rows = grids.select("k", F.inline(F.expr(f"transform(rows, r -> {sections.ACTIVITY_ROW})")))
     return rows.select(
         "k", F.col("Project_Name").alias("project_name"), F.col("Project_URL").alias("project_url"),
         F.col("Type").alias("type"), F.col("Current_Status").alias("current_status"),
@@ -484,22 +484,22 @@ def run_id_format(t):
 def fixed_rows(t: R.Tables, n: int, grid_id: str | None, cells: int, one) -> DataFrame:
     nodes = html_nodes(R.expert_pages(t, n))
     rows = grid.fixed_grids(nodes, {f"ProfileBar-{n}": (grid_id, cells)})
-    return rows.select(F.col("page_id").alias("k"), F.inline(F.transform("rows", one)))
+    return rows.select(F.col("page_id").alias("k"), F.inline(F.expr(f"transform(rows, r -> {one})")))
 
 
 @query
 def expertise(t):
-    return fixed_rows(t, 4, "contactsGrid", 4, sections.expertise_row)
+    return fixed_rows(t, 4, "contactsGrid", 4, sections.EXPERTISE_ROW)
 
 
 @query
 def affiliation(t):
-    return fixed_rows(t, 6, "networksGrid", 2, sections.affiliation_row)
+    return fixed_rows(t, 6, "networksGrid", 2, sections.AFFILIATION_ROW)
 
 
 @query
 def web_presence(t):
-    return fixed_rows(t, 8, "webGrid", 3, sections.web_row)
+    return fixed_rows(t, 8, "webGrid", 3, sections.WEB_ROW)
 
 
 @query

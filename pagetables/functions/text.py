@@ -82,8 +82,8 @@ def _has(classes: Column, *names: str) -> Column:
     return F.arrays_overlap(F.coalesce(classes, F.array().cast("array<string>")), F.array(*map(F.lit, names)))
 
 
-def parse_flag(title: Column, classes: Column, text: Column, wide: bool = False) -> Column:
-    """Yes/No of an icon: its title, else its class tokens, else the element's text.
+def icon_flag(title: Column, classes: Column, wide: bool = False) -> Column:
+    """Yes/No of an icon by its title, else its class tokens; NULL if neither tells.
 
     ``wide`` also understands the tick and close icons. Classes are compared as whole
     tokens, so an unchecked box is never taken for a tick. ``classes`` is NULL where
@@ -95,10 +95,14 @@ def parse_flag(title: Column, classes: Column, text: Column, wide: bool = False)
         F.when(F.coalesce(title, F.lit("")) != "", title)
         .when(_has(classes, *yes), F.lit("Yes"))
         .when(_has(classes, *no), F.lit("No"))
-        .otherwise(clean_text(text))
     )
 
 
+def parse_flag(title: Column, classes: Column, text: Column, wide: bool = False) -> Column:
+    """Yes/No of an element's icon, else the element's text."""
+    return F.coalesce(icon_flag(title, classes, wide), clean_text(text))
+
+
 def parse_flag_cell(title: Column, classes: Column, box: Column, text: Column) -> Column:
     """Yes/No of a listing cell: icon, then checkbox, then wording; a missing cell is No.
 

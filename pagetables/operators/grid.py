@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import clean_text, normalize_key, parse_flag
+from pagetables.functions.text import clean_text, icon_flag, normalize_key
 from pagetables.operators.scope import (
     enclosing,
     first_in_document,
@@ -43,21 +43,26 @@ def is_shown() -> Column:
     return attr("hidden").isNull() & ~F.lower(style).contains("display:none")
 
 
-def _cell_facts(nodes: DataFrame, *extra: Column) -> DataFrame:
+def _cell_facts(nodes: DataFrame, *extra: Column, clean: bool = True, wide: bool = False) -> DataFrame:
     """Only the columns that cells are built from, so that an exchange carries no more.
 
-    ``kind`` is td, link, icon, box or NULL; ``tds`` are the enclosing cells.
+    ``kind`` is td, link, icon, box or NULL; ``tds`` are the enclosing cells. Texts are
+    cleaned here, once per node.
     """
     tag = F.col("tag")
     kind = F.when(tag == "td", "td").when(tag == "a", "link").when(is_icon(), "icon").when(is_box(), "box")
-    return nodes.withColumn("kind", kind).withColumns(
+    text = clean_text(F.col("text")) if clean else F.col("text")
+    return nodes.withColumns(
         {
+            "kind": kind,
+            "text": text,
             "tds": enclosing(sel_is("td")),
             "href": attr("href"),
             "title": attr("title"),
             "checked": attr("checked").isNotNull(),
+            "flag": F.when(is_icon(), icon_flag(attr("title"), F.col("cls"), wide)),
         }
-    ).select(*extra, "pre", "kind", "tds", "text", "href", "title", "checked", "cls")
+    ).select(*extra, "pre", "kind", "tds", "text", "href", "title", "checked", "cls", "flag")
 
 
 def _cell_lists() -> list[Column]:
@@ -66,7 +71,7 @@ def _cell_lists() -> list[Column]:
     return [
         in_document_order(kind == "td", F.col("text")).alias("cells"),
         in_document_order(kind == "link", *map(F.col, ("tds", "href", "title", "text"))).alias("links"),
-        in_document_order(kind == "icon", *map(F.col, ("tds", "title", "cls"))).alias("icons"),
+        in_document_order(kind == "icon", *map(F.col, ("tds", "title", "cls", "flag"))).alias("icons"),
         in_document_order(kind == "box", F.col("tds"), F.col("checked")).alias("boxes"),
     ]
 
@@ -74,18 +79,13 @@ def _cell_lists() -> list[Column]:
 def _cells() -> Column:
     """Cells of a row in order, each with its own links, first icon and first checkbox."""
 
-    def inside(found: str, cell: Column) -> Column:
-        return F.filter(found, lambda x: F.array_contains(x["tds"], cell["pre"]))
-
-    return F.transform(
-        "cells",
-        lambda t: F.struct(
-            t["pre"].alias("pre"),
-            t["text"].alias("text"),
-            inside("links", t).alias("links"),
-            F.get(inside("icons", t), F.lit(0)).alias("icon"),
-            F.get(inside("boxes", t), F.lit(0))["checked"].alias("box"),
-        ),
+    def inside(found: str) -> str:
+        return f"filter({found}, x -> array_contains(x.tds, t.pre))"
+
+    return F.expr(
+        f"""transform(cells, t -> named_struct(
+            'pre', t.pre, 'text', t.text, 'links', {inside('links')},
+            'icon', get({inside('icons')}, 0), 'box', get({inside('boxes')}, 0).checked))"""
     )
 
 
@@ -97,7 +97,7 @@ def table_rows(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFram
     is_row = is_a("tr", "k-master-row")
     row_pre = F.explode(or_self(enclosing(IS_MASTER_ROW), is_row)).alias("row_pre")
     return (
-        _cell_facts(nodes, *keys, row_pre)
+        _cell_facts(nodes, *keys, row_pre, clean=False)
         .filter(F.col("kind").isNotNull() | (F.col("pre") == F.col("row_pre")))
         .groupBy(*keys, "row_pre")
         .agg(*_cell_lists())
@@ -105,44 +105,33 @@ def table_rows(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFram
     )
 
 
-def _header_name(headers: Column, i: Column) -> Column:
-    name = F.get(headers, i)
-    return F.coalesce(F.nullif(name, F.lit("")), F.concat(F.lit("Column_"), i))
-
-
-def _entry(key: Column, value: Column) -> Column:
-    return F.struct(key.cast("string").alias("key"), value.cast("string").alias("value"))
+def _pair(key: str, value: str) -> str:
+    return f"named_struct('key', {key}, 'value', {value})"
 
 
-def _cell_entries(cell: Column, key: Column, flavor: str) -> Column:
-    """What one grid cell adds to its record."""
-    link = F.get(cell["links"], F.lit(0))
-    link_text = clean_text(link["text"])
-    href = link["href"]
-    url_key = F.concat(key, F.lit("_URL"))
-    wide = flavor == "organization"
-    icon = F.when(
-        cell["icon"].isNotNull(),
-        F.array(_entry(key, parse_flag(cell["icon"]["title"], cell["icon"]["cls"], cell["text"], wide))),
-    ).otherwise(F.array(_entry(key, clean_text(cell["text"]))))
+def _cell_entries(flavor: str) -> str:
+    """SQL: what one grid cell ``c`` named ``c.name`` adds to its record. Texts are clean."""
+    link, href = "c.links[0]", "coalesce(c.links[0].href, '')"
+    named, with_url = _pair("c.name", f"{link}.text"), _pair("concat(c.name, '_URL')", f"{link}.href")
     if flavor == "facility":
-        linked = F.array(_entry(key, link_text), _entry(url_key, href))
+        linked = f"array({named}, {with_url})"
     else:
-        h = F.coalesce(href, F.lit(""))
-        linked = (
-            F.when(h.startswith("mailto:"), F.array(_entry(F.lit("Email"), link_text)))
-            .when(h.startswith("tel:"), F.array(_entry(F.lit("Phone"), link_text)))
-            .when((h != "") & ~h.startswith("javascript"), F.array(_entry(key, link_text), _entry(url_key, h)))
-            .otherwise(F.array(_entry(key, link_text)))
-        )
-    return F.when(link.isNotNull(), linked).otherwise(icon)
-
-
-def row_record(cells: Column, headers: Column, flavor: str) -> Column:
-    """Cells of a row -> ``map<string,string>`` named by the headers."""
-    return last_wins(
-        F.flatten(F.transform(cells, lambda c, i: _cell_entries(c, _header_name(headers, i), flavor)))
+        linked = f"""CASE WHEN startswith({href}, 'mailto:') THEN array({_pair("'Email'", link + ".text")})
+            WHEN startswith({href}, 'tel:') THEN array({_pair("'Phone'", link + ".text")})
+            WHEN {href} <> '' AND NOT startswith({href}, 'javascript') THEN array({named}, {with_url})
+            ELSE array({named}) END"""
+    flag = "coalesce(c.icon.flag, c.text)"
+    return f"CASE WHEN size(c.links) > 0 THEN {linked} ELSE array({_pair('c.name', flag)}) END"
+
+
+def _records(flavor: str) -> Column:
+    """Rows of cells -> ``array<map<string,string>>``, named by ``names``."""
+    name = "coalesce(nullif(get(names, i), ''), concat('Column_', i))"
+    cells = (
+        f"transform(r.cells, (c, i) -> named_struct('name', {name}, 'text', c.text, 'links', c.links, 'icon', c.icon))"
     )
+    entries = f"flatten(transform({cells}, c -> {_cell_entries(flavor)}))"
+    return F.expr(f"transform(transform(rows, r -> {entries}), es -> {last_wins('es')})")
 
 
 def section_grids(
@@ -168,14 +157,15 @@ def section_grids(
         row_test, is_row = IS_MASTER_ROW, is_a("tr", "k-master-row")
     else:
 
-        def row_test(sel: Column) -> Column:
-            return sel.startswith("tr ") & (~sel.contains(" .k-detail-row ") | sel.contains(" .k-master-row "))
+        def row_test(sel: str) -> str:
+            plain = f"NOT contains({sel}, ' .k-detail-row ') OR contains({sel}, ' .k-master-row ')"
+            return f"startswith({sel}, 'tr ') AND ({plain})"
 
         is_row = (F.col("tag") == "tr") & (~is_a(None, "k-detail-row") | is_a(None, "k-master-row"))
     is_head = (F.col("tag") == "th") & within(sel_is("thead"))
     is_cell = F.col("tag").isin("td", "a") | is_icon() | is_box()
     rows_around = F.when(
-        is_row | is_cell, or_self(enclosing(row_test, inside=F.col("grid_pre")), is_row)
+        is_row | is_cell, or_self(enclosing(row_test, inside="grid_pre"), is_row)
     ).otherwise(F.array(F.lit(-1)))
 
     facts = (
@@ -192,6 +182,7 @@ def section_grids(
         F.when(is_head, normalize_key(clean_text(F.col("text")), drop)).alias("head"),
         (is_no_data() & is_shown()).alias("empty_mark"),
         (is_row & within(sel_is("tbody"))).alias("body_row"),
+        wide=flavor == "organization",
     )
     if shuffle:
         facts = facts.repartition(*keys)
@@ -209,19 +200,14 @@ def section_grids(
         F.max("empty_mark").alias("no_data"),
         F.max("panels").alias("panels"),
     )
-    names = F.transform("heads", lambda h: h["head"])
+    names = F.expr("transform(heads, h -> h.head)")
     if header_mode == "compact":
-        names = F.filter(names, lambda h: h != "")
-    records = F.transform("rows", lambda r: row_record(r["cells"], F.col("names"), flavor))
-    if flavor == "facility":
-        kept = F.filter("records", lambda m: F.size(m) > 0)
-    else:
-        kept = F.filter("records", lambda m: F.exists(F.map_values(m), lambda v: F.coalesce(v, F.lit("")) != ""))
-    none = F.filter("records", lambda m: F.lit(False))
+        names = F.expr("filter(transform(heads, h -> h.head), h -> h <> '')")
+    has_content = "size(m) > 0" if flavor == "facility" else "exists(map_values(m), v -> coalesce(v, '') <> '')"
     return (
         grids.withColumn("names", names)
-        .withColumn("records", records)
-        .withColumn("rows", F.when(F.col("no_data"), none).otherwise(kept))
+        .withColumn("records", _records(flavor))
+        .withColumn("rows", F.expr(f"filter(records, m -> NOT no_data AND {has_content})"))
         .select(*keys, F.explode("panels").alias("panel_pre"), "grid_pre", "rows")
         .groupBy(*keys, "panel_pre")
         .agg(F.min_by("rows", "grid_pre").alias("rows"))
@@ -240,14 +226,12 @@ def fixed_grids(
     number of cells a row needs. A panel that shows the no-records line has no rows. Panels
     that a page lacks, and panels without rows, are absent.
     """
-    panel_id = F.explode(
-        F.filter(
-            F.array(
-                *[F.when(within(sel_is(id=p)), F.struct(F.lit(p).alias("id"), (within(sel_is(id=g)) if g else F.lit(True)).alias("ok"), F.lit(n).alias("n"))) for p, (g, n) in grids.items()]
-            ),
-            lambda x: x.isNotNull(),
-        )
-    )
+    wanted = []
+    for panel, (table, n) in grids.items():
+        ok = sel_is(id=table)("p.sel") if table else "true"
+        hit = f"named_struct('id', '{panel}', 'n', {n}, 'ok', exists(path, p -> {ok}))"
+        wanted.append(f"if(exists(path, p -> {sel_is(id=panel)('p.sel')}), {hit}, NULL)")
+    panel_id = F.expr(f"explode(filter(array({', '.join(wanted)}), x -> x IS NOT NULL))")
     is_row = is_a("tr", "k-master-row")
     is_cell = F.col("tag").isin("td", "a") | is_icon() | is_box()
     rows_around = F.when(
@@ -275,17 +259,5 @@ def fixed_grids(
         .groupBy(*keys, "panel_id")
         .agg(F.array_sort(F.collect_list("row")).alias("rows"), F.max("empty_mark").alias("no_data"))
         .filter(~F.col("no_data") & (F.size("rows") > 0))
-        .select(*keys, "panel_id", F.transform("rows", lambda r: r["cells"]).alias("rows"))
+        .select(*keys, "panel_id", F.expr("transform(rows, r -> r.cells) AS rows"))
     )
-
-
-def cell_text(cell: Column) -> Column:
-    return clean_text(cell["text"])
-
-
-def cell_flag(cell: Column, wide: bool = False) -> Column:
-    return parse_flag(cell["icon"]["title"], cell["icon"]["cls"], cell["text"], wide)
-
-
-def cell_link(cell: Column) -> Column:
-    return F.get(cell["links"], F.lit(0))

@@ -8,11 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import clean_text, normalize_key, parse_flag, rating
+from pagetables.functions.text import blank_to_null, clean_text, normalize_key, parse_flag, rating
 from pagetables.operators.grid import attr, is_icon
 from pagetables.operators.scope import enclosing, in_document_order, is_a, sel_is, within
 
 
+EMPTY = "''"
+TRAIL = "' > '"
+
+
+def quote(s: str) -> str:
+    return f"'{s}'"
+
+
 @dataclass(frozen=True)
 class KvRules:
     """How a kind of page writes its labelled rows.
@@ -45,18 +53,6 @@ ORGANIZATION = KvRules(
 )
 
 
-def _entry(key: Column, value: Column) -> Column:
-    return F.struct(key.cast("string").alias("key"), F.coalesce(value, F.lit("")).cast("string").alias("value"))
-
-
-def _inside(items: str, c: Column) -> Column:
-    return F.filter(items, lambda x: (x["pre"] > c["pre"]) & (x["post"] < c["post"]))
-
-
-def _first(items: Column) -> Column:
-    return F.get(items, F.lit(0))
-
-
 def labelled_rows(nodes: DataFrame, panels: Column, keys: Sequence[str], shuffle: bool = True) -> DataFrame:
     """Each labelled row with what it holds: ``keys, panel_pre, panel_id, row_pre, label, cols, links, ...``.
 
@@ -64,23 +60,22 @@ def labelled_rows(nodes: DataFrame, panels: Column, keys: Sequence[str], shuffle
     """
     kind = (
         F.when(F.col("tag") == "label", "label")
-        .when((F.col("tag") == "div") & F.exists("cls", lambda c: c.contains("col-")), "col")
+        .when((F.col("tag") == "div") & F.expr("exists(cls, c -> contains(c, 'col-'))"), "col")
         .when(F.col("tag") == "a", "link")
         .when(is_icon(), "icon")
         .when(is_a("span", "k-rating"), "rating")
         .when((F.col("tag") == "li") & within(sel_is("ol", "breadcrumb")), "crumb")
     )
-    panel = F.get(F.filter("path", lambda p: p["pre"] == F.col("panel_pre")), F.lit(0))
     facts = (
         nodes.withColumn("kind", kind)
         .filter(F.col("kind").isNotNull())
         .withColumn("panel_pre", F.explode(panels))
-        .withColumn("row_pre", F.explode(enclosing(sel_is("div", "row"), inside=F.col("panel_pre"))))
+        .withColumn("row_pre", F.explode(enclosing(sel_is("div", "row"), inside="panel_pre")))
         .select(
-            *keys, "panel_pre", "row_pre", "kind", "pre", "post", "text", "cls",
-            F.regexp_extract(panel["sel"], " #(\\S+)", 1).alias("panel_id"),
+            *keys, "panel_pre", "row_pre", "kind", "pre", "post", "cls", clean_text(F.col("text")).alias("text"),
+            F.expr("regexp_extract(get(filter(path, p -> p.pre = panel_pre), 0).sel, ' #([^ ]+)', 1) AS panel_id"),
             F.when(F.col("kind") == "crumb", enclosing(sel_is("ol", "breadcrumb"))).alias("trails"),
-            attr("for").alias("for"), attr("href").alias("href"), attr("title").alias("title"),
+            attr("for").alias("target"), attr("href").alias("href"), attr("title").alias("title"),
             attr("aria-valuenow").alias("value"),
         )
     )
@@ -93,92 +88,74 @@ def labelled_rows(nodes: DataFrame, panels: Column, keys: Sequence[str], shuffle
     return (
         facts.groupBy(*keys, "panel_pre", "panel_id", "row_pre")
         .agg(
-            found("label", "for", "text"), found("col", "cls", "text"), found("link", "href", "text"),
+            found("label", "target", "text"), found("col", "cls", "text"), found("link", "href", "text"),
             found("icon", "title", "cls"), found("rating", "value"), found("crumb", "trails", "text"),
         )
-        .withColumn("label", _first(F.col("labels")))
+        .withColumn("label", F.expr("labels[0]"))
         .filter(F.col("label").isNotNull())
     )
 
 
 def value_column(rules: KvRules) -> Column:
     """The column of a labelled row that holds its value, NULL if there is none."""
-    named = F.filter("cols", lambda c: F.arrays_overlap(c["cls"], F.array(*map(F.lit, rules.columns or ("",)))))
+    classes = ", ".join(f"'{c}'" for c in rules.columns or ("",))
+    named = f"get(filter(cols, c -> arrays_overlap(c.cls, array({classes}))), 0)"
     if not rules.other:
-        return _first(named)
-    free = F.filter("cols", lambda c: ~((c["pre"] < F.col("label.pre")) & (c["post"] > F.col("label.post"))))
+        return F.expr(named)
+    free = "NOT (c.pre < label.pre AND c.post > label.post)"
     if rules.other == "with_text":
-        free = F.filter(free, lambda c: clean_text(c["text"]) != "")
+        free += " AND c.text <> ''"
     elif rules.other == "with_content":
-        free = F.filter(
-            free,
-            lambda c: F.exists(c["cls"], lambda x: x.contains("col-md"))
-            & ((clean_text(c["text"]) != "") | (F.size(_inside("icons", c)) > 0) | (F.size(_inside("links", c)) > 0)),
-        )
-    return F.coalesce(_first(named), _first(free))
+        holds = [f"exists({x}, x -> x.pre > c.pre AND x.post < c.post)" for x in ("icons", "links")]
+        free += f" AND exists(c.cls, x -> contains(x, 'col-md')) AND (c.text <> '' OR {' OR '.join(holds)})"
+    return F.expr(f"coalesce({named}, get(filter(cols, c -> {free}), 0))")
 
 
 def field_key(rules: KvRules) -> Column:
-    label_for = F.coalesce(F.col("label.for"), F.lit(""))
-    from_text = normalize_key(clean_text(F.col("label.text")), rules.key_drop)
-    return F.when(label_for != "", label_for).otherwise(from_text) if rules.key_from_for else from_text
+    from_text = normalize_key(F.col("label.text"), rules.key_drop)
+    return F.coalesce(blank_to_null(F.col("label.target")), from_text) if rules.key_from_for else from_text
 
 
-def _values(rules: KvRules, key: Column, val: Column) -> Column:
-    """Entries that a row contributes."""
-    label_for = F.coalesce(F.col("label.for"), F.lit(""))
-    text = clean_text(val["text"])
-    plain = F.array(_entry(key, text))
-    if rules.values == "text":
-        return plain
-    icon = _first(_inside("icons", val))
-    links = _inside("links", val)
-    rated = _first(_inside("ratings", val))
-
-    def link_entries(x: Column) -> Column:
-        href, label = F.coalesce(x["href"], F.lit("")), clean_text(x["text"])
-        with_url = F.array(_entry(key, label), _entry(F.concat(key, F.lit("_URL")), href))
-        other = with_url
-        if rules.values == "all_links":
-            other = F.when((href != "") & ~href.startswith("javascript"), with_url).otherwise(F.array(_entry(key, label)))
-        return (
-            F.when(href.startswith("mailto:"), F.array(_entry(F.lit("Email"), label)))
-            .when(href.startswith("tel:"), F.array(_entry(F.lit("Phone"), label)))
-            .otherwise(other)
-        )
+def _pair(key: str, value: str) -> str:
+    return f"named_struct('key', {key}, 'value', {value})"
+
 
+def _entries(rules: KvRules) -> Column:
+    """Entries that a row contributes, from its key ``name``, ``val`` and what ``val`` holds."""
+    plain = f"array({_pair('name', 'val.text')})"
+    if rules.values == "text":
+        return F.expr(plain)
     if rules.values == "expert_general":
-        mail = _first(F.filter(links, lambda x: x["href"].startswith("mailto:")))
-        phone = _first(F.filter(links, lambda x: x["href"].startswith("tel:")))
-        score = F.when(rated.isNotNull(), rating(rated["value"], text)).otherwise(text)
-        return (
-            F.when(
-                label_for.isin("IsLinkedToUser", "Enabled"),
-                F.array(_entry(key, parse_flag(icon["title"], icon["cls"], val["text"]))),
-            )
-            .when(
-                label_for == "Contact",
-                F.array(_entry(F.lit("Email"), clean_text(mail["text"])), _entry(F.lit("Phone"), clean_text(phone["text"]))),
-            )
-            .when(label_for == "ReputationScore", F.array(_entry(F.lit("Reputation_Score"), score)))
-            .otherwise(plain)
+        mail, phone = (f"get(filter(links, x -> startswith(x.href, '{p}')), 0).text" for p in ("mailto:", "tel:"))
+        both = f"{_pair(quote('Email'), f'coalesce({mail}, {EMPTY})')}, {_pair(quote('Phone'), f'coalesce({phone}, {EMPTY})')}"
+        return F.expr(
+            f"""CASE WHEN label.target IN ('IsLinkedToUser', 'Enabled') THEN array({_pair('name', 'flag')})
+            WHEN label.target = 'Contact' THEN array({both})
+            WHEN label.target = 'ReputationScore' THEN array({_pair(quote('Reputation_Score'),
+                'CASE WHEN rated IS NULL THEN val.text ELSE score END')})
+            ELSE {plain} END"""
         )
     wide = rules.values == "all_links"
-    chosen = links if wide else F.slice(links, 1, 1)
-    rest = F.when(rated.isNotNull(), F.array(_entry(key, rating(rated["value"]))))
+    href = "coalesce(x.href, '')"
+    named, with_url = _pair("name", "x.text"), _pair("concat(name, '_URL')", href)
+    web = f"array({named}, {with_url})"
     if wide:
-        # all items of the first breadcrumb in the value column
-        crumbs = _inside("crumbs", val)
-        trail = F.get(F.filter(F.get(crumbs, F.lit(0))["trails"], lambda t: t > val["pre"]), F.lit(0))
-        names = F.transform(F.filter(crumbs, lambda x: F.array_contains(x["trails"], trail)), lambda x: clean_text(x["text"]))
-        rest = rest.when(F.size(crumbs) > 0, F.array(_entry(key, F.array_join(F.filter(names, lambda n: n != ""), " > "))))
-    kept = plain if rules.keep_blank else F.filter(plain, lambda e: e["value"] != "")
-    entries = (
-        F.when(icon.isNotNull(), F.array(_entry(key, parse_flag(icon["title"], icon["cls"], val["text"], wide))))
-        .when(F.size(links) > 0, F.flatten(F.transform(chosen, link_entries)))
-        .otherwise(F.coalesce(rest, kept))
+        web = f"if({href} <> '' AND NOT startswith({href}, 'javascript'), {web}, array({named}))"
+    linked = f"""CASE WHEN startswith({href}, 'mailto:') THEN array({_pair(quote('Email'), 'x.text')})
+        WHEN startswith({href}, 'tel:') THEN array({_pair(quote('Phone'), 'x.text')}) ELSE {web} END"""
+    chosen = "links" if wide else "slice(links, 1, 1)"
+    blank = plain if rules.keep_blank else f"filter({plain}, e -> e.value <> '')"
+    # the items of the first breadcrumb in the value column
+    trail = "get(filter(crumbs[0].trails, t -> t > val.pre), 0)"
+    names = f"transform(filter(crumbs, x -> array_contains(x.trails, {trail}) AND x.text <> ''), x -> x.text)"
+    crumbs = f"WHEN size(crumbs) > 0 THEN array({_pair('name', f'array_join({names}, {TRAIL})')})" if wide else ""
+    usable = "true" if rules.keep_blank else "name <> ''"
+    return F.expr(
+        f"""filter(CASE WHEN icon IS NOT NULL THEN array({_pair('name', 'flag')})
+        WHEN size(links) > 0 THEN flatten(transform({chosen}, x -> {linked}))
+        WHEN rated IS NOT NULL THEN array({_pair('name', 'score')})
+        {crumbs} ELSE {blank} END, e -> {usable})"""
     )
-    return entries if rules.keep_blank else F.when(key != "", entries).otherwise(F.filter(entries, lambda e: F.lit(False)))
 
 
 def kv_pairs(
@@ -209,24 +186,35 @@ def kv_pairs(
             out = F.when(hit, expression(r)) if out is None else out.when(hit, expression(r))
         return out
 
+    def held(items: str) -> Column:
+        return F.expr(f"filter({items}, x -> x.pre > val.pre AND x.post < val.post)")
+
+    text = F.col("val.text")
     return (
         rows.withColumn("val", choose(value_column))
         .filter(F.col("val").isNotNull())
-        .withColumn("name", choose(field_key))
-        .select(
-            *keys, "panel_pre", "panel_id", "row_pre",
-            F.posexplode(choose(lambda r: _values(r, F.col("name"), F.col("val")))).alias("i", "e"),
+        .withColumns({"name": choose(field_key), **{x: held(x) for x in ("links", "icons", "ratings", "crumbs")}})
+        .withColumns({"icon": F.expr("get(icons, 0)"), "rated": F.expr("get(ratings, 0)")})
+        .withColumns(
+            {
+                "flag": choose(lambda r: parse_flag(F.col("icon.title"), F.col("icon.cls"), text, r.values == "all_links")),
+                "score": choose(lambda r: rating(F.col("rated.value"), text if r.values == "expert_general" else None)),
+            }
         )
+        .select(*keys, "panel_pre", "panel_id", "row_pre", F.posexplode(choose(_entries)).alias("i", "e"))
         .groupBy(*keys, "panel_pre", "panel_id", F.col("e.key").alias("key"))
         .agg(
             F.min(F.struct("row_pre", "i")).alias("pos"),
             F.max_by("e.value", F.struct("row_pre", "i")).alias("value"),
         )
-    )
+    )
 
 
 def kv_maps(pairs: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
     """One map per panel, keys in page order: ``keys, panel_pre, fields``."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "key", "value")))
-    entries = F.transform(ordered, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    return pairs.groupBy(*keys, "panel_pre").agg(F.map_from_entries(entries).alias("fields"))
+    return (
+        pairs.groupBy(*keys, "panel_pre")
+        .agg(ordered.alias("es"))
+        .select(*keys, "panel_pre", F.expr("map_from_entries(transform(es, e -> struct(e.key, e.value))) AS fields"))
+    )

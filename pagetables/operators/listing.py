@@ -49,8 +49,8 @@ def flag(i: int) -> Column:
 
 def link_titled(title: str) -> Column:
     """Address of the row's first link with this title."""
-    hit = F.get(F.filter("links", lambda x: x["title"] == title), F.lit(0))
-    return F.when(hit.isNull(), NO_LINK).otherwise(hit["href"])
+    hit = f"get(filter(links, x -> x.title = '{title}'), 0)"
+    return F.expr(f"if({hit} IS NULL, '{NO_LINK}', {hit}.href)")
 
 
 def first_link(c: Column) -> Column:
@@ -162,7 +162,7 @@ def dropdown_options(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> Da
     """Options of the open list box in order, without blanks and the placeholder: ``keys, idx, name``."""
     name = strip(F.col("text"))
     options = (
-        nodes.filter((F.col("tag") == "li") & F.exists("path", lambda p: p["sel"].rlike(r"^ul #\S*listbox ")))
+        nodes.filter((F.col("tag") == "li") & F.expr("exists(path, p -> p.sel RLIKE '^ul #[^ ]*listbox ')"))
         .withColumn("name", name)
         .filter((F.col("name") != "") & ~F.col("name").contains(PLACEHOLDER))
     )

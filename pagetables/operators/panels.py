@@ -38,7 +38,7 @@ def panel_scopes(by: str) -> Column:
     """``pre`` of the panels around a node: ``'item'`` of a panel bar, or ``'id'`` (ProfileBar-n)."""
     if by == "item":
         return enclosing_panels()
-    return enclosing(lambda sel: sel.contains(" #ProfileBar-"))
+    return enclosing(lambda sel: f"contains({sel}, ' #ProfileBar-')")
 
 
 def panel_lists(nodes: DataFrame, by: str, keys: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -56,7 +56,7 @@ def panel_lists(nodes: DataFrame, by: str, keys: Sequence[str] = ("page_id",)) -
 
 
 def _kinds(kinds: dict[str, tuple[str, ...]]) -> Column:
-    return F.filter(F.array(*[F.when(is_a(*t), F.lit(k)) for k, t in kinds.items()]), lambda k: k.isNotNull())
+    return F.array_compact(F.array(*[F.when(is_a(*t), F.lit(k)) for k, t in kinds.items()]))
 
 
 def _any(kinds: dict[str, tuple[str, ...]]) -> Column:
@@ -88,7 +88,7 @@ def panel_parts(
         .select(
             *keys, "panel_pre", "pre", "tag", "kinds", "is_content", "is_blurb", "is_crumb", "text", "cls",
             attr("href").alias("href"), attr("src").alias("src"), attr("alt").isNotNull().alias("has_alt"),
-            F.exists("cls", lambda c: c.contains("k-link")).alias("is_nav"),
+            F.expr("exists(cls, c -> contains(c, 'k-link')) AS is_nav"),
         )
     )
     if shuffle:
@@ -117,7 +117,7 @@ def _blocks(
     facts = (
         nodes.filter(is_part)
         .withColumn("panel_pre", F.explode(panels))
-        .withColumn("block_pre", F.explode(or_self(enclosing(test, inside=F.col("panel_pre")), is_block)))
+        .withColumn("block_pre", F.explode(or_self(enclosing(test, inside="panel_pre"), is_block)))
         .select(
             *keys, "panel_pre", "block_pre", "pre", clean_text(F.col("text")).alias("text"),
             F.when(is_block, _kinds(kinds)).alias("kinds"), *[(inner & p).alias("is_" + k) for k, p in parts.items()],

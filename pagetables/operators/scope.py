@@ -13,62 +13,48 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Test = Callable[[Column], Column]
+# A test on an enclosing element: the SQL name of its ``sel`` -> an SQL condition.
+Test = Callable[[str], str]
 
 
 def is_a(tag: str | None = None, *classes: str, id: str | None = None) -> Column:
     """Test on a node row: tag, every class token, id."""
-    tests = [F.col("tag") == tag] if tag else []
-    tests += [F.array_contains("cls", c) for c in classes]
+    tests = [f"tag = '{tag}'"] if tag else []
+    tests += [f"array_contains(cls, '{c}')" for c in classes]
     if id is not None:
-        tests.append(F.col("id") == id)
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return F.coalesce(out, F.lit(False))
+        tests.append(f"id = '{id}'")
+    return F.expr(f"coalesce({' AND '.join(tests)}, false)")
 
 
 def sel_is(tag: str | None = None, *classes: str, id: str | None = None) -> Test:
     """The same test on the ``sel`` of an enclosing element."""
 
-    def test(sel: Column) -> Column:
-        tests = [sel.startswith(tag + " ")] if tag else []
-        tests += [sel.contains(f" .{c} ") for c in classes]
+    def test(sel: str) -> str:
+        tests = [f"startswith({sel}, '{tag} ')"] if tag else []
+        tests += [f"contains({sel}, ' .{c} ')" for c in classes]
         if id is not None:
-            tests.append(sel.contains(f" #{id} "))
-        out = tests[0]
-        for t in tests[1:]:
-            out = out & t
-        return out
+            tests.append(f"contains({sel}, ' #{id} ')")
+        return f"({' AND '.join(tests)})"
 
     return test
 
 
 def any_sel(*tests: Test) -> Test:
-    def test(sel: Column) -> Column:
-        out = tests[0](sel)
-        for t in tests[1:]:
-            out = out | t(sel)
-        return out
-
-    return test
+    return lambda sel: f"({' OR '.join(t(sel) for t in tests)})"
 
 
-def enclosing(test: Test, inside: Column | None = None) -> Column:
+def enclosing(test: Test, inside: str | None = None) -> Column:
     """``pre`` of every enclosing element that passes, outermost first.
 
-    With ``inside``, only elements that lie within the element with that ``pre``.
+    With ``inside``, only elements that lie within the element whose ``pre`` is in that column.
     """
-    if inside is None:
-        hits = F.filter("path", lambda p: test(p["sel"]))
-    else:
-        hits = F.filter("path", lambda p: test(p["sel"]) & (p["pre"] > inside))
-    return F.transform(hits, lambda p: p["pre"])
+    bound = f" AND p.pre > {inside}" if inside else ""
+    return F.expr(f"transform(filter(path, p -> {test('p.sel')}{bound}), p -> p.pre)")
 
 
 def within(test: Test) -> Column:
     """Whether some enclosing element passes."""
-    return F.exists("path", lambda p: test(p["sel"]))
+    return F.expr(f"exists(path, p -> {test('p.sel')})")
 
 
 def or_self(scopes: Column, is_self: Column) -> Column:
@@ -78,17 +64,14 @@ def or_self(scopes: Column, is_self: Column) -> Column:
 
 def enclosing_panels() -> Column:
     """``pre`` of the enclosing panels: items that sit directly in a panel bar."""
-    bar = sel_is("ul", "k-panelbar")
-    item = sel_is("li")
-    hits = F.filter(
-        "path", lambda p, i: item(p["sel"]) & F.coalesce(bar(F.get("path", i - 1)["sel"]), F.lit(False))
-    )
-    return F.transform(hits, lambda p: p["pre"])
+    bar, item = sel_is("ul", "k-panelbar"), sel_is("li")
+    in_bar = f"{item('p.sel')} AND coalesce({bar('get(path, i - 1).sel')}, false)"
+    return F.expr(f"transform(filter(path, (p, i) -> {in_bar}), p -> p.pre)")
 
 
 def is_panel() -> Column:
     bar = sel_is("ul", "k-panelbar")
-    return (F.col("tag") == "li") & F.coalesce(bar(F.try_element_at("path", F.lit(-1))["sel"]), F.lit(False))
+    return F.expr(f"tag = 'li' AND coalesce({bar('try_element_at(path, -1).sel')}, false)")
 
 
 def in_document_order(kind: Column, *fields: Column) -> Column:
@@ -101,12 +84,11 @@ def first_in_document(kind: Column, value: Column) -> Column:
     return F.min_by(value, F.when(kind, F.col("pre")))
 
 
-def last_wins(entries: Column) -> Column:
-    """``array<struct<key,value>>`` -> map; a later value replaces an earlier one in place.
+def last_wins(entries: str) -> str:
+    """SQL: ``array<struct<key,value>>`` -> map; a later value replaces an earlier one in place.
 
     Keys keep the position of their first appearance.
     """
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_arrays(
-        keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"])
-    )
+    keys = f"array_distinct(transform({entries}, e -> e.key))"
+    last = f"element_at(filter({entries}, e -> e.key = k), -1).value"
+    return f"map_from_arrays({keys}, transform({keys}, k -> {last}))"

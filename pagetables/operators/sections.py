@@ -11,8 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import link_name, parse_flag, split_first_delim, split_list
-from pagetables.operators.grid import attr, cell_flag, cell_link, cell_text, fixed_grids, is_icon, section_grids
+from pagetables.functions.text import parse_flag, split_first_delim, split_list
+from pagetables.operators.grid import attr, fixed_grids, is_icon, section_grids
 from pagetables.operators.kv import (
     EXPERT_AUDIT,
     EXPERT_DEMOGRAPHICS,
@@ -26,8 +26,9 @@ from pagetables.operators.kv import (
 from pagetables.operators.panels import panel_addresses, panel_cards, panel_lists, panel_parts, panel_scopes
 from pagetables.operators.scope import enclosing, first_in_document, or_self, sel_is, within
 
-RECORDS = "array<map<string,string>>"
-NAMES = "array<string>"
+NO_RECORDS = "CAST(array() AS array<map<string,string>>)"
+NO_NAMES = "CAST(array() AS array<string>)"
+NO_FIELDS = "CAST(map() AS map<string,string>)"
 
 # Panels and grids of an expert page, and the four availability flags.
 EXPERT_KV = {
@@ -51,26 +52,6 @@ AVAILABILITY = (
 )
 
 
-def empty(kind: str) -> Column:
-    return F.from_json(F.lit("[]" if kind.startswith("array") else "{}"), kind)
-
-
-def or_empty(c: Column, kind: str) -> Column:
-    return F.coalesce(c, empty(kind))
-
-
-def put(fields: Column, key: str, value: Column, when: Column) -> Column:
-    """Set one key of a map where the condition holds."""
-    rest = F.map_filter(fields, lambda k, _: k != key)
-    return F.when(when, F.map_concat(rest, F.create_map(F.lit(key), value))).otherwise(fields)
-
-
-def record(**fields: tuple[Column, Column]) -> Column:
-    """Map of the given (value, present) pairs that are present."""
-    pairs = [F.when(on, F.struct(F.lit(k).alias("key"), v.alias("value"))) for k, (v, on) in fields.items()]
-    return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e.isNotNull()))
-
-
 def _per_page(df: DataFrame, value: str, out: str, keys: Sequence[str], name: str = "panel_pre") -> DataFrame:
     """Fold one row per panel into one map per page."""
     return df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(name, value))).alias(out))
@@ -126,7 +107,7 @@ def availability_flags(nodes: DataFrame, keys: Sequence[str] = ("page_id",), shu
         nodes.filter((is_cell | is_icon()) & in_panel)
         .withColumn("table_pre", F.get(tables, F.lit(0)))
         .filter(F.col("table_pre").isNotNull() & within(sel_is("tbody")))
-        .withColumn("td_pre", F.explode(or_self(enclosing(sel_is("td"), inside=F.col("table_pre")), is_cell)))
+        .withColumn("td_pre", F.explode(or_self(enclosing(sel_is("td"), inside="table_pre"), is_cell)))
         .select(*keys, "table_pre", "td_pre", "pre", "text", "cls", is_icon().alias("icon"), attr("title").alias("title"))
     )
     if shuffle:
@@ -140,254 +121,216 @@ def availability_flags(nodes: DataFrame, keys: Sequence[str] = ("page_id",), shu
         F.array_sort(F.collect_list(F.struct("td_pre", flag.alias("flag")))).alias("cells")
     )
     first = tables.groupBy(*keys).agg(F.min_by("cells", "table_pre").alias("cells"))
-    named = F.slice(F.transform("cells", lambda c: c["flag"]), 1, len(AVAILABILITY))
-    names = F.slice(F.array(*map(F.lit, AVAILABILITY)), F.lit(1), F.size(named))
-    return first.select(*keys, F.map_from_arrays(names, named).alias("flags"))
+    n = len(AVAILABILITY)
+    names = ", ".join(f"'{name}'" for name in AVAILABILITY)
+    return first.select(
+        *keys,
+        F.expr(
+            f"""map_from_arrays(slice(array({names}), 1, least(size(cells), {n})),
+            slice(transform(cells, c -> c.flag), 1, {n})) AS flags"""
+        ),
+    )
+
+
+# Everything below is SQL text on the columns of ``page_parts``.
+
+
+def record(**fields: tuple[str, str]) -> str:
+    """Map of the given (value, condition) pairs whose condition holds."""
+    pairs = [f"if({on}, named_struct('key', '{k}', 'value', {v}), NULL)" for k, (v, on) in fields.items()]
+    return f"map_from_entries(filter(array({', '.join(pairs)}), e -> e IS NOT NULL))"
+
+
+def put(fields: str, key: str, value: str, when: str) -> str:
+    """Set one key of a map where the condition holds."""
+    added = f"map_concat(map_filter({fields}, (k, v) -> k <> '{key}'), map('{key}', {value}))"
+    return f"if({when}, {added}, {fields})"
+
+
+def texts(names: Sequence[str]) -> str:
+    return "array(" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
 class Panel:
     """What the ``n``-th panel (or the panel with an id) of a page row holds."""
 
     def __init__(self, n: int | str):
-        if isinstance(n, int):
-            self.pre = F.get("panels", F.lit(n - 1))["pre"]
-        else:
-            self.pre = F.get(F.filter("panels", lambda p: p["id"] == n), F.lit(0))["pre"]
-        self.id = n
+        self.pre = f"get(panels, {n - 1}).pre" if isinstance(n, int) else f"get(filter(panels, p -> p.id = '{n}'), 0).pre"
+        self.fields = f"coalesce({self.of('kv')}, {NO_FIELDS})"
+        self.grid = f"coalesce({self.of('grids')}, {NO_RECORDS})"
 
-    def _of(self, column: str) -> Column:
-        return F.try_element_at(column, self.pre)
+    def of(self, column: str) -> str:
+        return f"try_element_at({column}, {self.pre})"
 
-    @property
-    def exists(self) -> Column:
-        return self.pre.isNotNull()
+    def part(self, name: str) -> str:
+        return f"{self.of('parts')}.{name}"
 
-    @property
-    def fields(self) -> Column:
-        return or_empty(self._of("kv"), "map<string,string>")
+    def named_items(self, kinds: Sequence[str], title: str = "", longer_than: int = 0) -> str:
+        """Texts of the list items of these kinds, minus blanks, the section's title and short ones."""
+        keep = f"arrays_overlap(x.kinds, {texts(kinds)}) AND length(x.text) > {longer_than} AND x.text <> '{title}'"
+        return f"coalesce(transform(filter({self.part('items')}, x -> {keep}), x -> x.text), {NO_NAMES})"
 
-    @property
-    def grid(self) -> Column:
-        return or_empty(self._of("grids"), RECORDS)
+    def content(self, *classes: str) -> str:
+        hits = f"filter({self.part('contents')}, x -> arrays_overlap(x.cls, {texts(classes)}))"
+        return f"coalesce(get({hits}, 0).text, '')"
 
-    def part(self, name: str) -> Column:
-        return self._of("parts")[name]
+    def grid_or(self, other: str) -> str:
+        return f"if(size({self.grid}) > 0, {self.grid}, {other})"
 
-    def named_items(self, kinds: Sequence[str], title: str | None, longer_than: int = 0) -> Column:
-        """Texts of the list items of these kinds, minus blanks, the section's title and short ones."""
-        wanted = F.array(*map(F.lit, kinds))
-        hits = F.filter(
-            self.part("items"),
-            lambda x: F.arrays_overlap(x["kinds"], wanted)
-            & (F.length(x["text"]) > longer_than)
-            & (x["text"] != (title or "")),
-        )
-        return or_empty(F.transform(hits, lambda x: x["text"]), NAMES)
-
-    def content(self, *classes: str) -> Column:
-        wanted = F.array(*map(F.lit, classes))
-        hits = F.filter(self.part("contents"), lambda x: F.arrays_overlap(x["cls"], wanted))
-        return F.coalesce(F.get(hits, F.lit(0))["text"], F.lit(""))
+    @property
+    def labelled(self) -> str:
+        """The labelled rows as one record, if there are any."""
+        return f"if(size({self.fields}) > 0, array({self.fields}), {NO_RECORDS})"
 
 
-def cascade(
-    panel: Panel, kinds: Sequence[str], title: str | None, split: str = "", longer_than: int = 0
-) -> Column:
+def cascade(panel: Panel, kinds: Sequence[str], title: str = "", split: str = "", longer_than: int = 0) -> Column:
     """Grid records if there are any; else list items; else the split text: ``struct<rows, items>``.
 
     ``split``: '' for no text stage, 'comma', or 'first' for the first delimiter that occurs.
     """
-    items = panel.named_items(kinds, title, longer_than)
+    items = F.expr(panel.named_items(kinds, title, longer_than))
     if split == "comma":
-        parts = split_list(panel.content("k-content", "panel-body"))
-        items = F.when(F.size(items) > 0, items).otherwise(parts)
+        items = F.when(F.size(items) > 0, items).otherwise(split_list(F.expr(panel.content("k-content", "panel-body"))))
     elif split == "first":
-        parts = split_first_delim(panel.content("k-content", "panel-body", "content"))
-        items = F.when(F.size(items) > 0, items).otherwise(parts)
-    has_rows = F.size(panel.grid) > 0
-    return F.struct(panel.grid.alias("rows"), F.when(has_rows, empty(NAMES)).otherwise(items).alias("items"))
-
-
-def _blocks(column: Column, kinds: Sequence[str]) -> Column:
-    wanted = F.array(*map(F.lit, kinds))
-    return F.filter(column, lambda x: F.arrays_overlap(x["kinds"], wanted))
+        content = F.expr(panel.content("k-content", "panel-body", "content"))
+        items = F.when(F.size(items) > 0, items).otherwise(split_first_delim(content))
+    rows = F.expr(panel.grid)
+    return F.struct(rows.alias("rows"), F.when(F.size(rows) > 0, F.expr(NO_NAMES)).otherwise(items).alias("items"))
 
 
 def contacts(panel: Panel, kind: str) -> Column:
     """Grid records, else one record per contact card."""
     if kind == "facility":
-        cards = _blocks(panel._of("cards"), ("contact-card", "card", "row"))
-
-        def one(c: Column) -> Column:
-            return record(
-                Name=(c["name"], c["name"].isNotNull()),
-                Email=(c["email"], c["email"].isNotNull()),
-                Phone=(c["phone"], c["phone"].isNotNull()),
-                Role=(c["role"], c["role"].isNotNull()),
-            )
+        kinds, name, role, filled = ("contact-card", "card", "row"), "c.name", "c.role", "IS NOT NULL"
     else:
-        cards = _blocks(panel._of("cards"), ("contact-card", "card", "contact", "row"))
-
-        def one(c: Column) -> Column:
-            return record(
-                Name=(c["name_wide"], c["name_wide"] != ""),
-                Email=(c["email"], c["email"].isNotNull()),
-                Phone=(c["phone"], c["phone"].isNotNull()),
-                Role=(c["role_wide"], c["role_wide"] != ""),
-            )
-
-    found = F.filter(F.transform(cards, one), lambda m: F.size(m) > 0)
-    return F.when(F.size(panel.grid) > 0, panel.grid).otherwise(or_empty(found, RECORDS))
+        kinds, name, role, filled = ("contact-card", "card", "contact", "row"), "c.name_wide", "c.role_wide", "<> ''"
+    one = record(
+        Name=(name, f"{name} {filled}"),
+        Email=("c.email", "c.email IS NOT NULL"),
+        Phone=("c.phone", "c.phone IS NOT NULL"),
+        Role=(role, f"{role} {filled}"),
+    )
+    cards = f"filter({panel.of('cards')}, c -> arrays_overlap(c.kinds, {texts(kinds)}))"
+    found = f"filter(transform({cards}, c -> {one}), m -> size(m) > 0)"
+    return F.expr(panel.grid_or(f"coalesce({found}, {NO_RECORDS})"))
 
 
 def locations(panel: Panel, kind: str) -> Column:
     """Grid records, else address blocks, else the labelled rows as one record."""
     if kind == "facility":
-        blocks = _blocks(panel._of("addresses"), ("address", "address-block", "location"))
-        found = F.transform(blocks, lambda b: F.create_map(F.lit("Address"), b["text"]))
+        kinds, keep, one = ("address", "address-block", "location"), "true", "map('Address', b.text)"
     else:
-        blocks = F.filter(
-            _blocks(panel._of("addresses"), ("address", "address-block", "location", "row")),
-            lambda b: F.length(b["text"]) > 5,
+        kinds, keep = ("address", "address-block", "location", "row"), "length(b.text) > 5"
+        one = record(
+            Address=("b.text", "true"),
+            City=("b.city", "b.city IS NOT NULL"),
+            Province=("b.province", "b.province IS NOT NULL"),
+            Postal_Code=("b.postal", "b.postal IS NOT NULL"),
         )
-        found = F.transform(
-            blocks,
-            lambda b: record(
-                Address=(b["text"], F.lit(True)),
-                City=(b["city"], b["city"].isNotNull()),
-                Province=(b["province"], b["province"].isNotNull()),
-                Postal_Code=(b["postal"], b["postal"].isNotNull()),
-            ),
-        )
-    labelled = F.filter(F.array(panel.fields), lambda m: F.size(m) > 0)
-    return (
-        F.when(F.size(panel.grid) > 0, panel.grid)
-        .when(F.coalesce(F.size(found), F.lit(0)) > 0, found)
-        .otherwise(labelled)
-    )
+    blocks = f"filter({panel.of('addresses')}, b -> arrays_overlap(b.kinds, {texts(kinds)}) AND {keep})"
+    found = f"transform({blocks}, b -> {one})"
+    return F.expr(panel.grid_or(f"if(coalesce(size({blocks}), 0) > 0, {found}, {panel.labelled})"))
 
 
 def web_links(panel: Panel, kind: str) -> Column:
     """Grid records, else the panel's own links with a name and an address."""
-
-    def wanted(x: Column) -> Column:
-        href = F.coalesce(x["href"], F.lit(""))
-        keep = (href != "") & ~href.startswith("javascript")
-        return keep & (href != "#") & ~x["is_nav"] if kind == "organization" else keep
-
-    found = F.transform(
-        F.filter(panel.part("links"), wanted),
-        lambda x: F.create_map(F.lit("Name"), link_name(x["text"]), F.lit("URL"), x["href"]),
-    )
-    return F.when(F.size(panel.grid) > 0, panel.grid).otherwise(or_empty(found, RECORDS))
+    keep = "coalesce(x.href, '') <> '' AND NOT startswith(x.href, 'javascript')"
+    if kind == "organization":
+        keep += " AND x.href <> '#' AND NOT x.is_nav"
+    one = "map('Name', coalesce(nullif(x.text, ''), 'Link'), 'URL', x.href)"
+    found = f"transform(filter({panel.part('links')}, x -> {keep}), x -> {one})"
+    return F.expr(panel.grid_or(f"coalesce({found}, {NO_RECORDS})"))
 
 
 def activity(panel: Panel, kind: str) -> Column:
     """Grid records, else the labelled rows as one record, and (organizations) project links."""
-    labelled = F.filter(F.array(panel.fields), lambda m: F.size(m) > 0)
+    other = panel.labelled
     if kind == "organization":
+        keep = "(contains(x.href, 'Project') OR contains(x.href, 'Request')) AND x.text <> ''"
+        one = "map('Project_Name', x.text, 'Project_URL', x.href)"
+        projects = f"transform(filter({panel.part('links')}, x -> {keep}), x -> {one})"
+        other = f"concat({other}, coalesce({projects}, {NO_RECORDS}))"
+    return F.expr(panel.grid_or(other))
 
-        def is_project(x: Column) -> Column:
-            href = F.coalesce(x["href"], F.lit(""))
-            return (href.contains("Project") | href.contains("Request")) & (x["text"] != "")
 
-        projects = F.transform(
-            F.filter(panel.part("links"), is_project),
-            lambda x: F.create_map(F.lit("Project_Name"), x["text"], F.lit("Project_URL"), x["href"]),
-        )
-        labelled = F.concat(labelled, or_empty(projects, RECORDS))
-    return F.when(F.size(panel.grid) > 0, panel.grid).otherwise(labelled)
+def trail(panel: Panel) -> str:
+    """Breadcrumb of the panel as ``a > b > c``."""
+    names = f"transform(filter({panel.part('crumbs')}, x -> x.text <> ''), x -> x.text)"
+    return f"coalesce(array_join({names}, ' > '), '')"
 
 
-def trail(panel: Panel) -> Column:
-    """Breadcrumb of the panel as ``a > b > c``."""
-    names = F.filter(F.transform(panel.part("crumbs"), lambda x: x["text"]), lambda t: t != "")
-    return F.coalesce(F.array_join(names, " > "), F.lit(""))
+def first_image(panel: Panel, keep: str) -> str:
+    return f"get(filter({panel.part('images')}, i -> {keep}), 0)"
 
 
 def expert_general(panel: Panel) -> Column:
-    images = F.filter(panel.part("images"), lambda i: i["has_alt"])
-    photo = F.get(images, F.lit(0))
-    head = F.create_map(F.lit("Academic_Unit"), trail(panel))
-    rest = F.map_filter(panel.fields, lambda k, _: ~k.isin("Academic_Unit", "Photo_URL"))
-    academic = F.coalesce(F.try_element_at(panel.fields, F.lit("Academic_Unit")), trail(panel))
-    src = F.when(photo.isNull(), "").otherwise(photo["src"])
-    full = F.map_concat(F.create_map(F.lit("Academic_Unit"), academic), rest, F.create_map(F.lit("Photo_URL"), src))
-    return F.when(panel.exists, full).otherwise(F.map_filter(head, lambda k, _: F.lit(False)))
+    image = first_image(panel, "i.has_alt")
+    src = f"if({image} IS NULL, '', {image}.src)"
+    unit = f"coalesce(try_element_at({panel.fields}, 'Academic_Unit'), {trail(panel)})"
+    rest = f"map_filter({panel.fields}, (k, v) -> k NOT IN ('Academic_Unit', 'Photo_URL'))"
+    full = f"map_concat(map('Academic_Unit', {unit}), {rest}, map('Photo_URL', {src}))"
+    return F.expr(f"if({panel.pre} IS NULL, {NO_FIELDS}, {full})")
 
 
 def facility_general(panel: Panel) -> Column:
-    image = F.get(F.filter(panel.part("images"), lambda i: i["has_alt"]), F.lit(0))
-    has_trail = F.coalesce(F.size(panel.part("crumbs")), F.lit(0)) > 0
-    fields = put(panel.fields, "Academic_Unit_Path", trail(panel), has_trail)
-    return put(fields, "Image_URL", image["src"], image.isNotNull())
+    image = first_image(panel, "i.has_alt")
+    fields = put(panel.fields, "Academic_Unit_Path", trail(panel), f"coalesce(size({panel.part('crumbs')}), 0) > 0")
+    return F.expr(put(fields, "Image_URL", f"{image}.src", f"{image} IS NOT NULL"))
 
 
 def organization_general(panel: Panel) -> Column:
-    def is_logo(i: Column) -> Column:
-        return i["has_alt"] | F.arrays_overlap(i["cls"], F.array(F.lit("logo"), F.lit("org-image")))
+    src = first_image(panel, "i.has_alt OR arrays_overlap(i.cls, array('logo', 'org-image'))") + ".src"
+    blurb = f"get(filter({panel.part('blurbs')}, b -> length(b.text) > 50), 0).text"
+    fields = put(panel.fields, "Image_URL", src, f"coalesce({src}, '') <> ''")
+    return F.expr(put(fields, "Description", blurb, f"{blurb} IS NOT NULL"))
+
 
-    src = F.get(F.filter(panel.part("images"), is_logo), F.lit(0))["src"]
-    fields = put(panel.fields, "Image_URL", src, F.coalesce(src, F.lit("")) != "")
-    long_text = F.get(F.filter(panel.part("blurbs"), lambda b: F.length(b["text"]) > 50), F.lit(0))["text"]
-    return put(fields, "Description", long_text, long_text.isNotNull())
+def fields_of(panel: Panel) -> Column:
+    return F.expr(panel.fields)
 
 
 def fields_and_rows(panel: Panel) -> Column:
     """Labelled rows together with the panel's grid: ``struct<fields, rows>``."""
-    return F.struct(panel.fields.alias("fields"), panel.grid.alias("rows"))
+    return F.expr(f"named_struct('fields', {panel.fields}, 'rows', {panel.grid})")
 
 
 def facility_descriptors(panel: Panel) -> Column:
-    return F.struct(
-        panel.fields.alias("fields"),
-        panel.grid.alias("rows"),
-        panel.named_items(("tag", "chip", "badge"), None).alias("tags"),
-    )
-
-
-def expert_rows(panel_id: str, one) -> Column:
-    """Records of one of the expert grids; ``one`` turns a row's cells into a struct."""
-    return F.transform(F.coalesce(F.try_element_at("grids", F.lit(panel_id)), F.array()), one)
+    tags = panel.named_items(("tag", "chip", "badge"))
+    return F.expr(f"named_struct('fields', {panel.fields}, 'rows', {panel.grid}, 'tags', {tags})")
 
 
-def _nth(cells: Column, i: int) -> Column:
-    return F.get(cells, F.lit(i))
+def _text(i: int) -> str:
+    return f"coalesce(get(r, {i}).text, '')"
 
 
-def expertise_row(cells: Column) -> Column:
-    names = ("SRED_Code", "Area", "Discipline", "Field")
-    return F.struct(*[cell_text(_nth(cells, i)).alias(n) for i, n in enumerate(names)])
+def _row(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 
 
-def affiliation_row(cells: Column) -> Column:
-    return F.struct(
-        cell_text(_nth(cells, 0)).alias("Facility_Name"), cell_flag(_nth(cells, 1)).alias("Is_Primary_Facility")
-    )
-
-
-def web_row(cells: Column) -> Column:
-    link = cell_link(_nth(cells, 2))
-    url = F.when(link.isNotNull(), link["href"]).otherwise(cell_text(_nth(cells, 2)))
-    return F.struct(cell_text(_nth(cells, 0)).alias("Name"), cell_text(_nth(cells, 1)).alias("Type"), url.alias("URL"))
+# Records of the expert grids, from a row ``r`` of cells.
+EXPERTISE_ROW = _row(SRED_Code=_text(0), Area=_text(1), Discipline=_text(2), Field=_text(3))
+AFFILIATION_ROW = _row(Facility_Name=_text(0), Is_Primary_Facility=f"coalesce(get(r, 1).icon.flag, {_text(1)})")
+WEB_ROW = _row(
+    Name=_text(0), Type=_text(1), URL=f"if(size(get(r, 2).links) > 0, get(r, 2).links[0].href, {_text(2)})"
+)
+ACTIVITY_ROW = _row(
+    Project_Name=f"if(size(get(r, 0).links) > 0, get(r, 0).links[0].text, {_text(0)})",
+    Project_URL="if(size(get(r, 0).links) > 0, get(r, 0).links[0].href, '')",
+    Type=_text(1),
+    Organization=_text(2),
+    Current_Status=_text(3),
+)
 
 
-def activity_row(cells: Column) -> Column:
-    link = cell_link(_nth(cells, 0))
-    linked = link.isNotNull()
-    return F.struct(
-        F.when(linked, cell_text(link)).otherwise(cell_text(_nth(cells, 0))).alias("Project_Name"),
-        F.when(linked, link["href"]).otherwise("").alias("Project_URL"),
-        cell_text(_nth(cells, 1)).alias("Type"),
-        cell_text(_nth(cells, 2)).alias("Organization"),
-        cell_text(_nth(cells, 3)).alias("Current_Status"),
-    )
+def expert_rows(panel_id: str, one: str) -> Column:
+    """Records of one of the expert grids."""
+    return F.expr(f"transform(coalesce(try_element_at(grids, '{panel_id}'), array()), r -> {one})")
 
 
 def price_availability(panel: Panel) -> Column:
-    rate = F.try_element_at(panel.fields, F.lit("PerDiemRate"))
-    daily = record(Daily_Rate=(rate, rate.isNotNull()))
-    return F.map_concat(daily, or_empty(F.col("flags"), "map<string,string>"))
+    rate = f"try_element_at({panel.fields}, 'PerDiemRate')"
+    daily = record(Daily_Rate=(rate, f"{rate} IS NOT NULL"))
+    return F.expr(f"map_concat({daily}, coalesce(flags, {NO_FIELDS}))")
 
 
 # Sections of each kind of profile in order: the parts a section is built from, and how.
@@ -395,19 +338,19 @@ _CODES = ("li", "item", "tag", "chip", "badge")
 SECTIONS: dict[str, dict[str, tuple[tuple[str, ...], Callable[[], Column]]]] = {
     "expert": {
         "General_Information": (("kv", "parts"), lambda: expert_general(Panel("ProfileBar-1"))),
-        "Details": (("kv",), lambda: Panel("ProfileBar-2").fields),
-        "Expert_Demographics": (("kv",), lambda: Panel("ProfileBar-3").fields),
-        "Expertise": (("grids",), lambda: expert_rows("ProfileBar-4", expertise_row)),
+        "Details": (("kv",), lambda: fields_of(Panel("ProfileBar-2"))),
+        "Expert_Demographics": (("kv",), lambda: fields_of(Panel("ProfileBar-3"))),
+        "Expertise": (("grids",), lambda: expert_rows("ProfileBar-4", EXPERTISE_ROW)),
         "Price_Availability": (("kv", "flags"), lambda: price_availability(Panel("ProfileBar-5"))),
-        "Facility_Affiliation": (("grids",), lambda: expert_rows("ProfileBar-6", affiliation_row)),
-        "Web_Presence": (("grids",), lambda: expert_rows("ProfileBar-8", web_row)),
-        "Activity": (("grids",), lambda: expert_rows("ProfileBar-9", activity_row)),
-        "Audit_Trail": (("kv",), lambda: Panel("ProfileBar-10").fields),
+        "Facility_Affiliation": (("grids",), lambda: expert_rows("ProfileBar-6", AFFILIATION_ROW)),
+        "Web_Presence": (("grids",), lambda: expert_rows("ProfileBar-8", WEB_ROW)),
+        "Activity": (("grids",), lambda: expert_rows("ProfileBar-9", ACTIVITY_ROW)),
+        "Audit_Trail": (("kv",), lambda: fields_of(Panel("ProfileBar-10"))),
     },
     "facility": {
         "General_Information": (("kv", "parts"), lambda: facility_general(Panel(1))),
-        "Academic_Unit_Details": (("kv",), lambda: Panel(2).fields),
-        "Provinces_Served": (("grids", "parts"), lambda: cascade(Panel(3), ("li", "item", "tag"), None, "comma")),
+        "Academic_Unit_Details": (("kv",), lambda: fields_of(Panel(2))),
+        "Provinces_Served": (("grids", "parts"), lambda: cascade(Panel(3), ("li", "item", "tag"), "", "comma")),
         "Activities_Offered": (
             ("grids", "parts"), lambda: cascade(Panel(4), ("li", "item", "tag", "chip"), "Activities Offered")
         ),
@@ -423,7 +366,7 @@ SECTIONS: dict[str, dict[str, tuple[tuple[str, ...], Callable[[], Column]]]] = {
         ),
         "Web_Presence": (("grids", "parts"), lambda: web_links(Panel(10), "facility")),
         "Activity": (("grids", "kv"), lambda: activity(Panel(11), "facility")),
-        "Audit_Trail": (("kv",), lambda: Panel(12).fields),
+        "Audit_Trail": (("kv",), lambda: fields_of(Panel(12))),
     },
     "organization": {
         "General_Information": (("kv", "parts"), lambda: organization_general(Panel(1))),
