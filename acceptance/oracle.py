@@ -121,7 +121,9 @@ SELECT tgt.g, target, arg_min(name, idx) AS chosen FROM tgt LEFT JOIN opt
     "replace_groups": """
 SELECT institution, count(*) AS n FROM fac WHERE region <> 0 OR manage_url <> 'Not Found' GROUP BY institution""",
     "removed_rows": "SELECT institution, count(*) AS removed FROM fac WHERE region = 0 GROUP BY institution",
-    "still_empty": "SELECT idx, name FROM empties WHERE name <> 'NATION_23'",
+    "still_empty": """
+SELECT idx, name FROM empties
+WHERE idx NOT IN (SELECT c_nationkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 3)""",
     "empty_groups": """
 SELECT idx, name, CASE WHEN idx < 24 THEN 'no_data' ELSE 'selection_failed' END AS reason FROM empties""",
     "empty_selection": """
