@@ -282,8 +282,8 @@ def expertise_rows(t: Tables) -> DataFrame:
 
 
 def chunked_id(k: Column, order_key: str) -> Column:
-    """Page key for one ``k`` and a run of 4096 order keys, so that no page grows without bound."""
-    return k * F.lit(1 << 24) + F.expr(f"{order_key} div 4096")
+    """Page key for one ``k`` and a run of 65536 order keys, so that no page grows without bound."""
+    return k * F.lit(1 << 24) + F.expr(f"{order_key} div 65536")
 
 
 def activity_pages(t: Tables) -> DataFrame:

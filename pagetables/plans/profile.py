@@ -75,14 +75,21 @@ def enrich(master: DataFrame, pages: DataFrame, kind: str, scraped_at: Column) -
 
 
 def profiles(
-    kind: str, master: DataFrame, pages: DataFrame, scraped_at: Column, nodes: DataFrame | None = None
+    kind: str,
+    master: DataFrame,
+    pages: DataFrame,
+    scraped_at: Column,
+    nodes: DataFrame | None = None,
+    absolute_links: bool = False,
 ) -> DataFrame:
     """Profiles of the master rows with a ready page: ``page_id, Meta, <section> ...``.
 
+    ``absolute_links`` completes relative links and image addresses by the page's own.
+
     ``nodes`` may be a stored node table; otherwise the newest capture of each page is read.
     """
     if nodes is None:
-        nodes = html_nodes(newest_pages(pages), tags=SECTION_TAGS)
+        nodes = html_nodes(newest_pages(pages), tags=SECTION_TAGS, base="url" if absolute_links else None)
     sections = page_sections(share_by_page(nodes), kind)
     return enrich(master, pages, kind, scraped_at).join(sections, "page_id")
 

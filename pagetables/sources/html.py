@@ -12,6 +12,7 @@ import gc
 import re
 from collections.abc import Iterator, Sequence
 from html import unescape
+from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -121,6 +122,16 @@ def rendered(parts: Sequence[str]) -> str:
     return s.strip(" \n")
 
 
+def absolute(url: str, address: str) -> str:
+    """Address as a browser completes it; a fragment of the same page stays as it is."""
+    if not address or address.startswith("#"):
+        return address
+    try:
+        return urljoin(url, address)
+    except ValueError:
+        return address
+
+
 class NodeRows:
     """Column buffers for the node rows of several pages."""
 
@@ -141,8 +152,8 @@ class NodeRows:
         self.attr_at, self.attr_key, self.attr_value = [0], [], []
         self.path_at, self.path_pre, self.path_sel = [0], [], []
 
-    def add_page(self, page: int, html: str | None) -> None:
-        """Append the element rows of one page."""
+    def add_page(self, page: int, html: str | None, url: str | None = None) -> None:
+        """Append the element rows of one page; ``url`` completes relative addresses."""
         if not html:
             return
         html = html.replace(_BREAK, "")
@@ -220,6 +231,8 @@ class NodeRows:
                     self.cls.extend(classes)
                 self.cls_at.append(len(self.cls))
                 if keys:
+                    if url and ("href" in keys or "src" in keys):
+                        values = [absolute(url, v) if k in ("href", "src") else v for k, v in zip(keys, values)]
                     self.attr_key.extend(keys)
                     self.attr_value.extend(values)
                 self.attr_at.append(len(self.attr_key))
@@ -328,16 +341,21 @@ def spread_small(pages: DataFrame) -> DataFrame:
 
 
 def html_nodes(
-    pages: DataFrame, carry: Sequence[str] = (), tags: Sequence[str] | None = None, flush: int = 20_000
+    pages: DataFrame,
+    carry: Sequence[str] = (),
+    tags: Sequence[str] | None = None,
+    base: str | None = None,
+    flush: int = 20_000,
 ) -> DataFrame:
     """Element rows of every page: ``page_id``, the ``carry`` columns, then ``NODE_FIELDS``.
 
     ``carry`` copies page columns (group, page number ...) onto the rows so that they
     need not be joined back. ``tags`` limits which elements become rows (elements of a class
-    whose text is asked for always do). Rows are handed over in pieces of about ``flush``, so a task never holds more than one page beyond that.
+    whose text is asked for always do). ``base`` names the column with the page's address, to
+    complete relative ``href`` and ``src`` values the way a browser reports them. Rows are handed over in pieces of about ``flush``, so a task never holds more than one page beyond that.
     """
     keys = ["page_id", *carry]
-    source = pages.select(*keys, "html")
+    source = pages.select(*keys, "html", *([F.col(base).alias("_base")] if base else []))
     schema = T.StructType([source.schema[k] for k in keys] + list(NODE_FIELDS.fields))
     keep = None if tags is None else frozenset(tags)
 
@@ -349,6 +367,7 @@ def html_nodes(
         try:
             for batch in batches:
                 html = batch.column(len(keys))
+                urls = batch.column(len(keys) + 1) if base else None
                 held = [batch.column(i) for i in range(len(keys))]
 
                 def piece() -> pa.RecordBatch:
@@ -357,7 +376,7 @@ def html_nodes(
                     return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
                 for i in range(batch.num_rows):
-                    rows.add_page(i, html[i].as_py())
+                    rows.add_page(i, html[i].as_py(), urls[i].as_py() if base else None)
                     if len(rows.pre) >= flush:
                         yield piece()
                         rows.clear()

@@ -103,6 +103,14 @@ def test_nodes_of_pages(spark, pages_of):
     assert [p.sel for p in rows[2].path] == ["ul .k-panelbar ", "li #P-1 "]
 
 
+def test_relative_addresses(spark, pages_of):
+    pages = pages_of('<a href="/x">1</a><a href="y?z=1">2</a><a href="#">3</a><a href="mailto:m">4</a><img src="../i.png"><a href="http://[">5</a>')
+    got = html_nodes(pages, base="url").orderBy("pre").select(F.coalesce(F.col("attrs")["href"], F.col("attrs")["src"])).collect()
+    assert [r[0] for r in got] == [
+        "https://portal.example/x", "https://portal.example/p/y?z=1", "#", "mailto:m", "https://portal.example/i.png", "http://[",
+    ]
+
+
 def test_many_pages_come_in_pieces(spark, pages_of):
     pages = pages_of(*[f"<p>{i}<p>b" for i in range(300)]).coalesce(1)
     nodes = html_nodes(pages, flush=7)
