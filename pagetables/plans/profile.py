@@ -47,7 +47,7 @@ def share_by_page(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataF
     exchange, so Spark runs the page reader and the exchange once and reuses them, and
     grouping by page (and anything finer) afterwards needs no further exchange.
     """
-    rest = [c for c in nodes.columns if c not in keys]
+    rest = [c for c in nodes.columns if c not in (*keys, "parent", "depth")]  # no section asks for these
     for k in keys:
         # joins would add this test to some branches only, and then nothing could be reused
         nodes = nodes.filter(F.col(k).isNotNull())
