@@ -186,11 +186,17 @@ def json_roundtrip(t):
 
 @query
 def snapshot_explode(t):
-    """Records per listing page, stored as batches of a snapshot and read back."""
+    """A checkpoint per listing page, written and read back: its records counted by what they say and by unfolding."""
     path = work_dir(t.spark)
-    records = org_listing(t, "page_no")
-    records.withColumn("batch_id", F.col("page_no")).write.partitionBy("batch_id").parquet(path)
-    return t.spark.read.parquet(path).groupBy("page_no").agg(F.count("*").alias("n_records"))
+    records = org_listing(t, "page_no").withColumn("Organization_Name", R.cat(F.col("page_no"), "/", F.col("Organization_Name")))
+    fields = F.struct(*schema.master_fields("organization"))
+    saved = records.groupBy(F.col("page_no").alias("last_page_scraped")).agg(F.collect_list(fields).alias("data"))
+    saved.withColumn("organizations_collected", F.size("data")).write.json(path)
+    unfolded, progress = io.read_snapshot(t.spark, path, "organization", multi_line=False)
+    page = F.split("Organization_Name", "/")[0].cast("bigint").alias("page_no")
+    counts = unfolded.groupBy(page).agg(F.count("*").alias("n_records"))
+    told = progress.filter(F.col("records") == F.col("processed")).select(F.col("cursor").alias("page_no"))
+    return counts.join(told, "page_no")
 
 
 @query

@@ -57,19 +57,21 @@ def _fields(ddl: str) -> str:
     return ", ".join(":".join(f.split(" ", 1)) for f in ddl.split(", "))
 
 
-def _snapshot(spark: SparkSession, path: str, records: str) -> DataFrame:
+def _snapshot(spark: SparkSession, path: str, records: str, multi_line: bool) -> DataFrame:
     counters = [*schema.SNAPSHOT_PROCESSED, *schema.SNAPSHOT_TOTAL, *schema.SNAPSHOT_CURSOR, "errors_count"]
     ddl = f"timestamp string, {', '.join(f'{c} bigint' for c in counters)}, data array<struct<{_fields(records)}>>"
-    return spark.read.schema(ddl).options(multiLine=True, mode="DROPMALFORMED").json(path)
+    return spark.read.schema(ddl).options(multiLine=multi_line, mode="DROPMALFORMED").json(path)
 
 
-def read_snapshot(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Checkpoint files -> (records, progress).
+def read_snapshot(
+    spark: SparkSession, path: str, kind: str, multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Checkpoints -> (records, progress); one per file, or one per line without ``multi_line``.
 
-    The records are the files' ``data``; progress has ``processed, total, cursor, errors,
-    percent, timestamp`` under one name each, whatever the file calls them.
+    The records are the checkpoints' ``data``; progress has ``processed, total, cursor, errors,
+    records, percent, timestamp`` under one name each, whatever the file calls them.
     """
-    files = _snapshot(spark, path, schema.MASTER[kind])
+    files = _snapshot(spark, path, schema.MASTER[kind], multi_line)
     zero = F.lit(0).cast("bigint")
 
     def one_of(names: Sequence[str]) -> Column:
@@ -81,6 +83,7 @@ def read_snapshot(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame,
         total.alias("total"),
         cursor.alias("cursor"),
         F.coalesce("errors_count", zero).alias("errors"),
+        record_count(F.col("data")).alias("records"),
         percent(cursor, total).alias("percent"),
         F.coalesce("timestamp", F.lit("Unknown")).alias("timestamp"),
     )
