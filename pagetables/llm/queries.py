@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, exact_dedup, language_id, mixing, quality_rules
+from pagetables.llm import bpe, exact_dedup, language_id, mixing, pu_quality, pu_toxicity, quality_rules
 from pagetables.llm.common import remainder, table
 
 
+def held_out(column: str, n: int, rest: int) -> Column:
+    """Rows kept from learning; a null identifier isn't one of them."""
+    return F.coalesce(remainder(column, n) == rest, F.lit(False))
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = pu_quality.score(docs, labels, ~held_out("_id", 4, 2))
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), bpe.default_path()))
 
@@ -21,20 +32,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op8_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = pu_toxicity.score(docs, labels, ~held_out("_id", 5, 0))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    held = remainder("doc_id", 3) == 1
-    found = language_id.identify(docs.withColumn("_held", held), ~F.coalesce(held, F.lit(False)))
-    return found.select(
-        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score", "phrases_per_byte"
-    )
+    found = language_id.identify(table(spark, sf_dir, "documents"), ~held_out("doc_id", 3, 1))
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "phrases_per_byte")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_bpe, op7_mixing, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_pu_quality, op6_bpe, op7_mixing, op8_pu_toxicity, op9_exact_dedup, op10_language_id)}
 
 SQL = {
     "op9_exact_dedup": r"""
