@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, exact_dedup, language_id, mixing, pu_quality, pu_toxicity, quality_rules
+from pagetables.llm import bpe, exact_dedup, html_extract, language_id, mixing, pu_quality, pu_toxicity, quality_rules
 from pagetables.llm.common import remainder, table
 
 
@@ -24,6 +24,10 @@ def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), bpe.default_path()))
 
@@ -47,7 +51,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "phrases_per_byte")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_pu_quality, op6_bpe, op7_mixing, op8_pu_toxicity, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_pu_quality, op5_html_extract, op6_bpe, op7_mixing, op8_pu_toxicity, op9_exact_dedup, op10_language_id)}
 
 SQL = {
     "op9_exact_dedup": r"""
