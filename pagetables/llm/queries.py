@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm import bpe, exact_dedup, html_extract, language_id, lm_scoring, mixing, pu_quality, pu_toxicity, quality_rules
+from pagetables.llm import bpe, exact_dedup, html_extract, jaccard_join, language_id, lm_scoring, mixing, pu_quality, pu_toxicity, quality_rules
 from pagetables.llm.common import remainder, table
 
 
@@ -23,6 +23,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", held_out("doc_id", 7, 2))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = pu_quality.score(docs, labels, ~held_out("_id", 4, 2))
@@ -56,7 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "phrases_per_byte")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op4_pu_quality, op5_html_extract, op6_bpe, op7_mixing, op8_pu_toxicity, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_jaccard_join, op4_pu_quality, op5_html_extract, op6_bpe, op7_mixing, op8_pu_toxicity, op9_exact_dedup, op10_language_id)}
 
 SQL = {
     "op9_exact_dedup": r"""
