@@ -11,11 +11,13 @@ set is indexed by its content:
   skip up to ``spare`` segments of at most ``WEAK`` tokens, which would be the costly ones to look up; a set with more
   of them skips none, so no pair is lost.
 
-Classes that share a key are candidates. Instead of all pairs of a bucket, every class is checked against the bucket's
-hub (the smallest), hubs of salted parts of hot buckets against the hub of hubs. Connected components of the verified
-links then tell which buckets still join classes of different components; only there the remaining pairs are looked at,
-in blocks of at most ``BLOCK`` classes per side, with links found emitted and nothing else. Every candidate is verified on
-the shingles of the whole texts. A pair that is never compared is already connected, so the components are exact.
+Classes that share a key are candidates. Instead of all pairs of a bucket, every member is checked against a hub of
+the bucket: the member that shares most keys with others, then, in ``ROUNDS`` turns, other members. Connected components
+of the verified links tell which buckets still join different components; there the remaining pairs across components
+are looked at in blocks of about ``BLOCK`` members per side. A pair is dropped without its texts only if sizes or
+sketches rule it out: parities of token hashes differ in no more places than the sets differ in tokens. Every other
+candidate is verified on the shingles of the whole texts. A pair that is never compared is already connected, so the components are
+exact, but for the chance that two of all shingle hashes or fingerprints fall together (64 bits).
 
 Texts without a word have an empty set and link with nothing. Null texts count as empty. Rows without identifier get
 the component of their class, null if no row of it has one. Repeated rows are in one class. Other columns are ignored.
@@ -29,16 +31,17 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagetables.llm.common import IS_SPACE, LOWER, cut, row_counts, scatter, slices, span_hash, spans
 
 WORDS, SIMILAR = 4, 85
-#: Up to this size a band uses one-deletion neighbourhoods; tokens of a weak segment; rows of a key within one slice
-#: that make it hot, and the parts it is salted into; classes per side of a block.
-SMALL, WEAK, HOT, SALTS, BLOCK = 64, 1, 24, 64, 256
+#: Up to this size a band uses one-deletion neighbourhoods; tokens of a weak segment; classes of a key within one
+#: slice that make it hot; members per side of a block; turns with further hubs; parities
+#: in a sketch.
+SMALL, WEAK, HOT, BLOCK, ROUNDS, BITS = 64, 1, 24, 256, 1, 1024
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -158,23 +161,39 @@ def signatures(key: np.ndarray, row: np.ndarray, rows: int, similar: int) -> tup
 # ---------------------------------------------------------------- steps over documents
 
 
+def sketches(key: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """``BITS`` parities of every set: bit i tells whether an odd number of its tokens falls on i."""
+    cell = row * BITS + (scatter(key + np.uint64(3)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8).reshape(rows, BITS), axis=1)
+
+
+def may_link(size_a: np.ndarray, size_b: np.ndarray, odd: np.ndarray, similar: int) -> np.ndarray:
+    """False only for pairs that can't be links: sizes too far apart, or more parities differ than tokens may."""
+    both = size_a + size_b
+    most = both - 2 * -(-similar * both // (100 + similar))
+    return (100 * np.minimum(size_a, size_b) >= similar * np.maximum(size_a, size_b)) & (odd <= most)
+
+
 def class_rows(rows: DataFrame, kind: str) -> DataFrame:
-    """``_id, _class, n_shingles`` per row; class null for an empty set."""
+    """``_id, _class, n_shingles, _sketch`` per row; class null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in slices(batch.column(1)):
-                found, size = fingerprints(*shingles(data, bounds), last - first)
+                key, row = shingles(data, bounds)
+                found, size = fingerprints(key, row, last - first)
+                sketch = pa.array([s.tobytes() for s in sketches(key, row, last - first)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(found, mask=size == 0), pa.array(size)],
-                    ["_id", "_class", "n_shingles"],
+                    [batch.column(0).slice(first, last - first), pa.array(found, mask=size == 0), pa.array(size), sketch],
+                    ["_id", "_class", "n_shingles", "_sketch"],
                 )
 
-    return rows.mapInArrow(run, f"_id {kind}, _class long, n_shingles long")
+    return rows.mapInArrow(run, f"_id {kind}, _class long, n_shingles long, _sketch binary")
 
 
 def index_rows(rows: DataFrame, similar: int) -> DataFrame:
-    """``_key, _class, _salt``: keys of every class, once per slice; salt 0 unless the key is hot in its slice."""
+    """``_key, _class, _hot``: keys of every class, once per slice; hot 1 if many of its slice have it, else 0.
+    Hot keys are known to be shared, so their rows need not meet in one task to find that out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,12 +207,12 @@ def index_rows(rows: DataFrame, similar: int) -> DataFrame:
                 keys, owner = signatures(key[live], row[live], last - first, similar)
                 which, distinct = pd.factorize(keys)
                 hot = np.bincount(which, minlength=len(distinct))[which] >= HOT
-                salt = np.where(hot, 1 + (found[owner] % SALTS), 0).astype(np.int32)
+                often = hot.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(found[owner]), pa.array(salt)], ["_key", "_class", "_salt"]
+                    [pa.array(keys.view(np.int64)), pa.array(found[owner]), pa.array(often)], ["_key", "_class", "_hot"]
                 )
 
-    return rows.mapInArrow(run, "_key long, _class long, _salt int")
+    return rows.mapInArrow(run, "_key long, _class long, _hot int")
 
 
 def class_texts(rows: DataFrame, kind: str) -> DataFrame:
@@ -210,6 +229,15 @@ def class_texts(rows: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"_id {kind}, _class long, _text string")
 
 
+def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
+    """``_class, _text`` of the classes in the pairs, from the row that stands for each."""
+    named = pairs.select(F.col("_a").alias("_class")).unionByName(pairs.select(F.col("_b").alias("_class"))).distinct()
+    named = named.join(classes.select("_class", "_first"), "_class").withColumnRenamed("_class", "_named")
+    texts = class_texts(rows, kind)
+    met = texts.join(named, (F.col("_class") == F.col("_named")) & F.col("_id").eqNullSafe(F.col("_first")))
+    return met.select("_class", "_text").dropDuplicates(["_class"])
+
+
 def sets_of(texts: list[str]) -> list[np.ndarray]:
     data = [t.encode() for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
@@ -271,68 +299,103 @@ def components(edges: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- candidates
 
 
-def hub_pairs(index: DataFrame) -> DataFrame:
-    """``_key, _a, _b``: every class of a bucket but its hub, with its hub."""
-    part = Window.partitionBy("_key", "_salt")
-    salted = index.where("_salt > 0").distinct().withColumn("_hub", F.min("_class").over(part))
-    parts = salted.where("_class != _hub").select("_key", F.col("_class").alias("_a"), F.col("_hub").alias("_b"))
-    rest = index.where("_salt = 0").unionByName(salted.where("_class = _hub").drop("_hub")).select("_key", "_class")
+def shared_keys(index: DataFrame) -> DataFrame:
+    """``_key, _class``: the members of all keys that several classes share."""
+    hot = index.where("_hot > 0").select("_key", "_class").distinct()
+    # One member of each hot key stands for the others among the rows that were not hot in their slice.
+    stand_in = hot.groupBy("_key").agg(F.min("_class").alias("_class")).withColumn("_own", F.lit(False))
+    rest = index.where("_hot = 0").select("_key", "_class").withColumn("_own", F.lit(True)).unionByName(stand_in)
     bucket = Window.partitionBy("_key")
-    met = rest.withColumn("_hub", F.min("_class").over(bucket)).withColumn("_top", F.max("_class").over(bucket))
-    met = met.where("_hub != _top").where("_class != _hub")
-    pairs = met.select("_key", F.col("_class").alias("_a"), F.col("_hub").alias("_b")).unionByName(parts)
-    return cut(pairs.distinct())
+    rest = rest.withColumn("_low", F.min("_class").over(bucket)).withColumn("_high", F.max("_class").over(bucket))
+    return hot.unionByName(rest.where("_low != _high and _own").select("_key", "_class")).distinct()
+
 
+def hub_pairs(members: DataFrame, rank: Column) -> DataFrame:
+    """``_a > _b``: every member of a bucket with the bucket's hub, the member that ranks highest; pairs whose
+    ``_root`` is the same already are left out."""
+    rows = members.withColumn("_rank", rank)
+    hubs = rows.groupBy("_key").agg(F.max(F.struct("_rank", "_class", "_root")).alias("_hub"))
+    met = rows.join(hubs, "_key").where(F.col("_root") != F.col("_hub._root"))
+    one, other = F.col("_class"), F.col("_hub._class")
+    return met.select(F.greatest(one, other).alias("_a"), F.least(one, other).alias("_b")).distinct()
 
-def members(pairs: DataFrame) -> DataFrame:
-    """``_key, _class``: all classes of the buckets with several."""
-    return pairs.select("_key", F.col("_a").alias("_class")).unionByName(pairs.select("_key", F.col("_b").alias("_class"))).distinct()
 
+def rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The members of buckets that still join several components, with their component as ``_root``."""
+    if roots is None:
+        return members.withColumn("_root", F.col("_class"))
+    held = members.select("_key", "_class").join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
+    ends = held.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"))
+    return held.join(ends.where("_low != _high").select("_key"), "_key")
 
-def rest_links(pairs: DataFrame, roots: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
-    """Links between classes of one bucket that are in different components so far, hubs excepted, by blocks."""
-    held = members(pairs).join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
-    size = held.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.count(F.lit(1)).alias("_n"))
-    # A bucket of two classes has seen its one pair.
-    open_keys = size.where("_low != _high and _n > 2").select("_key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
-    rows = held.join(open_keys, "_key").withColumn("_block", F.pmod(F.xxhash64("_class"), F.col("_blocks")).cast("int"))
+
+def words_of(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITS // 64)
+
+
+def likely(pairs: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
+    """The pairs that the sizes and sketches of their classes don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odd = np.bitwise_count(words_of(batch.column(4)) ^ words_of(batch.column(5))).sum(1, dtype=np.int64)
+            good = pa.array(may_link(batch.column(2).to_numpy(), batch.column(3).to_numpy(), odd, similar))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(good) for i in (0, 1)], ["_a", "_b"])
+
+    for name in ("_a", "_b"):
+        side = classes.select(F.col("_class").alias(name), F.col("n_shingles").alias(f"_n{name}"), F.col("_sketch").alias(f"_s{name}"))
+        pairs = pairs.join(side, name)
+    return pairs.select("_a", "_b", "_n_a", "_n_b", "_s_a", "_s_b").mapInArrow(run, "_a long, _b long")
+
+
+def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
+    """Likely pairs of members of one bucket that are in different components, found block by block."""
+    size = rows.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_n"))
+    # A bucket of two has seen its one pair.
+    rows = rows.join(size.where("_n > 2").select("_key", "_blocks"), "_key")
+    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_class"), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     rows = rows.select("_key", "_class", "_root", "_block", other.alias("_other"))
     rows = rows.select(
-        "_key", "_class", "_root", "_block",
-        F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
-    )
-    # Buckets with the same open classes would repeat each other's work; one of them will do.
-    whole = rows.groupBy("_key", "_i", "_j").agg(F.sum(F.xxhash64("_class").cast("decimal(38,0)")).alias("_s"), F.count(F.lit(1)).alias("_m"))
-    chosen = whole.groupBy("_s", "_m").agg(F.min(F.struct("_key", "_i", "_j")).alias("_k")).select("_k.*")
-    rows = rows.join(chosen, ["_key", "_i", "_j"]).join(texts.select("_class", "_text"), "_class")
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("_class")
-        i, j = int(frame["_i"].iloc[0]), int(frame["_j"].iloc[0])
-        classes, block = frame["_class"].tolist(), frame["_block"].tolist()
-        root = dict(zip(classes, frame["_root"].tolist(), strict=True))
-        sets = sets_of(frame["_text"].tolist())
-        group = {r: r for r in root.values()}
-
-        def top(r: int) -> int:
-            while group[r] != r:
-                group[r] = group[group[r]]
-                r = group[r]
-            return r
-
-        out = []
-        for x in range(len(classes)):
-            for y in range(x):
-                if i != j and block[x] == block[y]:
-                    continue
-                a, b = top(root[classes[x]]), top(root[classes[y]])
-                if a != b and linked(sets[x], sets[y], similar):
-                    out.append((max(classes[x], classes[y]), min(classes[x], classes[y])))
-                    group[max(a, b)] = min(a, b)
-        return pd.DataFrame(out, columns=["_a", "_b"]).astype("int64")
-
-    return rows.groupBy("_key", "_i", "_j").applyInPandas(run, "_a long, _b long")
+        "_key", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_class", "_root", "_block"
+    ).join(classes.select("_class", "n_shingles", "_sketch"), "_class")
+    columns = ["_key", "_i", "_j", "_class", "_root", "_block", "n_shingles", "_sketch"]
+    rows = rows.repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j").select(*columns)
+
+    def pairs_of(table: pa.Table) -> pa.RecordBatch:
+        key, i, j, name, root, block, size = (table.column(c).to_numpy() for c in columns[:-1])
+        sketch = words_of(table.column("_sketch").combine_chunks())
+        change = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        left, right = [], []
+        for a, b in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
+            for x in range(a + 1, b):
+                y = a + np.flatnonzero((root[a:x] != root[x]) & ((i[x] == j[x]) | (block[a:x] != block[x])))
+                odd = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
+                y = y[may_link(size[y], size[x], odd, similar)]
+                left.append(np.maximum(name[y], name[x]))
+                right.append(np.minimum(name[y], name[x]))
+        none = np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*p, none])) for p in (left, right)], ["_a", "_b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []  # rows of a group whose end hasn't come yet
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*kept, batch])
+            last = [table.column(c)[-1].as_py() for c in columns[:3]]
+            same = np.ones(table.num_rows, bool)
+            for c, v in zip(columns[:3], last, strict=True):
+                same &= table.column(c).to_numpy() == v
+            at = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            if at:
+                yield pairs_of(table.slice(0, at))
+            kept = table.slice(at).combine_chunks().to_batches()
+        if kept:
+            yield pairs_of(pa.Table.from_batches(kept))
+
+    return rows.mapInArrow(run, "_a long, _b long").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR) -> DataFrame:
@@ -341,18 +404,22 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simila
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     each = cut(class_rows(rows, kind))
     # The row that stands for a class: its smallest identifier; a class without any takes part with the null row.
-    classes = cut(each.where("_class is not null").groupBy("_class").agg(F.min("_id").alias("_first")))
-    pairs = hub_pairs(index_rows(rows, similar))
-    wanted = pairs.select("_a", "_b").distinct()
-    named = wanted.select(F.col("_a").alias("_class")).unionByName(wanted.select(F.col("_b").alias("_class"))).distinct()
-    named = named.join(classes, "_class").withColumnRenamed("_class", "_named")
-    texts = class_texts(rows, kind)
-    met = texts["_class"] == named["_named"]
-    texts = cut(texts.join(named, met & texts["_id"].eqNullSafe(named["_first"])).select("_class", "_text").dropDuplicates(["_class"]))
-    links = cut(verify(wanted, texts, similar))
+    one = [F.min(c).alias(n) for c, n in (("_id", "_first"), ("n_shingles", "n_shingles"), ("_sketch", "_sketch"))]
+    classes = cut(each.where("_class is not null").groupBy("_class").agg(*one))
+    members = cut(shared_keys(index_rows(rows, similar)))
+    # First the member that shares the most with others leads its buckets, then members by chance.
+    sizes = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    weights = members.join(sizes, "_key").groupBy("_class").agg(F.sum("_n").alias("_weight"))
+    weighed = members.join(weights, "_class").withColumn("_root", F.col("_class"))
+    pairs = cut(likely(hub_pairs(weighed, F.col("_weight")), classes, similar))
+    links = cut(verify(pairs, texts_of(rows, pairs, classes, kind), similar))
+    for turn in range(ROUNDS + 1):
+        still = cut(rooted(members, components(links)))
+        hubs = hub_pairs(still, F.xxhash64("_class", F.lit(turn)))
+        pairs = likely(hubs, classes, similar) if turn < ROUNDS else rest_pairs(still, classes, similar)
+        pairs = cut(pairs)
+        links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind), similar)))
     roots = components(links)
-    more = rest_links(pairs, roots, texts, similar)
-    roots = components(cut(links.unionByName(more)))
     known = classes.join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
     least = known.groupBy("_root").agg(F.min("_first").alias("component_id"))
     known = known.select("_class", "_root").join(least, "_root").select("_class", "component_id")
