@@ -12,8 +12,7 @@ set is indexed by its content:
   of them skips none, so no pair is lost.
 
 Classes that share a key are candidates. Instead of all pairs of a bucket, every member is checked against a hub of
-the bucket: the member that shares most keys with others, then, in ``ROUNDS`` turns, other members. Connected components
-of the verified links tell which buckets still join different components; there the remaining pairs across components
+the bucket, the member that shares most keys with others. Connected components of the verified links tell which buckets still join different components; there the remaining pairs across components
 are looked at in blocks of about ``BLOCK`` members per side. A pair is dropped without its texts only if sizes or
 sketches rule it out: parities of token hashes differ in no more places than the sets differ in tokens. Every other
 candidate is verified on the shingles of the whole texts. A pair that is never compared is already connected, so the components are
@@ -39,9 +38,9 @@ from pagetables.llm.common import IS_SPACE, LOWER, cut, row_counts, scatter, sli
 
 WORDS, SIMILAR = 4, 85
 #: Up to this size a band uses one-deletion neighbourhoods; tokens of a weak segment; classes of a key within one
-#: slice that make it hot; members per side of a block; turns with further hubs; parities
-#: in a sketch.
-SMALL, WEAK, HOT, BLOCK, ROUNDS, BITS = 64, 1, 24, 256, 1, 1024
+#: slice that make it hot; members per side of a block; parities in a sketch; bits of
+#: the map of wanted classes; edges in one task at least.
+SMALL, WEAK, HOT, BLOCK, BITS, MAP, EDGES = 64, 1, 24, 256, 1024, 1 << 22, 100_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -215,14 +214,29 @@ def index_rows(rows: DataFrame, similar: int) -> DataFrame:
     return rows.mapInArrow(run, "_key long, _class long, _hot int")
 
 
-def class_texts(rows: DataFrame, kind: str) -> DataFrame:
-    """``_id, _class, _text`` per row with a word."""
+def bitmap(named: DataFrame) -> np.ndarray:
+    """``MAP`` bits, set where a class of ``_class`` falls; of fixed size, put together by Spark in 64-bit words."""
+    place = F.pmod(F.col("_class"), F.lit(MAP))
+    words = named.groupBy(F.floor(place / 64).cast("int").alias("_word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(_class, {MAP}) % 64 as int))")).alias("_bits")
+    )
+    out = np.zeros(MAP // 64, np.uint64)
+    for r in words.collect():
+        out[r["_word"]] = r["_bits"] & (1 << 64) - 1
+    return out
+
+
+def class_texts(rows: DataFrame, kind: str, wanted: np.ndarray) -> DataFrame:
+    """``_id, _class, _text`` of the rows whose class may be wanted, by the bitmap."""
+    shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in slices(batch.column(1)):
                 found, size = fingerprints(*shingles(data, bounds), last - first)
-                some = pa.array(np.flatnonzero(size))
+                place = (found % MAP).astype(np.uint64)
+                hit = (shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+                some = pa.array(np.flatnonzero((size > 0) & (hit == 1)))
                 parts = [batch.column(i).slice(first, last - first).take(some) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([parts[0], pa.array(found).take(some), parts[1]], ["_id", "_class", "_text"])
 
@@ -232,8 +246,8 @@ def class_texts(rows: DataFrame, kind: str) -> DataFrame:
 def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
     """``_class, _text`` of the classes in the pairs, from the row that stands for each."""
     named = pairs.select(F.col("_a").alias("_class")).unionByName(pairs.select(F.col("_b").alias("_class"))).distinct()
+    texts = class_texts(rows, kind, bitmap(named))
     named = named.join(classes.select("_class", "_first"), "_class").withColumnRenamed("_class", "_named")
-    texts = class_texts(rows, kind)
     met = texts.join(named, (F.col("_class") == F.col("_named")) & F.col("_id").eqNullSafe(F.col("_first")))
     return met.select("_class", "_text").dropDuplicates(["_class"])
 
@@ -277,7 +291,10 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``_class, _root`` for every class with an edge: alternating large and small stars until nothing changes."""
-    stars = cut(edges.select(F.greatest("_a", "_b").alias("hi"), F.least("_a", "_b").alias("lo")).where("hi != lo").distinct())
+    # The edges never grow in number; as many tasks hold them as their number asks for.
+    tasks = max(1, -(-edges.count() // EDGES))
+    stars = edges.select(F.greatest("_a", "_b").alias("hi"), F.least("_a", "_b").alias("lo")).where("hi != lo")
+    stars = cut(stars.distinct().coalesce(tasks))
     known = None
     while True:
         check = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
@@ -293,7 +310,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         root = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(root, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi != lo")
-        stars = cut(small.unionByName(root.select("hi", F.col("m").alias("lo"))).distinct())
+        stars = cut(small.unionByName(root.select("hi", F.col("m").alias("lo"))).distinct().coalesce(tasks))
 
 
 # ---------------------------------------------------------------- candidates
@@ -320,10 +337,8 @@ def hub_pairs(members: DataFrame, rank: Column) -> DataFrame:
     return met.select(F.greatest(one, other).alias("_a"), F.least(one, other).alias("_b")).distinct()
 
 
-def rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     """The members of buckets that still join several components, with their component as ``_root``."""
-    if roots is None:
-        return members.withColumn("_root", F.col("_class"))
     held = members.select("_key", "_class").join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
     ends = held.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"))
     return held.join(ends.where("_low != _high").select("_key"), "_key")
@@ -407,18 +422,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simila
     one = [F.min(c).alias(n) for c, n in (("_id", "_first"), ("n_shingles", "n_shingles"), ("_sketch", "_sketch"))]
     classes = cut(each.where("_class is not null").groupBy("_class").agg(*one))
     members = cut(shared_keys(index_rows(rows, similar)))
-    # First the member that shares the most with others leads its buckets, then members by chance.
+    # The member that shares the most with others leads its buckets.
     sizes = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     weights = members.join(sizes, "_key").groupBy("_class").agg(F.sum("_n").alias("_weight"))
     weighed = members.join(weights, "_class").withColumn("_root", F.col("_class"))
     pairs = cut(likely(hub_pairs(weighed, F.col("_weight")), classes, similar))
     links = cut(verify(pairs, texts_of(rows, pairs, classes, kind), similar))
-    for turn in range(ROUNDS + 1):
-        still = cut(rooted(members, components(links)))
-        hubs = hub_pairs(still, F.xxhash64("_class", F.lit(turn)))
-        pairs = likely(hubs, classes, similar) if turn < ROUNDS else rest_pairs(still, classes, similar)
-        pairs = cut(pairs)
-        links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind), similar)))
+    still = cut(rooted(members, components(links)))
+    pairs = cut(rest_pairs(still, classes, similar))
+    links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind), similar)))
     roots = components(links)
     known = classes.join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
     least = known.groupBy("_root").agg(F.min("_first").alias("component_id"))
