@@ -66,10 +66,11 @@ def parser(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     present = sorted(set(text))
     symbols[present] = np.arange(1, len(present) + 1)
     width = len(present) + 1
-    begin = np.zeros(width, np.int32)
+    # A byte that the sample lacks is a phrase of its own: the state behind it, the last one, has no way on.
+    begin = np.full(width, len(step), np.int32)
     for c, to in step[0].items():
         begin[symbols[c]] = to
-    out = np.tile(~(begin * width), (len(step), 1))
+    out = np.tile(~(begin * width), (len(step) + 1, 1))
     for state, edges in enumerate(step):
         if edges:
             out[state, symbols[list(edges)]] = np.array(list(edges.values()), np.int32) * width

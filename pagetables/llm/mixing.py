@@ -191,7 +191,7 @@ def taken(docs: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document as often as the mix takes it; a part of a document counts as one more
     whole document with that part as its chance, decided by a hash of its identifier."""
-    shares = taken(docs).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_share"))
+    shares = taken(docs).groupBy("doc_id").agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("_share"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = shares.where("_share > 0").select(
         F.col("doc_id").alias("_doc"),

@@ -1,0 +1,32 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+from acceptance.session import local_session  # noqa: E402
+from pagetables.shipping import ship  # noqa: E402
+
+SHAPE = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = ship(local_session(8, "tests"))
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """``docs_of([(id, text), ...])``: a small documents table with columns whose names might clash."""
+
+    def make(rows, lang="en", source="s"):
+        full = [(i, t, lang, source, len(t or "")) for i, t in rows]
+        df = spark.createDataFrame(full, SHAPE)
+        for name in ("keep_id", "score", "size", "_id", "_text", "_class", "n", "kept"):
+            df = df.selectExpr("*", f"'x' as {name}")
+        return df
+
+    return make
