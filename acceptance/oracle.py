@@ -71,8 +71,7 @@ SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
 SELECT page_id, pos, href FROM (SELECT page_id, unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS href
 FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS l FROM pages))""",
     "page_hosts": """
-SELECT host, n FROM (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, count(*) AS n FROM pages GROUP BY 1)
-ORDER BY n DESC, host LIMIT 10""",
+SELECT host, n FROM (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, count(*) AS n FROM pages GROUP BY 1)""",
     "page_ready": "SELECT k AS page_id, ready FROM ex WHERE manage_url <> 'Not Found'",
     "dim_options": """
 SELECT s_suppkey // 25 AS page_id, CAST(s_suppkey % 25 AS INTEGER) AS idx, s_name AS name FROM supplier""",
@@ -93,7 +92,7 @@ SELECT k // 100 AS page_no, substr(name, 1, 50) AS td_4, substr(provinces, 1, 50
 FROM org WHERE row_ord = 0""",
     "listing_pages": """
 SELECT g, count(*) AS total, CAST(ceil(count(*) / 100.0) AS BIGINT) AS pages_ceil,
-       greatest(1, count(*) // 50 + 1) AS pages_est FROM fac WHERE k // 1100 < 200 GROUP BY g""",
+       greatest(1, count(*) // 50 + 1) AS pages_est FROM fac GROUP BY g""",
     "pager_parse": """
 SELECT page_no, page_no * 100 + 1 AS first_item, page_no * 100 + count(*) AS last_item,
        (SELECT count(*) FROM org) AS total, page_no * 100 + count(*) >= (SELECT count(*) FROM org) AS is_last

@@ -101,7 +101,7 @@ def page_nav(t):
 @query
 def page_hosts(t):
     host = F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("host")
-    return summary.count_by_group(t.pages.select(host), "host", 10)
+    return summary.count_by_group(t.pages.select(host), "host")
 
 
 @query
@@ -150,8 +150,7 @@ def mapping_preview(t):
 
 @query
 def listing_pages(t):
-    pages = listing.within_page_cap(R.facility_pages(t), "facility")
-    total = fac_listing(t, "g", pages=pages).groupBy("g").agg(F.count("*").alias("total"))
+    total = fac_listing(t, "g", pages=R.facility_pages(t)).groupBy("g").agg(F.count("*").alias("total"))
     return total.select("g", "total", X.pages_ceil(F.col("total")).alias("pages_ceil"), X.pages_estimate(F.col("total")).alias("pages_est"))
 
 
@@ -373,7 +372,7 @@ def activity_union(t):
 
 @query
 def count_by_group(t):
-    return summary.count_by_group(ex_listing(t), "Institution").withColumnRenamed("Institution", "institution")
+    return summary.count_by_group(ex_listing(t), "Institution", 10).withColumnRenamed("Institution", "institution")
 
 
 @query

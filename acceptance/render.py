@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.sources.html import SMALL, input_bytes
 from pagetables.sources.tables import read_pages
 
 PORTAL = "https://portal.example"
@@ -64,14 +63,9 @@ def placed(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows of a page together, over as many tasks as the session shuffles to.
 
     With a number of partitions given, small pages are not put together in one task; reading
-    them afterwards is what takes time. Small tables need no more tasks than there are cores.
+    them afterwards is what takes time.
     """
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = input_bytes(rows)
-    if size is not None and size <= SMALL:
-        n = min(n, spark.sparkContext.defaultParallelism)
-    return rows.repartition(n, *keys)
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def grid_page(*body: Column | str) -> Column:

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL = {"dir": None}
-
 
 def local_session(cpus: int | str = 8, name: str = "pagetables") -> SparkSession:
     return (
@@ -27,12 +24,7 @@ def local_session(cpus: int | str = 8, name: str = "pagetables") -> SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder below the shared folder the cluster names; a local one only if it names none."""
+    """A new folder below the shared folder the session names; beside the warehouse if it names none."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if _LOCAL["dir"] is None:
-            _LOCAL["dir"] = tempfile.mkdtemp(prefix="run-")
-        base = _LOCAL["dir"]
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}-checkpoints"
     return f"{base}/pagetables-{uuid.uuid4().hex}"

@@ -47,8 +47,8 @@ def lookup(m: Column, key: str, default: str = "") -> Column:
 def parse_pager(c: Column) -> Column:
     """``'1 - 100 of 163 items'`` -> struct(first, last, total, parsed).
 
-    Unreadable text gives zeros with ``parsed = false``; the "no items" wordings
-    give zeros with ``parsed = true``.
+    Unreadable text gives zeros with ``parsed = false``; the "no items" wordings,
+    as the whole text's beginning, give zeros with ``parsed = true``.
     """
     s = strip(c)
 
@@ -60,7 +60,7 @@ def parse_pager(c: Column) -> Column:
         part(1).alias("first"),
         part(2).alias("last"),
         part(3).alias("total"),
-        (s.rlike(PAGER) | low.contains("no items") | low.contains("0 items")).alias("parsed"),
+        (s.rlike(PAGER) | low.rlike(r"^(no|0) items\b")).alias("parsed"),
     )
 
 

@@ -26,7 +26,6 @@ ORGANIZATION_CELLS = {
     "name": 3, "provinces": 4, "sectors": 5, "requests": 6, "projects": 7, "enabled": 8, "link": 9, "min": 10
 }
 PLACEHOLDER = "Select HEI"
-MAX_PAGES = {"expert": 50, "facility": 200, "organization": 500}
 
 
 def cell(i: int) -> Column:
@@ -76,11 +75,6 @@ def with_min_cells(rows: DataFrame, n: int) -> DataFrame:
     return rows.filter(F.col("n_cells") >= n)
 
 
-def within_page_cap(pages: DataFrame, kind: str, page_no: str = "page_no", first: int = 0) -> DataFrame:
-    """Pages of a group up to the kind's depth cap."""
-    return pages.filter(F.col(page_no) < MAX_PAGES[kind] + first)
-
-
 def expert_listing(
     rows: DataFrame, institution: Column, scraped_at: Column, keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pagetables.functions.text import NO_LINK
 
 
-def count_by_group(df: DataFrame, group: str, limit: int | None = 10) -> DataFrame:
-    """Rows per group, largest first; ties by name. ``limit`` is the report's length."""
+def count_by_group(df: DataFrame, group: str, limit: int | None = None) -> DataFrame:
+    """Rows per group, largest first; ties by name. ``limit`` cuts a report to its length."""
     counts = df.groupBy(group).agg(F.count("*").alias("n")).orderBy(F.desc("n"), group)
     return counts if limit is None else counts.limit(limit)
 

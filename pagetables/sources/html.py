@@ -324,30 +324,6 @@ class NodeRows:
         ]
 
 
-SMALL = 256 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of all tables that a DataFrame reads, by the plan's statistics; None if unknown."""
-    jdf = getattr(df, "_jdf", None)
-    if jdf is None:
-        return None
-    leaves = jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def spread_small(pages: DataFrame) -> DataFrame:
-    """Small page sets over all cores; large ones as they are.
-
-    Reading pages costs far more than moving a few of them, and a small file is one split.
-    Beyond ``SMALL`` bytes there are splits enough and nothing is moved.
-    """
-    size = input_bytes(pages)
-    if size is None or size > SMALL:
-        return pages
-    return pages.repartition(pages.sparkSession.sparkContext.defaultParallelism)
-
-
 def html_nodes(
     pages: DataFrame,
     carry: Sequence[str] = (),

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from pagetables import schema
 from pagetables.functions.text import first_truthy, json_text, percent
-from pagetables.sources.html import spread_small
 
 CORRUPT = "_corrupt_record"
 
@@ -58,9 +57,19 @@ def _fields(ddl: str) -> str:
 
 
 def _snapshot(spark: SparkSession, path: str, records: str, multi_line: bool) -> DataFrame:
+    """Checkpoints with ``_bad``, the text of those that could not be read."""
     counters = [*schema.SNAPSHOT_PROCESSED, *schema.SNAPSHOT_TOTAL, *schema.SNAPSHOT_CURSOR, "errors_count"]
-    ddl = f"timestamp string, {', '.join(f'{c} bigint' for c in counters)}, data array<struct<{_fields(records)}>>"
-    return spark.read.schema(ddl).options(multiLine=multi_line, mode="DROPMALFORMED").json(path)
+    fields = f"timestamp:string, {', '.join(f'{c}:bigint' for c in counters)}, data:array<struct<{_fields(records)}>>"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = spark.read.option("wholetext", multi_line).text(path).filter(F.trim("value") != "")
+    parsed = text.select(F.from_json("value", f"struct<{fields}, {CORRUPT}:string>", options).alias("r"))
+    return parsed.select("r.*").withColumnRenamed(CORRUPT, "_bad")
+
+
+def unreadable_snapshots(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
+    """The checkpoints that ``read_snapshot`` leaves out: ``text``."""
+    files = _snapshot(spark, path, schema.MASTER[kind], multi_line)
+    return files.filter(F.col("_bad").isNotNull()).select(F.col("_bad").alias("text"))
 
 
 def read_snapshot(
@@ -69,9 +78,10 @@ def read_snapshot(
     """Checkpoints -> (records, progress); one per file, or one per line without ``multi_line``.
 
     The records are the checkpoints' ``data``; progress has ``processed, total, cursor, errors,
-    records, percent, timestamp`` under one name each, whatever the file calls them.
+    records, percent, timestamp`` under one name each, whatever the file calls them. Unreadable
+    checkpoints are left out; ``unreadable_snapshots`` shows them.
     """
-    files = _snapshot(spark, path, schema.MASTER[kind], multi_line)
+    files = _snapshot(spark, path, schema.MASTER[kind], multi_line).filter(F.col("_bad").isNull())
     zero = F.lit(0).cast("bigint")
 
     def one_of(names: Sequence[str]) -> Column:
@@ -101,8 +111,8 @@ def read_errors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Captured pages ``page_id, url, html``; a small file is spread over all cores."""
-    return spread_small(spark.read.parquet(path))
+    """Captured pages ``page_id, url, html``, split by ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(path)
 
 
 def record_count(records: Column) -> Column:

@@ -41,6 +41,7 @@ def test_snapshot_counters_under_one_name(spark, tmp_path):
     (tmp_path / "d.json").write_text("{cut")
     records, progress = io.read_snapshot(spark, str(tmp_path), "organization")
     assert records.count() == 3
+    assert [r.text for r in io.unreadable_snapshots(spark, str(tmp_path), "organization").collect()] == ["{cut"]
     got = {r.timestamp: (r.processed, r.total, r.cursor, r.errors, r.percent) for r in progress.collect()}
     assert got == {"t1": (2, 12, 3, 0, 25.0), "t2": (0, 10, 5, 1, 50.0), "t3": (0, 0, 0, 0, 0.0)}
 

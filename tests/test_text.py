@@ -36,6 +36,8 @@ def test_strip_is_python_strip(spark, s):
         ("1 - 1 of 1 item", (1, 1, 1, True)),
         (" 101-163 of 163 items shown", (101, 163, 163, True)),
         ("1 - 100 of 1,163 items", (0, 0, 0, False)),
+        ("1 - 100 of 1,230 items", (0, 0, 0, False)),
+        ("101 - 110 items", (0, 0, 0, False)),
         ("No items to display", (0, 0, 0, True)),
         ("0 items", (0, 0, 0, True)),
         ("", (0, 0, 0, False)),
