@@ -24,6 +24,9 @@ from pagetables.llm import (
 )
 from pagetables.llm.common import remainder
 from pagetables.llm.queries import QUERIES, held_out
+from pagetables.shipping import ship
+
+SHAPE = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -42,6 +45,20 @@ ODD = [
 ]
 
 
+@pytest.fixture(scope="module")
+def docs_of(spark):
+    """``docs_of([(id, text), ...])``: a small documents table with columns whose names might clash."""
+    ship(spark)
+
+    def make(rows, lang="en", source="s"):
+        df = spark.createDataFrame([(i, t, lang, source, len(t or "")) for i, t in rows], SHAPE)
+        for name in ("keep_id", "score", "size", "_id", "_text", "_class", "n", "kept"):
+            df = df.selectExpr("*", f"'x' as {name}")
+        return df
+
+    return make
+
+
 def rows_of(df):
     return [r.asDict() for r in df.collect()]
 
