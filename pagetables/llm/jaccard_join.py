@@ -191,8 +191,10 @@ def class_rows(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def index_rows(rows: DataFrame, similar: int) -> DataFrame:
-    """``_key, _class, _hot``: keys of every class, once per slice; hot 1 if many of its slice have it, else 0.
-    Hot keys are known to be shared, so their rows need not meet in one task to find that out."""
+    """``_key, _class, _hot``: keys of every class, once per slice; hot above 0 if many of its slice have it, else 0.
+    Hot keys are known to be shared, so their rows need not meet in one task to find that out: ``_hot`` deals them out by
+    class. One member of each hot key in a slice comes as a row with 0 besides and stands for the others where the rows
+    meet that were not hot in their slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,9 +208,17 @@ def index_rows(rows: DataFrame, similar: int) -> DataFrame:
                 keys, owner = signatures(key[live], row[live], last - first, similar)
                 which, distinct = pd.factorize(keys)
                 hot = np.bincount(which, minlength=len(distinct))[which] >= HOT
-                often = hot.astype(np.int32)
+                name = found[owner]
+                often = np.where(hot, 1 + (name & 0x3FFFFFFF), 0).astype(np.int32)
+                some = np.flatnonzero(hot)
+                stand_in = some[np.unique(which[some], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(found[owner]), pa.array(often)], ["_key", "_class", "_hot"]
+                    [
+                        pa.array(np.concatenate([keys, keys[stand_in]]).view(np.int64)),
+                        pa.array(np.concatenate([name, name[stand_in]])),
+                        pa.array(np.concatenate([often, np.zeros(len(stand_in), np.int32)])),
+                    ],
+                    ["_key", "_class", "_hot"],
                 )
 
     return rows.mapInArrow(run, "_key long, _class long, _hot int")
@@ -318,13 +328,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def shared_keys(index: DataFrame) -> DataFrame:
     """``_key, _class``: the members of all keys that several classes share."""
-    hot = index.where("_hot > 0").select("_key", "_class").distinct()
-    # One member of each hot key stands for the others among the rows that were not hot in their slice.
-    stand_in = hot.groupBy("_key").agg(F.min("_class").alias("_class")).withColumn("_own", F.lit(False))
-    rest = index.where("_hot = 0").select("_key", "_class").withColumn("_own", F.lit(True)).unionByName(stand_in)
-    bucket = Window.partitionBy("_key")
-    rest = rest.withColumn("_low", F.min("_class").over(bucket)).withColumn("_high", F.max("_class").over(bucket))
-    return hot.unionByName(rest.where("_low != _high and _own").select("_key", "_class")).distinct()
+    bucket = Window.partitionBy("_key", "_hot")
+    met = index.withColumn("_low", F.min("_class").over(bucket)).withColumn("_high", F.max("_class").over(bucket))
+    return met.where("_hot > 0 or _low != _high").select("_key", "_class").distinct()
 
 
 def hub_pairs(members: DataFrame, rank: Column) -> DataFrame:

@@ -140,6 +140,20 @@ def test_jaccard_join_is_exact(docs_of):
     assert got == want
 
 
+def test_shared_keys_of_hot_and_other_rows(docs_of):
+    line = words(30)
+    many = docs_of([(i, f"{line} {VOCABULARY[i]}") for i in range(60)]).coalesce(1)
+    few = docs_of([(100 + i, f"{line} {VOCABULARY[100 + i]}") for i in range(3)]).coalesce(1)
+    rows = many.unionByName(few).selectExpr("doc_id AS _id", "text AS _text")
+    index = [(r["_key"], r["_class"], r["_hot"]) for r in jaccard_join.index_rows(rows, 85).collect()]
+    by = {}
+    for key, name, _ in index:
+        by.setdefault(key, set()).add(name)
+    assert any(hot > 0 for *_, hot in index) and max(map(len, by.values())) == 63
+    got = [tuple(r) for r in jaccard_join.shared_keys(jaccard_join.index_rows(rows, 85)).select("_key", "_class").collect()]
+    assert sorted(got) == sorted((key, name) for key, names in by.items() if len(names) > 1 for name in names)
+
+
 def test_band_differences():
     for band in jaccard_join.bands(85, 3000):
         for a in {band.low, (band.low + band.high) // 2, band.high}:
