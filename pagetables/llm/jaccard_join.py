@@ -37,6 +37,8 @@ from pyspark.sql.window import Window
 from pagetables.llm.common import IS_SPACE, LOWER, cut, row_counts, scatter, slices, span_hash, spans
 
 WORDS, SIMILAR = 4, 85
+#: The pipeline's stage: words of a shingle and least similarity in per cent.
+STAGE_WORDS, STAGE_SIMILAR = 5, 80
 #: Up to this size a band uses one-deletion neighbourhoods; tokens of a weak segment; classes of a key within one
 #: slice that make it hot; members per side of a block; parities in a sketch; bits of
 #: the map of wanted classes; edges in one task at least.
@@ -173,13 +175,13 @@ def may_link(size_a: np.ndarray, size_b: np.ndarray, odd: np.ndarray, similar: i
     return (100 * np.minimum(size_a, size_b) >= similar * np.maximum(size_a, size_b)) & (odd <= most)
 
 
-def class_rows(rows: DataFrame, kind: str) -> DataFrame:
+def class_rows(rows: DataFrame, kind: str, words: int = WORDS) -> DataFrame:
     """``_id, _class, n_shingles, _sketch`` per row; class null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in slices(batch.column(1)):
-                key, row = shingles(data, bounds)
+                key, row = shingles(data, bounds, words)
                 found, size = fingerprints(key, row, last - first)
                 sketch = pa.array([s.tobytes() for s in sketches(key, row, last - first)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -190,7 +192,7 @@ def class_rows(rows: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"_id {kind}, _class long, n_shingles long, _sketch binary")
 
 
-def index_rows(rows: DataFrame, similar: int) -> DataFrame:
+def index_rows(rows: DataFrame, similar: int, words: int = WORDS) -> DataFrame:
     """``_key, _class, _hot``: keys of every class, once per slice; hot above 0 if many of its slice have it, else 0.
     Hot keys are known to be shared, so their rows need not meet in one task to find that out: ``_hot`` deals them out by
     class. One member of each hot key in a slice comes as a row with 0 besides and stands for the others where the rows
@@ -199,7 +201,7 @@ def index_rows(rows: DataFrame, similar: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in slices(batch.column(1)):
-                key, row = shingles(data, bounds)
+                key, row = shingles(data, bounds, words)
                 found, size = fingerprints(key, row, last - first)
                 _, one = np.unique(found, return_index=True)
                 once = np.zeros(last - first, bool)
@@ -236,14 +238,14 @@ def bitmap(named: DataFrame) -> np.ndarray:
     return out
 
 
-def class_texts(rows: DataFrame, kind: str, wanted: np.ndarray) -> DataFrame:
+def class_texts(rows: DataFrame, kind: str, wanted: np.ndarray, words: int = WORDS) -> DataFrame:
     """``_id, _class, _text`` of the rows whose class may be wanted, by the bitmap."""
     shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in slices(batch.column(1)):
-                found, size = fingerprints(*shingles(data, bounds), last - first)
+                found, size = fingerprints(*shingles(data, bounds, words), last - first)
                 place = (found % MAP).astype(np.uint64)
                 hit = (shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
                 some = pa.array(np.flatnonzero((size > 0) & (hit == 1)))
@@ -253,19 +255,19 @@ def class_texts(rows: DataFrame, kind: str, wanted: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, f"_id {kind}, _class long, _text string")
 
 
-def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
+def texts_of(rows: DataFrame, pairs: DataFrame, classes: DataFrame, kind: str, words: int = WORDS) -> DataFrame:
     """``_class, _text`` of the classes in the pairs, from the row that stands for each."""
     named = pairs.select(F.col("_a").alias("_class")).unionByName(pairs.select(F.col("_b").alias("_class"))).distinct()
-    texts = class_texts(rows, kind, bitmap(named))
+    texts = class_texts(rows, kind, bitmap(named), words)
     named = named.join(classes.select("_class", "_first"), "_class").withColumnRenamed("_class", "_named")
     met = texts.join(named, (F.col("_class") == F.col("_named")) & F.col("_id").eqNullSafe(F.col("_first")))
     return met.select("_class", "_text").dropDuplicates(["_class"])
 
 
-def sets_of(texts: list[str]) -> list[np.ndarray]:
+def sets_of(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     data = [t.encode() for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
-    key, row = shingles(np.frombuffer(b"".join(data), np.uint8), bounds)
+    key, row = shingles(np.frombuffer(b"".join(data), np.uint8), bounds, words)
     return np.split(key, np.cumsum(row_counts(row, len(texts)))[:-1])
 
 
@@ -279,7 +281,7 @@ def linked(a: np.ndarray, b: np.ndarray, similar: int) -> bool:
     return 100 * both >= similar * (len(a) + len(b) - both)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, similar: int, words: int = WORDS) -> DataFrame:
     """Those of the pairs ``_a, _b`` that are links."""
     left, right = (texts.select(F.col("_class").alias(n), F.col("_text").alias(f"_text{n}")) for n in ("_a", "_b"))
     # The smaller class is the hub of many pairs; it is met last, where the join may split a hot key.
@@ -292,7 +294,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
                 a, b = (part.column(i).to_numpy() for i in (0, 1))
                 names, texts = np.concatenate([a, b]), part.column(2).to_pylist() + part.column(3).to_pylist()
                 _, first = np.unique(names, return_index=True)
-                sets = dict(zip(names[first].tolist(), sets_of([texts[i] for i in first]), strict=True))
+                sets = dict(zip(names[first].tolist(), sets_of([texts[i] for i in first], words), strict=True))
                 good = np.array([linked(sets[x], sets[y], similar) for x, y in zip(a.tolist(), b.tolist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["_a", "_b"])
 
@@ -419,24 +421,24 @@ def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
     return rows.mapInArrow(run, "_a long, _b long").distinct()
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR) -> DataFrame:
-    """Per row: ``<id>, n_shingles, component_id``."""
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR, words: int = WORDS) -> DataFrame:
+    """Per row: ``<id>, n_shingles, component_id``; shingles of ``words`` words, links from ``similar`` per cent up."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    each = cut(class_rows(rows, kind))
+    each = cut(class_rows(rows, kind, words))
     # The row that stands for a class: its smallest identifier; a class without any takes part with the null row.
     one = [F.min(c).alias(n) for c, n in (("_id", "_first"), ("n_shingles", "n_shingles"), ("_sketch", "_sketch"))]
     classes = cut(each.where("_class is not null").groupBy("_class").agg(*one))
-    members = cut(shared_keys(index_rows(rows, similar)))
+    members = cut(shared_keys(index_rows(rows, similar, words)))
     # The member that shares the most with others leads its buckets.
     sizes = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     weights = members.join(sizes, "_key").groupBy("_class").agg(F.sum("_n").alias("_weight"))
     weighed = members.join(weights, "_class").withColumn("_root", F.col("_class"))
     pairs = cut(likely(hub_pairs(weighed, F.col("_weight")), classes, similar))
-    links = cut(verify(pairs, texts_of(rows, pairs, classes, kind), similar))
+    links = cut(verify(pairs, texts_of(rows, pairs, classes, kind, words), similar, words))
     still = cut(rooted(members, components(links)))
     pairs = cut(rest_pairs(still, classes, similar))
-    links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind), similar)))
+    links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind, words), similar, words)))
     roots = components(links)
     known = classes.join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
     least = known.groupBy("_root").agg(F.min("_first").alias("component_id"))
@@ -451,5 +453,5 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simila
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the document with the smallest identifier of every component stays, and all without a word."""
-    found = join(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    found = join(docs, similar=STAGE_SIMILAR, words=STAGE_WORDS).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")

@@ -140,6 +140,29 @@ def test_jaccard_join_is_exact(docs_of):
     assert got == want
 
 
+def test_jaccard_stage_is_brute_force_on_five_words(spark, docs_of):
+    rng, rows = random.Random(11), []
+    for family, length in enumerate((30, 100, 100, 400, 1000)):
+        text = [rng.choice(VOCABULARY) for _ in range(length)]
+        rows.append((family * 10, " ".join(text)))
+        for k, share in enumerate((0.18, 0.21, 0.24, 0.3), 1):
+            rows.append((family * 10 + k, " ".join(text + [rng.choice(VOCABULARY) for _ in range(round(share * length))])))
+    spread = list(rows[-5][1].split())
+    for at in range(20, 1000, 47):
+        spread[at] = "replaced"
+    rows.append((99, " ".join(spread)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    near = {(x, y) for x in sets for y in sets if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
+    least = {i: i for i in sets}
+    for _ in sets:
+        for x, y in near:
+            least[x] = least[y] = min(least[x], least[y])
+    stays = {i for i in sets if least[i] == i}
+    assert {r["doc_id"] for r in rows_of(jaccard_join.stage(spark, docs_of(rows), ""))} == stays
+    # Four words and 0.85 link fewer of them.
+    assert {r["doc_id"] for r in rows_of(jaccard_join.join(docs_of(rows))) if r["doc_id"] == r["component_id"]} > stays
+
+
 def test_shared_keys_of_hot_and_other_rows(docs_of):
     line = words(30)
     many = docs_of([(i, f"{line} {VOCABULARY[i]}") for i in range(60)]).coalesce(1)
