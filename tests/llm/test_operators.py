@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagetables.llm import (
     bpe,
@@ -109,6 +110,44 @@ def test_lm_scoring_base_and_bits(spark, docs_of):
     assert len({round(r["score"], 9) for r in got if r["doc_id"] == 5}) == 1
 
 
+def test_lm_scoring_reads_the_words_before(docs_of):
+    follows = {w: VOCABULARY[(k * 7 + 1) % 400] for k, w in enumerate(VOCABULARY)}
+    texts = {}
+    for i in range(400):
+        text = [VOCABULARY[i]]
+        while len(text) < 40:
+            text.append(follows[text[-1]])
+        texts[i] = text
+    shuffled = {1000 + i: random.Random(i).sample(t, len(t)) for i, t in texts.items()}
+    rows = [(i, " ".join(t)) for i, t in (texts | shuffled).items()]
+    got = {r["doc_id"]: r["score"] for r in rows_of(lm_scoring.score(docs_of(rows), (F.col("doc_id") < 1000) & (F.col("doc_id") % 4 != 0)))}
+    # Held-out prose costs far less than its own words shuffled.
+    assert all(got[i] > 0.5 * got[1000 + i] for i in range(0, 400, 4))
+
+
+def test_lm_scoring_mixes_by_hand(spark):
+    """Bits by ``priced`` against the counts themselves, with the shares it may choose from."""
+    rng = random.Random(5)
+    seen = Counter((rng.randrange(3), rng.randrange(4), rng.randrange(5)) for _ in range(300))
+    rows = [(100 * u + 10 * v + w, w, v, 10 * v + w, 10 * u + v, 100 * u + 10 * v + w, 8.0 + w, seen[u, v, w]) for u in range(3) for v in range(5) for w in range(5)]
+    grams = spark.createDataFrame(rows, "_gram long, _w long, _v long, _vw long, _uv long, _uvw long, _cost double, _n long")
+    got = {r["_gram"]: r["_cost"] for r in lm_scoring.priced(grams).collect()}
+
+    def cost(at, shares):
+        u, v, w = at
+        p = 2.0 ** -(8.0 + w)
+        for share, same in zip(shares, (lambda x: True, lambda x: x[1] == v, lambda x: x[:2] == (u, v)), strict=True):
+            whole = sum(n for x, n in seen.items() if same(x))
+            p = (1 - share) * p + share * sum(n for x, n in seen.items() if same(x) and x[2] == w) / whole if whole else p
+        return -math.log2(p)
+
+    first = {round(cost((0, 4, w), (s, 0, 0)), 9) for w in range(5) for s in lm_scoring.SHARES}
+    assert all(round(got[40 + w], 9) in first for w in range(5))  # word 4 never comes before another
+    for at in seen:
+        some = [cost(at, (a, b, c)) for a in lm_scoring.SHARES for b in lm_scoring.SHARES for c in lm_scoring.SHARES]
+        assert min(abs(x - got[100 * at[0] + 10 * at[1] + at[2]]) for x in some) < 1e-9
+
+
 def test_jaccard_join_is_exact(docs_of):
     rng = random.Random(3)
     rows = list(ODD)
