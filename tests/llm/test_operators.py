@@ -125,6 +125,10 @@ def test_lm_scoring_reads_the_words_before(docs_of):
     assert all(got[i] > 0.5 * got[1000 + i] for i in range(0, 400, 4))
 
 
+def test_lm_scoring_slots_are_whole():
+    assert lm_scoring.OFFSETS[-1] == 2**16 + 2**18 + 2**19 + 2**22 + 2**20 + 2**21
+
+
 def test_lm_scoring_mixes_by_hand(spark):
     """Bits by ``priced`` against the counts themselves, with the shares it may choose from."""
     rng = random.Random(5)
