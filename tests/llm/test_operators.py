@@ -94,6 +94,17 @@ def test_perplexity_rejects_noise(docs_of):
     assert not any(kept[i] for i, _ in noise)
 
 
+def test_perplexity_is_of_the_own_language(docs_of):
+    rng = random.Random(2)
+    tongues = [["".join(rng.choices("abcdefg", k=rng.randint(3, 7))) for _ in range(60)] for _ in range(2)]
+    en, de = ([" ".join(rng.choices(tongue, k=80)) for _ in range(300)] for tongue in tongues)
+    both = "\n".join(" ".join(rng.choices(tongues[k % 2], k=8)) for k in range(10))
+    docs = docs_of([*enumerate(en), (1000, de[0]), (1001, both)]).unionByName(docs_of([(2000 + i, t) for i, t in enumerate(de)], lang="de"))
+    kept = {r["doc_id"]: r["kept"] for r in rows_of(quality_rules.judge(docs))}
+    assert not kept.pop(1000) and not kept.pop(1001)
+    assert sum(kept.values()) > 0.98 * len(kept)
+
+
 def test_lm_scoring_base_and_bits(spark, docs_of):
     rows = ODD + [(20 + i, words(60, random.Random(i))) for i in range(40)]
     got = rows_of(lm_scoring.score(docs_of(rows), ~held_out("doc_id", 7, 2)))
