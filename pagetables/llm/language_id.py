@@ -7,7 +7,9 @@ at whose ends a phrase ends too, so that many pieces walk through the automata s
 all pieces of a text are added up.
 
 The sample: of the training rows with a label, per language those that come first by a hash of the identifier,
-``ROWS`` rows at most, up to its share of ``SAMPLE`` bytes; at most ``LANGUAGES`` languages, the most frequent first.
+``ROWS`` rows at most, up to its share of ``SAMPLE`` bytes, which is that of ``GROUP`` languages if there are more. Every label
+is learned: the automata of ``GROUP`` languages are held at a time, and with more languages each batch of texts walks
+through one group after the other, which builds its automata again.
 Texts that are null or have no letter get ``und`` and score 0; with no labelled row at all every text does. Equal
 phrase counts go to the language that sorts first. ``score`` is the winner's share when every phrase more halves a
 language's weight.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pagetables.llm.common import LOWER, SLICE, slices
 
-SAMPLE, ROWS, LANGUAGES, PIECE = 160_000, 100, 32, 192
+SAMPLE, ROWS, GROUP, PIECE = 160_000, 100, 4, 192
 NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 
 
@@ -116,26 +118,28 @@ def phrases(data: np.ndarray, bounds: np.ndarray, model: tuple[np.ndarray, np.nd
 
 
 def learn(docs: DataFrame, training: Column, id_col: str, text_col: str, lang_col: str) -> dict[str, bytes]:
-    """Per language the sample text; bounded by ``SAMPLE``, ``ROWS`` and ``LANGUAGES``."""
+    """Per language the sample text, each bounded by ``SAMPLE`` and ``ROWS``."""
     rows = docs.where(training & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
     )
-    langs = [r[0] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES).collect()]
+    langs = [r[0] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").collect()]
     if not langs:
         return {}
-    share = SAMPLE // len(langs)
+    share = SAMPLE // min(len(langs), GROUP)
     # Only identifiers are ranked; a rank limit cuts each task's rows before they move. Few, known ids then meet the texts.
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    ids = rows.where(F.col("_lang").isin(langs)).select("_lang", "_id").withColumn("_n", F.row_number().over(order))
-    chosen = {r["_id"] for r in ids.where(F.col("_n") <= ROWS).collect()} - {None}
-    texts = rows.where(F.col("_id").isin(sorted(chosen)) & F.col("_lang").isin(langs))
-    texts = texts.select("_lang", "_id", F.xxhash64("_id").alias("_h"), F.substring("_text", 1, share).alias("_text")).collect()
     out: dict[str, bytes] = {}
-    for r in sorted(texts, key=lambda r: (r["_lang"], r["_h"], r["_id"], r["_text"] or "")):
-        have = out.get(r["_lang"], b"")
-        if len(have) < share:
-            data, _ = squeeze(np.frombuffer((r["_text"] or "").encode(), np.uint8), np.zeros(1, np.int64))
-            out[r["_lang"]] = (have + data.tobytes() + b" ")[:share]
+    for i in range(0, len(langs), 32):
+        some = rows.where(F.col("_lang").isin(langs[i : i + 32]))
+        ids = some.select("_lang", "_id").withColumn("_n", F.row_number().over(order))
+        chosen = {r["_id"] for r in ids.where(F.col("_n") <= ROWS).collect()} - {None}
+        texts = some.where(F.col("_id").isin(sorted(chosen)))
+        texts = texts.select("_lang", "_id", F.xxhash64("_id").alias("_h"), F.substring("_text", 1, share).alias("_text")).collect()
+        for r in sorted(texts, key=lambda r: (r["_lang"], r["_h"], r["_id"], r["_text"] or "")):
+            have = out.get(r["_lang"], b"")
+            if len(have) < share:
+                data, _ = squeeze(np.frombuffer((r["_text"] or "").encode(), np.uint8), np.zeros(1, np.int64))
+                out[r["_lang"]] = (have + data.tobytes() + b" ")[:share]
     return out
 
 
@@ -146,27 +150,41 @@ def predict(docs: DataFrame, samples: dict[str, bytes], id_col: str, text_col: s
     shared = spark.sparkContext.broadcast(samples)
     models: list = []
 
+    def groups() -> Iterator[list]:
+        if len(names) <= GROUP:
+            if not models:
+                models.extend(parser(shared.value[n]) for n in names)
+            yield models
+        else:
+            for i in range(0, len(names), GROUP):
+                yield [parser(shared.value[n]) for n in names[i : i + GROUP]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not models:
-            models.extend(parser(shared.value[n]) for n in names)
         for batch in batches:
             letters = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)
-            for first, last, data, bounds in slices(batch.column(1), SLICE):
-                data, bounds = squeeze(data, bounds)
-                some = letters[first:last] & bool(names)
-                pred = np.full(last - first, "und", object)
-                score, rate = np.zeros(last - first), np.zeros(last - first)
-                if names:
-                    counts = np.stack([phrases(data, bounds, m) for m in models])
-                    best = counts.argmin(0)
-                    least = counts.min(0)
-                    pred[some] = np.array(names, object)[best[some]]
-                    score[some] = (1 / np.exp2(-np.minimum(counts - least, 60).astype(float)).sum(0))[some]
-                    rate[some] = (least / np.maximum(np.diff(bounds), 1))[some]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(pred, pa.string()), pa.array(score), pa.array(rate)],
-                    ["_id", "lang_pred", "score", "phrases_per_byte"],
-                )
+            texts = ((first, last, *squeeze(data, bounds)) for first, last, data, bounds in slices(batch.column(1), SLICE))
+            # Automata that are built again should see many texts; those that stay see slice after slice.
+            for some_texts in [list(texts)] if len(names) > GROUP else ([t] for t in texts):
+                counts, place = np.zeros((len(names), batch.num_rows), np.int64), 0
+                for group in groups() if names else ():
+                    for i, model in enumerate(group):
+                        for first, last, data, bounds in some_texts:
+                            counts[place + i, first:last] = phrases(data, bounds, model)
+                    place += len(group)
+                for first, last, _, bounds in some_texts:
+                    some = letters[first:last] & bool(names)
+                    pred = np.full(last - first, "und", object)
+                    score, rate = np.zeros(last - first), np.zeros(last - first)
+                    if names:
+                        own = counts[:, first:last]
+                        least = own.min(0)
+                        pred[some] = np.array(names, object)[own.argmin(0)[some]]
+                        score[some] = (1 / np.exp2(-np.minimum(own - least, 60).astype(float)).sum(0))[some]
+                        rate[some] = (least / np.maximum(np.diff(bounds), 1))[some]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(first, last - first), pa.array(pred, pa.string()), pa.array(score), pa.array(rate)],
+                        ["_id", "lang_pred", "score", "phrases_per_byte"],
+                    )
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(

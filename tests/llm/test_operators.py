@@ -105,6 +105,22 @@ def test_perplexity_is_of_the_own_language(docs_of):
     assert sum(kept.values()) > 0.98 * len(kept)
 
 
+def test_every_language_has_its_own_band(docs_of):
+    rng, docs = random.Random(4), None
+    for i in range(20):
+        tongue = ["".join(rng.choices("abcdefg", k=rng.randint(3, 7))) for _ in range(40)]
+        some = docs_of([(100 * i + k, " ".join(rng.choices(tongue, k=60))) for k in range(20 - i // 2)], lang=f"l{i:02}")
+        docs = some if docs is None else docs.unionByName(some)
+    got = rows_of(quality_rules.judge(docs))
+    assert Counter(r["doc_id"] // 100 for r in got) == {i: 20 - i // 2 for i in range(20)}
+    # Texts of one length have the band of their language.
+    by_language = {}
+    for r in got:
+        by_language.setdefault(r["doc_id"] // 100, []).append((r["band_low"] + 0.9 * (r["band_high"] - r["band_low"]) / 2))
+    middles = [sum(v) / len(v) for v in by_language.values()]
+    assert len({round(m, 3) for m in middles}) > 17
+
+
 def test_lm_scoring_base_and_bits(spark, docs_of):
     rows = ODD + [(20 + i, words(60, random.Random(i))) for i in range(40)]
     got = rows_of(lm_scoring.score(docs_of(rows), ~held_out("doc_id", 7, 2)))
@@ -358,6 +374,17 @@ def test_language(spark, docs_of):
     assert {r["lang_pred"] for r in none} == {"und"} and len(none) == len(ODD)
 
 
+def test_every_labelled_language_is_learned(docs_of):
+    rng, docs, truth = random.Random(6), None, {}
+    for i in range(35):
+        tongue = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 7))) for _ in range(30)]
+        some = [(100 * i + k, " ".join(rng.choices(tongue, k=40))) for k in range(40 - i)]
+        truth |= {n: f"l{i:02}" for n, _ in some}
+        docs = docs_of(some, lang=f"l{i:02}") if docs is None else docs.unionByName(docs_of(some, lang=f"l{i:02}"))
+    got = rows_of(language_id.identify(docs, F.col("doc_id") % 100 > 1))
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == truth
+
+
 @pytest.mark.parametrize("module, column", [(pu_toxicity, "toxic"), (pu_quality, "quality")])
 def test_classifiers_learn(spark, docs_of, module, column):
     mark = "vile scum" if column == "toxic" else "#### $$$$ ####"
