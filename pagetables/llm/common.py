@@ -30,12 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one the session names, or one beside the warehouse in local mode."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}-checkpoints"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder; its own folder beside the warehouse only if none is named."""
+    """Cut the lineage by a checkpoint in the shared folder."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        own = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(own or f"{spark.conf.get('spark.sql.warehouse.dir')}-checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
