@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from pagetables.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
-from pagetables.llm.common import table
+from pagetables.llm.common import shared_folder, table
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
@@ -23,8 +23,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in their order; each stage's rows are written as Parquet to the shared folder and read again."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}-checkpoints"
-    base = f"{named}/corpus-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
