@@ -14,7 +14,7 @@ from pagetables.functions import text as X
 from pagetables.operators import audit, grid, incremental, kv, listing, ordered, panels, sections, summary
 from pagetables.plans import profile
 from pagetables.sources import tables as io
-from pagetables.sources.html import html_nodes
+from pagetables.sources.html import html_nodes, page_trees
 from pagetables.streaming.listing import stream_listing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,21 +72,21 @@ def nations(t: R.Tables) -> DataFrame:
 
 @query
 def page_links(t):
-    nodes = html_nodes(t.captured, tags=("a",))
+    nodes = html_nodes(t.captured, tags=("a",), texts=())
     linked = nodes.filter(grid.attr("href").isNotNull())
     return linked.groupBy("page_id").agg(F.count("*").alias("n_links"))
 
 
 @query
 def page_tag_counts(t):
-    nodes = html_nodes(t.captured, tags=("li", "h1", "p"))
+    nodes = html_nodes(t.captured, tags=("li", "h1", "p"), texts=())
     count = lambda tag: F.count_if(F.col("tag") == tag).alias(f"n_{tag}")
     return nodes.groupBy("page_id").agg(count("li"), count("h1"), count("p"))
 
 
 @query
 def page_head(t):
-    nodes = html_nodes(t.captured, tags=("html", "title"))
+    nodes = html_nodes(t.captured, tags=("html", "title"), texts=("title",))
     return nodes.groupBy("page_id").agg(
         F.min_by(grid.attr("lang"), F.when(F.col("tag") == "html", F.col("pre"))).alias("lang"),
         F.min_by(X.clean_text(F.col("text")), F.when(F.col("tag") == "title", F.col("pre"))).alias("title"),
@@ -95,7 +95,7 @@ def page_head(t):
 
 @query
 def page_nav(t):
-    return listing.links_in_lists(html_nodes(t.captured, tags=("a",)))
+    return listing.links_in_lists(html_nodes(t.captured, tags=("a",), texts=()))
 
 
 @query
@@ -108,7 +108,7 @@ def page_hosts(t):
 def page_ready(t):
     """Every linked expert's page; the ones without a panel bar are not ready."""
     pages = R.expert_pages(t, 1)
-    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li")))
+    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li"), texts=()))
     return pages.select("page_id").join(ready.withColumn("r", F.lit(True)), "page_id", "left").select(
         "page_id", F.coalesce("r", F.lit(False)).alias("ready")
     )
@@ -213,7 +213,7 @@ def flat_export(t):
 @query
 def profile_meta(t):
     pages = R.expert_pages(t, 1)
-    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li")))
+    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li"), texts=()))
     joined = profile.enrich(R.experts_master(t), pages, "expert", no_time()).join(ready, "page_id", "left_semi")
     return joined.select("Meta.Source_URL", "Meta.Institution", "Meta.Name_From_List", "Meta.Expert_ID", "Meta.Profile_URL")
 
@@ -221,7 +221,7 @@ def profile_meta(t):
 @query
 def error_reasons(t):
     pages = R.expert_pages(t, 1)
-    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li")))
+    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li"), texts=()))
     done = pages.select("page_id", "url").join(ready, "page_id", "left_semi")
     return profile.extraction_errors("expert", R.experts_master(t), done, no_time()).select("name", "reason")
 
@@ -264,7 +264,7 @@ def pending(t):
     experts = R.experts_master(t).filter(X.valid_link(F.col("Manage_URL")))
     done = experts.filter(F.col("Expert_Type") == "Academic")
     pages = R.expert_pages(t, 1)
-    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li")))
+    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li"), texts=()))
     failed = pages.join(ready, "page_id", "left_anti").select(F.col("url").alias("Manage_URL"))
     return incremental.pending(experts, "Manage_URL", done, failed).select("k")
 
@@ -358,9 +358,8 @@ def completeness(t):
 @query
 def activity_union(t):
     """Grid rows of the experts' activity; linked and plain project names side by side."""
-    nodes = html_nodes(R.activity_pages(t), carry=("k",))
-    grids = grid.fixed_grids(nodes, {"ProfileBar-9": (None, 4)}, ("page_id", "k"))
-    rows = grids.select("k", F.inline(F.expr(f"transform(rows, r -> {sections.ACTIVITY_ROW})")))
+    found = sections_of(R.activity_pages(t), "expert", "Activity")
+    rows = found.select("k", F.inline("Activity"))
     return rows.select(
         "k", F.col("Project_Name").alias("project_name"), F.col("Project_URL").alias("project_url"),
         F.col("Type").alias("type"), F.col("Current_Status").alias("current_status"),
@@ -391,8 +390,8 @@ def top_values(t):
 
 
 def sections_of(pages: DataFrame, kind: str, *only: str, carry: str = "k") -> DataFrame:
-    nodes = html_nodes(pages.withColumn("k", F.col(carry)), carry=("k",), tags=profile.SECTION_TAGS)
-    return sections.page_sections(profile.share_by_page(nodes, ("page_id", "k")), kind, ("page_id", "k"), only).drop("page_id")
+    trees = profile.section_trees(pages.withColumn("k", F.col(carry)), ("k",))
+    return sections.page_sections(trees, kind, ("k",), only)
 
 
 def expert_sections(t: R.Tables, panel: int, section: str) -> DataFrame:
@@ -488,25 +487,23 @@ def run_id_format(t):
 # --- sections and scalars --------------------------------------------------------------------
 
 
-def fixed_rows(t: R.Tables, n: int, grid_id: str | None, cells: int, one) -> DataFrame:
-    nodes = html_nodes(R.expert_pages(t, n))
-    rows = grid.fixed_grids(nodes, {f"ProfileBar-{n}": (grid_id, cells)})
-    return rows.select(F.col("page_id").alias("k"), F.inline(F.expr(f"transform(rows, r -> {one})")))
+def expert_grid(t: R.Tables, n: int, section: str) -> DataFrame:
+    return expert_sections(t, n, section).select("k", F.inline(section))
 
 
 @query
 def expertise(t):
-    return fixed_rows(t, 4, "contactsGrid", 4, sections.EXPERTISE_ROW)
+    return expert_grid(t, 4, "Expertise")
 
 
 @query
 def affiliation(t):
-    return fixed_rows(t, 6, "networksGrid", 2, sections.AFFILIATION_ROW)
+    return expert_grid(t, 6, "Facility_Affiliation")
 
 
 @query
 def web_presence(t):
-    return fixed_rows(t, 8, "webGrid", 3, sections.WEB_ROW)
+    return expert_grid(t, 8, "Web_Presence")
 
 
 @query
@@ -524,18 +521,18 @@ def expert_general(t):
 @query
 def breadcrumb(t):
     """The trail of every facility's first panel."""
-    nodes = html_nodes(R.facility_detail_pages(t), tags=("li",))
-    parts = panels.panel_parts(nodes, panels.panel_scopes("item")).filter(F.size("crumbs") > 0)
-    names = F.filter(F.transform("crumbs", lambda x: x["text"]), lambda x: x != "")
-    return parts.select(F.col("page_id").alias("k"), F.array_join(names, " > ").alias("path"))
+    trees = page_trees(R.facility_detail_pages(t), tags=("ul", "ol", "li"))
+    found = panels.each_panel(trees, "item", panels.crumbs, "crumbs").where(F.size("crumbs") > 0)
+    names = F.filter("crumbs", lambda x: x != "")
+    return found.select(F.col("page_id").alias("k"), F.array_join(names, " > ").alias("path"))
 
 
 @query
 def kv_pairs(t):
     """Labelled rows of the facilities' first panel, links, ratings and blanks included."""
-    nodes = html_nodes(R.facility_detail_pages(t), tags=profile.SECTION_TAGS)
-    pairs = kv.kv_pairs(nodes, panels.panel_scopes("item"), kv.FACILITY)
-    return pairs.filter(F.col("panel_id") == "ProfileBar-1").select(F.col("page_id").alias("k"), "key", "value")
+    trees = profile.section_trees(R.facility_detail_pages(t))
+    found = panels.each_panel(trees, "item", lambda inside: kv.fields(inside, kv.FACILITY), "fields", ids=["ProfileBar-1"])
+    return found.select(F.col("page_id").alias("k"), F.explode("fields"))
 
 
 @query
@@ -550,7 +547,7 @@ def grid_rows(t):
     )
     table = R.grid("Code,Research Area", F.col("rows"))
     pages = rows.select(F.col("k").alias("page_id"), R.bar(R.panel(1, table)).alias("html"))
-    found = grid.section_grids(html_nodes(pages), panels.panel_scopes("item"), "facility")
+    found = panels.each_panel(page_trees(pages), "item", lambda inside: grid.grid_records(inside, "facility"), "rows")
     record = found.select(F.col("page_id").alias("k"), F.posexplode("rows").alias("item_ord", "m"))
     return record.select("k", F.col("item_ord").cast("bigint"), *[F.col("m")[c].alias(c) for c in ("Code", "Research_Area", "Code_URL")])
 
@@ -598,7 +595,7 @@ def link_kinds(t):
         .groupBy("page_id")
         .agg(R.join_rows("k", "html").alias("html"))
     )
-    links = html_nodes(pages, tags=("a",))
+    links = html_nodes(pages, tags=("a",), texts=())
     return links.groupBy(X.link_kind(grid.attr("href")).alias("kind")).agg(F.count("*").alias("n"))
 
 

@@ -8,15 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.text import clean_text, icon_flag, normalize_key
-from pagetables.operators.scope import (
-    enclosing,
-    first_in_document,
-    in_document_order,
-    is_a,
+from pagetables.operators.scope import enclosing, in_document_order, is_a, or_self, sel_is
+from pagetables.operators.tree import (
+    Fold,
+    attr_of,
+    below,
+    entry,
+    first,
+    in_any,
     last_wins,
-    or_self,
-    sel_is,
-    within,
+    let,
+    links_in,
+    node_is,
+    nodes,
+    pick,
+    shown,
+    with_below,
 )
 
 IS_MASTER_ROW = sel_is("tr", "k-master-row")
@@ -34,15 +41,6 @@ def is_box() -> Column:
     return (F.col("tag") == "input") & F.coalesce(attr("type") == "checkbox", F.lit(False))
 
 
-def is_no_data() -> Column:
-    return is_a("tr", "k-no-data") | is_a("div", "k-grid-norecords-template")
-
-
-def is_shown() -> Column:
-    style = F.replace(F.coalesce(attr("style"), F.lit("")), F.lit(" "), F.lit(""))
-    return attr("hidden").isNull() & ~F.lower(style).contains("display:none")
-
-
 def _cell_facts(nodes: DataFrame, *extra: Column, clean: bool = True, wide: bool = False) -> DataFrame:
     """Only the columns that cells are built from, so that an exchange carries no more.
 
@@ -105,159 +103,124 @@ def table_rows(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFram
     )
 
 
-def _pair(key: str, value: str) -> str:
-    return f"named_struct('key', {key}, 'value', {value})"
+def is_record_row(x: Column, flavor: str) -> Column:
+    """Master rows; for organizations any row but detail rows."""
+    if flavor == "facility":
+        return node_is(x, "tr", "k-master-row")
+    return (x["tag"] == "tr") & (~F.array_contains(x["cls"], "k-detail-row") | F.array_contains(x["cls"], "k-master-row"))
 
 
-def _cell_entries(flavor: str) -> str:
-    """SQL: what one grid cell ``c`` named ``c.name`` adds to its record. Texts are clean."""
-    link, href = "c.links[0]", "coalesce(c.links[0].href, '')"
-    named, with_url = _pair("c.name", f"{link}.text"), _pair("concat(c.name, '_URL')", f"{link}.href")
-    if flavor == "facility":
-        linked = f"array({named}, {with_url})"
-    else:
-        linked = f"""CASE WHEN startswith({href}, 'mailto:') THEN array({_pair("'Email'", link + ".text")})
-            WHEN startswith({href}, 'tel:') THEN array({_pair("'Phone'", link + ".text")})
-            WHEN {href} <> '' AND NOT startswith({href}, 'javascript') THEN array({named}, {with_url})
-            ELSE array({named}) END"""
-    flag = "coalesce(c.icon.flag, c.text)"
-    return f"CASE WHEN size(c.links) > 0 THEN {linked} ELSE array({_pair('c.name', flag)}) END"
-
-
-def _records(flavor: str) -> Column:
-    """Rows of cells -> ``array<map<string,string>>``, named by ``names``."""
-    name = "coalesce(nullif(get(names, i), ''), concat('Column_', i))"
-    cells = (
-        f"transform(r.cells, (c, i) -> named_struct('name', {name}, 'text', c.text, 'links', c.links, 'icon', c.icon))"
-    )
-    entries = f"flatten(transform({cells}, c -> {_cell_entries(flavor)}))"
-    return F.expr(f"transform(transform(rows, r -> {entries}), es -> {last_wins('es')})")
+def is_empty_mark(x: Column) -> Column:
+    return node_is(x, "tr", "k-no-data") | node_is(x, "div", "k-grid-norecords-template")
+
+
+def is_visible(x: Column) -> Column:
+    style = F.replace(F.coalesce(attr_of(x, "style"), F.lit("")), F.lit(" "), F.lit(""))
+    return attr_of(x, "hidden").isNull() & ~F.lower(style).contains("display:none")
+
+
+def icon_in(items: Column) -> Column:
+    """The first icon among a list's elements."""
+    return first(pick(items, "span", "k-icon"))
+
 
+def tree_cells(row: Column, wide: bool = False) -> Column:
+    """Cells of a row: ``array<struct<text, links, flag>>``."""
 
-def section_grids(
-    nodes: DataFrame,
-    panels: Column,
-    flavor: str,
-    keys: Sequence[str] = ("page_id",),
-    header_mode: str = "compact",
-    shuffle: bool = True,
-) -> DataFrame:
-    """First grid of every panel: ``keys, panel_pre, rows array<map<string,string>>``.
+    def cell(c: Column) -> Column:
+        def made(inner: Column) -> Column:
+            flag = let(icon_in(inner), lambda i: icon_flag(attr_of(i, "title"), i["cls"], wide))
+            return F.struct(shown(c).alias("text"), links_in(inner).alias("links"), flag.alias("flag"))
+
+        return let(below(c), made)
+
+    return F.transform(pick(below(row), "td"), cell)
+
+
+def _cell_entries(flavor: str, name: Column, c: Column) -> Column:
+    """What one grid cell adds to its record."""
+    link = F.get(c["links"], F.lit(0))
+    href = F.coalesce(link["href"], F.lit(""))
+    named, with_url = entry(name, link["text"]), entry(F.concat(name, F.lit("_URL")), link["href"])
+    linked = F.array(named, with_url)
+    if flavor != "facility":
+        linked = (
+            F.when(href.startswith("mailto:"), F.array(entry("Email", link["text"])))
+            .when(href.startswith("tel:"), F.array(entry("Phone", link["text"])))
+            .when((href != "") & ~href.startswith("javascript"), linked)
+            .otherwise(F.array(named))
+        )
+    return F.when(F.size(c["links"]) > 0, linked).otherwise(F.array(entry(name, F.coalesce(c["flag"], c["text"]))))
+
+
+def grid_records(inside: Column, flavor: str, header_mode: str = "compact") -> Column:
+    """Records of the first grid among the elements of a panel: ``array<map<string,string>>``, NULL without a grid.
 
     ``flavor`` is ``facility`` (master rows only, links always give a URL) or
     ``organization`` (any row but detail rows, mail and phone links get their own key,
     all-blank rows are dropped). ``header_mode='compact'`` names cells by the non-blank
     headers only, as the source data does; ``'positional'`` keeps blank headers in place.
-    All levels group by page first, so one exchange by page serves them all;
-    ``shuffle=False`` if the nodes already lie together by page.
     """
-    is_grid = is_a("div", "k-grid")
     drop = "?" if flavor == "organization" else ""
-    if flavor == "facility":
-        row_test, is_row = IS_MASTER_ROW, is_a("tr", "k-master-row")
-    else:
-
-        def row_test(sel: str) -> str:
-            plain = f"NOT contains({sel}, ' .k-detail-row ') OR contains({sel}, ' .k-master-row ')"
-            return f"startswith({sel}, 'tr ') AND ({plain})"
-
-        is_row = (F.col("tag") == "tr") & (~is_a(None, "k-detail-row") | is_a(None, "k-master-row"))
-    is_head = (F.col("tag") == "th") & within(sel_is("thead"))
-    is_cell = F.col("tag").isin("td", "a") | is_icon() | is_box()
-    rows_around = F.when(
-        is_row | is_cell, or_self(enclosing(row_test, inside="grid_pre"), is_row)
-    ).otherwise(F.array(F.lit(-1)))
-
-    facts = (
-        nodes.filter(is_row | is_cell | is_head | is_no_data() | is_grid)
-        .withColumn("grid_pre", F.explode(or_self(enclosing(sel_is("div", "k-grid")), is_grid)))
-        .withColumn("row_pre", F.explode(rows_around))
-    )
-    facts = _cell_facts(
-        facts,
-        *keys,
-        F.col("grid_pre"),
-        F.col("row_pre"),
-        F.when(is_grid, panels).alias("panels"),
-        F.when(is_head, normalize_key(clean_text(F.col("text")), drop)).alias("head"),
-        (is_no_data() & is_shown()).alias("empty_mark"),
-        (is_row & within(sel_is("tbody"))).alias("body_row"),
-        wide=flavor == "organization",
-    )
-    if shuffle:
-        facts = facts.repartition(*keys)
-    rows = facts.groupBy(*keys, "grid_pre", "row_pre").agg(
-        *_cell_lists(),
-        F.max(F.col("body_row") & (F.col("pre") == F.col("row_pre"))).alias("in_body"),
-        in_document_order(F.col("head").isNotNull(), F.col("head")).alias("heads"),
-        F.max("empty_mark").alias("empty_mark"),
-        first_in_document(F.col("pre") == F.col("grid_pre"), F.col("panels")).alias("panels"),
-    )
-    row = F.when((F.col("row_pre") >= 0) & F.col("in_body"), F.struct("row_pre", _cells().alias("cells")))
-    grids = rows.groupBy(*keys, "grid_pre").agg(
-        F.array_sort(F.collect_list(row)).alias("rows"),
-        F.flatten(F.collect_list("heads")).alias("heads"),
-        F.max("empty_mark").alias("no_data"),
-        F.max("panels").alias("panels"),
-    )
-    names = F.expr("transform(heads, h -> h.head)")
-    if header_mode == "compact":
-        names = F.expr("filter(transform(heads, h -> h.head), h -> h <> '')")
-    has_content = "size(m) > 0" if flavor == "facility" else "exists(map_values(m), v -> coalesce(v, '') <> '')"
-    return (
-        grids.withColumn("names", names)
-        .withColumn("records", _records(flavor))
-        .withColumn("rows", F.expr(f"filter(records, m -> NOT no_data AND {has_content})"))
-        .select(*keys, F.explode("panels").alias("panel_pre"), "grid_pre", "rows")
-        .groupBy(*keys, "panel_pre")
-        .agg(F.min_by("rows", "grid_pre").alias("rows"))
-    )
 
+    def heads(inner: Column) -> Column:
+        def titles(around: Column) -> Column:
+            found = F.filter(inner, lambda x: (x["tag"] == "th") & in_any(around, x))
+            return F.transform(found, lambda x: normalize_key(shown(x), drop))
+
+        names = let(pick(nodes(), "thead"), titles)
+        return F.filter(names, lambda h: h != "") if header_mode == "compact" else names
+
+    def record(names: Column) -> Fold:
+        def name(i: Column) -> Column:
+            return F.coalesce(F.nullif(F.get(names, i), F.lit("")), F.concat(F.lit("Column_"), i))
+
+        def made(r: Column) -> Column:
+            cells = tree_cells(r, flavor == "organization")
+            return last_wins(F.flatten(F.transform(cells, lambda c, i: _cell_entries(flavor, name(i), c))))
+
+        return made
+
+    def filled(m: Column) -> Column:
+        if flavor == "facility":
+            return F.size(m) > 0
+        return F.exists(F.map_values(m), lambda v: F.coalesce(v, F.lit("")) != "")
+
+    def records(g: Column) -> Column:
+        def of(inner: Column) -> Column:
+            def rows(bodies: Column) -> Column:
+                return F.filter(inner, lambda x: is_record_row(x, flavor) & in_any(bodies, x))
+
+            def made(names: Column) -> Column:
+                return F.filter(F.transform(let(pick(nodes(), "tbody"), rows), record(names)), filled)
+
+            return let(heads(inner), made)
+
+        none = F.exists(with_below(g), lambda x: is_empty_mark(x) & is_visible(x))
+        return F.when(none, F.array().cast("array<map<string,string>>")).when(g.isNotNull(), let(below(g), of))
 
-def fixed_grids(
-    nodes: DataFrame,
-    grids: dict[str, tuple[str | None, int]],
-    keys: Sequence[str] = ("page_id",),
-    shuffle: bool = True,
-) -> DataFrame:
-    """Rows of grids with known columns: ``keys, panel_id, rows array<array<cell>>``.
+    return let(first(pick(inside, "div", "k-grid")), records)
 
-    ``grids`` maps a panel's id to its grid's id (any grid of the panel if ``None``) and the
-    number of cells a row needs. A panel that shows the no-records line has no rows. Panels
-    that a page lacks, and panels without rows, are absent.
+
+def fixed_rows(panel_id: str, grid_id: str | None, min_cells: int) -> Column:
+    """Rows of a panel's grid with known columns: ``array<array<cell>>``, empty without panel or rows.
+
+    ``grid_id`` may be None for any grid of the panel; shorter rows are left out. A panel that shows the
+    no-records line has no rows.
     """
-    wanted = []
-    for panel, (table, n) in grids.items():
-        ok = sel_is(id=table)("p.sel") if table else "true"
-        hit = f"named_struct('id', '{panel}', 'n', {n}, 'ok', exists(path, p -> {ok}))"
-        wanted.append(f"if(exists(path, p -> {sel_is(id=panel)('p.sel')}), {hit}, NULL)")
-    panel_id = F.expr(f"explode(filter(array({', '.join(wanted)}), x -> x IS NOT NULL))")
-    is_row = is_a("tr", "k-master-row")
-    is_cell = F.col("tag").isin("td", "a") | is_icon() | is_box()
-    rows_around = F.when(
-        (is_row | is_cell) & F.col("panel.ok"), or_self(enclosing(IS_MASTER_ROW), is_row)
-    ).otherwise(F.array(F.lit(-1)))
-    facts = (
-        nodes.filter(is_row | is_cell | is_no_data())
-        .withColumn("panel", panel_id)
-        .withColumn("row_pre", F.explode(F.when(is_no_data(), F.array_append(rows_around, F.lit(-1))).otherwise(rows_around)))
-    )
-    facts = _cell_facts(
-        facts, *keys, F.col("panel.id").alias("panel_id"), F.col("panel.n").alias("min_cells"), F.col("row_pre"),
-        is_no_data().alias("empty_mark"), (is_row & within(sel_is("tbody"))).alias("body_row"),
-    )
-    if shuffle:
-        facts = facts.repartition(*keys)
-    rows = facts.groupBy(*keys, "panel_id", "row_pre", "min_cells").agg(
-        *_cell_lists(),
-        F.max("empty_mark").alias("empty_mark"),
-        F.max(F.col("body_row") & (F.col("pre") == F.col("row_pre"))).alias("in_body"),
-    )
-    full = (F.col("row_pre") >= 0) & F.col("in_body") & (F.size("cells") >= F.col("min_cells"))
-    return (
-        rows.withColumn("row", F.when(full, F.struct("row_pre", _cells().alias("cells"))))
-        .groupBy(*keys, "panel_id")
-        .agg(F.array_sort(F.collect_list("row")).alias("rows"), F.max("empty_mark").alias("no_data"))
-        .filter(~F.col("no_data") & (F.size("rows") > 0))
-        .select(*keys, "panel_id", F.expr("transform(rows, r -> r.cells) AS rows"))
-    )
+
+    def rows(panels: Column) -> Column:
+        def of(bodies: Column) -> Column:
+            def wanted(x: Column) -> Column:
+                test = node_is(x, "tr", "k-master-row") & in_any(panels, x) & in_any(bodies, x)
+                return test & in_any(F.filter(nodes(), lambda g: node_is(g, id=grid_id)), x) if grid_id else test
+
+            cells = F.transform(F.filter(nodes(), wanted), lambda r: tree_cells(r))
+            return F.filter(cells, lambda r: F.size(r) >= min_cells)
+
+        none = F.exists(nodes(), lambda x: is_empty_mark(x) & in_any(panels, x))
+        return F.when(~none, let(pick(nodes(), "tbody"), of))
+
+    found = let(F.filter(nodes(), lambda x: node_is(x, id=panel_id)), rows)
+    empty = F.array().cast("array<array<struct<text:string,links:array<struct<href:string,text:string>>,flag:string>>>")
+    return F.coalesce(found, empty)

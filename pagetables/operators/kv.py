@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import blank_to_null, clean_text, normalize_key, parse_flag, rating
-from pagetables.operators.grid import attr, is_icon
-from pagetables.operators.scope import enclosing, in_document_order, is_a, sel_is, within
-
-
-EMPTY = "''"
-TRAIL = "' > '"
-
-
-def quote(s: str) -> str:
-    return f"'{s}'"
+from pagetables.functions.text import blank_to_null, normalize_key, parse_flag, rating
+from pagetables.operators.grid import icon_in
+from pagetables.operators.tree import (
+    attr_of,
+    below,
+    entry,
+    first,
+    has_class,
+    holds,
+    last_wins,
+    let,
+    links_in,
+    node_is,
+    pick,
+    shown,
+)
 
 
 @dataclass(frozen=True)
@@ -53,168 +57,116 @@ ORGANIZATION = KvRules(
 )
 
 
-def labelled_rows(nodes: DataFrame, panels: Column, keys: Sequence[str], shuffle: bool = True) -> DataFrame:
-    """Each labelled row with what it holds: ``keys, panel_pre, panel_id, row_pre, label, cols, links, ...``.
+def is_col(x: Column) -> Column:
+    return (x["tag"] == "div") & F.exists(x["cls"], lambda c: c.contains("col-"))
 
-    One group is one row of the page.
-    """
-    kind = (
-        F.when(F.col("tag") == "label", "label")
-        .when((F.col("tag") == "div") & F.expr("exists(cls, c -> contains(c, 'col-'))"), "col")
-        .when(F.col("tag") == "a", "link")
-        .when(is_icon(), "icon")
-        .when(is_a("span", "k-rating"), "rating")
-        .when((F.col("tag") == "li") & within(sel_is("ol", "breadcrumb")), "crumb")
-    )
-    facts = (
-        nodes.withColumn("kind", kind)
-        .filter(F.col("kind").isNotNull())
-        .withColumn("panel_pre", F.explode(panels))
-        .withColumn("row_pre", F.explode(enclosing(sel_is("div", "row"), inside="panel_pre")))
-        .select(
-            *keys, "panel_pre", "row_pre", "kind", "pre", "post", "cls", clean_text(F.col("text")).alias("text"),
-            F.expr("regexp_extract(get(filter(path, p -> p.pre = panel_pre), 0).sel, ' #([^ ]+)', 1) AS panel_id"),
-            F.when(F.col("kind") == "crumb", enclosing(sel_is("ol", "breadcrumb"))).alias("trails"),
-            attr("for").alias("target"), attr("href").alias("href"), attr("title").alias("title"),
-            attr("aria-valuenow").alias("value"),
-        )
-    )
-    if shuffle:
-        facts = facts.repartition(*keys)
-
-    def found(name: str, *fields: str) -> Column:
-        return in_document_order(F.col("kind") == name, *map(F.col, ("post", *fields))).alias(name + "s")
-
-    return (
-        facts.groupBy(*keys, "panel_pre", "panel_id", "row_pre")
-        .agg(
-            found("label", "target", "text"), found("col", "cls", "text"), found("link", "href", "text"),
-            found("icon", "title", "cls"), found("rating", "value"), found("crumb", "trails", "text"),
-        )
-        .withColumn("label", F.expr("labels[0]"))
-        .filter(F.col("label").isNotNull())
-    )
 
+def labelled_rows(inside: Column) -> Column:
+    """Rows among a panel's elements that hold a label: ``array<struct<label, cols>>``, of nodes."""
+
+    def parts(r: Column) -> Column:
+        return let(below(r), lambda inner: F.struct(first(pick(inner, "label")).alias("label"), F.filter(inner, is_col).alias("cols")))
+
+    return F.filter(F.transform(pick(inside, "div", "row"), parts), lambda q: q["label"].isNotNull())
 
-def value_column(rules: KvRules) -> Column:
+
+def value_column(rules: KvRules, q: Column) -> Column:
     """The column of a labelled row that holds its value, NULL if there is none."""
-    classes = ", ".join(f"'{c}'" for c in rules.columns or ("",))
-    named = f"get(filter(cols, c -> arrays_overlap(c.cls, array({classes}))), 0)"
+    named = first(F.filter(q["cols"], lambda c: has_class(c, *(rules.columns or ("",)))))
     if not rules.other:
-        return F.expr(named)
-    free = "NOT (c.pre < label.pre AND c.post > label.post)"
-    if rules.other == "with_text":
-        free += " AND c.text <> ''"
-    elif rules.other == "with_content":
-        holds = [f"exists({x}, x -> x.pre > c.pre AND x.post < c.post)" for x in ("icons", "links")]
-        free += f" AND exists(c.cls, x -> contains(x, 'col-md')) AND (c.text <> '' OR {' OR '.join(holds)})"
-    return F.expr(f"coalesce({named}, get(filter(cols, c -> {free}), 0))")
-
-
-def field_key(rules: KvRules) -> Column:
-    from_text = normalize_key(F.col("label.text"), rules.key_drop)
-    return F.coalesce(blank_to_null(F.col("label.target")), from_text) if rules.key_from_for else from_text
-
-
-def _pair(key: str, value: str) -> str:
-    return f"named_struct('key', {key}, 'value', {value})"
-
-
-def _entries(rules: KvRules) -> Column:
-    """Entries that a row contributes, from its key ``name``, ``val`` and what ``val`` holds."""
-    plain = f"array({_pair('name', 'val.text')})"
-    if rules.values == "text":
-        return F.expr(plain)
-    if rules.values == "expert_general":
-        mail, phone = (f"get(filter(links, x -> startswith(x.href, '{p}')), 0).text" for p in ("mailto:", "tel:"))
-        both = f"{_pair(quote('Email'), f'coalesce({mail}, {EMPTY})')}, {_pair(quote('Phone'), f'coalesce({phone}, {EMPTY})')}"
-        return F.expr(
-            f"""CASE WHEN label.target IN ('IsLinkedToUser', 'Enabled') THEN array({_pair('name', 'flag')})
-            WHEN label.target = 'Contact' THEN array({both})
-            WHEN label.target = 'ReputationScore' THEN array({_pair(quote('Reputation_Score'),
-                'CASE WHEN rated IS NULL THEN val.text ELSE score END')})
-            ELSE {plain} END"""
-        )
-    wide = rules.values == "all_links"
-    href = "coalesce(x.href, '')"
-    named, with_url = _pair("name", "x.text"), _pair("concat(name, '_URL')", href)
-    web = f"array({named}, {with_url})"
-    if wide:
-        web = f"if({href} <> '' AND NOT startswith({href}, 'javascript'), {web}, array({named}))"
-    linked = f"""CASE WHEN startswith({href}, 'mailto:') THEN array({_pair(quote('Email'), 'x.text')})
-        WHEN startswith({href}, 'tel:') THEN array({_pair(quote('Phone'), 'x.text')}) ELSE {web} END"""
-    chosen = "links" if wide else "slice(links, 1, 1)"
-    blank = plain if rules.keep_blank else f"filter({plain}, e -> e.value <> '')"
-    # the items of the first breadcrumb in the value column
-    trail = "get(filter(crumbs[0].trails, t -> t > val.pre), 0)"
-    names = f"transform(filter(crumbs, x -> array_contains(x.trails, {trail}) AND x.text <> ''), x -> x.text)"
-    crumbs = f"WHEN size(crumbs) > 0 THEN array({_pair('name', f'array_join({names}, {TRAIL})')})" if wide else ""
-    usable = "true" if rules.keep_blank else "name <> ''"
-    return F.expr(
-        f"""filter(CASE WHEN icon IS NOT NULL THEN array({_pair('name', 'flag')})
-        WHEN size(links) > 0 THEN flatten(transform({chosen}, x -> {linked}))
-        WHEN rated IS NOT NULL THEN array({_pair('name', 'score')})
-        {crumbs} ELSE {blank} END, e -> {usable})"""
-    )
-
-
-def kv_pairs(
-    nodes: DataFrame,
-    panels: Column,
-    rules: KvRules | dict[str, KvRules],
-    keys: Sequence[str] = ("page_id",),
-    shuffle: bool = True,
-) -> DataFrame:
-    """Key/value pairs of every panel in long form: ``keys, panel_pre, panel_id, pos, key, value``.
-
-    A later value replaces an earlier one of the same key and keeps the earlier place.
-    ``rules`` may differ by panel id; panels that it does not name are left out.
-    """
-    rows = labelled_rows(nodes, panels, keys, shuffle)
-    if isinstance(rules, dict):
-        rows = rows.filter(F.col("panel_id").isin(*rules))
-        by_panel = list(rules.items())
-    else:
-        by_panel = [(None, rules)]
-
-    def choose(expression) -> Column:
-        out = None
-        for panel_id, r in by_panel:
-            if panel_id is None:
-                return expression(r)
-            hit = F.col("panel_id") == panel_id
-            out = F.when(hit, expression(r)) if out is None else out.when(hit, expression(r))
+        return named
+
+    def free(c: Column) -> Column:
+        out = ~holds(c, q["label"])
+        if rules.other == "with_text":
+            out = out & (shown(c) != "")
+        elif rules.other == "with_content":
+            held = F.exists(below(c), lambda x: (x["tag"] == "a") | node_is(x, "span", "k-icon"))
+            out = out & F.exists(c["cls"], lambda n: n.contains("col-md")) & ((shown(c) != "") | held)
         return out
 
-    def held(items: str) -> Column:
-        return F.expr(f"filter({items}, x -> x.pre > val.pre AND x.post < val.post)")
-
-    text = F.col("val.text")
-    return (
-        rows.withColumn("val", choose(value_column))
-        .filter(F.col("val").isNotNull())
-        .withColumns({"name": choose(field_key), **{x: held(x) for x in ("links", "icons", "ratings", "crumbs")}})
-        .withColumns({"icon": F.expr("get(icons, 0)"), "rated": F.expr("get(ratings, 0)")})
-        .withColumns(
-            {
-                "flag": choose(lambda r: parse_flag(F.col("icon.title"), F.col("icon.cls"), text, r.values == "all_links")),
-                "score": choose(lambda r: rating(F.col("rated.value"), text if r.values == "expert_general" else None)),
-            }
+    return F.coalesce(named, first(F.filter(q["cols"], free)))
+
+
+def field_key(rules: KvRules, label: Column) -> Column:
+    from_text = normalize_key(shown(label), rules.key_drop)
+    return F.coalesce(blank_to_null(attr_of(label, "for")), from_text) if rules.key_from_for else from_text
+
+
+def trail_in(items: Column) -> Column:
+    """The items of the first breadcrumb among some elements as ``a > b > c``, NULL without one."""
+
+    def joined(trail: Column) -> Column:
+        names = F.filter(F.transform(pick(below(trail), "li"), shown), lambda n: n != "")
+        return F.when(trail.isNotNull(), F.array_join(names, " > "))
+
+    filled = F.filter(pick(items, "ol", "breadcrumb"), lambda o: F.size(pick(below(o), "li")) > 0)
+    return let(first(filled), joined)
+
+
+def _entries(rules: KvRules, q: Column) -> Column:
+    """Entries that a row contributes, from its label and value column."""
+    general, wide = rules.values == "expert_general", rules.values == "all_links"
+
+    def of(inner: Column) -> Column:
+        icon, rated = icon_in(inner), first(pick(inner, "span", "k-rating"))
+        target = attr_of(q["label"], "for")
+        held = F.struct(
+            field_key(rules, q["label"]).alias("name"), target.alias("target"), shown(q["val"]).alias("text"),
+            links_in(inner).alias("links"), icon.alias("icon"), rated.alias("rated"),
+            (trail_in(inner) if wide else F.lit(None).cast("string")).alias("trail"),
+        )
+        return let(held, made)
+
+    def made(h: Column) -> Column:
+        name, text = h["name"], h["text"]
+        plain = F.array(entry(name, text))
+        if rules.values == "text":
+            return plain
+        flag = parse_flag(attr_of(h["icon"], "title"), h["icon"]["cls"], text, wide)
+        score = rating(attr_of(h["rated"], "aria-valuenow"), text if general else None)
+        if general:
+            mail, phone = (
+                F.coalesce(first(F.filter(h["links"], lambda x: x["href"].startswith(p)))["text"], F.lit("")) for p in ("mailto:", "tel:")
+            )
+            return (
+                F.when(h["target"].isin("IsLinkedToUser", "Enabled"), F.array(entry(name, flag)))
+                .when(h["target"] == "Contact", F.array(entry("Email", mail), entry("Phone", phone)))
+                .when(h["target"] == "ReputationScore", F.array(entry("Reputation_Score", F.when(h["rated"].isNull(), text).otherwise(score))))
+                .otherwise(plain)
+            )
+
+        def linked(x: Column) -> Column:
+            href = F.coalesce(x["href"], F.lit(""))
+            named = entry(name, x["text"])
+            web = F.array(named, entry(F.concat(name, F.lit("_URL")), href))
+            if wide:
+                web = F.when((href != "") & ~href.startswith("javascript"), web).otherwise(F.array(named))
+            return (
+                F.when(href.startswith("mailto:"), F.array(entry("Email", x["text"])))
+                .when(href.startswith("tel:"), F.array(entry("Phone", x["text"])))
+                .otherwise(web)
+            )
+
+        chosen = h["links"] if wide else F.slice(h["links"], 1, 1)
+        found = (
+            F.when(h["icon"].isNotNull(), F.array(entry(name, flag)))
+            .when(F.size(h["links"]) > 0, F.flatten(F.transform(chosen, linked)))
+            .when(h["rated"].isNotNull(), F.array(entry(name, score)))
         )
-        .select(*keys, "panel_pre", "panel_id", "row_pre", F.posexplode(choose(_entries)).alias("i", "e"))
-        .groupBy(*keys, "panel_pre", "panel_id", F.col("e.key").alias("key"))
-        .agg(
-            F.min(F.struct("row_pre", "i")).alias("pos"),
-            F.max_by("e.value", F.struct("row_pre", "i")).alias("value"),
-        )
-    )
+        if wide:
+            found = found.when(h["trail"].isNotNull(), F.array(entry(name, h["trail"])))
+        found = found.otherwise(plain if rules.keep_blank else F.filter(plain, lambda e: e["value"] != ""))
+        return found if rules.keep_blank else F.when(name != "", found).otherwise(F.filter(found, lambda e: F.lit(False)))
+
+    return let(below(q["val"]), of)
+
 
+def fields(inside: Column, rules: KvRules) -> Column:
+    """The labelled rows among a panel's elements as one map, keys in page order.
 
-def kv_maps(pairs: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """One map per panel, keys in page order: ``keys, panel_pre, fields``."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "key", "value")))
-    return (
-        pairs.groupBy(*keys, "panel_pre")
-        .agg(ordered.alias("es"))
-        .select(*keys, "panel_pre", F.expr("map_from_entries(transform(es, e -> struct(e.key, e.value))) AS fields"))
-    )
+    A later value replaces an earlier one of the same key and keeps the earlier place.
+    """
+    rows = F.transform(labelled_rows(inside), lambda q: F.struct(q["label"].alias("label"), value_column(rules, q).alias("val")))
+    with_value = F.filter(rows, lambda q: q["val"].isNotNull())
+    return last_wins(F.flatten(F.transform(with_value, lambda q: _entries(rules, q))))

@@ -1,25 +1,23 @@
-"""What a panel holds besides grids and labelled rows: items, links, cards, addresses."""
+"""The panels of a page, and what they hold besides grids and labelled rows: items, links, cards, addresses."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import clean_text
-from pagetables.operators.grid import attr
-from pagetables.operators.scope import (
-    any_sel,
-    enclosing,
-    enclosing_panels,
-    first_in_document,
-    in_document_order,
-    is_a,
-    is_panel,
-    or_self,
-    sel_is,
-    within,
+from pagetables.operators.tree import (
+    any_of,
+    attr_of,
+    below,
+    first,
+    has_class,
+    let,
+    node_is,
+    nodes,
+    pick,
+    shown,
 )
 
 # The elements that carry list items, cards and addresses.
@@ -32,147 +30,120 @@ CARD_KINDS = {
 ADDRESS_KINDS = {
     "address": ("address",), "address-block": ("div", "address"), "location": ("div", "location"), "row": ("div", "row")
 }
+ID_PREFIX = "ProfileBar-"
 
 
-def panel_scopes(by: str) -> Column:
-    """``pre`` of the panels around a node: ``'item'`` of a panel bar, or ``'id'`` (ProfileBar-n)."""
+def is_ready() -> Column:
+    """Whether a page has a panel bar at all."""
+    return F.exists(nodes(), lambda x: any_of(x, ("ul", "k-panelbar"), ("li", "k-panelbar-header"), ("li", "k-panelbar-item")))
+
+
+def panel_nodes(by: str) -> Column:
+    """The panels of a page in order: ``'item'`` of a panel bar, or ``'id'`` (ProfileBar-n)."""
     if by == "item":
-        return enclosing_panels()
-    return enclosing(lambda sel: f"contains({sel}, ' #ProfileBar-')")
+        bar = lambda x: F.when(x["up"] >= 0, F.get(nodes(), x["up"]))
+        return F.filter(nodes(), lambda x: (x["tag"] == "li") & F.coalesce(node_is(bar(x), "ul", "k-panelbar"), F.lit(False)))
+    return F.filter(nodes(), lambda x: F.coalesce(x["id"].startswith(ID_PREFIX), F.lit(False)))
+
+
+def each_panel(
+    trees: DataFrame,
+    by: str,
+    build: Callable[[Column], Column],
+    name: str,
+    keys: Sequence[str] = ("page_id",),
+    ids: Sequence[str] | None = None,
+) -> DataFrame:
+    """``keys, panel_pre, panel_id`` and what ``build`` makes of each panel's elements; only the panels with these ids."""
+    panels = panel_nodes(by)
+    if ids is not None:
+        panels = F.filter(panels, lambda p: p["id"].isin(*ids))
+    one = lambda p: F.struct(p["i"].alias("panel_pre"), p["id"].alias("panel_id"), build(below(p)).alias(name))
+    return trees.select(*keys, F.inline(F.transform(panels, one)))
 
 
-def panel_lists(nodes: DataFrame, by: str, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Panels of each page in order: ``keys, ready, panels array<struct<pre,id>>``.
+def named_items(inside: Column, kinds: Sequence[str], title: str = "", longer_than: int = 0) -> Column:
+    """Texts of the list items of these kinds, minus blanks, the section's title and short ones."""
+    found = F.transform(F.filter(inside, lambda x: any_of(x, *(ITEM_KINDS[k] for k in kinds))), shown)
+    keep = lambda t: (F.length(t) > longer_than) & (t != title)
+    return F.coalesce(F.filter(found, keep), F.array().cast("array<string>"))
 
-    ``ready`` tells whether the page has a panel bar at all; other pages have no row.
-    """
-    bar = is_a("ul", "k-panelbar") | is_a("li", "k-panelbar-header") | is_a("li", "k-panelbar-item")
-    mine = is_panel() if by == "item" else F.coalesce(F.col("id").startswith("ProfileBar-"), F.lit(False))
-    return (
-        nodes.filter(bar | mine)
-        .groupBy(*keys)
-        .agg(F.max(bar).alias("ready"), in_document_order(mine, F.col("id")).alias("panels"))
-    )
 
+def content(inside: Column, *classes: str) -> Column:
+    """Text of the first content element of one of the classes."""
+    hit = first(F.filter(inside, lambda x: (x["tag"] == "div") & has_class(x, *classes)))
+    return F.coalesce(let(hit, lambda x: F.when(x.isNotNull(), shown(x))), F.lit(""))
 
-def _kinds(kinds: dict[str, tuple[str, ...]]) -> Column:
-    return F.array_compact(F.array(*[F.when(is_a(*t), F.lit(k)) for k, t in kinds.items()]))
 
+def links(inside: Column) -> Column:
+    """Links of a panel: ``array<struct<href, text, is_nav>>``; ``is_nav`` marks the panel's own header."""
 
-def _any(kinds: dict[str, tuple[str, ...]]) -> Column:
-    tests = [is_a(*t) for t in kinds.values()]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return out
+    def one(x: Column) -> Column:
+        nav = F.exists(x["cls"], lambda c: c.contains("k-link"))
+        return F.struct(attr_of(x, "href").alias("href"), shown(x).alias("text"), nav.alias("is_nav"))
 
+    return F.transform(pick(inside, "a"), one)
+
+
+def crumbs(inside: Column) -> Column:
+    """Texts of all breadcrumb items of a panel."""
+
+    def of(trails: Column) -> Column:
+        found = F.filter(inside, lambda x: (x["tag"] == "li") & F.exists(trails, lambda o: (o["i"] < x["i"]) & (x["i"] <= o["last"])))
+        return F.transform(found, shown)
+
+    return let(pick(nodes(), "ol", "breadcrumb"), of)
+
+
+def images(inside: Column) -> Column:
+    return pick(inside, "img")
+
+
+def blurb(inside: Column, longer_than: int) -> Column:
+    """The first descriptive text of more than so many characters."""
+    found = F.filter(inside, lambda x: any_of(x, ("div", "description"), ("div", "summary"), ("p", "lead")))
+    return first(F.filter(F.transform(found, shown), lambda t: F.length(t) > longer_than))
 
-def panel_parts(
-    nodes: DataFrame, panels: Column, keys: Sequence[str] = ("page_id",), shuffle: bool = True
-) -> DataFrame:
-    """Per panel, in document order: ``items, contents, links, crumbs, images, blurbs``."""
-    is_content = is_a("div", "k-content") | is_a("div", "panel-body") | is_a("div", "content")
-    is_blurb = is_a("div", "description") | is_a("div", "summary") | is_a("p", "lead")
-    facts = (
-        nodes.withColumns(
-            {
-                "kinds": _kinds(ITEM_KINDS),
-                "is_content": is_content,
-                "is_blurb": is_blurb,
-                "is_crumb": (F.col("tag") == "li") & within(sel_is("ol", "breadcrumb")),
-                "text": F.when(F.col("tag") != "img", clean_text(F.col("text"))),
-            }
-        )
-        .filter((F.size("kinds") > 0) | F.col("is_content") | F.col("is_blurb") | F.col("tag").isin("a", "img"))
-        .withColumn("panel_pre", F.explode(panels))
-        .select(
-            *keys, "panel_pre", "pre", "tag", "kinds", "is_content", "is_blurb", "is_crumb", "text", "cls",
-            attr("href").alias("href"), attr("src").alias("src"), attr("alt").isNotNull().alias("has_alt"),
-            F.expr("exists(cls, c -> contains(c, 'k-link')) AS is_nav"),
-        )
-    )
-    if shuffle:
-        facts = facts.repartition(*keys)
-    text, cls = F.col("text"), F.col("cls")
-    return facts.groupBy(*keys, "panel_pre").agg(
-        in_document_order(F.size("kinds") > 0, F.col("kinds"), text).alias("items"),
-        in_document_order(F.col("is_content"), cls, text).alias("contents"),
-        in_document_order(F.col("tag") == "a", F.col("href"), text, F.col("is_nav")).alias("links"),
-        in_document_order(F.col("is_crumb"), text).alias("crumbs"),
-        in_document_order(F.col("tag") == "img", F.col("src"), F.col("has_alt"), cls).alias("images"),
-        in_document_order(F.col("is_blurb"), text).alias("blurbs"),
-    )
-
-
-def _blocks(
-    nodes: DataFrame, panels: Column, kinds: dict, parts: dict[str, Column], keys: Sequence[str], shuffle: bool
-) -> DataFrame:
-    """Blocks of every panel with the first text of each part inside them."""
-    is_block = _any(kinds)
-    test = any_sel(*[sel_is(*t) for t in kinds.values()])
-    inner = F.col("pre") > F.col("block_pre")
-    is_part = is_block
-    for p in parts.values():
-        is_part = is_part | p
-    facts = (
-        nodes.filter(is_part)
-        .withColumn("panel_pre", F.explode(panels))
-        .withColumn("block_pre", F.explode(or_self(enclosing(test, inside="panel_pre"), is_block)))
-        .select(
-            *keys, "panel_pre", "block_pre", "pre", clean_text(F.col("text")).alias("text"),
-            F.when(is_block, _kinds(kinds)).alias("kinds"), *[(inner & p).alias("is_" + k) for k, p in parts.items()],
-        )
-    )
-    if shuffle:
-        facts = facts.repartition(*keys)
-    own = F.col("pre") == F.col("block_pre")
-    return facts.groupBy(*keys, "panel_pre", "block_pre").agg(
-        first_in_document(own, F.col("kinds")).alias("kinds"),
-        first_in_document(own, F.col("text")).alias("text"),
-        *[first_in_document(F.col("is_" + k), F.col("text")).alias(k) for k in parts],
-    )
-
-
-def panel_cards(
-    nodes: DataFrame, panels: Column, keys: Sequence[str] = ("page_id",), shuffle: bool = True
-) -> DataFrame:
-    """Contact cards of every panel: ``keys, panel_pre, cards array<struct<kinds,name,...>>``.
 
-    The first element of each selector inside a card counts; a field is NULL without one.
-    Names and roles have a narrow and a wide selector, for the two kinds of page.
+def _blocks(inside: Column, kinds: Sequence[tuple[str, ...]], made: Callable[[Column, Column], Column]) -> Column:
+    """What ``made`` gives for every block of these kinds and its inside."""
+    found = F.filter(inside, lambda x: any_of(x, *kinds))
+    return F.transform(found, lambda b: let(below(b), lambda inner: made(b, inner)))
+
+
+def _first_text(items: Column, test: Callable[[Column], Column]) -> Column:
+    return let(first(F.filter(items, test)), lambda x: F.when(x.isNotNull(), shown(x)))
+
+
+def cards(inside: Column, kinds: Sequence[str], wide: bool) -> Column:
+    """Contact cards: ``array<struct<name, email, phone, role>>``, NULL where a card has no such element.
+
+    The first element of each selector inside a card counts. ``wide`` also takes ``b`` for a name and ``small`` for a role.
     """
-    tag = F.col("tag")
-    has = {c: F.array_contains("cls", c) for c in ("name", "role", "title", "position")}
-    name = tag.isin("h4", "h5", "strong") | has["name"]
-    role = has["role"] | has["title"] | has["position"]
-    href = F.coalesce(attr("href"), F.lit(""))
-    parts = {
-        "name": name,
-        "name_wide": name | (tag == "b"),
-        "email": (tag == "a") & href.startswith("mailto:"),
-        "phone": (tag == "a") & href.startswith("tel:"),
-        "role": role,
-        "role_wide": role | (tag == "small"),
-    }
-    card = F.struct("block_pre", "kinds", *parts)
-    return (
-        _blocks(nodes, panels, CARD_KINDS, parts, keys, shuffle)
-        .groupBy(*keys, "panel_pre")
-        .agg(F.array_sort(F.collect_list(card)).alias("cards"))
-    )
-
-
-def panel_addresses(
-    nodes: DataFrame, panels: Column, keys: Sequence[str] = ("page_id",), shuffle: bool = True
-) -> DataFrame:
-    """Address blocks of every panel: ``keys, panel_pre, addresses array<struct<kinds,text,...>>``."""
-    has = {c: F.array_contains("cls", c) for c in ("city", "province", "state", "postal", "zip")}
-    parts = {
-        "city": has["city"], "province": has["province"] | has["state"], "postal": has["postal"] | has["zip"]
-    }
-    block = F.struct("block_pre", "kinds", "text", *parts)
-    return (
-        _blocks(nodes, panels, ADDRESS_KINDS, parts, keys, shuffle)
-        .groupBy(*keys, "panel_pre")
-        .agg(F.array_sort(F.collect_list(block)).alias("addresses"))
-    )
+
+    def name(x: Column) -> Column:
+        return x["tag"].isin("h4", "h5", "strong", *(["b"] if wide else [])) | has_class(x, "name")
+
+    def role(x: Column) -> Column:
+        found = has_class(x, "role", "title", "position")
+        return found | (x["tag"] == "small") if wide else found
+
+    def to(scheme: str) -> Callable[[Column], Column]:
+        return lambda x: (x["tag"] == "a") & F.coalesce(attr_of(x, "href").startswith(scheme), F.lit(False))
+
+    def card(_: Column, inner: Column) -> Column:
+        tests = {"name": name, "email": to("mailto:"), "phone": to("tel:"), "role": role}
+        return F.struct(*[_first_text(inner, t).alias(n) for n, t in tests.items()])
+
+    return _blocks(inside, [CARD_KINDS[k] for k in kinds], card)
+
+
+def addresses(inside: Column, kinds: Sequence[str]) -> Column:
+    """Address blocks: ``array<struct<text, city, province, postal>>``."""
+    tests = {"city": ("city",), "province": ("province", "state"), "postal": ("postal", "zip")}
+
+    def block(b: Column, inner: Column) -> Column:
+        parts = [_first_text(inner, lambda x: has_class(x, *c)).alias(n) for n, c in tests.items()]  # noqa: B023
+        return F.struct(shown(b).alias("text"), *parts)
+
+    return _blocks(inside, [ADDRESS_KINDS[k] for k in kinds], block)

@@ -39,9 +39,6 @@ def sel_is(tag: str | None = None, *classes: str, id: str | None = None) -> Test
     return test
 
 
-def any_sel(*tests: Test) -> Test:
-    return lambda sel: f"({' OR '.join(t(sel) for t in tests)})"
-
 
 def enclosing(test: Test, inside: str | None = None) -> Column:
     """``pre`` of every enclosing element that passes, outermost first.
@@ -52,43 +49,14 @@ def enclosing(test: Test, inside: str | None = None) -> Column:
     return F.expr(f"transform(filter(path, p -> {test('p.sel')}{bound}), p -> p.pre)")
 
 
-def within(test: Test) -> Column:
-    """Whether some enclosing element passes."""
-    return F.expr(f"exists(path, p -> {test('p.sel')})")
-
 
 def or_self(scopes: Column, is_self: Column) -> Column:
     """The enclosing elements, plus the node itself where it is such an element."""
     return F.when(is_self, F.array_append(scopes, F.col("pre"))).otherwise(scopes)
 
 
-def enclosing_panels() -> Column:
-    """``pre`` of the enclosing panels: items that sit directly in a panel bar."""
-    bar, item = sel_is("ul", "k-panelbar"), sel_is("li")
-    in_bar = f"{item('p.sel')} AND coalesce({bar('get(path, i - 1).sel')}, false)"
-    return F.expr(f"transform(filter(path, (p, i) -> {in_bar}), p -> p.pre)")
-
-
-def is_panel() -> Column:
-    bar = sel_is("ul", "k-panelbar")
-    return F.expr(f"tag = 'li' AND coalesce({bar('try_element_at(path, -1).sel')}, false)")
 
 
 def in_document_order(kind: Column, *fields: Column) -> Column:
     """Aggregate: structs of ``pre`` and the fields of the rows where ``kind`` holds, by ``pre``."""
     return F.array_sort(F.collect_list(F.when(kind, F.struct(F.col("pre"), *fields))))
-
-
-def first_in_document(kind: Column, value: Column) -> Column:
-    """Aggregate: ``value`` of the first row in document order where ``kind`` holds."""
-    return F.min_by(value, F.when(kind, F.col("pre")))
-
-
-def last_wins(entries: str) -> str:
-    """SQL: ``array<struct<key,value>>`` -> map; a later value replaces an earlier one in place.
-
-    Keys keep the position of their first appearance.
-    """
-    keys = f"array_distinct(transform({entries}, e -> e.key))"
-    last = f"element_at(filter({entries}, e -> e.key = k), -1).value"
-    return f"map_from_arrays({keys}, transform({keys}, k -> {last}))"

@@ -1,18 +1,21 @@
 """Sections of a profile, as expressions on one row per page.
 
-``page_parts`` brings together everything a page's panels hold; each section is then a
-choice among that: its grid, else its list items, else its text, and so on.
+The row is a page's tree (``page_trees``). A section looks at one panel and is a choice among what that
+holds: its grid, else its list items, else its text, and so on. Nothing is exploded or grouped, so
+no section needs an exchange, and a page's nodes never leave the task that read them.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import parse_flag, split_first_delim, split_list
-from pagetables.operators.grid import attr, fixed_grids, is_icon, section_grids
+from pagetables.functions.text import link_name, parse_flag, split_first_delim, split_list
+from pagetables.operators import panels as P
+from pagetables.operators.grid import fixed_rows, grid_records, icon_in
 from pagetables.operators.kv import (
     EXPERT_AUDIT,
     EXPERT_DEMOGRAPHICS,
@@ -20,30 +23,15 @@ from pagetables.operators.kv import (
     EXPERT_GENERAL,
     FACILITY,
     ORGANIZATION,
-    kv_maps,
-    kv_pairs,
+    KvRules,
+    fields,
 )
-from pagetables.operators.panels import panel_addresses, panel_cards, panel_lists, panel_parts, panel_scopes
-from pagetables.operators.scope import enclosing, first_in_document, or_self, sel_is, within
+from pagetables.operators.tree import attr_of, below, entry, first, has_class, if_filled, in_any, let, node_is, nodes, pick, shown
 
-NO_RECORDS = "CAST(array() AS array<map<string,string>>)"
-NO_NAMES = "CAST(array() AS array<string>)"
-NO_FIELDS = "CAST(map() AS map<string,string>)"
+RECORDS, FIELDS = "array<map<string,string>>", "map<string,string>"
 
 # Panels and grids of an expert page, and the four availability flags.
-EXPERT_KV = {
-    "ProfileBar-1": EXPERT_GENERAL,
-    "ProfileBar-2": EXPERT_DETAILS,
-    "ProfileBar-3": EXPERT_DEMOGRAPHICS,
-    "ProfileBar-5": EXPERT_AUDIT,
-    "ProfileBar-10": EXPERT_AUDIT,
-}
-EXPERT_GRIDS = {
-    "ProfileBar-4": ("contactsGrid", 4),
-    "ProfileBar-6": ("networksGrid", 2),
-    "ProfileBar-8": ("webGrid", 3),
-    "ProfileBar-9": (None, 4),
-}
+EXPERT_GRIDS = {4: ("contactsGrid", 4), 6: ("networksGrid", 2), 8: ("webGrid", 3), 9: (None, 4)}
 AVAILABILITY = (
     "Can_Initiate_Innovation_Challenge",
     "Available_for_Scoping",
@@ -52,135 +40,58 @@ AVAILABILITY = (
 )
 
 
-def _per_page(df: DataFrame, value: str, out: str, keys: Sequence[str], name: str = "panel_pre") -> DataFrame:
-    """Fold one row per panel into one map per page."""
-    return df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(name, value))).alias(out))
+def no_records() -> Column:
+    return F.array().cast(RECORDS)
 
 
-def page_parts(
-    nodes: DataFrame,
-    kind: str,
-    keys: Sequence[str] = ("page_id",),
-    parts: Sequence[str] = ("kv", "grids", "parts", "cards", "addresses", "flags"),
-) -> DataFrame:
-    """One row per page that has a panel bar, with what each of its panels holds.
+def no_fields() -> Column:
+    return F.create_map().cast(FIELDS)
 
-    Give nodes that lie together by page (``share_by_page``): then all parts are built and
-    joined where they lie. Only the parts asked for are built.
-    """
-    keys = list(keys)
-    by = "id" if kind == "expert" else "item"
-    scopes = panel_scopes(by)
-    pages = panel_lists(nodes, by, keys).filter(F.col("ready"))
-
-    def add(found: DataFrame) -> None:
-        nonlocal pages
-        pages = pages.join(found, keys, "left")
-
-    if "kv" in parts:
-        rules = {"expert": EXPERT_KV, "facility": FACILITY, "organization": ORGANIZATION}[kind]
-        add(_per_page(kv_maps(kv_pairs(nodes, scopes, rules, keys, False), keys), "fields", "kv", keys))
-    if "grids" in parts:
-        if kind == "expert":
-            add(_per_page(fixed_grids(nodes, EXPERT_GRIDS, keys, False), "rows", "grids", keys, "panel_id"))
-        else:
-            add(_per_page(section_grids(nodes, scopes, kind, keys, shuffle=False), "rows", "grids", keys))
-    if "parts" in parts:
-        lists = F.struct("items", "contents", "links", "crumbs", "images", "blurbs")
-        found = panel_parts(nodes, scopes, keys, False).select(*keys, "panel_pre", lists.alias("lists"))
-        add(_per_page(found, "lists", "parts", keys))
-    if "cards" in parts and kind != "expert":
-        add(_per_page(panel_cards(nodes, scopes, keys, False), "cards", "cards", keys))
-    if "addresses" in parts and kind != "expert":
-        add(_per_page(panel_addresses(nodes, scopes, keys, False), "addresses", "addresses", keys))
-    if "flags" in parts and kind == "expert":
-        add(availability_flags(nodes, keys, False))
-    return pages
-
-
-def availability_flags(nodes: DataFrame, keys: Sequence[str] = ("page_id",), shuffle: bool = True) -> DataFrame:
-    """Flags of the availability table by position: ``keys, flags map<string,string>``."""
-    in_panel = within(sel_is(id="ProfileBar-5"))
-    tables = enclosing(sel_is("table", "table"))
-    is_cell = F.col("tag") == "td"
-    facts = (
-        nodes.filter((is_cell | is_icon()) & in_panel)
-        .withColumn("table_pre", F.get(tables, F.lit(0)))
-        .filter(F.col("table_pre").isNotNull() & within(sel_is("tbody")))
-        .withColumn("td_pre", F.explode(or_self(enclosing(sel_is("td"), inside="table_pre"), is_cell)))
-        .select(*keys, "table_pre", "td_pre", "pre", "text", "cls", is_icon().alias("icon"), attr("title").alias("title"))
-    )
-    if shuffle:
-        facts = facts.repartition(*keys)
-    cells = facts.groupBy(*keys, "table_pre", "td_pre").agg(
-        first_in_document(F.col("pre") == F.col("td_pre"), F.col("text")).alias("text"),
-        first_in_document(F.col("icon"), F.struct("title", "cls")).alias("icon"),
-    )
-    flag = parse_flag(F.col("icon.title"), F.col("icon.cls"), F.col("text"))
-    tables = cells.groupBy(*keys, "table_pre").agg(
-        F.array_sort(F.collect_list(F.struct("td_pre", flag.alias("flag")))).alias("cells")
-    )
-    first = tables.groupBy(*keys).agg(F.min_by("cells", "table_pre").alias("cells"))
-    n = len(AVAILABILITY)
-    names = ", ".join(f"'{name}'" for name in AVAILABILITY)
-    return first.select(
-        *keys,
-        F.expr(
-            f"""map_from_arrays(slice(array({names}), 1, least(size(cells), {n})),
-            slice(transform(cells, c -> c.flag), 1, {n})) AS flags"""
-        ),
-    )
-
-
-# Everything below is SQL text on the columns of ``page_parts``.
-
-
-def record(**fields: tuple[str, str]) -> str:
-    """Map of the given (value, condition) pairs whose condition holds."""
-    pairs = [f"if({on}, named_struct('key', '{k}', 'value', {v}), NULL)" for k, (v, on) in fields.items()]
-    return f"map_from_entries(filter(array({', '.join(pairs)}), e -> e IS NOT NULL))"
 
+class Panel:
+    """The ``n``-th panel of a page, or the one with an id, and the columns that ``page_sections`` makes for it.
 
-def put(fields: str, key: str, value: str, when: str) -> str:
-    """Set one key of a map where the condition holds."""
-    added = f"map_concat(map_filter({fields}, (k, v) -> k <> '{key}'), map('{key}', {value}))"
-    return f"if({when}, {added}, {fields})"
+    ``own`` holds the panel's elements, ``fields`` its labelled rows, ``grid`` the records of its first grid. Missing
+    panels have no elements, rows or records.
+    """
 
+    def __init__(self, n: int, kind: str):
+        self.n, self.kind = n, kind
 
-def texts(names: Sequence[str]) -> str:
-    return "array(" + ", ".join(f"'{n}'" for n in names) + ")"
+    def held(self, column: str) -> Column:
+        return F.get(column, F.lit(self.n - 1))
 
+    @property
+    def own(self) -> Column:
+        return below(self.held("panels"))
 
-class Panel:
-    """What the ``n``-th panel (or the panel with an id) of a page row holds."""
+    @property
+    def fields(self) -> Column:
+        return F.coalesce(self.held("fields"), no_fields())
 
-    def __init__(self, n: int | str):
-        self.pre = f"get(panels, {n - 1}).pre" if isinstance(n, int) else f"get(filter(panels, p -> p.id = '{n}'), 0).pre"
-        self.fields = f"coalesce({self.of('kv')}, {NO_FIELDS})"
-        self.grid = f"coalesce({self.of('grids')}, {NO_RECORDS})"
+    @property
+    def grid(self) -> Column:
+        return F.coalesce(self.held("grids"), no_records())
 
-    def of(self, column: str) -> str:
-        return f"try_element_at({column}, {self.pre})"
+    @property
+    def labelled(self) -> Column:
+        """The labelled rows as one record, if there are any."""
+        return F.when(F.size(self.fields) > 0, F.array(self.fields)).otherwise(no_records())
 
-    def part(self, name: str) -> str:
-        return f"{self.of('parts')}.{name}"
+    def grid_or(self, other: Column) -> Column:
+        return F.when(F.size(self.grid) > 0, self.grid).otherwise(F.coalesce(other, no_records()))
 
-    def named_items(self, kinds: Sequence[str], title: str = "", longer_than: int = 0) -> str:
-        """Texts of the list items of these kinds, minus blanks, the section's title and short ones."""
-        keep = f"arrays_overlap(x.kinds, {texts(kinds)}) AND length(x.text) > {longer_than} AND x.text <> '{title}'"
-        return f"coalesce(transform(filter({self.part('items')}, x -> {keep}), x -> x.text), {NO_NAMES})"
 
-    def content(self, *classes: str) -> str:
-        hits = f"filter({self.part('contents')}, x -> arrays_overlap(x.cls, {texts(classes)}))"
-        return f"coalesce(get({hits}, 0).text, '')"
+def record(**pairs: tuple[Column, Column]) -> Column:
+    """Map of the given (value, condition) pairs whose condition holds."""
+    found = [F.when(on, entry(k, v)) for k, (v, on) in pairs.items()]
+    return F.map_from_entries(F.array_compact(F.array(*found)))
 
-    def grid_or(self, other: str) -> str:
-        return f"if(size({self.grid}) > 0, {self.grid}, {other})"
 
-    @property
-    def labelled(self) -> str:
-        """The labelled rows as one record, if there are any."""
-        return f"if(size({self.fields}) > 0, array({self.fields}), {NO_RECORDS})"
+def put(into: Column, key: str, value: Column, when: Column) -> Column:
+    """Set one key of a map where the condition holds."""
+    kept = F.map_filter(into, lambda k, v: k != key)
+    return F.when(when, F.map_concat(kept, F.create_map(F.lit(key), value))).otherwise(into)
 
 
 def cascade(panel: Panel, kinds: Sequence[str], title: str = "", split: str = "", longer_than: int = 0) -> Column:
@@ -188,214 +99,287 @@ def cascade(panel: Panel, kinds: Sequence[str], title: str = "", split: str = ""
 
     ``split``: '' for no text stage, 'comma', or 'first' for the first delimiter that occurs.
     """
-    items = F.expr(panel.named_items(kinds, title, longer_than))
+    items = P.named_items(panel.own, kinds, title, longer_than)
     if split == "comma":
-        items = F.when(F.size(items) > 0, items).otherwise(split_list(F.expr(panel.content("k-content", "panel-body"))))
+        items = if_filled(items, split_list(P.content(panel.own, "k-content", "panel-body")))
     elif split == "first":
-        content = F.expr(panel.content("k-content", "panel-body", "content"))
-        items = F.when(F.size(items) > 0, items).otherwise(split_first_delim(content))
-    rows = F.expr(panel.grid)
-    return F.struct(rows.alias("rows"), F.when(F.size(rows) > 0, F.expr(NO_NAMES)).otherwise(items).alias("items"))
+        items = if_filled(items, split_first_delim(P.content(panel.own, "k-content", "panel-body", "content")))
+    none = F.array().cast("array<string>")
+    return F.struct(panel.grid.alias("rows"), F.when(F.size(panel.grid) > 0, none).otherwise(F.coalesce(items, none)).alias("items"))
 
 
-def contacts(panel: Panel, kind: str) -> Column:
+def contacts(panel: Panel) -> Column:
     """Grid records, else one record per contact card."""
-    if kind == "facility":
-        kinds, name, role, filled = ("contact-card", "card", "row"), "c.name", "c.role", "IS NOT NULL"
-    else:
-        kinds, name, role, filled = ("contact-card", "card", "contact", "row"), "c.name_wide", "c.role_wide", "<> ''"
-    one = record(
-        Name=(name, f"{name} {filled}"),
-        Email=("c.email", "c.email IS NOT NULL"),
-        Phone=("c.phone", "c.phone IS NOT NULL"),
-        Role=(role, f"{role} {filled}"),
-    )
-    cards = f"filter({panel.of('cards')}, c -> arrays_overlap(c.kinds, {texts(kinds)}))"
-    found = f"filter(transform({cards}, c -> {one}), m -> size(m) > 0)"
-    return F.expr(panel.grid_or(f"coalesce({found}, {NO_RECORDS})"))
-
-
-def locations(panel: Panel, kind: str) -> Column:
+    wide = panel.kind == "organization"
+    kinds = ("contact-card", "card", "contact", "row") if wide else ("contact-card", "card", "row")
+
+    def one(c: Column) -> Column:
+        filled = (lambda v: v != "") if wide else (lambda v: v.isNotNull())
+        return record(
+            Name=(c["name"], filled(c["name"])),
+            Email=(c["email"], c["email"].isNotNull()),
+            Phone=(c["phone"], c["phone"].isNotNull()),
+            Role=(c["role"], filled(c["role"])),
+        )
+
+    return panel.grid_or(F.filter(F.transform(P.cards(panel.own, kinds, wide), one), lambda m: F.size(m) > 0))
+
+
+def locations(panel: Panel) -> Column:
     """Grid records, else address blocks, else the labelled rows as one record."""
-    if kind == "facility":
-        kinds, keep, one = ("address", "address-block", "location"), "true", "map('Address', b.text)"
+    kinds = ("address", "address-block", "location")
+    if panel.kind == "facility":
+        found = F.transform(P.addresses(panel.own, kinds), lambda b: F.create_map(F.lit("Address"), b["text"]))
     else:
-        kinds, keep = ("address", "address-block", "location", "row"), "length(b.text) > 5"
-        one = record(
-            Address=("b.text", "true"),
-            City=("b.city", "b.city IS NOT NULL"),
-            Province=("b.province", "b.province IS NOT NULL"),
-            Postal_Code=("b.postal", "b.postal IS NOT NULL"),
-        )
-    blocks = f"filter({panel.of('addresses')}, b -> arrays_overlap(b.kinds, {texts(kinds)}) AND {keep})"
-    found = f"transform({blocks}, b -> {one})"
-    return F.expr(panel.grid_or(f"if(coalesce(size({blocks}), 0) > 0, {found}, {panel.labelled})"))
 
+        def one(b: Column) -> Column:
+            return record(
+                Address=(b["text"], F.lit(True)),
+                City=(b["city"], b["city"].isNotNull()),
+                Province=(b["province"], b["province"].isNotNull()),
+                Postal_Code=(b["postal"], b["postal"].isNotNull()),
+            )
 
-def web_links(panel: Panel, kind: str) -> Column:
+        blocks = F.filter(P.addresses(panel.own, (*kinds, "row")), lambda b: F.length(b["text"]) > 5)
+        found = F.transform(blocks, one)
+    return panel.grid_or(if_filled(found, panel.labelled))
+
+
+def web_links(panel: Panel) -> Column:
     """Grid records, else the panel's own links with a name and an address."""
-    keep = "coalesce(x.href, '') <> '' AND NOT startswith(x.href, 'javascript')"
-    if kind == "organization":
-        keep += " AND x.href <> '#' AND NOT x.is_nav"
-    one = "map('Name', coalesce(nullif(x.text, ''), 'Link'), 'URL', x.href)"
-    found = f"transform(filter({panel.part('links')}, x -> {keep}), x -> {one})"
-    return F.expr(panel.grid_or(f"coalesce({found}, {NO_RECORDS})"))
 
+    def keep(x: Column) -> Column:
+        href = F.coalesce(x["href"], F.lit(""))
+        usable = (href != "") & ~href.startswith("javascript")
+        return usable & (href != "#") & ~x["is_nav"] if panel.kind == "organization" else usable
+
+    def one(x: Column) -> Column:
+        return F.create_map(F.lit("Name"), link_name(x["text"]), F.lit("URL"), x["href"])
+
+    return panel.grid_or(F.transform(F.filter(P.links(panel.own), keep), one))
 
-def activity(panel: Panel, kind: str) -> Column:
+
+def activity(panel: Panel) -> Column:
     """Grid records, else the labelled rows as one record, and (organizations) project links."""
-    other = panel.labelled
-    if kind == "organization":
-        keep = "(contains(x.href, 'Project') OR contains(x.href, 'Request')) AND x.text <> ''"
-        one = "map('Project_Name', x.text, 'Project_URL', x.href)"
-        projects = f"transform(filter({panel.part('links')}, x -> {keep}), x -> {one})"
-        other = f"concat({other}, coalesce({projects}, {NO_RECORDS}))"
-    return F.expr(panel.grid_or(other))
+    if panel.kind == "facility":
+        return panel.grid_or(panel.labelled)
+
+    def keep(x: Column) -> Column:
+        return (x["href"].contains("Project") | x["href"].contains("Request")) & (x["text"] != "")
 
+    def one(x: Column) -> Column:
+        return F.create_map(F.lit("Project_Name"), x["text"], F.lit("Project_URL"), x["href"])
 
-def trail(panel: Panel) -> str:
-    """Breadcrumb of the panel as ``a > b > c``."""
-    names = f"transform(filter({panel.part('crumbs')}, x -> x.text <> ''), x -> x.text)"
-    return f"coalesce(array_join({names}, ' > '), '')"
+    projects = F.transform(F.filter(P.links(panel.own), keep), one)
+    return panel.grid_or(F.concat(panel.labelled, F.coalesce(projects, no_records())))
 
 
-def first_image(panel: Panel, keep: str) -> str:
-    return f"get(filter({panel.part('images')}, i -> {keep}), 0)"
+def trail(panel: Panel) -> Column:
+    """Breadcrumb of the panel as ``a > b > c``, NULL without any."""
+    items = P.crumbs(panel.own)
+    joined = lambda names: F.when(F.size(names) > 0, F.array_join(F.filter(names, lambda n: n != ""), " > "))
+    return let(items, joined)
 
 
 def expert_general(panel: Panel) -> Column:
-    image = first_image(panel, "i.has_alt")
-    src = f"if({image} IS NULL, '', {image}.src)"
-    unit = f"coalesce(try_element_at({panel.fields}, 'Academic_Unit'), {trail(panel)})"
-    rest = f"map_filter({panel.fields}, (k, v) -> k NOT IN ('Academic_Unit', 'Photo_URL'))"
-    full = f"map_concat(map('Academic_Unit', {unit}), {rest}, map('Photo_URL', {src}))"
-    return F.expr(f"if({panel.pre} IS NULL, {NO_FIELDS}, {full})")
+    image = first(F.filter(P.images(panel.own), lambda i: attr_of(i, "alt").isNotNull()))
+    src = let(image, lambda i: F.when(i.isNull(), F.lit("")).otherwise(attr_of(i, "src")))
+    unit = F.coalesce(F.try_element_at(panel.fields, F.lit("Academic_Unit")), trail(panel), F.lit(""))
+    rest = F.map_filter(panel.fields, lambda k, v: ~k.isin("Academic_Unit", "Photo_URL"))
+    full = F.map_concat(F.create_map(F.lit("Academic_Unit"), unit), rest, F.create_map(F.lit("Photo_URL"), src))
+    return F.when(panel.held("panels").isNull(), no_fields()).otherwise(full)
 
 
 def facility_general(panel: Panel) -> Column:
-    image = first_image(panel, "i.has_alt")
-    fields = put(panel.fields, "Academic_Unit_Path", trail(panel), f"coalesce(size({panel.part('crumbs')}), 0) > 0")
-    return F.expr(put(fields, "Image_URL", f"{image}.src", f"{image} IS NOT NULL"))
+    image = first(F.filter(P.images(panel.own), lambda i: attr_of(i, "alt").isNotNull()))
+    found = let(trail(panel), lambda t: put(panel.fields, "Academic_Unit_Path", t, t.isNotNull()))
+    return let(image, lambda i: put(found, "Image_URL", attr_of(i, "src"), i.isNotNull()))
 
 
 def organization_general(panel: Panel) -> Column:
-    src = first_image(panel, "i.has_alt OR arrays_overlap(i.cls, array('logo', 'org-image'))") + ".src"
-    blurb = f"get(filter({panel.part('blurbs')}, b -> length(b.text) > 50), 0).text"
-    fields = put(panel.fields, "Image_URL", src, f"coalesce({src}, '') <> ''")
-    return F.expr(put(fields, "Description", blurb, f"{blurb} IS NOT NULL"))
+    image = first(F.filter(P.images(panel.own), lambda i: attr_of(i, "alt").isNotNull() | has_class(i, "logo", "org-image")))
+    with_image = let(attr_of(image, "src"), lambda src: put(panel.fields, "Image_URL", src, F.coalesce(src, F.lit("")) != ""))
+    return let(P.blurb(panel.own, 50), lambda text: put(with_image, "Description", text, text.isNotNull()))
 
 
 def fields_of(panel: Panel) -> Column:
-    return F.expr(panel.fields)
+    return panel.fields
 
 
 def fields_and_rows(panel: Panel) -> Column:
     """Labelled rows together with the panel's grid: ``struct<fields, rows>``."""
-    return F.expr(f"named_struct('fields', {panel.fields}, 'rows', {panel.grid})")
+    return F.struct(panel.fields.alias("fields"), panel.grid.alias("rows"))
 
 
 def facility_descriptors(panel: Panel) -> Column:
-    tags = panel.named_items(("tag", "chip", "badge"))
-    return F.expr(f"named_struct('fields', {panel.fields}, 'rows', {panel.grid}, 'tags', {tags})")
+    tags = P.named_items(panel.own, ("tag", "chip", "badge"))
+    return F.struct(panel.fields.alias("fields"), panel.grid.alias("rows"), tags.alias("tags"))
+
 
+def _cell(r: Column, i: int) -> Column:
+    return F.get(r, F.lit(i))
 
-def _text(i: int) -> str:
-    return f"coalesce(get(r, {i}).text, '')"
 
+def _text(r: Column, i: int) -> Column:
+    return F.coalesce(_cell(r, i)["text"], F.lit(""))
 
-def _row(**fields: str) -> str:
-    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+def _link(r: Column, i: int, field: str, other: Column) -> Column:
+    return F.when(F.size(_cell(r, i)["links"]) > 0, F.get(_cell(r, i)["links"], F.lit(0))[field]).otherwise(other)
+
+
+def _row(**values: Column) -> Column:
+    return F.struct(*[v.alias(k) for k, v in values.items()])
 
 
 # Records of the expert grids, from a row ``r`` of cells.
-EXPERTISE_ROW = _row(SRED_Code=_text(0), Area=_text(1), Discipline=_text(2), Field=_text(3))
-AFFILIATION_ROW = _row(Facility_Name=_text(0), Is_Primary_Facility=f"coalesce(get(r, 1).icon.flag, {_text(1)})")
-WEB_ROW = _row(
-    Name=_text(0), Type=_text(1), URL=f"if(size(get(r, 2).links) > 0, get(r, 2).links[0].href, {_text(2)})"
-)
-ACTIVITY_ROW = _row(
-    Project_Name=f"if(size(get(r, 0).links) > 0, get(r, 0).links[0].text, {_text(0)})",
-    Project_URL="if(size(get(r, 0).links) > 0, get(r, 0).links[0].href, '')",
-    Type=_text(1),
-    Organization=_text(2),
-    Current_Status=_text(3),
-)
 
 
-def expert_rows(panel_id: str, one: str) -> Column:
+def expertise_row(r: Column) -> Column:
+    return _row(SRED_Code=_text(r, 0), Area=_text(r, 1), Discipline=_text(r, 2), Field=_text(r, 3))
+
+
+def affiliation_row(r: Column) -> Column:
+    return _row(Facility_Name=_text(r, 0), Is_Primary_Facility=F.coalesce(_cell(r, 1)["flag"], _text(r, 1)))
+
+
+def web_row(r: Column) -> Column:
+    return _row(Name=_text(r, 0), Type=_text(r, 1), URL=_link(r, 2, "href", _text(r, 2)))
+
+
+def activity_row(r: Column) -> Column:
+    return _row(
+        Project_Name=_link(r, 0, "text", _text(r, 0)), Project_URL=_link(r, 0, "href", F.lit("")), Type=_text(r, 1),
+        Organization=_text(r, 2), Current_Status=_text(r, 3),
+    )
+
+
+def expert_rows(panel: Panel, one: Callable[[Column], Column]) -> Column:
     """Records of one of the expert grids."""
-    return F.expr(f"transform(coalesce(try_element_at(grids, '{panel_id}'), array()), r -> {one})")
+    return F.transform(fixed_rows(f"{P.ID_PREFIX}{panel.n}", *EXPERT_GRIDS[panel.n]), one)
+
+
+def availability_flags() -> Column:
+    """Flags of the first availability table by position, a map."""
+
+    def of(panels: Column) -> Column:
+        return let(pick(nodes(), "tbody"), lambda bodies: in_bodies(panels, bodies))
+
+    def in_bodies(panels: Column, bodies: Column) -> Column:
+        def counts(x: Column) -> Column:
+            return in_any(panels, x) & in_any(bodies, x)
+
+        def filled(t: Column) -> Column:
+            return F.exists(below(t), lambda x: ((x["tag"] == "td") | node_is(x, "span", "k-icon")) & counts(x))
+
+        table = first(F.filter(pick(nodes(), "table", "table"), filled))
+        return let(table, lambda t: let(F.transform(F.filter(pick(below(t), "td"), counts), flag), named))
+
+    def flag(c: Column) -> Column:
+        return let(icon_in(below(c)), lambda i: parse_flag(attr_of(i, "title"), i["cls"], shown(c)))
+
+    def named(flags: Column) -> Column:
+        n = F.least(F.size(flags), F.lit(len(AVAILABILITY)))
+        return F.map_from_arrays(F.slice(F.array(*map(F.lit, AVAILABILITY)), 1, n), F.slice(flags, 1, n))
+
+    return let(F.filter(nodes(), lambda x: node_is(x, id=f"{P.ID_PREFIX}5")), of)
 
 
 def price_availability(panel: Panel) -> Column:
-    rate = f"try_element_at({panel.fields}, 'PerDiemRate')"
-    daily = record(Daily_Rate=(rate, f"{rate} IS NOT NULL"))
-    return F.expr(f"map_concat({daily}, coalesce(flags, {NO_FIELDS}))")
+    rate = F.try_element_at(panel.fields, F.lit("PerDiemRate"))
+    return F.map_concat(record(Daily_Rate=(rate, rate.isNotNull())), F.coalesce(availability_flags(), no_fields()))
 
 
-# Sections of each kind of profile in order: the parts a section is built from, and how.
+# Sections of each kind of profile in order: the panel, what it takes from it, and how.
+Build = Callable[[Panel], Column]
 _CODES = ("li", "item", "tag", "chip", "badge")
-SECTIONS: dict[str, dict[str, tuple[tuple[str, ...], Callable[[], Column]]]] = {
+_CHIPS = ("li", "item", "tag", "chip")
+
+SECTIONS: dict[str, dict[str, tuple[int, str, Build]]] = {
     "expert": {
-        "General_Information": (("kv", "parts"), lambda: expert_general(Panel("ProfileBar-1"))),
-        "Details": (("kv",), lambda: fields_of(Panel("ProfileBar-2"))),
-        "Expert_Demographics": (("kv",), lambda: fields_of(Panel("ProfileBar-3"))),
-        "Expertise": (("grids",), lambda: expert_rows("ProfileBar-4", EXPERTISE_ROW)),
-        "Price_Availability": (("kv", "flags"), lambda: price_availability(Panel("ProfileBar-5"))),
-        "Facility_Affiliation": (("grids",), lambda: expert_rows("ProfileBar-6", AFFILIATION_ROW)),
-        "Web_Presence": (("grids",), lambda: expert_rows("ProfileBar-8", WEB_ROW)),
-        "Activity": (("grids",), lambda: expert_rows("ProfileBar-9", ACTIVITY_ROW)),
-        "Audit_Trail": (("kv",), lambda: fields_of(Panel("ProfileBar-10"))),
+        "General_Information": (1, "fields", expert_general),
+        "Details": (2, "fields", fields_of),
+        "Expert_Demographics": (3, "fields", fields_of),
+        "Expertise": (4, "", lambda p: expert_rows(p, expertise_row)),
+        "Price_Availability": (5, "fields", price_availability),
+        "Facility_Affiliation": (6, "", lambda p: expert_rows(p, affiliation_row)),
+        "Web_Presence": (8, "", lambda p: expert_rows(p, web_row)),
+        "Activity": (9, "", lambda p: expert_rows(p, activity_row)),
+        "Audit_Trail": (10, "fields", fields_of),
     },
     "facility": {
-        "General_Information": (("kv", "parts"), lambda: facility_general(Panel(1))),
-        "Academic_Unit_Details": (("kv",), lambda: fields_of(Panel(2))),
-        "Provinces_Served": (("grids", "parts"), lambda: cascade(Panel(3), ("li", "item", "tag"), "", "comma")),
-        "Activities_Offered": (
-            ("grids", "parts"), lambda: cascade(Panel(4), ("li", "item", "tag", "chip"), "Activities Offered")
-        ),
-        "Sectors_Served": (
-            ("grids", "parts"), lambda: cascade(Panel(5), ("li", "item", "tag", "chip"), "Sectors Served")
-        ),
-        "Contacts": (("grids", "cards"), lambda: contacts(Panel(6), "facility")),
-        "Locations": (("grids", "addresses", "kv"), lambda: locations(Panel(7), "facility")),
-        "Facility_Descriptors": (("kv", "grids", "parts"), lambda: facility_descriptors(Panel(8))),
-        "Languages_Serviced": (
-            ("grids", "parts"),
-            lambda: cascade(Panel(9), ("li", "tag", "chip", "badge"), "Languages Serviced", "comma"),
-        ),
-        "Web_Presence": (("grids", "parts"), lambda: web_links(Panel(10), "facility")),
-        "Activity": (("grids", "kv"), lambda: activity(Panel(11), "facility")),
-        "Audit_Trail": (("kv",), lambda: fields_of(Panel(12))),
+        "General_Information": (1, "fields", facility_general),
+        "Academic_Unit_Details": (2, "fields", fields_of),
+        "Provinces_Served": (3, "grid", lambda p: cascade(p, ("li", "item", "tag"), "", "comma")),
+        "Activities_Offered": (4, "grid", lambda p: cascade(p, _CHIPS, "Activities Offered")),
+        "Sectors_Served": (5, "grid", lambda p: cascade(p, _CHIPS, "Sectors Served")),
+        "Contacts": (6, "grid", contacts),
+        "Locations": (7, "grid fields", locations),
+        "Facility_Descriptors": (8, "grid fields", facility_descriptors),
+        "Languages_Serviced": (9, "grid", lambda p: cascade(p, ("li", "tag", "chip", "badge"), "Languages Serviced", "comma")),
+        "Web_Presence": (10, "grid", web_links),
+        "Activity": (11, "grid fields", activity),
+        "Audit_Trail": (12, "fields", fields_of),
     },
     "organization": {
-        "General_Information": (("kv", "parts"), lambda: organization_general(Panel(1))),
-        "Organization_Information": (("kv", "grids"), lambda: fields_and_rows(Panel(2))),
-        "Annual_Information": (("kv", "grids"), lambda: fields_and_rows(Panel(3))),
-        "NAICS_Sectors": (
-            ("grids", "parts"), lambda: cascade(Panel(4), _CODES, "NAICS Sectors", "first", longer_than=1)
-        ),
-        "Contacts": (("grids", "cards"), lambda: contacts(Panel(5), "organization")),
-        "Locations": (("grids", "addresses", "kv"), lambda: locations(Panel(6), "organization")),
-        "Languages_Serviced": (
-            ("grids", "parts"), lambda: cascade(Panel(7), _CODES, "Languages Serviced", "comma", longer_than=1)
-        ),
-        "Web_Presence": (("grids", "parts"), lambda: web_links(Panel(8), "organization")),
-        "Activity": (("grids", "kv", "parts"), lambda: activity(Panel(9), "organization")),
-        "Audit_Trail": (("kv", "grids"), lambda: fields_and_rows(Panel(10))),
+        "General_Information": (1, "fields", organization_general),
+        "Organization_Information": (2, "grid fields", fields_and_rows),
+        "Annual_Information": (3, "grid fields", fields_and_rows),
+        "NAICS_Sectors": (4, "grid", lambda p: cascade(p, _CODES, "NAICS Sectors", "first", 1)),
+        "Contacts": (5, "grid", contacts),
+        "Locations": (6, "grid fields", locations),
+        "Languages_Serviced": (7, "grid", lambda p: cascade(p, _CODES, "Languages Serviced", "comma", 1)),
+        "Web_Presence": (8, "grid", web_links),
+        "Activity": (9, "grid fields", activity),
+        "Audit_Trail": (10, "grid fields", fields_and_rows),
     },
-}
+}
+KIND_RULES = {"facility": FACILITY, "organization": ORGANIZATION}
+EXPERT_RULES = {1: EXPERT_GENERAL, 2: EXPERT_DETAILS, 3: EXPERT_DEMOGRAPHICS, 5: EXPERT_AUDIT, 10: EXPERT_AUDIT}
+
+
+def panel_list(kind: str) -> Column:
+    """The panels of a page at their numbers: experts' by id (NULL where one lacks), others' in order."""
+    if kind != "expert":
+        return P.panel_nodes("item")
+    names = F.array(*[F.lit(f"{P.ID_PREFIX}{n}") for n in range(1, 11)])
+    return let(P.panel_nodes("id"), lambda ps: F.transform(names, lambda name: first(F.filter(ps, lambda p: p["id"] == name))))
+
+
+def panel_parts(kind: str, wanted: dict[str, tuple[int, str, Build]]) -> dict[str, Column]:
+    """``fields`` and ``grids``: per panel its labelled rows and its grid's records, where a wanted section needs them."""
+    need = {part: sorted({n for n, parts, _ in wanted.values() if part in parts}) for part in ("fields", "grid")}
+
+    def for_panels(builds: dict[Callable[[Column], Column], list[int]]) -> Column:
+        def one(p: Column, i: Column) -> Column:
+            out = F.when(p.isNull(), None)
+            for build, numbers in builds.items():
+                out = out.when(i.isin(*[n - 1 for n in numbers]), build(below(p)))
+            return out
+
+        return F.transform("panels", one)
+
+    out: dict[str, Column] = {}
+    if need["fields"]:
+        rules: dict[KvRules, list[int]] = {}
+        for n in need["fields"]:
+            rules.setdefault(EXPERT_RULES[n] if kind == "expert" else KIND_RULES[kind], []).append(n)
+        out["fields"] = for_panels({functools.partial(fields, rules=r): numbers for r, numbers in rules.items()})
+    if need["grid"]:
+        out["grids"] = for_panels({functools.partial(grid_records, flavor=kind): need["grid"]})
+    return out
 
 
 def page_sections(
-    nodes: DataFrame, kind: str, keys: Sequence[str] = ("page_id",), only: Sequence[str] | None = None
+    trees: DataFrame, kind: str, keys: Sequence[str] = ("page_id",), only: Sequence[str] | None = None
 ) -> DataFrame:
     """Sections of every page that has a panel bar: ``keys, <section> ...``.
 
-    ``nodes`` lie together by page (``share_by_page``). ``only`` names the sections wanted;
+    ``trees`` has one row per page (``page_trees``). ``only`` names the sections wanted;
     what the others need is not built.
     """
     wanted = {name: SECTIONS[kind][name] for name in (only or SECTIONS[kind])}
-    needed = {part for parts, _ in wanted.values() for part in parts}
-    pages = page_parts(nodes, kind, keys, sorted(needed))
-    return pages.select(*keys, *[build().alias(name) for name, (_, build) in wanted.items()])
+    page = trees.where(P.is_ready()).select(*keys, "text", "nodes", panel_list(kind).alias("panels"))
+    if parts := panel_parts(kind, wanted):
+        page = page.withColumns(parts)
+    return page.select(*keys, *[build(Panel(n, kind)).alias(name) for name, (n, _, build) in wanted.items()])

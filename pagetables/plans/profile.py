@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import valid_link
 from pagetables.operators.sections import page_sections
-from pagetables.sources.html import html_nodes
+from pagetables.sources.html import page_trees
 
-# Elements any section extractor looks at; others become rows only if their class matters.
-SECTION_TAGS = "ul ol li div section table tr td th a span input label img address p h4 h5 strong b small".split()
+# Elements that sections look at, and classes that count on any element.
+SECTION_TAGS = "ul ol li div section table thead tbody tr td th a span label img address p h4 h5 strong b small".split()
+SECTION_CLASSES = "name role title position city province state postal zip".split()
 
 # Meta fields: name -> master column ('' where the master has none).
 META = {
@@ -31,27 +32,14 @@ META = {
 NAME_COLUMN = {"expert": "Name", "facility": "Facility_Name", "organization": "Organization_Name"}
 
 
-def newest_pages(pages: DataFrame) -> DataFrame:
-    """One capture per address: the one with the highest ``page_id``.
-
-    Ids are chosen without touching the markup, which then meets them in a semi join.
-    """
-    newest = pages.groupBy("url").agg(F.max("page_id").alias("page_id")).select("page_id")
-    return pages.join(newest, "page_id", "left_semi")
+def section_trees(pages: DataFrame, carry: Sequence[str] = (), base: str | None = None) -> DataFrame:
+    """Trees of detail pages with the elements that sections look at."""
+    return page_trees(pages, carry, SECTION_TAGS, base, classes=SECTION_CLASSES)
 
 
-def share_by_page(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Nodes brought together by page, once for all readers.
-
-    A page's nodes travel as one list. Every branch that starts here begins with the same
-    exchange, so Spark runs the page reader and the exchange once and reuses them, and
-    grouping by page (and anything finer) afterwards needs no further exchange.
-    """
-    rest = [c for c in nodes.columns if c not in (*keys, "parent", "depth")]  # no section asks for these
-    for k in keys:
-        # joins would add this test to some branches only, and then nothing could be reused
-        nodes = nodes.filter(F.col(k).isNotNull())
-    return nodes.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_n")).select(*keys, F.inline("_n"))
+def newest_pages(pages: DataFrame) -> DataFrame:
+    """One capture per address: the one with the highest ``page_id``, of ``page_id, url``."""
+    return pages.groupBy("url").agg(F.max("page_id").alias("page_id")).select("page_id", "url")
 
 
 def meta(kind: str, scraped_at: Column) -> Column:
@@ -79,19 +67,19 @@ def profiles(
     master: DataFrame,
     pages: DataFrame,
     scraped_at: Column,
-    nodes: DataFrame | None = None,
+    trees: DataFrame | None = None,
     absolute_links: bool = False,
 ) -> DataFrame:
     """Profiles of the master rows with a ready page: ``page_id, Meta, <section> ...``.
 
     ``absolute_links`` completes relative links and image addresses by the page's own.
 
-    ``nodes`` may be a stored node table; otherwise the newest capture of each page is read.
+    ``trees`` may be a stored table of them; otherwise the pages are read. Older captures are read too, but only
+    finished sections meet the master and its newest captures: neither markup nor nodes are ever moved.
     """
-    if nodes is None:
-        nodes = html_nodes(newest_pages(pages), tags=SECTION_TAGS, base="url" if absolute_links else None)
-    sections = page_sections(share_by_page(nodes), kind)
-    return enrich(master, pages, kind, scraped_at).join(sections, "page_id")
+    if trees is None:
+        trees = section_trees(pages, base="url" if absolute_links else None)
+    return enrich(master, pages, kind, scraped_at).join(page_sections(trees, kind), "page_id")
 
 
 def ready_pages(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:

@@ -1,9 +1,11 @@
-"""Captured pages -> node rows.
-
-``html_nodes`` is the only place where Python touches the data. It reads a page's
-markup once and yields one row per element; which element is a grid, a label or a
-panel is decided afterwards by DataFrame expressions. Each row carries its chain of
-enclosing elements, so "inside of" needs no join between nodes.
+"""Captured pages -> trees, or rows of nodes.
+
+This is the only place where Python touches the data. A page's markup is read once into
+flat arrays: the elements in document order with the place of the last element inside each,
+and one text, as shown, in which every element's text is a slice. Memory is linear in the
+page whatever its depth. ``page_trees`` hands a page over as one row of these arrays;
+``html_nodes`` as one row per element with its chain of enclosing elements. Which element
+is a grid, a label or a panel is decided afterwards by DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -33,6 +35,19 @@ NODE_FIELDS = (
     .add("path", T.ArrayType(T.StructType().add("pre", T.IntegerType()).add("sel", T.StringType())))
 )
 
+TREE_NODE = (
+    T.StructType()
+    .add("i", T.IntegerType())
+    .add("last", T.IntegerType())
+    .add("up", T.IntegerType())
+    .add("tag", T.StringType())
+    .add("id", T.StringType())
+    .add("cls", T.ArrayType(T.StringType()))
+    .add("attrs", T.MapType(T.StringType(), T.StringType()))
+    .add("start", T.IntegerType())
+    .add("end", T.IntegerType())
+)
+
 # Fixed values of the HTML grammar.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript iframe template".split())
@@ -60,17 +75,6 @@ IMPLIED_END = {
     "thead": ({"td", "th", "tr", "tbody", "thead", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"td", "th", "tr", "tbody", "thead", "tfoot", "caption"}, {"table"}),
 }
-MAX_DEPTH = 512  # browsers attach deeper elements as siblings
-
-# Elements whose rendered text the extractors ask for.
-TEXT_TAGS = frozenset(
-    "td th label a li span h1 h2 h3 h4 h5 h6 p address option small strong b dt dd title button caption".split()
-)
-TEXT_CLASSES = frozenset(
-    "row item tag chip badge address location card contact contact-card k-content panel-body content description "
-    "summary lead name role title position city province state postal zip k-pager-info".split()
-)
-
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
@@ -80,15 +84,14 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"([^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW | PLAIN}
+_SPACE = " \t\n\r\f"
 _SPACES = re.compile(r"[ \t\n\r\f]{2,}|[\t\n\r\f]")
-_BREAKS = re.compile(r" ?\x00[ \x00]*")
-_BREAK = "\x00"
-_NO_ATTRS: tuple = ((), (), None, [], False, "")
+_NO_ATTRS: tuple = ((), (), None, [], "")
 _seen_attrs: dict[str, tuple] = {}
 
 
 def read_attrs(raw: str) -> tuple:
-    """Attribute text -> (names, values, id, classes, text wanted, selector part).
+    """Attribute text -> (names, values, id, classes, selector part).
 
     Markup repeats itself, so short attribute texts are remembered.
     """
@@ -103,9 +106,8 @@ def read_attrs(raw: str) -> tuple:
             attrs[key] = unescape(value) if "&" in value else value
     element_id = attrs.pop("id", None)
     classes = attrs.pop("class", "").split()
-    named = any(c in TEXT_CLASSES or c.startswith("col-") for c in classes)
     sel = (f"#{element_id} " if element_id else "") + "".join(f".{c} " for c in classes)
-    found = (tuple(attrs), tuple(attrs.values()), element_id, classes, named, sel)
+    found = (tuple(attrs), tuple(attrs.values()), element_id, classes, sel)
     if len(raw) < 60:
         if len(_seen_attrs) > 5000:
             _seen_attrs.clear()
@@ -113,15 +115,6 @@ def read_attrs(raw: str) -> tuple:
     return found
 
 
-def rendered(parts: Sequence[str]) -> str:
-    """Text as shown: space runs collapse, block boundaries become one newline."""
-    s = parts[0] if len(parts) == 1 else "".join(parts)
-    s = _SPACES.sub(" ", s)
-    if _BREAK in s:
-        s = _BREAKS.sub("\n", s)
-    return s.strip(" \n")
-
-
 def absolute(url: str, address: str) -> str:
     """Address as a browser completes it; a fragment of the same page stays as it is."""
     if not address or address.startswith("#"):
@@ -132,54 +125,66 @@ def absolute(url: str, address: str) -> str:
         return address
 
 
-class NodeRows:
-    """Column buffers for the node rows of several pages."""
+class Page:
+    """The elements of one page in document order, as arrays that are linear in its markup.
 
-    def __init__(self, tags: frozenset[str] | None = None):
-        self.tags = tags
-        self.clear()
+    ``up`` is the element around (-1 at the top), ``last`` the last element inside (itself
+    without any), ``post`` the order of closing. ``start`` and ``end`` are the bytes of ``text``
+    that an element shows: space runs are one space, a block's border is a line break.
+    """
 
-    def clear(self) -> None:
-        self.page: list[int] = []
-        self.pre: list[int] = []
+    def __init__(self, html: str):
+        self.tag: list[str] = []
+        self.attrs: list[tuple] = []
+        self.up: list[int] = []
+        self.last: list[int] = []
         self.post: list[int] = []
-        self.parent: list[int] = []
         self.depth: list[int] = []
-        self.tag: list[str] = []
-        self.id: list[str | None] = []
-        self.text: list[str | None] = []
-        self.cls_at, self.cls = [0], []
-        self.attr_at, self.attr_key, self.attr_value = [0], [], []
-        self.path_at, self.path_pre, self.path_sel = [0], [], []
-
-    def add_page(self, page: int, html: str | None, url: str | None = None) -> None:
-        """Append the element rows of one page; ``url`` completes relative addresses."""
-        if not html:
-            return
-        html = html.replace(_BREAK, "")
-        wanted = self.tags
-        names: list[str] = []  # open elements
-        frames: list[tuple] = []  # (pre, row or -1, first text part or -1, in path)
-        path_pre: list[int] = []
-        path_sel: list[str] = []
-        parts: list[str] = []
-        count = 0
-        closed = 0
+        self.start: list[int] = []
+        self.end: list[int] = []
+        self.parts: list[bytes] = []
+        self._read(html)
+        self.text = b"".join(self.parts)
+        del self.parts
+
+    def shown(self, i: int) -> str:
+        """The text of one element."""
+        return self.text[self.start[i] : self.end[i]].decode("utf-8", "replace").strip(" \n")
+
+    def _read(self, html: str) -> None:
+        names: list[str] = []  # open elements and their places
+        places: list[int] = []
+        opened: dict[str, int] = {}  # how many of a tag are open: what isn't open need not be searched
+        parts = self.parts
+        closed = size = 0
+        gap = 0  # white space since the last text: 1 a space, 2 a line break
+
+        def add(s: str) -> None:
+            nonlocal gap, size
+            core = s.strip(_SPACE)
+            if not core:
+                gap = max(gap, 1) if s else gap
+                return
+            if s[0] in _SPACE:
+                gap = max(gap, 1)
+            if gap and size:
+                parts.append(b"\n" if gap == 2 else b" ")
+                size += 1
+            raw = _SPACES.sub(" ", core).encode("utf-8", "replace")
+            parts.append(raw)
+            size += len(raw)
+            gap = 1 if s[-1] in _SPACE else 0
 
         def close_top() -> None:
-            nonlocal closed
-            tag = names.pop()
-            _, row, text_from, in_path = frames.pop()
-            if in_path:
-                path_pre.pop()
-                path_sel.pop()
-            if row >= 0:
-                self.post[row] = closed
-                if text_from >= 0:
-                    self.text[row] = rendered(parts[text_from:]) if len(parts) > text_from else ""
+            nonlocal closed, gap
+            tag, i = names.pop(), places.pop()
+            opened[tag] -= 1
+            self.post[i] = closed
+            self.last[i] = len(self.tag) - 1
+            self.end[i] = size
             closed += 1
             if tag in BLOCK:
-                parts.append(_BREAK)
+                gap = 2
 
         def close_from(index: int) -> None:
             while len(names) > index:
@@ -187,17 +192,18 @@ class NodeRows:
 
         def outermost(targets, walls) -> int:
             found = -1
-            for i in range(len(names) - 1, -1, -1):
-                n = names[i]
-                if n in targets:
-                    found = i
-                elif n in walls:
-                    break
+            if any(opened.get(t) for t in targets):
+                for i in range(len(names) - 1, -1, -1):
+                    n = names[i]
+                    if n in targets:
+                        found = i
+                    elif n in walls:
+                        break
             return found
 
         def open_element(tag: str, raw: str) -> None:
-            nonlocal count, closed
-            if "p" in names and tag in ENDS_P:
+            nonlocal closed, gap
+            if opened.get("p") and tag in ENDS_P:
                 at = outermost(("p",), CELL_WALL)
                 if at >= 0:
                     close_from(at)
@@ -208,61 +214,34 @@ class NodeRows:
                     close_from(at)
                 if tag == "tr" and names and names[-1] == "table":
                     open_element("tbody", "")
-            while len(names) >= MAX_DEPTH:
-                close_top()
-            keys, values, element_id, classes, named, sel = read_attrs(raw) if raw else _NO_ATTRS
-            block = tag in BLOCK
-            if block or tag == "br":
-                parts.append(_BREAK)
-            pre = count
-            count += 1
-            row = -1
-            if wanted is None or named or tag in wanted:
-                row = len(self.pre)
-                self.page.append(page)
-                self.pre.append(pre)
-                self.post.append(closed)
-                self.parent.append(frames[-1][0] if frames else -1)
-                self.depth.append(len(names))
-                self.tag.append(tag)
-                self.id.append(element_id)
-                self.text.append(None)
-                if classes:
-                    self.cls.extend(classes)
-                self.cls_at.append(len(self.cls))
-                if keys:
-                    if url and ("href" in keys or "src" in keys):
-                        values = [absolute(url, v) if k in ("href", "src") else v for k, v in zip(keys, values)]
-                    self.attr_key.extend(keys)
-                    self.attr_value.extend(values)
-                self.attr_at.append(len(self.attr_key))
-                self.path_pre.extend(path_pre)
-                self.path_sel.extend(path_sel)
-                self.path_at.append(len(self.path_pre))
+            if tag in BLOCK or tag == "br":
+                gap = 2
+            i = len(self.tag)
+            self.tag.append(tag)
+            self.attrs.append(read_attrs(raw) if raw else _NO_ATTRS)
+            self.up.append(places[-1] if places else -1)
+            self.depth.append(len(places))
+            self.last.append(i)
+            self.start.append(size)
+            self.end.append(size)
+            self.post.append(closed)
             if tag in VOID:
                 closed += 1
                 return
-            text_from = -1
-            if row >= 0 and not (tag == "li" and path_sel and names[-1] == "ul" and " .k-panelbar " in path_sel[-1]):
-                if named or tag in TEXT_TAGS:
-                    text_from = len(parts)
-            in_path = sel != "" or tag not in UNNAMED
-            if in_path:
-                path_pre.append(pre)
-                path_sel.append(f"{tag} {sel}")
             names.append(tag)
-            frames.append((pre, row, text_from, in_path))
+            places.append(i)
+            opened[tag] = opened.get(tag, 0) + 1
 
         at = 0
-        size = len(html)
-        while at < size:
+        length = len(html)
+        while at < length:
             m = _TOKEN.search(html, at)
             if m is None:
                 break
             start = m.start()
             if start > at:
                 s = html[at:start]
-                parts.append(unescape(s) if "&" in s else s)
+                add(unescape(s) if "&" in s else s)
             at = m.end()
             is_end, tag, raw = m.groups()
             if tag is None or html[at - 1] != ">":
@@ -272,6 +251,11 @@ class NodeRows:
                 if names and names[-1] == tag:
                     close_top()
                     continue
+                if not opened.get(tag):
+                    if tag == "p":
+                        open_element("p", "")
+                        close_top()
+                    continue
                 walls = TABLE_WALL if tag in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption") else CELL_WALL
                 if tag in FORMATTING:
                     walls = BLOCK
@@ -281,46 +265,119 @@ class NodeRows:
                         break
                     if names[i] in walls:
                         break
-                else:
-                    if tag == "p":
-                        open_element("p", "")
-                        close_top()
                 continue
             open_element(tag, raw)
             if tag in RAW or tag in PLAIN:
                 end = _RAW_END[tag].search(html, at)
-                stop = end.start() if end else size
+                stop = end.start() if end else length
                 if tag in PLAIN:
-                    parts.append(unescape(html[at:stop]))
-                at = end.end() if end else size
+                    add(unescape(html[at:stop]))
+                at = end.end() if end else length
                 close_top()
-        if at < size:
-            parts.append(unescape(html[at:]))
+        if at < length:
+            add(unescape(html[at:]))
         close_from(0)
         open_element = None  # the function refers to itself; let go of the page at once
 
-    def columns(self) -> list[pa.Array]:
-        """Node columns in the order of ``NODE_FIELDS``."""
+    def named(self, i: int) -> bool:
+        """Whether an element is part of the chains of what lies in it."""
+        return self.attrs[i][4] != "" or self.tag[i] not in UNNAMED
+
+    def kept(self, tags: frozenset[str] | None, classes: frozenset[str] = frozenset()) -> list[int]:
+        """Places of the elements with one of the tags or classes, of all without ``tags``."""
+        if tags is None:
+            return list(range(len(self.tag)))
+        return [i for i, t in enumerate(self.tag) if t in tags or not classes.isdisjoint(self.attrs[i][3])]
+
+    def chains(self, wanted: list[int]) -> Iterator[tuple[list[int], list[str]]]:
+        """For every wanted element, in order: places and selectors of the named elements around it."""
+        pre: list[int] = []
+        sel: list[str] = []
+        here = 0
+        for i in wanted:
+            while here < i:
+                while pre and self.last[pre[-1]] < here:
+                    pre.pop()
+                    sel.pop()
+                if self.last[here] > here and self.named(here):
+                    pre.append(here)
+                    sel.append(f"{self.tag[here]} {self.attrs[here][4]}")
+                here += 1
+            while pre and self.last[pre[-1]] < i:
+                pre.pop()
+                sel.pop()
+            yield pre, sel
+
+
+def page_of(html: str | None) -> Page:
+    return Page((html or "").replace("\x00", ""))
+
 
-        def at(offsets: list[int]) -> pa.Array:
-            return pa.array(offsets, pa.int32())
+def _offsets(values: list[int]) -> pa.Array:
+    return pa.array(values, pa.int32())
 
-        path = pa.StructArray.from_arrays(
-            [pa.array(self.path_pre, pa.int32()), pa.array(self.path_sel, pa.string())], ["pre", "sel"]
-        )
+
+class _Attrs:
+    """Id, classes and attributes of elements as Arrow columns; ``url`` completes relative addresses."""
+
+    def __init__(self) -> None:
+        self.id: list[str | None] = []
+        self.cls_at, self.cls = [0], []
+        self.attr_at, self.attr_key, self.attr_value = [0], [], []
+
+    def add(self, attrs: tuple, url: str | None) -> None:
+        keys, values, element_id, classes, _ = attrs
+        self.id.append(element_id)
+        self.cls.extend(classes)
+        self.cls_at.append(len(self.cls))
+        if keys:
+            if url and ("href" in keys or "src" in keys):
+                values = [absolute(url, v) if k in ("href", "src") else v for k, v in zip(keys, values)]
+            self.attr_key.extend(keys)
+            self.attr_value.extend(values)
+        self.attr_at.append(len(self.attr_key))
+
+    def columns(self) -> list[pa.Array]:
+        keys, values = pa.array(self.attr_key, pa.string()), pa.array(self.attr_value, pa.string())
         return [
-            pa.array(self.pre, pa.int32()),
-            pa.array(self.post, pa.int32()),
-            pa.array(self.parent, pa.int32()),
-            pa.array(self.depth, pa.int32()),
-            pa.array(self.tag, pa.string()),
             pa.array(self.id, pa.string()),
-            pa.ListArray.from_arrays(at(self.cls_at), pa.array(self.cls, pa.string())),
-            pa.MapArray.from_arrays(
-                at(self.attr_at), pa.array(self.attr_key, pa.string()), pa.array(self.attr_value, pa.string())
-            ),
-            pa.array(self.text, pa.string()),
-            pa.ListArray.from_arrays(at(self.path_at), path),
+            pa.ListArray.from_arrays(_offsets(self.cls_at), pa.array(self.cls, pa.string())),
+            pa.MapArray.from_arrays(_offsets(self.attr_at), keys, values),
+        ]
+
+
+def node_rows(
+    page: Page, tags: frozenset[str] | None, texts: frozenset[str] | None, url: str | None, flush: int
+) -> Iterator[list[pa.Array]]:
+    """Node columns of a page in pieces of about ``flush`` rows, or as many entries of their chains."""
+    wanted = page.kept(tags)
+    chains = page.chains(wanted)
+    at = 0
+    while at < len(wanted):
+        first = at
+        held = _Attrs()
+        text: list[str | None] = []
+        path_at, path_pre, path_sel = [0], [], []
+        size = 0
+        while at < len(wanted) and at - first < flush and len(path_pre) < 50 * flush and size < 1000 * flush:
+            i = wanted[at]
+            at += 1
+            held.add(page.attrs[i], url)
+            text.append(page.shown(i) if (texts is None or page.tag[i] in texts) and page.tag[i] not in VOID else None)
+            size += len(text[-1] or "")
+            pre, sel = next(chains)
+            path_pre.extend(pre)
+            path_sel.extend(sel)
+            path_at.append(len(path_pre))
+        rows = wanted[first:at]
+        path = pa.StructArray.from_arrays([pa.array(path_pre, pa.int32()), pa.array(path_sel, pa.string())], ["pre", "sel"])
+        yield [
+            pa.array(rows, pa.int32()),
+            *(pa.array([x[i] for i in rows], pa.int32()) for x in (page.post, page.up, page.depth)),
+            pa.array([page.tag[i] for i in rows], pa.string()),
+            *held.columns(),
+            pa.array(text, pa.string()),
+            pa.ListArray.from_arrays(_offsets(path_at), path),
         ]
 
 
@@ -330,62 +387,128 @@ def html_nodes(
     tags: Sequence[str] | None = None,
     base: str | None = None,
     flush: int = 20_000,
+    texts: Sequence[str] | None = None,
 ) -> DataFrame:
     """Element rows of every page: ``page_id``, the ``carry`` columns, then ``NODE_FIELDS``.
 
     ``carry`` copies page columns (group, page number ...) onto the rows so that they
-    need not be joined back. ``tags`` limits which elements become rows (elements of a class
-    whose text is asked for always do). ``base`` names the column with the page's address, to
-    complete relative ``href`` and ``src`` values the way a browser reports them. Rows are handed over in pieces of about ``flush``, so a task never holds more than one page beyond that.
+    need not be joined back. ``tags`` limits which elements become rows, ``texts`` which of them bring
+    their text (all by default). ``base`` names the column with the page's address, to
+    complete relative ``href`` and ``src`` values the way a browser reports them. Rows are handed over in
+    pieces of about ``flush``, so a task holds one page's arrays and a piece.
     """
     keys = ["page_id", *carry]
     source = pages.select(*keys, "html", *([F.col(base).alias("_base")] if base else []))
     schema = T.StructType([source.schema[k] for k in keys] + list(NODE_FIELDS.fields))
     keep = None if tags is None else frozenset(tags)
+    say = None if texts is None else frozenset(texts)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = NodeRows(keep)
-        # buffers grow by many small objects that all stay alive; collect garbage less often
+        # a page's many small objects all stay alive; collect garbage less often
         usual = gc.get_threshold()
         gc.set_threshold(200_000, 50, 50)
         try:
             for batch in batches:
                 html = batch.column(len(keys))
                 urls = batch.column(len(keys) + 1) if base else None
-                held = [batch.column(i) for i in range(len(keys))]
+                pending: list[pa.RecordBatch] = []
+                rows = 0
+                for i in range(batch.num_rows):
+                    for columns in node_rows(page_of(html[i].as_py()), keep, say, urls[i].as_py() if base else None, flush):
+                        take = pa.array([i] * len(columns[0]), pa.int32())
+                        held = [batch.column(k).take(take) for k in range(len(keys))]
+                        pending.append(pa.RecordBatch.from_arrays(held + columns, names=schema.names))
+                        rows += len(take)
+                        if rows >= flush:
+                            yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+                            pending, rows = [], 0
+                if pending:
+                    yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+        finally:
+            gc.set_threshold(*usual)
+
+    return source.mapInArrow(expand, schema)
+
+
+def tree_columns(
+    pages: list[tuple[Page, str | None]], tags: frozenset[str] | None, classes: frozenset[str] = frozenset()
+) -> list[pa.Array]:
+    """``text, nodes`` of several pages; places and ends count the kept elements only."""
+    held = _Attrs()
+    place, last, up, tag, start, end, at = [], [], [], [], [], [], [0]
+    for page, url in pages:
+        wanted = page.kept(tags, classes)
+        number = dict(zip(wanted, range(len(wanted))))
+        upto = [0] * (len(page.tag) + 1)  # kept elements before each element
+        for i in range(len(page.tag)):
+            upto[i + 1] = upto[i] + (i in number)
+        for n, i in enumerate(wanted):
+            around = page.up[i]
+            while around >= 0 and not page.named(around):
+                around = page.up[around]
+            place.append(n)
+            last.append(upto[page.last[i] + 1] - 1)
+            up.append(number.get(around, -1))
+            tag.append(page.tag[i])
+            start.append(page.start[i])
+            end.append(page.end[i])
+            held.add(page.attrs[i], url)
+        at.append(len(place))
+    ints = [pa.array(x, pa.int32()) for x in (place, last, up)]
+    bounds = [pa.array(x, pa.int32()) for x in (start, end)]
+    nodes = pa.StructArray.from_arrays([*ints, pa.array(tag, pa.string()), *held.columns(), *bounds], TREE_NODE.names)
+    return [pa.array([p.text for p, _ in pages], pa.binary()), pa.ListArray.from_arrays(_offsets(at), nodes)]
+
+
+def page_trees(
+    pages: DataFrame,
+    carry: Sequence[str] = (),
+    tags: Sequence[str] | None = None,
+    base: str | None = None,
+    flush: int = 20_000,
+    classes: Sequence[str] = (),
+) -> DataFrame:
+    """One row per page: ``page_id``, the ``carry`` columns, ``text`` and ``nodes``.
 
-                def piece() -> pa.RecordBatch:
-                    take = pa.array(rows.page, pa.int32())
-                    columns = [c.take(take) for c in held] + rows.columns()  # noqa: B023
-                    return pa.RecordBatch.from_arrays(columns, names=schema.names)
+    ``nodes`` holds the elements in document order: place ``i``, the place of the ``last`` element inside, of
+    the element around (``up``, -1 at the top or if it isn't kept), tag, id, classes, attributes, and the bytes of ``text``
+    from ``start`` to ``end`` that the element shows. So what lies in an element is a slice of ``nodes``, and its
+    text a slice of ``text``. ``tags`` limits which elements are kept; elements of one of ``classes`` are whatever their tag.
+    A page without markup has no nodes.
+    """
+    keys = ["page_id", *carry]
+    source = pages.select(*keys, "html", *([F.col(base).alias("_base")] if base else []))
+    schema = T.StructType([source.schema[k] for k in keys]).add("text", T.BinaryType()).add("nodes", T.ArrayType(TREE_NODE))
+    keep = None if tags is None else frozenset(tags)
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        usual = gc.get_threshold()
+        gc.set_threshold(200_000, 50, 50)
+        try:
+            for batch in batches:
+                html = batch.column(len(keys))
+                urls = batch.column(len(keys) + 1) if base else None
+                some: list[tuple[Page, str | None]] = []
+                first = size = 0
                 for i in range(batch.num_rows):
-                    rows.add_page(i, html[i].as_py(), urls[i].as_py() if base else None)
-                    if len(rows.pre) >= flush:
-                        yield piece()
-                        rows.clear()
-                if rows.pre:
-                    yield piece()
-                    rows.clear()
+                    some.append((page_of(html[i].as_py()), urls[i].as_py() if base else None))
+                    size += len(some[-1][0].tag)
+                    if size >= flush or i + 1 == batch.num_rows:
+                        held = [batch.column(k).slice(first, len(some)) for k in range(len(keys))]
+                        yield pa.RecordBatch.from_arrays(held + tree_columns(some, keep, frozenset(classes)), names=schema.names)
+                        first, size, some = i + 1, 0, []
         finally:
             gc.set_threshold(*usual)
 
-    return source.mapInArrow(expand, schema)
+    return source.mapInArrow(read, schema)
 
 
 def register_html_nodes(spark: SparkSession) -> None:
     """Offer ``LATERAL html_nodes(html)`` to SQL users of this session."""
 
-    class HtmlNodes:
-        def eval(self, html: str):
-            rows = NodeRows()
-            rows.add_page(0, html)
-            yield from pa.RecordBatch.from_arrays(rows.columns(), names=NODE_FIELDS.names).to_pylist(
-                maps_as_pydicts="lossy"
-            )
-
-    def as_rows(self, html: str):
-        for r in HtmlNodes.eval(self, html):
-            yield tuple(r[n] if n != "path" else [(p["pre"], p["sel"]) for p in r[n]] for n in NODE_FIELDS.names)
+    def eval(self, html: str):
+        for columns in node_rows(page_of(html), None, None, None, 20_000):
+            for r in pa.RecordBatch.from_arrays(columns, names=NODE_FIELDS.names).to_pylist(maps_as_pydicts="lossy"):
+                yield tuple(r[n] if n != "path" else [(p["pre"], p["sel"]) for p in r[n]] for n in NODE_FIELDS.names)
 
-    spark.udtf.register("html_nodes", F.udtf(type("HtmlNodesUdtf", (), {"eval": as_rows}), returnType=NODE_FIELDS))
+    spark.udtf.register("html_nodes", F.udtf(type("HtmlNodesUdtf", (), {"eval": eval}), returnType=NODE_FIELDS))

@@ -2,24 +2,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagetables.operators import listing
-from pagetables.sources.html import MAX_DEPTH, NodeRows, html_nodes, register_html_nodes
-
-
-def read(html):
-    rows = NodeRows()
-    rows.add_page(0, html)
-    return rows
+from pagetables.operators.tree import shown
+from pagetables.plans import profile
+from pagetables.sources.html import html_nodes, node_rows, page_of, page_trees, register_html_nodes, tree_columns
 
 
 def found(html, tag):
-    r = read(html)
-    return [r.text[i] for i in range(len(r.pre)) if r.tag[i] == tag]
+    p = page_of(html)
+    return [p.shown(i) for i in range(len(p.tag)) if p.tag[i] == tag]
 
 
 def parents(html):
-    r = read(html)
-    name = dict(zip(r.pre, r.tag))
-    return [(r.tag[i], name.get(r.parent[i])) for i in range(len(r.pre))]
+    p = page_of(html)
+    return [(t, p.tag[u] if u >= 0 else None) for t, u in zip(p.tag, p.up)]
 
 
 def test_unclosed_tags():
@@ -33,13 +28,14 @@ def test_script_literal():
 
 
 def test_entities_and_attributes():
-    r = read('<a HREF="/x?a=1&amp;b=2" title=\'a>b\' data-x=/q/ hidden class="one  two" id=i>&amp &copy;&#65;</a>')
-    assert dict(zip(r.attr_key, r.attr_value)) == {"href": "/x?a=1&b=2", "title": "a>b", "data-x": "/q/", "hidden": ""}
-    assert (r.cls, r.id, r.text) == (["one", "two"], ["i"], ["& ©A"])
+    p = page_of('<a HREF="/x?a=1&amp;b=2" title=\'a>b\' data-x=/q/ hidden class="one  two" id=i>&amp &copy;&#65;</a>')
+    names, values, element_id, classes, sel = p.attrs[0]
+    assert dict(zip(names, values)) == {"href": "/x?a=1&b=2", "title": "a>b", "data-x": "/q/", "hidden": ""}
+    assert (classes, element_id, sel, p.shown(0)) == (["one", "two"], "i", "#i .one .two ", "& ©A")
 
 
 def test_first_of_two_equal_attributes_counts():
-    assert read('<a href="1" href="2">').attr_value == ["1"]
+    assert page_of('<a href="1" href="2">').attrs[0][1] == ("1",)
 
 
 @pytest.mark.parametrize(
@@ -70,25 +66,39 @@ def test_a_tag_the_page_ends_in_is_dropped():
     assert found("<p>a<b", "p") == ["a"] and found("<p>a<b x='>", "p") == ["a"]
 
 
-def test_pre_and_post_enclose():
-    r = read("<div><p>a<b>c</b></p><p>d</p></div>")
-    order = {t: (a, b) for t, a, b in zip(r.tag, r.pre, r.post)}
-    assert order["div"][0] < order["b"][0] and order["b"][1] < order["div"][1]
-    assert sorted(r.post) == list(range(4))
+def test_places_enclose():
+    p = page_of("<div><p>a<b>c</b></p><p>d</p></div>")
+    assert (p.tag, p.up, p.last) == (["div", "p", "b", "p"], [-1, 0, 1, 0], [3, 2, 2, 3])
+    assert p.post == [3, 1, 0, 2] and p.depth == [0, 1, 2, 1]
+
+
+def test_any_element_shows_its_text():
+    html = "<body>A<article> B <em>c</em><div>D<br>E</div></article>f</body>"
+    assert [page_of(html).shown(i) for i in range(5)] == ["A\nB c\nD\nE\nf", "B c\nD\nE", "c", "D\nE", ""]
+
+
+def test_deep_pages_keep_all_text():
+    html = "<div>x" * 599 + "<section>AAA<div>BBB</div>CCC</section>" + "</div>" * 599
+    p = page_of(html)
+    assert max(p.depth) == 600
+    assert found(html, "section") == ["AAA\nBBB\nCCC"]
+    assert p.shown(0).endswith("x\nAAA\nBBB\nCCC") and p.last[0] == 600
 
 
-def test_very_deep_pages_keep_all_text():
-    n = 5000
-    html = "<div class='item'>x" * n
-    r = read(html)
-    assert len(r.pre) == n and max(r.depth) < MAX_DEPTH
-    assert len(r.path_pre) <= n * MAX_DEPTH
-    assert max(len(r.path_pre[a:b]) for a, b in zip(r.path_at, r.path_at[1:])) == MAX_DEPTH - 1
+def test_memory_is_linear_in_the_page():
+    n = 30_000
+    page = page_of("<div class='item'>x" * n)
+    assert len(page.text) == 2 * n - 1
+    [text, nodes] = tree_columns([(page, None)], None)
+    assert text.nbytes + nodes.nbytes < 90 * n  # bytes an element, at any depth
+    pieces = node_rows(page_of("<div class='item'>x" * 3000), None, None, None, 500)
+    sizes = [(len(p[0]), len(p[-1].flatten())) for p in pieces]
+    assert sum(rows for rows, _ in sizes) == 3000 and max(chain for _, chain in sizes) < 50 * 500 + 3000
 
 
 def test_broken_markup_is_read_in_linear_time():
     for html in ('<a title="' * 20_000, "<" * 50_000, "<a b=" * 20_000, "<!--" * 20_000, "<!x" * 20_000, "</div>" * 50_000):
-        read(html)
+        page_of(html)
 
 
 def test_hidden_cells_keep_their_text():
@@ -103,6 +113,28 @@ def test_nodes_of_pages(spark, pages_of):
     assert [p.sel for p in rows[2].path] == ["ul .k-panelbar ", "li #P-1 "]
 
 
+def test_trees_of_pages(spark, pages_of):
+    pages = pages_of("<ul class='k-panelbar'><li id='P-1'><form><a href='/x'>t  u</a>é</form></ul>", None, "<p>z<q class='city'>c</q>")
+    rows = page_trees(pages, carry=("url",), tags=("ul", "li", "a"), classes=("city",)).orderBy("page_id").collect()
+    assert [(r.page_id, len(r.nodes)) for r in rows] == [(0, 3), (1, 0), (2, 1)]
+    ul, li, a = rows[0].nodes
+    assert (ul.i, ul.last, ul.up, li.i, li.last, li.up, li.id) == (0, 2, -1, 1, 2, 0, "P-1")
+    assert (a.tag, a.up, a.attrs, bytes(rows[0].text[a.start : a.end])) == ("a", -1, {"href": "/x"}, b"t u")  # the form around isn't kept
+    texts = page_trees(pages).select(F.transform("nodes", shown).alias("t")).orderBy("t").collect()
+    assert sorted(r.t for r in texts) == [[], ["t ué", "t ué", "t ué", "t u"], ["zc", "c"]]
+
+
+def test_trees_are_little_larger_than_their_markup(spark):
+    from acceptance import render as R
+    from conftest import SMALL
+
+    t = R.Tables(spark, SMALL)
+    for pages in (R.facility_detail_pages(t), R.organization_detail_pages(t), R.expert_pages(t, 1, 2, 3, 4, 5, 6, 8, 9, 10)):
+        markup = [r.html for r in pages.select("html").collect()]
+        columns = tree_columns([(page_of(h), None) for h in markup], frozenset(profile.SECTION_TAGS), frozenset(profile.SECTION_CLASSES))
+        assert sum(c.nbytes for c in columns) < 2.5 * sum(len(h.encode()) for h in markup)
+
+
 def test_relative_addresses(spark, pages_of):
     pages = pages_of('<a href="/x">1</a><a href="y?z=1">2</a><a href="#">3</a><a href="mailto:m">4</a><img src="../i.png"><a href="http://[">5</a>')
     got = html_nodes(pages, base="url").orderBy("pre").select(F.coalesce(F.col("attrs")["href"], F.col("attrs")["src"])).collect()

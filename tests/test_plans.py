@@ -4,10 +4,12 @@ import re
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from acceptance import render as R
 from acceptance.oracle import SQL
 from acceptance.queries import QUERIES
+from pagetables.operators.sections import page_sections
 from pagetables.plans import profile
 from pagetables.sources.html import html_nodes
 
@@ -35,17 +37,23 @@ def test_no_query_compares_all_pairs(spark, name):
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text  # pages are the only Python step
 
 
-def test_profile_reads_pages_once(spark):
+@pytest.mark.parametrize("kind", ["expert", "facility", "organization"])
+def test_sections_are_built_where_the_page_was_read(spark, kind):
     t = R.Tables(spark, SMALL)
-    nodes = html_nodes(R.facility_detail_pages(t), tags=profile.SECTION_TAGS)
-    from pagetables.operators.sections import page_sections
-
-    text = final_plan(page_sections(profile.share_by_page(nodes), "facility"))
+    pages = {"expert": lambda: R.expert_pages(t, 1, 4), "facility": lambda: R.facility_detail_pages(t), "organization": lambda: R.organization_detail_pages(t)}
+    text = plan(page_sections(profile.section_trees(pages[kind]()), kind))
     assert text.count("MapInArrow") == 1
-    assert text.count("ReusedExchange") >= 5
-    # grouping and joining by page needs no exchange beyond the one that brings pages together
     after = text[: text.index("MapInArrow")]
-    assert len(re.findall(r"\n[^\n]*- Exchange hashpartitioning\(page_id", after)) == 1
+    assert "Exchange" not in after and "Generate" not in after and "Join" not in after
+
+
+def test_a_profile_moves_neither_markup_nor_nodes(spark):
+    t = R.Tables(spark, SMALL)
+    pages = R.expert_pages(t, 1).withColumn("url", F.col("page_id").cast("string"))
+    df = profile.profiles("expert", R.experts_master(t), pages, F.lit(None).cast("timestamp"))
+    text = plan(df)
+    assert text.count("MapInArrow") == 1
+    assert not re.search(r"Exchange[^\n]*\n[^\n]*MapInArrow", text)
 
 
 def test_first_row_per_key_is_cut_before_the_exchange(spark):

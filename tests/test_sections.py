@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from pagetables.operators import grid, kv, listing, panels, sections
 from pagetables.plans import profile
-from pagetables.sources.html import html_nodes
+from pagetables.sources.html import html_nodes, page_trees
 
 
 def bar(*contents):
@@ -28,8 +28,7 @@ def a_grid(heads, *rows, cls="k-master-row", extra=""):
 @pytest.fixture
 def section(spark, pages_of):
     def run(kind, html, *names):
-        nodes = profile.share_by_page(html_nodes(pages_of(html), tags=profile.SECTION_TAGS))
-        found = sections.page_sections(nodes, kind, only=names).collect()
+        found = sections.page_sections(profile.section_trees(pages_of(html)), kind, only=names).collect()
         if not found:
             return None
         out = [found[0][n].asDict(True) if hasattr(found[0][n], "asDict") else found[0][n] for n in names]
@@ -41,10 +40,8 @@ def section(spark, pages_of):
 @pytest.fixture
 def pairs(pages_of):
     def run(rules, html):
-        nodes = html_nodes(pages_of(bar(html)))
-        found = kv.kv_maps(kv.kv_pairs(nodes, panels.panel_scopes("item"), rules))
-        ordered = found.select(F.map_entries("fields").alias("e")).collect()
-        return [tuple(e) for e in ordered[0]["e"]] if ordered else []
+        found = panels.each_panel(page_trees(pages_of(bar(html))), "item", lambda inside: kv.fields(inside, rules), "fields")
+        return [tuple(e) for e in found.select(F.map_entries("fields").alias("e")).first()["e"]]
 
     return run
 
@@ -52,9 +49,8 @@ def pairs(pages_of):
 @pytest.fixture
 def records(pages_of):
     def run(flavor, html, **kw):
-        nodes = html_nodes(pages_of(bar(html)))
-        found = grid.section_grids(nodes, panels.panel_scopes("item"), flavor, **kw).collect()
-        return found[0]["rows"] if found else None
+        build = lambda inside: grid.grid_records(inside, flavor, **kw)
+        return panels.each_panel(page_trees(pages_of(bar(html))), "item", build, "rows").first()["rows"]
 
     return run
 
