@@ -9,8 +9,9 @@ Every id takes the fewest bits that hold the vocabulary's highest id. A set of f
 * ``manifest``: a Parquet table ``shard, first, n_tokens, n_docs, name, index``, ``first`` being the number of ids in all
   shards before. A shard counts only once it is listed here.
 
-Documents follow each other by identifier, ascending, null identifiers last, equal identifiers by their ids; shards
-are ranges of that order, so one identifier that holds many rows is still split. A shard's file is written
+Documents follow each other by identifier, ascending, null identifiers last, equal identifiers by a hash of their text; shards
+are ranges of that order, so one identifier that holds many rows is still split. The bounds are found from identifiers and hashes
+alone, so texts are encoded once and only ids move. A shard's file is written
 under a name of the attempt alone and never changed, so a task that is run again after a lost executor
 leaves nothing half written in the listed files. The folder has to be one that all executors share; its address may have
 any scheme that ``pyarrow.fs`` knows.
@@ -21,6 +22,7 @@ own; an empty table gives no shard and reads back as no row. Columns besides ide
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import json
 import os
@@ -34,21 +36,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import LOWER, SPACES, shared_folder, slices, utf8
 
-#: Ids in a block, and ids in a shard on average.
-BLOCK, SHARD = 4096, 1 << 22
+#: Ids in a block, bytes of text in a shard on average.
+BLOCK, SHARD = 4096, 1 << 24
 #: Ids of 49,408 and the end id that closes a document.
 END_ID = 1
 MAGIC = b"BITIDS01"
 #: Mark, bits of an id, ids of a block, ids in all, documents, where the offsets of the blocks begin.
 TRAILER = struct.Struct("<8sIIQQQ")
 #: Ids unpacked at a time; words remembered per worker before the memory starts anew.
-WINDOW, REMEMBERED = 1 << 20, 400_000
+WINDOW, REMEMBERED = 1 << 20, 250_000
 #: Fixed value: the word pattern of the tokenizer file.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -111,7 +112,7 @@ class Encoder:
         if suffix:
             self.closes[[i for piece, i in spec["model"]["vocab"].items() if piece.endswith(suffix)]] = True
         self.marks = [t["content"].encode() for t in spec["added_tokens"]]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
 
     def pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """All pieces in lower case where that's safe, which of them are one word, and the row of each."""
@@ -148,12 +149,12 @@ class Encoder:
             if len(ends) != len(group):
                 alone += group
                 continue
-            ids, first = e.ids, 0
+            ids, first = np.array(e.ids, "<u4").tobytes(), 0
             for w, last in zip(group, ends):
-                self.known[w] = ids[first:last]
-                first = last
+                self.known[w] = ids[first : 4 * last]
+                first = 4 * last
         for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[w] = e.ids
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and the n + 1 bounds between them."""
@@ -171,9 +172,10 @@ class Encoder:
             ids = [self.known[w] for w in distinct]
         else:
             which = rows = np.arange(len(texts))
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            ids = [np.array(e.ids, "<u4").tobytes() for e in found]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         taken, per_piece = ragged(np.cumsum(size) - size, size, which)
         row = np.repeat(rows, per_piece)
         out = np.full(len(taken) + len(texts), end_id, np.uint32)
@@ -206,27 +208,47 @@ def vocabulary(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
-def encode(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id, _n, _ids``: the ids of every whole text and the end id, as little-endian integers of two or four bytes."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    small = max(vocabulary(path), end_id + 1) <= 1 << 16
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id, _tie, _text``: rows of one identifier are told apart by a hash of their text."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
+
+
+def shard_bounds(rows: DataFrame, shard: int) -> list[tuple]:
+    """First key of every shard but the first: identifiers and hashes alone are ranged over, one key per shard returns."""
+    total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    key = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_tie").alias("tie"))
+    ranged = rows.select("_id", "_tie").repartitionByRange(max(1, -(-total // shard)), F.col("_id").asc_nulls_last(), "_tie")
+    first = ranged.groupBy(F.spark_partition_id()).agg(F.min(key).alias("k")).select("k.*").collect()
+    return sorted((bool(r.none), None if r.none else r.id, r.tie) for r in first)[1:]
+
+
+def key_of(i: object, tie: int) -> tuple:
+    return (True, tie) if i is None else (False, i, tie)
+
+
+def encode(rows: DataFrame, path: str, end_id: int, bounds: list[tuple], item: int) -> DataFrame:
+    """``_shard, _id, _tie, _n, _ids``: ids of every whole text and the end id, little-endian integers of ``item`` bytes."""
+    kind = rows.schema["_id"].dataType.simpleString()
+    keys = [key_of(i, tie) for _, i, tie in bounds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
         for batch in batches:
-            texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
+            texts = batch.column(2).cast(pa.string())
             for first, last, _, _ in slices(texts):
-                ids, bounds = code.encode(texts.slice(first, last - first), end_id)
-                ids = ids.astype("<u2" if small else "<u4")
-                offsets = pa.py_buffer((bounds * ids.itemsize).astype(np.int64))
+                part = batch.slice(first, last - first)
+                ids, ends = code.encode(part.column(2).cast(pa.string()), end_id)
+                ids = ids.astype(f"<u{item}")
+                offsets = pa.py_buffer((ends * item).astype(np.int64))
                 data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, offsets, pa.py_buffer(ids)])
+                at = [bisect.bisect_right(keys, key_of(i, t)) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(np.diff(bounds)), data.cast(pa.binary())],
-                    ["_id", "_n", "_ids"],
+                    [pa.array(at, pa.int32()), part.column(0), part.column(1), pa.array(np.diff(ends)), data.cast(pa.binary())],
+                    ["_shard", "_id", "_tie", "_n", "_ids"],
                 )
 
-    out = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    return out.mapInArrow(run, f"_id {kind}, _n bigint, _ids binary")
+    return rows.mapInArrow(run, f"_shard int, _id {kind}, _tie bigint, _n bigint, _ids binary")
 
 
 def file_system(folder: str) -> tuple[fs.FileSystem, str]:
@@ -240,42 +262,52 @@ def write(
     docs: DataFrame, folder: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text",
     block: int = BLOCK, shard: int = SHARD,
 ) -> None:
-    """Encode every document and write the set of files to ``folder``; texts are read and encoded once."""
+    """Encode every document once and write the set of files to ``folder``."""
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    width = width_of(max(vocabulary(path), end_id + 1))
-    item = 2 if max(vocabulary(path), end_id + 1) <= 1 << 16 else 4
-    encode(docs, path, end_id, id_col, text_col).write.parquet(f"{folder}/encoded")
-    rows = spark.read.parquet(f"{folder}/encoded")
-    total = rows.agg(F.sum("_n")).first()[0] or 0
-    order = [F.col("_id").asc_nulls_last(), F.xxhash64("_ids"), F.col("_ids")]
-    # The hash comes second so that the bounds of the ranges may cut through rows of one identifier.
-    ordered = rows.repartitionByRange(max(1, -(-total // shard)), *order[:2]).sortWithinPartitions(*order)
+    size = max(vocabulary(path), end_id + 1)
+    width, item = width_of(size), 2 if size <= 1 << 16 else 4
+    rows = keyed(docs, id_col, text_col)
+    bounds = shard_bounds(rows, shard)
+    dealt = encode(rows, path, end_id, bounds, item).repartition(len(bounds) + 1, "_shard")
+    ordered = dealt.sortWithinPartitions("_shard", F.col("_id").asc_nulls_last(), "_tie", "_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId()
-        done = write_shard(batches, folder, f"shard-{at:07d}-{uuid.uuid4().hex}", width, block, item)
-        if done:
-            n, docs_in, name, index = done
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([at], pa.int32()), "n_tokens": [n], "n_docs": [docs_in], "name": [name], "index": [index]})
+        for at, own in by_shard(batches):
+            n, n_docs, name, index = write_shard(own, folder, f"shard-{at:07d}-{uuid.uuid4().hex}", width, block, item)
+            made = {"shard": pa.array([at], pa.int32()), "n_tokens": [n], "n_docs": [n_docs], "name": [name], "index": [index]}
+            yield pa.RecordBatch.from_pydict(made)
 
     found = ordered.mapInArrow(run, "shard int, n_tokens bigint, n_docs bigint, name string, index string")
     found.write.parquet(f"{folder}/shards")
+    kind = rows.schema["_id"].dataType.simpleString()
     with_first(spark.read.parquet(f"{folder}/shards")).withColumn("id_type", F.lit(kind)).write.parquet(f"{folder}/manifest")
 
 
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Runs of rows of one shard, from batches ordered by shard: its number and ``_id, _n, _ids``."""
+
+    def parts() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            shard = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    yield int(shard[a]), batch.select([1, 3, 4]).slice(a, b - a)
+
+    for at, run in itertools.groupby(parts(), key=lambda x: x[0]):
+        yield at, (part for _, part in run)
+
+
 def write_shard(
     batches: Iterator[pa.RecordBatch], folder: str, stem: str, width: int, block: int, item: int
-) -> tuple[int, int, str, str] | None:
-    """One shard's two files, streamed: a block leaves as soon as it is full. None for a partition without rows."""
+) -> tuple[int, int, str, str]:
+    """One shard's two files, streamed: a block leaves as soon as it is full."""
     system, base = file_system(folder)
     out = index = None
     offsets: list[int] = []
     left = np.zeros(0, f"<u{item}")
     n = n_docs = at = 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
         if out is None:
             system.create_dir(f"{base}/files", recursive=True)
             out = system.open_output_stream(f"{base}/files/{stem}.bits")
@@ -290,8 +322,6 @@ def write_shard(
         left = left[whole:]
         n += int(sizes.sum())
         n_docs += batch.num_rows
-    if out is None:
-        return None
     if len(left):
         offsets.append(at)
         at += out.write(pack(left, width))
