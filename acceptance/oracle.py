@@ -111,9 +111,9 @@ SELECT manage_url, min(k) AS k FROM org_ok
 WHERE manage_url NOT IN (SELECT manage_url FROM org_ok WHERE enabled = 'Yes') GROUP BY manage_url""",
     "keep_first": "SELECT manage_url, min(page_no * 100 + row_ord) AS first_pos FROM org_ok GROUP BY manage_url",
     "resolve_option": """
-, opt AS (SELECT s_nationkey AS g, s_suppkey AS idx, 'Lab ' || right(s_name, 3) AS name FROM supplier),
-tgt AS (SELECT DISTINCT c_nationkey AS g, CASE WHEN c_custkey % 2 = 0 THEN 'Lab ' || right(c_name, 3) || ' (main)'
-        ELSE right(c_name, 2) END AS target FROM customer)
+, opt AS (SELECT s_nationkey AS g, s_suppkey AS idx, 'Lab ' || s_name AS name FROM supplier),
+cust AS (SELECT c_nationkey AS g, c_custkey, replace(c_name, 'Customer', 'Supplier') AS named FROM customer),
+tgt AS (SELECT DISTINCT g, CASE WHEN c_custkey % 2 = 0 THEN 'Lab ' || named || ' (main)' ELSE named END AS target FROM cust)
 SELECT tgt.g, target, arg_min(name, idx) AS chosen FROM tgt LEFT JOIN opt
   ON opt.g = tgt.g AND (contains(name, target) OR contains(target, name)) GROUP BY tgt.g, target""",
     "pending": "SELECT k FROM ex WHERE manage_url <> 'Not Found' AND expert_type <> 'Academic' AND ready",
@@ -327,6 +327,11 @@ FROM orders""",
     "split_list": """
 SELECT k, pos, item FROM (SELECT k, unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS item FROM (
   SELECT k, [trim(x) for x in string_split(branch || ', ,' || facility_type, ',') if trim(x) <> ''] AS l FROM fac))""",
+    "streamed_facilities": """
+SELECT institution, arg_min(facility_name, k) AS name, manage_url FROM fac
+WHERE region <> 0 OR manage_url <> 'Not Found' GROUP BY institution, manage_url""",
+    "streamed_experts": "SELECT institution, arg_min(name, k) AS name, manage_url FROM ex GROUP BY institution, manage_url",
+    "stream_progress": "SELECT count(DISTINCT manage_url) AS processed, 3 AS batches FROM org_ok",
     "streamed_listing": """
 SELECT manage_url, arg_min(provinces, k) AS "Provinces" FROM org_ok GROUP BY manage_url""",
 }

@@ -15,7 +15,7 @@ from pagetables.operators import audit, grid, incremental, kv, listing, ordered,
 from pagetables.plans import profile
 from pagetables.sources import tables as io
 from pagetables.sources.html import html_nodes, page_trees
-from pagetables.streaming.listing import stream_listing
+from pagetables.streaming.listing import current_rows, stream_listing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +32,7 @@ def no_time() -> Column:
 
 
 def rows_of(pages: DataFrame, *carry: str) -> DataFrame:
-    return grid.table_rows(html_nodes(pages, carry=carry, tags=LISTING_TAGS), ("page_id", *carry))
+    return grid.table_rows(page_trees(pages, carry, LISTING_TAGS), ("page_id", *carry))
 
 
 def org_rows(t: R.Tables) -> DataFrame:
@@ -247,14 +247,12 @@ def keep_first(t):
 
 @query
 def resolve_option(t):
-    """Each customer asks its nation's list box for a name that is cut or has a suffix."""
-    k = F.col("c_custkey")
+    """Each customer asks its nation's list box for a lab of its own number, by its whole name or with a suffix."""
     options = t.supplier.select(
-        F.col("s_nationkey").alias("g"), F.col("s_suppkey").alias("idx"),
-        F.concat(F.lit("Lab "), F.substring("s_name", -3, 3)).alias("name"),
-    )
-    number = F.substring("c_name", -3, 3)
-    target = F.when(k % 2 == 0, F.concat(F.lit("Lab "), number, F.lit(" (main)"))).otherwise(F.substring("c_name", -2, 2))
+        F.col("s_nationkey").alias("g"), F.col("s_suppkey").alias("idx"), F.concat(F.lit("Lab "), F.col("s_name")).alias("name")
+    )
+    named = F.replace(F.col("c_name"), F.lit("Customer"), F.lit("Supplier"))
+    target = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Lab "), named, F.lit(" (main)"))).otherwise(named)
     targets = t.customer.select(F.col("c_nationkey").alias("g"), target.alias("target"))
     return incremental.resolve_option(targets, options, ["g"])
 
@@ -443,8 +441,7 @@ def polls(t: R.Tables) -> DataFrame:
 
 @query
 def first_stable(t):
-    day = F.to_date("ts")
-    stable = ordered.first_stable(polls(t), "page", ["ts", "event_id"], day)
+    stable = ordered.first_stable(polls(t), "page", ["ts", "event_id"])
     return stable.select("page", F.col("event_id").alias("stable_at"))
 
 
@@ -650,11 +647,56 @@ def split_list(t):
 # --- streaming -------------------------------------------------------------------------------
 
 
+def landed(t: R.Tables, kind: str, *drops: DataFrame) -> str:
+    """Pages that land drop by drop, each taken in before the next; where the result lies."""
+    base = work_dir(t.spark)
+    for drop in drops:
+        drop.coalesce(2).write.mode("append").parquet(f"{base}/landing")
+        stream_listing(t.spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", kind).awaitTermination()
+    return f"{base}/out"
+
+
+def in_drops(pages: DataFrame) -> list[DataFrame]:
+    """All pages, the first ones of the listing first."""
+    at = F.col("page_no")
+    return [pages.filter(at < 3), pages.filter(at.between(3, 9)), pages.filter(at > 9)]
+
+
 @query
 def streamed_listing(t):
     """The organization pages taken in by a stream, one record per address kept."""
-    base = work_dir(t.spark)
-    pages = R.organization_pages(t).select("page_id", "page_no", "html")
-    pages.write.parquet(f"{base}/landing")
-    stream_listing(t.spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt").awaitTermination()
-    return t.spark.read.parquet(f"{base}/out/data").select(F.col("Manage_URL").alias("manage_url"), "Provinces")
+    out = landed(t, "organization", *in_drops(R.organization_pages(t).select("page_id", "page_no", "html")))
+    return t.spark.read.parquet(f"{out}/data").select(F.col("Manage_URL").alias("manage_url"), "Provinces")
+
+
+def visited(pages: DataFrame, visit: int) -> DataFrame:
+    return pages.select("institution", F.lit(visit).cast("bigint").alias("visit"), "page_id", "page_no", F.lit("").alias("url"), "html")
+
+
+@query
+def streamed_facilities(t):
+    """Facility pages in several batches; the groups of one region are visited again and now show linked facilities only."""
+    groups = t.nation.filter(F.col("n_regionkey") == 0).select(F.col("n_nationkey").alias("g"))
+    again = R.facilities(t).join(groups, "g", "left_semi").filter(X.valid_link(F.col("manage_url")))
+    out = landed(t, "facility", *in_drops(visited(R.facility_pages(t), 1)), visited(R.facility_pages(t, again), 2))
+    return current_rows(t.spark, out).select(
+        F.col("Institution").alias("institution"), F.col("Facility_Name").alias("name"), F.col("Manage_URL").alias("manage_url")
+    )
+
+
+@query
+def streamed_experts(t):
+    """Expert pages in several batches, one record per institution and address."""
+    pages = R.expert_listing_pages(t).withColumn("page_no", F.expr(f"page_id div {R.GROUPS}"))
+    out = landed(t, "expert", *in_drops(visited(pages, 1)))
+    return current_rows(t.spark, out).select(
+        F.col("Institution").alias("institution"), F.col("Name").alias("name"), F.col("Manage_URL").alias("manage_url")
+    )
+
+
+@query
+def stream_progress(t):
+    """Records taken in by the end of the stream, as its progress rows say, and the number of batches."""
+    out = landed(t, "organization", *in_drops(R.organization_pages(t).select("page_id", "page_no", "html")))
+    rows = t.spark.read.parquet(f"{out}/progress")
+    return rows.agg(F.max("processed").alias("processed"), F.count("*").alias("batches"))

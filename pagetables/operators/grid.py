@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.functions.text import clean_text, icon_flag, normalize_key
-from pagetables.operators.scope import enclosing, in_document_order, is_a, or_self, sel_is
+from pagetables.functions.text import icon_flag, normalize_key
 from pagetables.operators.tree import (
     Fold,
     attr_of,
@@ -22,85 +21,56 @@ from pagetables.operators.tree import (
     node_is,
     nodes,
     pick,
+    raw_text,
     shown,
     with_below,
 )
 
-IS_MASTER_ROW = sel_is("tr", "k-master-row")
-
-
 def attr(name: str) -> Column:
+    """Attribute of a node row."""
     return F.try_element_at("attrs", F.lit(name))
 
 
-def is_icon() -> Column:
-    return is_a("span", "k-icon")
+def icon_in(items: Column) -> Column:
+    """The first icon among a list's elements."""
+    return first(pick(items, "span", "k-icon"))
 
 
-def is_box() -> Column:
-    return (F.col("tag") == "input") & F.coalesce(attr("type") == "checkbox", F.lit(False))
+def box_in(items: Column) -> Column:
+    """Whether the first checkbox among a list's elements is checked, NULL without one."""
+    boxes = F.filter(items, lambda x: (x["tag"] == "input") & F.coalesce(attr_of(x, "type") == "checkbox", F.lit(False)))
+    return let(first(boxes), lambda x: F.when(x.isNotNull(), attr_of(x, "checked").isNotNull()))
 
 
-def _cell_facts(nodes: DataFrame, *extra: Column, clean: bool = True, wide: bool = False) -> DataFrame:
-    """Only the columns that cells are built from, so that an exchange carries no more.
+def listed_cell(c: Column) -> Column:
+    """A cell as listings read it: ``struct<text, links, icon, box>``; texts are as shown, not cleaned."""
 
-    ``kind`` is td, link, icon, box or NULL; ``tds`` are the enclosing cells. Texts are
-    cleaned here, once per node.
-    """
-    tag = F.col("tag")
-    kind = F.when(tag == "td", "td").when(tag == "a", "link").when(is_icon(), "icon").when(is_box(), "box")
-    text = clean_text(F.col("text")) if clean else F.col("text")
-    return nodes.withColumns(
-        {
-            "kind": kind,
-            "text": text,
-            "tds": enclosing(sel_is("td")),
-            "href": attr("href"),
-            "title": attr("title"),
-            "checked": attr("checked").isNotNull(),
-            "flag": F.when(is_icon(), icon_flag(attr("title"), F.col("cls"), wide)),
-        }
-    ).select(*extra, "pre", "kind", "tds", "text", "href", "title", "checked", "cls", "flag")
-
-
-def _cell_lists() -> list[Column]:
-    """Aggregates that gather a row's cells and what the cells hold."""
-    kind = F.col("kind")
-    return [
-        in_document_order(kind == "td", F.col("text")).alias("cells"),
-        in_document_order(kind == "link", *map(F.col, ("tds", "href", "title", "text"))).alias("links"),
-        in_document_order(kind == "icon", *map(F.col, ("tds", "title", "cls", "flag"))).alias("icons"),
-        in_document_order(kind == "box", F.col("tds"), F.col("checked")).alias("boxes"),
-    ]
-
-
-def _cells() -> Column:
-    """Cells of a row in order, each with its own links, first icon and first checkbox."""
-
-    def inside(found: str) -> str:
-        return f"filter({found}, x -> array_contains(x.tds, t.pre))"
-
-    return F.expr(
-        f"""transform(cells, t -> named_struct(
-            'pre', t.pre, 'text', t.text, 'links', {inside('links')},
-            'icon', get({inside('icons')}, 0), 'box', get({inside('boxes')}, 0).checked))"""
-    )
-
-
-def table_rows(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Master rows of every page: ``keys, row_pre, n_cells, cells, links``.
-
-    A row's group holds only that row's cells, and they are combined before the exchange.
-    """
-    is_row = is_a("tr", "k-master-row")
-    row_pre = F.explode(or_self(enclosing(IS_MASTER_ROW), is_row)).alias("row_pre")
-    return (
-        _cell_facts(nodes, *keys, row_pre, clean=False)
-        .filter(F.col("kind").isNotNull() | (F.col("pre") == F.col("row_pre")))
-        .groupBy(*keys, "row_pre")
-        .agg(*_cell_lists())
-        .select(*keys, "row_pre", F.size("cells").alias("n_cells"), _cells().alias("cells"), "links")
-    )
+    def made(inner: Column) -> Column:
+        icon = let(icon_in(inner), lambda i: F.when(i.isNotNull(), F.struct(attr_of(i, "title").alias("title"), i["cls"].alias("cls"))))
+        return F.struct(raw_text(c).alias("text"), titled_links(inner).alias("links"), icon.alias("icon"), box_in(inner).alias("box"))
+
+    return let(below(c), made)
+
+
+def titled_links(items: Column) -> Column:
+    def one(x: Column) -> Column:
+        return F.struct(attr_of(x, "href").alias("href"), attr_of(x, "title").alias("title"), raw_text(x).alias("text"))
+
+    return F.transform(pick(items, "a"), one)
+
+
+def table_rows(trees: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Master rows of every page: ``keys, row_pre, n_cells, cells, links``, built where the page was read."""
+
+    def one(r: Column) -> Column:
+        def made(inner: Column) -> Column:
+            cells = F.transform(pick(inner, "td"), listed_cell)
+            return F.struct(r["i"].alias("row_pre"), cells.alias("cells"), titled_links(inner).alias("links"))
+
+        return let(below(r), made)
+
+    rows = trees.select(*keys, F.inline(F.transform(pick(nodes(), "tr", "k-master-row"), one)))
+    return rows.select(*keys, "row_pre", F.size("cells").alias("n_cells"), "cells", "links")
 
 
 def is_record_row(x: Column, flavor: str) -> Column:
@@ -119,11 +89,6 @@ def is_visible(x: Column) -> Column:
     return attr_of(x, "hidden").isNull() & ~F.lower(style).contains("display:none")
 
 
-def icon_in(items: Column) -> Column:
-    """The first icon among a list's elements."""
-    return first(pick(items, "span", "k-icon"))
-
-
 def tree_cells(row: Column, wide: bool = False) -> Column:
     """Cells of a row: ``array<struct<text, links, flag>>``."""
 

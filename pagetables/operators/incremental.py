@@ -104,45 +104,50 @@ def pick_empty(empties: DataFrame, requests: DataFrame, choice: str, keys: Seque
     )
 
 
-def _substrings(c: Column) -> Column:
-    """Every distinct non-empty substring of a (short) name."""
-    n = F.length(c)
-    starts = F.sequence(F.lit(1), n)
-    return F.array_distinct(
-        F.flatten(
-            F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(c, i, k)))
-        )
+def grams(c: Column, n: int) -> Column:
+    """The distinct runs of ``n`` characters of a text, at most as many as it has characters; none if it is shorter."""
+    starts = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - (n - 1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(c, i, F.lit(n))))
+
+
+def _held(parts: DataFrame, wholes: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """All ``keys, part, whole`` where the text ``whole`` contains ``part``, without comparing all pairs.
+
+    A part of ``n`` characters or more is looked up by its run of characters that is rarest among the wholes and then
+    compared; a shorter one is such a run itself.
+    """
+    index = wholes.select(*keys, "whole", F.explode(grams(F.col("whole"), n)).alias("_gram"))
+    counts = index.groupBy(*keys, "_gram").agg(F.count("*").alias("_n"))
+    own = parts.filter(F.length("part") >= n).select(*keys, "part", F.explode(grams(F.col("part"), n)).alias("_gram"))
+    # a run that no whole has is the rarest of all, and finds none
+    rare = own.join(counts, [*keys, "_gram"], "left").groupBy(*keys, "part").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram")
     )
+    found = rare.join(index, [*keys, "_gram"]).filter(F.col("whole").contains(F.col("part"))).select(*keys, "part", "whole")
+    for short in range(1, n):
+        runs = wholes.select(*keys, "whole", F.explode(grams(F.col("whole"), short)).alias("part"))
+        found = found.unionByName(parts.filter(F.length("part") == short).join(runs, [*keys, "part"]).select(*keys, "part", "whole"))
+    return found
 
 
 def resolve_option(
-    targets: DataFrame, options: DataFrame, keys: Sequence[str] = (), both_ways: bool = True
+    targets: DataFrame, options: DataFrame, keys: Sequence[str] = (), both_ways: bool = True, n: int = 3
 ) -> DataFrame:
     """First option that contains the target's name, or (``both_ways``) lies within it.
 
     ``targets(keys, target)`` and ``options(keys, idx, name)`` give ``keys, target, chosen``,
-    NULL where nothing matches. Containment is looked up by equality: names are short, so
-    each is spelled out into its substrings, and only the earliest option per substring is
-    kept. No pair of names is ever compared.
+    NULL where nothing matches. A name of any length makes at most as many index rows as it has characters for each
+    run length up to ``n``. Names that are equal count once, as the earliest.
     """
     keys = list(keys)
-    usable = options.filter(F.col("name") != "")
-    best = F.min_by(F.struct("idx", "name"), "idx").alias("hit")
+    first = options.filter(F.col("name") != "").groupBy(*keys, "name").agg(F.min("idx").alias("idx"))
     names = targets.select(*keys, "target").distinct()
-    holding = (
-        usable.select(*keys, "idx", "name", F.explode(_substrings(F.col("name"))).alias("target"))
-        .groupBy(*keys, "target")
-        .agg(best)
-    )
-    hits = names.join(holding, [*keys, "target"])
+    wanted = names.filter(F.col("target") != "")
+    hits = _held(wanted.withColumnRenamed("target", "part"), first.select(*keys, F.col("name").alias("whole")), keys, n)
+    hits = hits.select(*keys, F.col("part").alias("target"), F.col("whole").alias("name"))
     if both_ways:
-        firsts = usable.groupBy(*keys, F.col("name").alias("part")).agg(best)
-        held = (
-            names.filter(F.col("target") != "")
-            .select(*keys, "target", F.explode(_substrings(F.col("target"))).alias("part"))
-            .join(firsts, [*keys, "part"])
-            .select(*keys, "target", "hit")
-        )
-        hits = hits.unionByName(held)
-    chosen = hits.groupBy(*keys, "target").agg(F.min("hit").alias("hit"))
+        within = _held(first.select(*keys, F.col("name").alias("part")), wanted.withColumnRenamed("target", "whole"), keys, n)
+        hits = hits.unionByName(within.select(*keys, F.col("whole").alias("target"), F.col("part").alias("name")))
+    best = F.min(F.struct("idx", "name")).alias("hit")
+    chosen = hits.join(first, [*keys, "name"]).groupBy(*keys, "target").agg(best)
     return names.join(chosen, [*keys, "target"], "left").select(*keys, "target", F.col("hit.name").alias("chosen"))

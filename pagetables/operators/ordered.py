@@ -1,7 +1,7 @@
 """Running totals, numbering and stability, without one task per group.
 
 A group may be far larger than a task. Rows therefore come with a ``block``: a coarse,
-order-preserving part of the group (a page number, a time slice). Blocks are small, so
+order-preserving part of the group (a page number, a range of the order). Blocks are small, so
 windows run inside them, and only one summary row per block travels across blocks.
 """
 
@@ -12,46 +12,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FAN = 4096  # blocks per super block in prefix_sums
+from pagetables.sources.stage import staged
+
+FAN = 4096  # blocks, or sums of blocks, that one window sees
 
 
 def prefix_sums(totals: DataFrame, group: Sequence[str], block: str, n: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``n`` over all earlier blocks of the group.
 
-    Two levels: sums of ``FAN`` blocks are added up first, so a window sees at most
-    ``FAN`` blocks or one row per ``FAN`` blocks.
+    The blocks, numbered from 0, are the leaves of a tree in which ``FAN`` neighbours have one parent, as high as
+    their numbers ask for. A block's sum is what lies before it under its parent, before that under the
+    next, and so on; every window has at most ``FAN`` rows. Give ``totals`` that are staged: they are read once a level.
     """
     group = list(group)
-    parted = totals.withColumn("_super", F.floor(F.col(block) / FAN))
-    supers = parted.groupBy(*group, "_super").agg(F.sum(n).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = supers.select(*group, "_super", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inner = Window.partitionBy(*group, "_super").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        parted.withColumn("_inner", F.coalesce(F.sum(n).over(inner), F.lit(0)))
-        .join(offsets, [*group, "_super"])
-        .withColumn(out, (F.col("_inner") + F.col("_offset")).cast("bigint"))
-        .drop("_super", "_inner", "_offset")
-    )
+    most = totals.agg(F.max(block)).first()[0] or 0
+    level = totals.select(*group, F.col(block).cast("bigint").alias("_at"), F.col(n).alias("_n"))
+    levels: list[DataFrame] = []
+    while True:
+        level = level.withColumn("_up", F.expr(f"_at div {FAN}"))
+        before = Window.partitionBy(*group, "_up").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        levels.append(level.select(*group, "_at", "_up", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_sum")))
+        if most < FAN:
+            break
+        most //= FAN
+        level = level.groupBy(*group, F.col("_up").alias("_at")).agg(F.sum("_n").alias("_n"))
+    found = levels.pop()
+    while levels:
+        above = found.select(*group, F.col("_at").alias("_up"), F.col("_sum").alias("_above"))
+        found = levels.pop().join(above, [*group, "_up"]).select(*group, "_at", "_up", (F.col("_sum") + F.col("_above")).alias("_sum"))
+    sums = found.select(*group, F.col("_at").alias("_block"), F.col("_sum").cast("bigint").alias(out))
+    return totals.withColumn("_block", F.col(block).cast("bigint")).join(sums, [*group, "_block"]).drop("_block")
 
 
 def running_total(df: DataFrame, block: str = "page_no", group: Sequence[str] = ()) -> DataFrame:
     """New rows per page and the total so far: ``group, block, n_new, running``."""
-    counts = df.groupBy(*group, block).agg(F.count("*").alias("n_new"))
+    counts = staged(df.groupBy(*group, block).agg(F.count("*").alias("n_new")))
     return prefix_sums(counts, group, block, "n_new", "_before").select(
         *group, block, "n_new", (F.col("_before") + F.col("n_new")).alias("running")
     )
 
 
 def row_numbers(df: DataFrame, group: Sequence[str], block: str, order: Sequence[str]) -> DataFrame:
-    """Add ``position``, the row's number in its group from 0."""
+    """Add ``position``, the row's number in its group from 0. The rows are read once and staged with their number in the block."""
     keys = [*group, block]
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    offsets = prefix_sums(counts, group, block, "_n", "_before").select(*keys, "_before")
     w = Window.partitionBy(*keys).orderBy(*order)
+    ranked = staged(df.withColumn("_rank", F.row_number().over(w) - 1))
+    counts = staged(ranked.groupBy(*keys).agg(F.count("*").alias("_n")))
+    offsets = prefix_sums(counts, group, block, "_n", "_before").select(*keys, "_before")
     return (
-        df.withColumn("_rank", F.row_number().over(w) - 1)
-        .join(offsets, keys)
+        ranked.join(offsets, keys)
         .withColumn("position", (F.col("_rank") + F.col("_before")).cast("bigint"))
         .drop("_rank", "_before")
     )
@@ -66,9 +75,18 @@ def batch_ids(df: DataFrame, group: Sequence[str], block: str, order: Sequence[s
     )
 
 
-def _with_history(polls: DataFrame, key: str, order: Sequence[str], block: Column, k: int) -> DataFrame:
-    """Add ``history``: the ``k`` earlier counts of the same page, oldest first."""
-    polls = polls.withColumn("_block", block)
+def order_blocks(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Add ``_block``: consecutive ranges of key and order whose bounds are quantiles of a sample.
+
+    A key with many rows spans several blocks and small keys share one, so no block grows with a key. The number of blocks is that
+    of the session's shuffle partitions. Staged, since everything after relies on the same bounds.
+    """
+    ranged = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key, *order)
+    return staged(ranged.withColumn("_block", F.spark_partition_id()))
+
+
+def _with_history(polls: DataFrame, key: str, order: Sequence[str], k: int) -> DataFrame:
+    """Add ``history``: the ``k`` earlier counts of the same page, oldest first; ``polls`` has ``_block``."""
     at = F.struct(*order, "n")
     tails = (
         polls.withColumn(
@@ -98,7 +116,7 @@ def first_stable(
     polls: DataFrame,
     key: str,
     order: Sequence[str],
-    block: Column,
+    block: Column | None = None,
     k: int = 2,
     last_read: bool = False,
 ) -> DataFrame:
@@ -107,12 +125,14 @@ def first_stable(
     Stable means above zero and equal to the ``k`` reads before it, so ``k = 2`` takes three
     equal reads. The result has the columns of ``polls`` and one row per page that becomes
     stable; with ``last_read`` a page that never does gives its last read, as at a timeout,
-    and ``stable`` tells which is which.
+    and ``stable`` tells which is which. ``block`` may name an order-preserving part of each page's reads; without it
+    parts are found by sampling, so a page with a third of all reads is split too.
     """
     equal = F.forall("history", lambda h: h == F.col("n"))
     stable = (F.col("n") > 0) & (F.size("history") == k) & equal
-    marked = _with_history(polls, key, order, block, k).withColumn("stable", stable)
     cols = [c for c in polls.columns if c != key]
+    parted = order_blocks(polls, key, order) if block is None else polls.withColumn("_block", block)
+    marked = _with_history(parted, key, order, k).withColumn("stable", stable)
     picked = marked.groupBy(key).agg(
         F.min_by(F.struct(*cols), F.when(F.col("stable"), F.struct(*order))).alias("first"),
         F.max_by(F.struct(*cols), F.struct(*order)).alias("last"),

@@ -39,24 +39,6 @@ def sel_is(tag: str | None = None, *classes: str, id: str | None = None) -> Test
     return test
 
 
-
-def enclosing(test: Test, inside: str | None = None) -> Column:
-    """``pre`` of every enclosing element that passes, outermost first.
-
-    With ``inside``, only elements that lie within the element whose ``pre`` is in that column.
-    """
-    bound = f" AND p.pre > {inside}" if inside else ""
-    return F.expr(f"transform(filter(path, p -> {test('p.sel')}{bound}), p -> p.pre)")
-
-
-
-def or_self(scopes: Column, is_self: Column) -> Column:
-    """The enclosing elements, plus the node itself where it is such an element."""
-    return F.when(is_self, F.array_append(scopes, F.col("pre"))).otherwise(scopes)
-
-
-
-
-def in_document_order(kind: Column, *fields: Column) -> Column:
-    """Aggregate: structs of ``pre`` and the fields of the rows where ``kind`` holds, by ``pre``."""
-    return F.array_sort(F.collect_list(F.when(kind, F.struct(F.col("pre"), *fields))))
+def enclosing(test: Test) -> Column:
+    """``pre`` of every enclosing element that passes, outermost first."""
+    return F.expr(f"transform(filter(path, p -> {test('p.sel')}), p -> p.pre)")

@@ -50,9 +50,18 @@ def in_any(holders: Column, x: Column) -> Column:
     return F.exists(holders, lambda h: holds(h, x))
 
 
+def _text(x: Column) -> Column:
+    return F.substring(F.col("text"), x["start"] + 1, x["end"] - x["start"]).cast("string")
+
+
+def raw_text(x: Column) -> Column:
+    """Text of an element as shown, line breaks included."""
+    return F.btrim(_text(x), F.lit(" \n"))
+
+
 def shown(x: Column) -> Column:
     """Clean text of an element."""
-    return clean_text(F.substring(F.col("text"), x["start"] + 1, x["end"] - x["start"]).cast("string"))
+    return clean_text(_text(x))
 
 
 def attr_of(x: Column, name: str) -> Column:

@@ -94,6 +94,31 @@ def test_first_stable_over_blocks(spark, k, width, last):
     assert {r.page: r.id for r in got.collect()} == brute_stable(polls, k, last)
 
 
+@pytest.mark.parametrize("k, last", [(2, False), (3, True)])
+def test_first_stable_finds_its_own_blocks(spark, k, last):
+    polls = hot_polls()
+    df = spark.createDataFrame(polls, "page int, t int, id int, n int")
+    got = ordered.first_stable(df, "page", ["t", "id"], k=k, last_read=last)
+    assert {r.page: r.id for r in got.collect()} == brute_stable(polls, k, last)
+
+
+def test_a_key_with_a_third_of_all_rows_is_split(spark):
+    rows = spark.range(90_000).selectExpr("if(id % 3 = 0, 0, id) AS page", "id AS t", "1 AS n")
+    sizes = [r[0] for r in ordered.order_blocks(rows, "page", ["t"]).groupBy("_block").count().select("count").collect()]
+    median = sorted(sizes)[len(sizes) // 2]
+    assert len(sizes) > 2 and max(sizes) < 5 * median
+
+
+def test_long_names_are_looked_up_by_few_rows(spark):
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(2000))
+    options = spark.createDataFrame([(0, "x" * 50), (1, long), (2, long), (3, long[500:900])], "idx int, name string")
+    assert options.select(F.size(incremental.grams(F.col("name"), 3)).alias("n")).agg(F.max("n")).first()[0] <= 2000
+    targets = spark.createDataFrame([(long[100:1900],), (long + "!",), (long[7:9],), ("no such name",), ("",)], "target string")
+    got = {r.target: r.chosen for r in incremental.resolve_option(targets, options).collect()}
+    assert got == {long[100:1900]: long, long + "!": long, long[7:9]: long, "no such name": None, "": None}
+
+
 def test_attempts(spark):
     polls = [("a", 1, 0), ("a", 2, 0), ("a", 3, 4), ("b", 1, 1), ("c", 1, 0), *[("d", i, int(i > 4)) for i in range(1, 90)]]
     df = spark.createDataFrame(polls, "page string, t int, n int")

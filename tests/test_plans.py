@@ -13,7 +13,7 @@ from pagetables.operators.sections import page_sections
 from pagetables.plans import profile
 from pagetables.sources.html import html_nodes
 
-WRITES_FIRST = {"json_roundtrip", "snapshot_explode", "flat_export", "streamed_listing"}
+WRITES_FIRST = {"json_roundtrip", "snapshot_explode", "flat_export", "streamed_listing", "streamed_facilities", "streamed_experts", "stream_progress"}
 
 
 def plan(df):
@@ -78,3 +78,9 @@ def test_a_stored_node_table_prunes_columns_and_tags(spark, tmp_path):
     write_nodes(html_nodes(t.captured), str(tmp_path / "nodes"))
     text = plan(links_in_lists(spark.read.parquet(str(tmp_path / "nodes"))))
     assert "EqualTo(tag,a)" in text and "text:string" not in text
+
+
+@pytest.mark.parametrize("name", ["running_total", "batch_ids"])
+def test_numbering_needs_no_single_task(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "SinglePartition" not in text and "MapInArrow" not in text  # pages were read once, before

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from pagetables.operators import grid, kv, listing, panels, sections
 from pagetables.plans import profile
-from pagetables.sources.html import html_nodes, page_trees
+from pagetables.sources.html import page_trees
 
 
 def bar(*contents):
@@ -206,7 +206,7 @@ def test_expert_sections(section):
 def test_listing_links(pages_of):
     def fac(cells):
         html = '<table><tr class="k-master-row">' + "".join(f"<td>{c}</td>" for c in cells) + "</table>"
-        rows = grid.table_rows(html_nodes(pages_of(html)))
+        rows = grid.table_rows(page_trees(pages_of(html)))
         return listing.facility_listing(rows, F.lit("I"), F.lit(None).cast("timestamp")).first().asDict()
 
     assert fac(["B"]) == {"Institution": "I", "Branch": "B", "Facility_Name": "", "Facility_Type": "", "Manage_URL": "Not Found", "Scraped_At": None}
@@ -219,7 +219,7 @@ def test_listing_links(pages_of):
 def test_unchecked_box_without_title_is_no(pages_of):
     cells = ["", "", "", "Org", "P", "S", '<span class="k-icon k-i-checkbox"></span>', '<input type="checkbox" checked>', "<input type=checkbox>", ""]
     html = '<table><tr class="k-master-row">' + "".join(f"<td>{c}</td>" for c in cells) + "</table>"
-    got = listing.organization_listing(grid.table_rows(html_nodes(pages_of(html))), F.lit(None).cast("timestamp")).first()
+    got = listing.organization_listing(grid.table_rows(page_trees(pages_of(html))), F.lit(None).cast("timestamp")).first()
     assert (got.Requests, got.Projects, got.Enabled, got.Manage_URL) == ("No", "Yes", "No", "Not Found")
 
 
