@@ -41,8 +41,8 @@ from pagetables.llm.token_files import ragged
 
 #: Most pairs of ids that are broadcast; each has at least this fraction of all (document, pair) rows.
 HEAVY = 1 << 18
-#: Pieces encoded in one call, pieces remembered per worker, links of ids worked on at a time.
-JOINED, REMEMBERED, PRODUCTS = 256, 300_000, 1 << 21
+#: Pieces encoded in one call, links of ids worked on at a time, bytes of text aligned together.
+JOINED, PRODUCTS, TEXT = 256, 1 << 20, 1 << 20
 #: Id of side B inside a pair's key.
 SIDE = 1 << 31
 MARK = "▁"
@@ -50,7 +50,7 @@ MARK = "▁"
 WIDE = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
 WIDE_SPACE = re.compile(f"[{''.join(map(chr, WIDE))}]")
 
-OPEN_END = re.compile(f"[ \\t\\n\\x0b\\x0c\\r{MARK}{''.join(map(chr, WIDE))}]")
+OPEN_END = re.compile(f"[{MARK}{''.join(map(chr, WIDE))}]\\Z")
 
 
 class Side:
@@ -64,35 +64,52 @@ class Side:
 
     def measure(self) -> None:
         self.length = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.known: dict[str, tuple[list[int], bool]] = {}
-
-    def pieces(self, pieces: list[str]) -> list[tuple[list[int], bool]]:
-        """Ids of every piece and whether their bytes are the piece's; new pieces are encoded many at a time."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, bytes_of = self.known, self.bytes_of
-        joined: list[str] = []
-        alone: list[str] = []
-        for p in pieces:
-            if p not in known:
-                # White space at the end could run together with the next piece's space.
-                (joined if self.by_piece and not OPEN_END.match(p[-1]) else alone).append(p)
-        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
-        for group, ids in zip(groups, self.encode(["".join(g) for g in groups])):
-            raw = [p.encode() for p in group]
-            at = {e: i + 1 for i, e in enumerate(np.cumsum(self.length[ids]).tolist())}
-            ends = list(itertools.accumulate(map(len, raw)))
-            if b"".join([bytes_of[i] for i in ids]) != b"".join(raw) or not all(e in at for e in ends):
-                alone += group  # one of them isn't kept byte for byte: which one shows when each is encoded alone
-                continue
-            first = 0
-            for p, e in zip(group, ends):
-                known[p] = (ids[first : at[e]], True)
-                first = at[e]
-        for p, ids in zip(alone, self.encode(alone)):
-            ok = b"".join([bytes_of[i] for i in ids]) == p.encode()
-            known[p] = (ids if ok else [], ok)
-        return [known[p] for p in pieces]
+        self.table = pa.array(self.bytes_of, pa.binary())
+
+    def tokens(self, pieces: pa.StringArray, open_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all pieces in one array; where each piece's begin, how many it has, and whether their bytes are the piece's.
+
+        Pieces without an open end are encoded many at a time.
+        """
+        n = len(pieces)
+        first, count, ok = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+        joined = np.flatnonzero(~open_end) if self.by_piece else np.zeros(0, np.int64)
+        ids, fit = np.zeros(0, np.int64), np.zeros(0, bool)
+        while len(joined):
+            ids, at, fit = self._joined(pieces.take(pa.array(joined)))
+            if fit.all():
+                first[joined], count[joined], ok[joined] = at[:-1], np.diff(at), True
+                break
+            joined = joined[fit]  # one of a group isn't kept byte for byte: which one shows when each is encoded alone
+        alone = np.setdiff1d(np.arange(n), joined)
+        found = self.encode(pieces.take(pa.array(alone)).to_pylist())
+        parts, size = [ids if len(joined) else ids[:0]], len(ids) if len(joined) else 0
+        for i, own in zip(alone.tolist(), found):
+            if b"".join([self.bytes_of[x] for x in own]) == pieces[i].as_py().encode():
+                first[i], count[i], ok[i] = size, len(own), True
+                parts.append(np.array(own, np.int64))
+                size += len(own)
+        return np.concatenate(parts), first, count, ok
+
+    def _joined(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces encoded by groups, their bounds, and which pieces' groups came back byte for byte."""
+        data, bounds = utf8(pieces)
+        raw = data.tobytes()
+        cuts = np.append(np.arange(0, len(pieces), JOINED), len(pieces))
+        at = bounds[cuts].tolist()
+        found = self.encode([raw[i:j].decode() for i, j in zip(at, at[1:])])
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))
+        ends = np.cumsum(self.length[ids])
+        group = np.repeat(np.arange(len(found)), np.diff(cuts))
+        fit = np.diff(np.append(0, np.append(0, ends)[np.cumsum(size)])) == np.diff(bounds[cuts])
+        if not fit.all():
+            return ids, bounds, fit[group]
+        bytes_now = np.frombuffer(self.table.take(pa.array(ids)).buffers()[2], np.uint8)[: len(data)]
+        fit[np.searchsorted(bounds[cuts], np.flatnonzero(bytes_now != data), "right") - 1] = False
+        last = np.searchsorted(ends, bounds[1:])
+        fit[group[ends[last] != bounds[1:]]] = False
+        return ids, np.append(0, last + 1), fit[group]
 
 
 class ByteLevel(Side):
@@ -172,14 +189,23 @@ def cut_pieces(data: np.ndarray, bounds: np.ndarray, wide: bool) -> np.ndarray:
     return np.flatnonzero(cuts)
 
 
+def open_ends(pieces: pa.StringArray) -> np.ndarray:
+    """Pieces whose last character might run together with the space of the next piece, or be white space to a pattern."""
+    data, bounds = utf8(pieces)
+    last = data[bounds[1:] - 1]
+    out = (last < 33) | (last == 127)
+    wide = np.flatnonzero(last > 127)
+    out[wide] = [bool(OPEN_END.search(p)) for p in pieces.take(pa.array(wide)).to_pylist()]
+    return out
+
+
 class Tokens:
     """All tokens of one side of a slice of texts: id, document, start and end among the slice's bytes."""
 
-    def __init__(self, side: Side, ids: list[list[int]], which: np.ndarray, rows: np.ndarray, n: int, kept: np.ndarray, at: np.ndarray) -> None:
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(size.sum()))
+    def __init__(self, side: Side, found: tuple, which: np.ndarray, rows: np.ndarray, n: int, kept: np.ndarray, at: np.ndarray) -> None:
+        flat, begin, count, _ = found
         use = kept[rows]
-        taken, per_piece = ragged(np.cumsum(size) - size, size, which[use])
+        taken, per_piece = ragged(begin, count, which[use])
         self.id = flat[taken]
         self.row = np.repeat(rows[use], per_piece)
         length = side.length[self.id]
@@ -203,7 +229,9 @@ def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
     there = pd.merge_asof(fa, fb, on="start", by="row")  # every A start and the B token that covers it
     back = pd.merge_asof(fb, fa, on="start", by="row")
     wide = max(len(fb), 1)
-    both = np.union1d(there["a"].to_numpy() * wide + there["b"].to_numpy(np.int64), back["a"].to_numpy(np.int64) * wide + back["b"].to_numpy())
+    both = [x["a"].to_numpy(np.int64) * wide + x["b"].to_numpy(np.int64) for x in (there, back)]
+    both = np.sort(np.concatenate(both), kind="stable")  # two ascending runs
+    both = both[np.append(True, both[1:] != both[:-1])] if len(both) else both
     return both // wide, both % wide
 
 
@@ -219,14 +247,15 @@ class Slice:
             cuts = cut_pieces(data, bounds, bool(WIDE_SPACE.search(data.tobytes().decode())))
         else:
             cuts = bounds
-        words = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
-        which, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
+        coded = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        which, pieces = coded.indices.to_numpy(), coded.dictionary
         rows = np.searchsorted(bounds, cuts[:-1], "right") - 1
-        in_a, in_b = a.pieces(distinct), b.pieces(distinct)
-        ok = np.fromiter((x[1] and y[1] for x, y in zip(in_a, in_b)), bool, len(distinct))
+        ends = open_ends(pieces)
+        in_a, in_b = a.tokens(pieces, ends), b.tokens(pieces, ends)
+        ok = in_a[3] & in_b[3]
         self.kept = ~empty & (np.bincount(rows, ~ok[which], minlength=n) == 0)
-        self.a = Tokens(a, [x[0] for x in in_a], which, rows, n, self.kept, cuts[:-1])
-        self.b = Tokens(b, [x[0] for x in in_b], which, rows, n, self.kept, cuts[:-1])
+        self.a = Tokens(a, in_a, which, rows, n, self.kept, cuts[:-1])
+        self.b = Tokens(b, in_b, which, rows, n, self.kept, cuts[:-1])
         self.over_a, self.over_b = overlaps(self.a, self.b)
         closing = self.over_a[self.a.end[self.over_a] == self.b.end[self.over_b]]
         self.cuts, self.cut_row = self.a.end[closing], self.a.row[closing]
@@ -295,7 +324,7 @@ def add_up(row: np.ndarray, pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray
 def _sliced(batches: Iterator[pa.RecordBatch], a: Side, b: Side) -> Iterator[tuple[pa.Array, Slice]]:
     for batch in batches:
         texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
-        for first, last, _, _ in slices(texts):
+        for first, last, _, _ in slices(texts, TEXT):
             yield batch.column(0).slice(first, last - first), Slice(texts.slice(first, last - first), a, b)
 
 
