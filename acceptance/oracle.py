@@ -140,10 +140,29 @@ SELECT r.g, r.phase, r.name,
 FROM registry r LEFT JOIN counts c ON c.g = r.g AND c.phase = r.phase
                 LEFT JOIN progress p ON p.g = r.g AND p.phase = r.phase""",
     "completeness": """
-SELECT n_nationkey AS g, n_nationkey % 5 + coalesce(c, 0) AS claimed, coalesce(c, 0) AS seen,
-       CASE WHEN coalesce(c, 0) = 0 AND n_nationkey % 5 = 0 THEN 'empty' WHEN coalesce(c, 0) = 0 THEN 'suspicious'
+SELECT n_nationkey AS g, CASE WHEN n_nationkey % 7 <> 3 THEN n_nationkey % 5 + coalesce(c, 0) END AS claimed,
+       coalesce(c, 0) AS seen,
+       CASE WHEN n_nationkey % 7 = 3 THEN 'unparsed'
+            WHEN coalesce(c, 0) = 0 AND n_nationkey % 5 = 0 THEN 'empty' WHEN coalesce(c, 0) = 0 THEN 'suspicious'
             WHEN n_nationkey % 5 > 0 THEN 'short' ELSE 'complete' END AS verdict
 FROM nation LEFT JOIN (SELECT g, count(*) AS c FROM fac GROUP BY g) ON g = n_nationkey""",
+    "snapshot_batches": """
+SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS processed, (SELECT count(*) FROM fac) AS total
+FROM (SELECT CAST(k % 4 AS INTEGER) AS batch_id, count(*) AS n FROM fac WHERE k % 4 <> 3 GROUP BY 1)""",
+    "is_complete": """
+, runs AS (SELECT g, count(*) FILTER (manage_url <> 'Not Found' AND ready AND (g % 5 <> 0 OR k % 2 = 0)) AS processed,
+       count(*) FILTER (manage_url <> 'Not Found' AND (ready OR g % 3 <> 0)) AS total,
+       count(*) FILTER (manage_url <> 'Not Found' AND NOT ready AND g % 3 <> 0) AS errors FROM ex GROUP BY g)
+SELECT g, processed, total, errors, errors = 0 AND processed = total AS is_complete, errors = 0 AS no_errors FROM runs""",
+    "errors_roundtrip": """
+SELECT k AS index, name, institution, CASE WHEN manage_url = 'Not Found' THEN 'No valid Manage URL' ELSE 'Extraction failed' END AS reason
+FROM ex WHERE manage_url = 'Not Found' OR NOT ready""",
+    "newest_capture": "SELECT url, max(page_id) + CASE WHEN max(page_id) % 2 = 0 THEN 1000000000 ELSE 0 END AS page_id FROM pages GROUP BY url",
+    "facility_profiles": """
+SELECT k, institution, facility_name AS name, facility_type AS type, manage_url AS source
+FROM fac WHERE manage_url <> 'Not Found'""",
+    "organization_profiles": """
+SELECT k, name, provinces, sectors, manage_url AS source FROM org_ok WHERE manage_url <> 'Not Found'""",
     "activity_union": """
 SELECT o_custkey // 15 AS k, 'Order ' || o_orderkey AS project_name,
        CASE WHEN o_orderkey % 2 = 0 THEN 'https://portal.example/Project/' || o_orderkey ELSE '' END AS project_url,

@@ -226,6 +226,66 @@ def error_reasons(t):
     return profile.extraction_errors("expert", R.experts_master(t), done, no_time()).select("name", "reason")
 
 
+@query
+def errors_roundtrip(t):
+    """Errors of two runs with their place in the master list, written, one run written again, and read back."""
+    pages = R.expert_pages(t, 1)
+    ready = profile.ready_pages(html_nodes(pages, tags=("ul", "li"), texts=()))
+    done = pages.select("page_id", "url").join(ready, "page_id", "left_semi")
+    errors = profile.extraction_errors("expert", R.experts_master(t), done, no_time(), index=F.col("k"))
+    path = work_dir(t.spark)
+    for run in (0, 1, 0):
+        io.write_errors(errors.filter(F.col("index") % 2 == run), path, f"run{run}")
+    return io.read_errors(t.spark, path).select("index", "name", "institution", "reason")
+
+
+@query
+def snapshot_batches(t):
+    """Facilities saved in four batches, the last one interrupted before its commit: what counts, batch by batch."""
+    path = work_dir(t.spark)
+    rows = R.facilities(t)
+    total = rows.count()
+    done = 0
+    for b in range(4):
+        batch = rows.filter(F.col("k") % 4 == b).select("k", "facility_name")
+        done += batch.count()
+        state = t.spark.range(1).select(*audit.progress(F.lit(done), F.lit(total), F.lit(0)))
+        if b < 3:
+            io.write_snapshot(batch, state, path, b)
+        else:
+            io.write_batch(batch, f"{path}/data", b)
+    records, log = io.snapshot_log(t.spark, path)
+    return records.groupBy("batch_id").agg(F.count("*").alias("n")).join(log.select("batch_id", "processed", "total"), "batch_id")
+
+
+@query
+def is_complete(t):
+    """Each institution's run of expert pages: some with errors, some interrupted, some complete; two retirement rules."""
+    g, k, linked, ready = F.col("g"), F.col("k"), X.valid_link(F.col("manage_url")), F.col("ready")
+    runs = R.experts(t).groupBy("g").agg(
+        F.count_if(linked & ready & ((g % 5 != 0) | (k % 2 == 0))).alias("p"),
+        F.count_if(linked & (ready | (g % 3 != 0))).alias("t"),
+        F.count_if(linked & ~ready & (g % 3 != 0)).alias("errors"),
+    )
+    log = runs.select("g", "errors", *audit.progress(F.col("p"), F.col("t"), F.col("errors"))).withColumn("batch_id", F.lit(1))
+    first = log.withColumns({"batch_id": F.lit(0), "processed": F.lit(0).cast("bigint"), "errors": F.lit(0).cast("bigint")})
+    path = work_dir(t.spark)
+    for batch, rows in enumerate((first, log)):
+        io.write_batch(rows.drop("batch_id"), path, batch)
+    saved = t.spark.read.parquet(path)
+    both = audit.retirable(saved, ["g"], need_all=True).select("g", F.col("may_retire").alias("is_complete"))
+    clean = audit.retirable(saved, ["g"]).select("g", F.col("may_retire").alias("no_errors"))
+    return saved.filter("batch_id = 1").select("g", "processed", "total", "errors").join(both, "g").join(clean, "g")
+
+
+@query
+def newest_capture(t):
+    """Every second page captured again under a later id."""
+    pages = t.pages.select("page_id", "url")
+    again = pages.filter(F.col("page_id") % 2 == 0).withColumn("page_id", F.col("page_id") + 1_000_000_000)
+    return profile.newest_pages(pages.unionByName(again)).select("url", "page_id")
+
+
 @query
 def append_new(t):
     """The batch is the whole listing, the enabled organizations are already stored."""
@@ -604,6 +664,29 @@ def expert_facts(t):
     return profile.section_facts(full).withColumnRenamed("page_id", "k")
 
 
+@query
+def facility_profiles(t):
+    """The facilities' master list meets their pages: what the profiles carry over from the list."""
+    url = R.cat(f"{R.PORTAL}/Fac/", F.col("page_id"))
+    full = profile.profiles("facility", fac_listing(t), R.facility_detail_pages(t).withColumn("url", url), no_time())
+    return full.select(
+        F.col("page_id").alias("k"), F.col("Meta.Institution").alias("institution"), F.col("Meta.Facility_Name_From_List").alias("name"),
+        F.col("Meta.Type_From_List").alias("type"), F.col("Meta.Source_URL").alias("source"),
+    )
+
+
+@query
+def organization_profiles(t):
+    """The organizations' master list meets their pages."""
+    url = R.cat(f"{R.PORTAL}/Org/", F.col("page_id"))
+    full = profile.profiles("organization", org_listing(t), R.organization_detail_pages(t).withColumn("url", url), no_time())
+    return full.select(
+        F.col("page_id").alias("k"), F.col("Meta.Organization_Name_From_List").alias("name"),
+        F.col("Meta.Provinces_From_List").alias("provinces"), F.col("Meta.Sectors_From_List").alias("sectors"),
+        F.col("Meta.Source_URL").alias("source"),
+    )
+
+
 @query
 def facility_facts(t):
     """Every section of the facilities' profiles in long form."""

@@ -20,6 +20,18 @@ def progress(processed: Column, total: Column, errors: Column) -> list[Column]:
     ]
 
 
+def retirable(log: DataFrame, keys: Sequence[str], need_all: bool = False) -> DataFrame:
+    """Whether a run's saved state may go, by its newest progress row: ``keys, batch_id, may_retire``.
+
+    It may once there are no errors, and with ``need_all`` only if everything is processed too.
+    """
+    fields = ["processed", "total", "errors"]
+    last = log.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"), F.max_by(F.struct(*fields), "batch_id").alias("p"))
+    clean = F.col("p.errors") == 0
+    done = clean & (F.col("p.processed") == F.col("p.total")) if need_all else clean
+    return last.select(*keys, "batch_id", F.coalesce(done, F.lit(False)).alias("may_retire"))
+
+
 def latest_progress(rows: DataFrame, keys: Sequence[str], time: str = "timestamp") -> DataFrame:
     """Newest progress row per key; blank or zero counters fall back to 0, a missing time to 'Unknown'."""
     fields = ["processed", "total", "cursor", time]

@@ -92,17 +92,19 @@ def ready_pages(nodes: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFra
 
 
 def extraction_errors(
-    kind: str, master: DataFrame, extracted: DataFrame, at: Column, url: str = "Manage_URL"
+    kind: str, master: DataFrame, extracted: DataFrame, at: Column, url: str = "Manage_URL", index: Column | None = None
 ) -> DataFrame:
-    """Master rows without a profile and why: ``name, institution, url, reason, timestamp``.
+    """Master rows without a profile and why: ``index, name, institution, url, reason, timestamp``.
 
-    ``extracted`` holds the addresses (column ``url``) that gave a profile.
+    ``extracted`` holds the addresses (column ``url``) that gave a profile. ``index`` is the row's place in the master
+    list (``ordered.row_numbers`` gives one), NULL without.
     """
     done = extracted.select(F.col("url").alias(url)).distinct()
     ok = valid_link(F.col(url))
     bad = master.filter(~ok).unionByName(master.filter(ok).join(done, url, "left_anti"))
     institution = F.col("Institution") if "Institution" in master.columns else F.lit("")
     return bad.select(
+        (F.lit(None) if index is None else index).cast("bigint").alias("index"),
         F.coalesce(F.col(NAME_COLUMN[kind]), F.lit("Unknown")).alias("name"),
         institution.alias("institution"),
         F.coalesce(F.col(url), F.lit("")).alias("url"),

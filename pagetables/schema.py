@@ -14,7 +14,7 @@ MASTER = {
     "Projects string, Enabled string, Manage_URL string, Scraped_At timestamp",
 }
 PAGES = "page_id bigint, url string, html string"
-ERRORS = "name string, institution string, url string, reason string, timestamp timestamp"
+ERRORS = "index bigint, name string, institution string, url string, reason string, timestamp timestamp"
 PROGRESS = (
     "batch_id bigint, unit string, processed bigint, total bigint, cursor bigint, errors bigint, "
     "percent double, is_complete boolean, timestamp timestamp"

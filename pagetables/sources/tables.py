@@ -164,11 +164,21 @@ def write_batch(df: DataFrame, path: str, batch: int | str) -> None:
 
 
 def write_snapshot(df: DataFrame, progress: DataFrame, path: str, batch: int) -> None:
-    """New records of a batch and its progress row. Earlier batches stay as they are."""
+    """New records of a batch, then its progress row, which commits them. Earlier batches stay as they are."""
     write_batch(df, f"{path}/data", batch)
     write_batch(progress.drop("batch_id"), f"{path}/progress", batch)
 
 
+def snapshot_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """What ``write_snapshot`` committed: (records, progress), both with ``batch_id``.
+
+    The records of a batch that was interrupted before its progress row are left out.
+    """
+    progress = spark.read.parquet(f"{path}/progress")
+    done = progress.select("batch_id").distinct()
+    return spark.read.parquet(f"{path}/data").join(done, "batch_id", "left_semi"), progress
+
+
 def write_errors(df: DataFrame, path: str, run: str) -> None:
     """Error rows of a run as a partition."""
     df.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

@@ -162,7 +162,7 @@ def test_errors(spark):
     )
     done = spark.createDataFrame([("u1",)], "url string")
     at = F.lit("2024-01-01").cast("timestamp")
-    got = profile.extraction_errors("expert", master, done, at).drop("timestamp")
+    got = profile.extraction_errors("expert", master, done, at).drop("timestamp", "index")
     assert rows(got, "institution", "name") == [
         ("Unknown", "I", "", "No valid Manage URL"), ("b", "I", "Not Found", "No valid Manage URL"),
         ("d", "J", "", "No valid Manage URL"), ("e", "J", "u2", "Extraction failed"),

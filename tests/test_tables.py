@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagetables import schema
+from pagetables.operators import audit
 from pagetables.sources import tables as io
 from pagetables.sources.html import html_nodes
 
@@ -48,7 +49,7 @@ def test_snapshot_counters_under_one_name(spark, tmp_path):
 
 def test_errors_may_be_absent(spark, tmp_path):
     assert io.read_errors(spark, str(tmp_path / "none")).count() == 0
-    df = spark.createDataFrame([("n", "i", "u", "Extraction failed", None)], schema.ERRORS)
+    df = spark.createDataFrame([(3, "n", "i", "u", "Extraction failed", None)], schema.ERRORS)
     io.write_errors(df, str(tmp_path / "errors"), "20240101_000000")
     io.write_errors(df, str(tmp_path / "errors"), "20240101_000000")
     io.write_errors(df, str(tmp_path / "errors"), "20240102_000000")
@@ -103,3 +104,17 @@ def test_record_count(spark):
 @pytest.mark.parametrize("name", ["expert", "facility", "organization"])
 def test_registry(spark, name):
     assert schema.datasets(spark).filter(F.col("category").startswith(name.capitalize()[:5])).count() == 2
+
+
+def test_an_interrupted_batch_is_not_committed(spark, tmp_path):
+    path = str(tmp_path / "log")
+    state = lambda n, errors: spark.createDataFrame([("r", n, 9, errors)], "run string, processed bigint, total bigint, errors bigint")
+    io.write_snapshot(spark.range(3), state(3, 1), path, 0)
+    io.write_snapshot(spark.range(2), state(5, 0), path, 1)
+    io.write_batch(spark.range(4), f"{path}/data", 2)  # stopped before its progress row
+    records, log = io.snapshot_log(spark, path)
+    assert (records.count(), log.count()) == (5, 2)
+    assert [r.may_retire for r in (audit.retirable(log, ["run"]).first(), audit.retirable(log, ["run"], need_all=True).first())] == [True, False]
+    io.write_snapshot(spark.range(4), state(9, 0), path, 2)  # run again
+    records, log = io.snapshot_log(spark, path)
+    assert records.count() == 9 and audit.retirable(log, ["run"], need_all=True).first().may_retire
