@@ -40,7 +40,7 @@ WORDS, SIMILAR = 4, 85
 #: The pipeline's stage: words of a shingle and least similarity in per cent.
 STAGE_WORDS, STAGE_SIMILAR = 5, 80
 #: Up to this size a band uses one-deletion neighbourhoods; tokens of a weak segment; classes of a key within one
-#: slice that make it hot; members per side of a block; parities in a sketch; bits of
+#: slice that make it hot; members per side of a block; parities in a sketch at least; bits of
 #: the map of wanted classes; edges in one task at least.
 SMALL, WEAK, HOT, BLOCK, BITS, MAP, EDGES = 64, 1, 24, 256, 1024, 1 << 22, 100_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -162,10 +162,38 @@ def signatures(key: np.ndarray, row: np.ndarray, rows: int, similar: int) -> tup
 # ---------------------------------------------------------------- steps over documents
 
 
-def sketches(key: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """``BITS`` parities of every set: bit i tells whether an odd number of its tokens falls on i."""
-    cell = row * BITS + (scatter(key + np.uint64(3)) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8).reshape(rows, BITS), axis=1)
+def sketches(key: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """Parities of every set, bit i telling whether an odd number of its tokens falls on i: ``BITS`` or, for larger sets,
+    the first power of two from twice the size up, so that differences of large sets show as those of small ones do."""
+    size = row_counts(row, rows)
+    bits = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64))
+    ends = np.cumsum(bits)
+    cell = (ends - bits)[row] + (scatter(key + np.uint64(3)) & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(cell, minlength=int(ends[-1]) if rows else 0) & 1).astype(np.uint8))
+    offsets = np.append(0, ends // 8).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(odd)])
+
+
+def folded(found: list[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, longer ones folded to ``size`` bytes: the parity of a part is that of its halves."""
+    out = np.zeros((len(found), size // 8), np.uint64)
+    length = np.array([len(x) for x in found])
+    for n in np.unique(length):
+        some = np.flatnonzero(length == n)
+        words = np.frombuffer(b"".join([found[i] for i in some]), np.uint64).reshape(len(some), n // size, size // 8)
+        out[some] = np.bitwise_xor.reduce(words, axis=1)
+    return out
+
+
+def odd_bits(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """In how many parities the sketches of every pair differ, at the shorter one's length."""
+    size = np.array([min(len(x), len(y)) for x, y in zip(left, right, strict=True)])
+    out = np.zeros(len(size), np.int64)
+    for n in np.unique(size):
+        some = np.flatnonzero(size == n)
+        both = [folded([side[i] for i in some], int(n)) for side in (left, right)]
+        out[some] = np.bitwise_count(both[0] ^ both[1]).sum(1, dtype=np.int64)
+    return out
 
 
 def may_link(size_a: np.ndarray, size_b: np.ndarray, odd: np.ndarray, similar: int) -> np.ndarray:
@@ -183,7 +211,7 @@ def class_rows(rows: DataFrame, kind: str, words: int = WORDS) -> DataFrame:
             for first, last, data, bounds in slices(batch.column(1)):
                 key, row = shingles(data, bounds, words)
                 found, size = fingerprints(key, row, last - first)
-                sketch = pa.array([s.tobytes() for s in sketches(key, row, last - first)], pa.binary())
+                sketch = sketches(key, row, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), pa.array(found, mask=size == 0), pa.array(size), sketch],
                     ["_id", "_class", "n_shingles", "_sketch"],
@@ -282,23 +310,33 @@ def linked(a: np.ndarray, b: np.ndarray, similar: int) -> bool:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similar: int, words: int = WORDS) -> DataFrame:
-    """Those of the pairs ``_a, _b`` that are links."""
-    left, right = (texts.select(F.col("_class").alias(n), F.col("_text").alias(f"_text{n}")) for n in ("_a", "_b"))
-    # The smaller class is the hub of many pairs; it is met last, where the join may split a hot key.
-    whole = pairs.join(right, "_b").join(left, "_a").select("_a", "_b", "_text_a", "_text_b")
+    """Those of the pairs ``_a, _b`` that are links; ``_a`` is the one that has many partners.
+
+    A text moves once per hub it is compared with: the partners of a hub come in slices of about ``BLOCK``, each behind the
+    hub's own text, and are compared as they stream by.
+    """
+    slices_of = pairs.groupBy("_a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_slices"))
+    dealt = pairs.join(slices_of, "_a").select("_a", "_b", F.pmod(F.xxhash64("_b"), F.col("_slices")).cast("int").alias("_slice"))
+    hubs = dealt.select(F.col("_a").alias("_class"), "_a", "_slice", F.lit(None).cast("long").alias("_b")).distinct()
+    roles = hubs.unionByName(dealt.select(F.col("_b").alias("_class"), "_a", "_slice", "_b"))
+    met = roles.join(texts, "_class").select("_a", "_slice", "_b", "_text").repartition("_a", "_slice")
+    ordered = met.sortWithinPartitions("_a", "_slice", F.col("_b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = np.zeros(0, np.uint64)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                a, b = (part.column(i).to_numpy() for i in (0, 1))
-                names, texts = np.concatenate([a, b]), part.column(2).to_pylist() + part.column(3).to_pylist()
-                _, first = np.unique(names, return_index=True)
-                sets = dict(zip(names[first].tolist(), sets_of([texts[i] for i in first], words), strict=True))
-                good = np.array([linked(sets[x], sets[y], similar) for x, y in zip(a.tolist(), b.tolist(), strict=True)])
-                yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["_a", "_b"])
+                a, b = part.column(0).to_pylist(), part.column(2).to_pylist()
+                good = []
+                for x, y, own in zip(a, b, sets_of(part.column(3).to_pylist(), words), strict=True):
+                    if y is None:
+                        hub = own
+                    elif linked(hub, own, similar):
+                        good.append((x, y))
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in good], pa.int64()) for i in (0, 1)], ["_a", "_b"])
 
-    return whole.mapInArrow(run, "_a long, _b long")
+    return ordered.mapInArrow(run, "_a long, _b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -336,13 +374,12 @@ def shared_keys(index: DataFrame) -> DataFrame:
 
 
 def hub_pairs(members: DataFrame, rank: Column) -> DataFrame:
-    """``_a > _b``: every member of a bucket with the bucket's hub, the member that ranks highest; pairs whose
-    ``_root`` is the same already are left out."""
+    """``_a, _b``: every bucket's hub, the member that ranks highest, with each other member; pairs whose ``_root`` is the
+    same already are left out. Of two classes the same one is the hub in every bucket."""
     rows = members.withColumn("_rank", rank)
     hubs = rows.groupBy("_key").agg(F.max(F.struct("_rank", "_class", "_root")).alias("_hub"))
     met = rows.join(hubs, "_key").where(F.col("_root") != F.col("_hub._root"))
-    one, other = F.col("_class"), F.col("_hub._class")
-    return met.select(F.greatest(one, other).alias("_a"), F.least(one, other).alias("_b")).distinct()
+    return met.select(F.col("_hub._class").alias("_a"), F.col("_class").alias("_b")).distinct()
 
 
 def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -352,17 +389,12 @@ def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     return held.join(ends.where("_low != _high").select("_key"), "_key")
 
 
-def words_of(column: pa.Array) -> np.ndarray:
-    """Sketches as rows of 64-bit words."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITS // 64)
-
-
 def likely(pairs: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
     """The pairs that the sizes and sketches of their classes don't rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            odd = np.bitwise_count(words_of(batch.column(4)) ^ words_of(batch.column(5))).sum(1, dtype=np.int64)
+            odd = odd_bits(batch.column(4).to_pylist(), batch.column(5).to_pylist())
             good = pa.array(may_link(batch.column(2).to_numpy(), batch.column(3).to_numpy(), odd, similar))
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(good) for i in (0, 1)], ["_a", "_b"])
 
@@ -388,13 +420,14 @@ def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
 
     def pairs_of(table: pa.Table) -> pa.RecordBatch:
         key, i, j, name, root, block, size = (table.column(c).to_numpy() for c in columns[:-1])
-        sketch = words_of(table.column("_sketch").combine_chunks())
+        sketches = table.column("_sketch").to_pylist()
         change = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
         left, right = [], []
         for a, b in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
+            sketch = folded(sketches[a:b], min(map(len, sketches[a:b])))
             for x in range(a + 1, b):
                 y = a + np.flatnonzero((root[a:x] != root[x]) & ((i[x] == j[x]) | (block[a:x] != block[x])))
-                odd = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
+                odd = np.bitwise_count(sketch[y - a] ^ sketch[x - a]).sum(1, dtype=np.int64)
                 y = y[may_link(size[y], size[x], odd, similar)]
                 left.append(np.maximum(name[y], name[x]))
                 right.append(np.minimum(name[y], name[x]))

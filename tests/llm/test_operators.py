@@ -437,3 +437,23 @@ def test_remainder(spark):
 
 def test_queries_are_named():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("size", [3, 500, 6000])
+def test_sketches_rule_out_the_unlike_and_never_a_link(size):
+    rng = np.random.default_rng(size)
+    tokens = rng.integers(0, 1 << 63, 3 * size, dtype=np.uint64)
+    near = size // 12
+    sets = [tokens[:size], tokens[near : size + near], tokens[size : 2 * size], tokens[: size // 2]]
+    key = np.concatenate([np.sort(x) for x in sets])
+    row = np.repeat(np.arange(4), [len(x) for x in sets])
+    found = jaccard_join.sketches(key, row, 4).to_pylist()
+    n = np.array([len(x) for x in sets])
+    left, right = np.array([0, 0, 0, 1]), np.array([1, 2, 3, 2])
+    odd = jaccard_join.odd_bits([found[i] for i in left], [found[i] for i in right])
+    differ = [len(set(sets[i].tolist()) ^ set(sets[j].tolist())) for i, j in zip(left, right)]
+    assert (odd <= differ).all()
+    kept = jaccard_join.may_link(n[left], n[right], odd, 80)
+    assert kept[0] == (100 * (size - near) >= 80 * (size + near))
+    if size > 3:
+        assert not kept[1:].any()
