@@ -80,10 +80,72 @@ def test_base_rules(docs_of):
         assert not (r["base_failed"] and r["kept"])
 
 
-def test_kneser_ney_sums_to_one():
-    keys = np.unique(np.random.default_rng(1).integers(0, 32**4, 5000))
-    table = quality_rules.unfold(quality_rules.kneser_ney(keys, np.arange(len(keys)) % 7 + 1))
-    assert np.allclose(np.exp2(-table).reshape(-1, 32).sum(1), 1, atol=1e-3)
+def padded(text):
+    return "   " + re.sub(r"[\x20\x09-\x0D]+", " ", text)
+
+
+def kneser_ney_bits(texts):
+    """Bits per character of every text under the interpolated modified Kneser-Ney model of all, by its definition."""
+    counts = {4: Counter()}
+    for t in texts:
+        counts[4].update(padded(t)[i - 3 : i + 1] for i in range(3, len(padded(t))))
+    for k in (3, 2, 1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+
+    def off(k, n):
+        have = [max(1, sum(v == j for v in counts[k].values())) for j in (1, 2, 3, 4)]
+        y, j = have[0] / (have[0] + 2 * have[1]), min(n, 3)
+        return min(max(j - (j + 1) * y * have[j] / have[j - 1], 0.05 * j), 0.95 * j)
+
+    offs = {k: {n: off(k, n) for n in set(counts[k].values())} for k in counts}
+    totals, left = Counter(), Counter()
+    for k in counts:
+        for g, n in counts[k].items():
+            totals[k, g[:-1]] += n
+            left[k, g[:-1]] += offs[k][n]
+
+    def p(g):
+        out = 1 / (len(counts[1]) + 1)
+        for k in (1, 2, 3, 4):
+            own = g[4 - k :]
+            if totals[k, own[:-1]]:
+                n = counts[k][own]
+                out = (n - offs[k].get(n, 0) if n else 0) / totals[k, own[:-1]] + left[k, own[:-1]] / totals[k, own[:-1]] * out
+        return out
+
+    return [sum(-math.log2(p(padded(t)[i - 3 : i + 1])) for i in range(3, len(padded(t)))) / max(1, len(padded(t)) - 3) for t in texts]
+
+
+def test_perplexity_equals_its_definition(docs_of):
+    texts = [words(30, random.Random(i)) for i in range(20)] + ["é漢 字\n\n𝒳  a", "", " ", "aaaa", "Ünder  the\tsea"]
+    got = {r["doc_id"]: r for r in rows_of(quality_rules.judge(docs_of(list(enumerate(texts)))))}
+    want = kneser_ney_bits(texts)
+    assert [got[i]["bits"] for i in range(len(texts))] == pytest.approx(want, rel=1e-4)
+    assert got[0]["perplexity"] == pytest.approx(2 ** want[0], rel=1e-3)
+
+
+@pytest.mark.parametrize("kept", [quality_rules.KEPT, 50])
+def test_shares_sum_to_one(docs_of, kept):
+    rows = docs_of([(i, words(40, random.Random(i))) for i in range(30)]).selectExpr("doc_id as _id", "text as _text", "0 as _slot")
+    model = quality_rules.learn(rows, kept)[0]
+    assert all(len(order[0]) <= kept for order in model.orders)
+    alphabet = sorted({ord(c) for w in VOCABULARY for c in w} | {32})
+    for text in ("the", "a b", "zz z"[:3]):
+        before = sum(ord(c) << quality_rules.POINT * (2 - i) for i, c in enumerate(text))
+        shares = np.exp2(-model.bits(np.full(len(alphabet), before), np.array(alphabet)))
+        seen = len(alphabet) / (len(alphabet) + 1)
+        assert seen - 0.05 < shares.sum() <= 1 + 1e-6
+
+
+def test_random_letters_of_any_script_are_rejected(docs_of):
+    rng = random.Random(8)
+    letters = "абвгдежзиклмнопрстуфхцчшщыэюя"
+    vocabulary = ["".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(150)]
+    clean = [(i, " ".join(rng.choices(vocabulary, k=80))) for i in range(200)]
+    junk = [(1000 + i, " ".join("".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(80))) for i in range(40)]
+    kept = {r["doc_id"]: r["kept"] for r in rows_of(quality_rules.judge(docs_of(clean + junk, lang="ru")))}
+    assert sum(kept[i] for i, _ in junk) <= 4
+    assert sum(kept[i] for i, _ in clean) >= 198
 
 
 def test_perplexity_rejects_noise(docs_of):
