@@ -3,8 +3,11 @@
 A page is read as a sequence of tags and words. Tags score negative and words by where they stand: the log odds that
 words of the same kind lie inside the content on labelled pages, positive in running text and negative in menus,
 adverts or footers. One linear scan finds the contiguous run of tokens with the largest sum; that run is the content.
-Inside it, elements that are never article text (menus, asides, forms, scripts, reader comments and the like, by tag or
-by class, id or role) are left out, and the rest is given back block by block.
+Inside it, elements that are apart from the article (menus, asides, forms, scripts, reader comments and the like, by tag or
+by class, id or role) are left out, and the rest is given back block by block. A name of several words counts only if all of them
+speak of such parts or of layout: ``ad-banner`` does, ``has-sidebar`` and ``share-price`` don't. What such a mark means is settled once
+the page is read: an element that holds more than half of the page's words is the page's frame whatever it is
+called, and a form is one only where its words are few for its fields.
 
 Labelled pages are those whose own markup marks the content with exactly one ``article`` or ``main`` element, at most
 ``LABELLED`` of them, those first by a hash of the identifier; their counts per kind are added up by Spark and the
@@ -50,7 +53,14 @@ PARTS = frozenset(
     "newsletter notice notification pagination pager popup promo promoted promotion related replies reply respond search "
     "share sharing sidebar skip social sponsor sponsored subscribe tags toolbar widget widgets".split()
 )
+LAYOUT = frozenset(
+    "area bar block bottom box center col column container global group inner item items left link links list middle outer page "
+    "primary right row secondary section site top wrap wrapper zone".split()
+)
 CONTENT = ("article", "main")
+#: Words that a field of a form explains at most, and words of a form without much explanation.
+PER_FIELD, FEW = 20, 40
+FIELDS = frozenset("input select textarea button".split())
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>""", re.S
@@ -63,29 +73,47 @@ Token = tuple[str, str | None, int, bool, bool]
 
 
 def hint(attributes: str) -> str | None:
-    """The part of a page that class, id or role name."""
+    """The part of a page that class, id or role name, if every word of the name is of such a part or of layout."""
     for m in NAMED.finditer(attributes):
-        value = (m[1] or m[2] or m[3] or "").lower()
-        for word in PIECES.findall(value):
-            if word in PARTS:
-                return word
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            said = [w for w in PIECES.findall(name)]
+            parts = [w for w in said if w in PARTS]
+            if parts and all(w in PARTS or w in LAYOUT for w in said):
+                return parts[0]
     return None
 
 
+class Apart:
+    """An element that may be apart from the article, and what it turns out to hold."""
+
+    def __init__(self, name: str, element: str) -> None:
+        self.name, self.element, self.words, self.fields = name, element, 0, 0
+
+    def holds(self, all_words: int) -> bool:
+        """Whether it's apart indeed."""
+        if 2 * self.words > all_words and self.words > FEW:
+            return False
+        return self.element != "form" or self.words <= FEW + PER_FIELD * self.fields
+
+
 def tokens(page: str) -> tuple[list[Token], int]:
     """The tokens of a page and how many content marks it has."""
-    out: list[Token] = []
-    # Open elements: name, section, block tag, never content, in a mark.
-    stack: list[tuple[str, str, str, bool, bool]] = [("", "body", "body", False, False)]
-    block, marks, at, end = 0, 0, 0, len(page)
+    # Name of a tag, text of a word run, block, elements around that may be apart, block tag, in a mark.
+    out: list[tuple[str, str | None, int, tuple[Apart, ...], str, bool]] = []
+    # Open elements: name, elements around that may be apart, block tag, in a mark.
+    stack: list[tuple[str, tuple[Apart, ...], str, bool]] = [("", (), "body", False)]
+    block, marks, at, end, total = 0, 0, 0, len(page), 0
 
     def text(piece: str) -> None:
+        nonlocal total
         piece = html.unescape(piece) if "&" in piece else piece
-        if piece and not piece.isspace():
-            _, section, tag, never, marked = stack[-1]
-            out.append((f"{section}/{tag}", piece, block, never, marked))
-        elif piece:
-            out.append(("", piece, block, stack[-1][3], stack[-1][4]))
+        if piece:
+            _, apart, tag, marked = stack[-1]
+            n = words(piece)
+            total += n
+            for x in apart:
+                x.words += n
+            out.append(("", piece, block, apart, tag if n else "", marked))
 
     while at < end:
         m = MARKUP.search(page, at)
@@ -101,12 +129,12 @@ def tokens(page: str) -> tuple[list[Token], int]:
         if m[1]:
             if name in BLOCKS:
                 block += 1
-            _, _, _, never, marked = stack[-1]
+            _, apart, _, marked = stack[-1]
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
-            out.append((f"</{name}>", None, block, never, marked))
+            out.append((f"</{name}>", None, block, apart, "", marked))
             continue
         if name in BLOCKS:
             block += 1
@@ -116,23 +144,40 @@ def tokens(page: str) -> tuple[list[Token], int]:
                 stack.pop()
         elif name == "br":
             text(" ")
-        _, section, tag, never, marked = stack[-1]
+        _, apart, tag, marked = stack[-1]
         named = hint(m[3])
+        if name in FIELDS:
+            for x in apart:
+                x.fields += 1
         if name in CONTENT:
             marks += 1
-            never, marked = False, True
-        apart = name in NEVER or named is not None or (name == "header" and not marked)
-        if apart and name not in ("body", "html", *CONTENT):
-            section, never = f"{name}.{named}" if named else name, True
+            apart, marked = (), True
+        elif name not in ("body", "html") and (name in NEVER or named is not None or (name == "header" and not marked)):
+            apart = (*apart, Apart(f"{name}.{named}" if named else name, name))
         if name in BLOCKS:
             tag = name
-        out.append((f"<{name}.{named}>" if named else f"<{name}>", None, block, never, marked))
+        out.append((f"<{name}.{named}>" if named else f"<{name}>", None, block, apart, "", marked))
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
         elif name not in VOID and not m[3].endswith("/"):
-            stack.append((name, section, tag, never, marked))
-    return out, marks
+            stack.append((name, apart, tag, marked))
+    known: dict[tuple[Apart, ...], str | None] = {}
+    return [settled(t, total, known) for t in out], marks
+
+
+def settled(token: tuple, total: int, known: dict[tuple[Apart, ...], str | None]) -> Token:
+    """The token's kind, once it's known which of the elements around it are apart."""
+    tag, piece, block, around, inside, marked = token
+    if around not in known:
+        held = [x.name for x in around if x.holds(total)]
+        known[around] = held[-1] if held else None
+    apart = known[around]
+    if piece is None:
+        kind = tag
+    else:
+        kind = f"{apart or 'body'}/{inside}" if inside else ""
+    return kind, piece, block, apart is not None, marked
 
 
 def words(piece: str) -> int:
@@ -162,25 +207,34 @@ def weigh(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     return out
 
 
-def extract(page: str | None, weights: dict[str, float]) -> str:
-    """The main text of one page."""
-    found, _ = tokens(page or "")
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """First and last + 1 place of the contiguous run with the largest sum, in one scan; (0, 0) if none is positive."""
     best, best_from, best_to, total, begin = 0.0, 0, 0, 0.0, 0
-    for i, (kind, piece, _, never, _) in enumerate(found):
-        if piece is None:
-            score = weights.get(kind, -TAG_COST)
-        elif not kind:
-            score = 0.0
-        else:
-            score = weights.get(kind)
-            if score is None:
-                score = HINTED if never else weights.get("*" + kind.split("/")[1], UNSEEN)
-            score *= words(piece)
+    for i, score in enumerate(scores):
         if total <= 0:
             total, begin = 0.0, i
         total += score
         if total > best:
             best, best_from, best_to = total, begin, i + 1
+    return best_from, best_to
+
+
+def score_of(token: Token, weights: dict[str, float]) -> float:
+    kind, piece, _, never, _ = token
+    if piece is None:
+        return weights.get(kind, -TAG_COST)
+    if not kind:
+        return 0.0
+    score = weights.get(kind)
+    if score is None:
+        score = HINTED if never else weights.get("*" + kind.split("/")[1], UNSEEN)
+    return score * words(piece)
+
+
+def extract(page: str | None, weights: dict[str, float]) -> str:
+    """The main text of one page."""
+    found, _ = tokens(page or "")
+    best_from, best_to = best_run([score_of(t, weights) for t in found])
     blocks: dict[int, list[str]] = {}
     for _, piece, block, never, _ in found[best_from:best_to]:
         if piece is not None and not never:

@@ -28,6 +28,7 @@ from pagetables.llm.queries import QUERIES, held_out
 from pagetables.shipping import ship
 
 SHAPE = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+SMALL_DIR = "/root/testdata/sf0.001"
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -519,3 +520,42 @@ def test_sketches_rule_out_the_unlike_and_never_a_link(size):
     assert kept[0] == (100 * (size - near) >= 80 * (size + near))
     if size > 3:
         assert not kept[1:].any()
+
+
+def test_the_scan_finds_the_best_run():
+    rng = random.Random(4)
+    for _ in range(300):
+        scores = [rng.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0]) for _ in range(rng.randint(0, 30))]
+        a, b = html_extract.best_run(scores)
+        sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i, len(scores) + 1)]
+        assert sum(scores[a:b]) == max([0.0, *sums])
+
+
+def around(page, opening, closing):
+    return re.sub(r"(<body[^>]*>)(.*)(</body>)", lambda m: m[1] + opening + m[2] + closing + m[3], page, flags=re.S)
+
+
+def test_names_of_frames_and_content_hide_no_article(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL_DIR}/pages.parquet").orderBy("page_id").limit(40).collect()]
+    counts = {}
+    for (kind, inside), n in html_extract.kind_counts(pages).items():
+        counts.setdefault(kind, [0, 0])[0 if inside else 1] += n
+    weights = html_extract.weigh({k: tuple(v) for k, v in counts.items()})
+    form = '<form method="post"><input type="hidden" name="state" value="1">'
+    long = [p for p in pages if len(html_extract.extract(p, weights)) > 500]
+    assert len(long) >= 10
+    for page in long[:10]:
+        text = html_extract.extract(page, weights)
+        for opening, closing in (('<div class="page has-sidebar">', "</div>"), (form, "</form>"), ('<div id="sidebar-wrapper">', "</div>")):
+            assert html_extract.extract(around(page, opening, closing), weights) == text
+        first = text.split("\n\n")[0]
+        at = page.index("<p>", page.index("<body"))
+        for name in ('class="share-price"', 'id="related-work"'):
+            more = page[:at] + f"<div {name}><p>One more paragraph of the text itself.</p></div>" + page[at:]
+            if first in html_extract.extract(more, weights) and at > page.find("<h1"):
+                assert "One more paragraph of the text itself." in html_extract.extract(more, weights)
+        for name in ('class="ad-banner"', 'class="cookie notice"', "role=search"):
+            less = page[:at] + f"<div {name}>Buy this now.</div>" + page[at:]
+            assert "Buy this now." not in html_extract.extract(less, weights)
+        signup = '<form action="/s"><p>Sign up for letters.</p><input name="mail"><button>Go</button></form>'
+        assert "Sign up" not in html_extract.extract(page[:at] + signup + page[at:], weights)
