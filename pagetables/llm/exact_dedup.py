@@ -80,5 +80,10 @@ def exact_groups(
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of every group of equal texts stays, with its columns as they were."""
-    return exact_groups(docs, carry=docs.columns).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Pipeline stage: one document of every group of equal texts stays, the one with the smallest identifier.
+
+    Null texts are empty ones and equal to each other. Of rows that repeat the smallest identifier, or if no row of the
+    group has one, exactly one stays. An empty table stays empty; columns of any name come through unchanged.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text")
+    return exact_groups(whole, carry=["_row"]).where("kept").select("_row.*")

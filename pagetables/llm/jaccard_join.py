@@ -454,14 +454,13 @@ def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
     return rows.mapInArrow(run, "_a long, _b long").distinct()
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR, words: int = WORDS) -> DataFrame:
-    """Per row: ``<id>, n_shingles, component_id``; shingles of ``words`` words, links from ``similar`` per cent up."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+def classed(rows: DataFrame, kind: str, similar: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """Per row ``_id, _class, n_shingles``; per class ``_class, _first, _rows, component_id`` and ``_lead``, whether it
+    is the one class of its component that holds the document which stays."""
     each = cut(class_rows(rows, kind, words))
     # The row that stands for a class: its smallest identifier; a class without any takes part with the null row.
     one = [F.min(c).alias(n) for c, n in (("_id", "_first"), ("n_shingles", "n_shingles"), ("_sketch", "_sketch"))]
-    classes = cut(each.where("_class is not null").groupBy("_class").agg(*one))
+    classes = cut(each.where("_class is not null").groupBy("_class").agg(*one, F.count(F.lit(1)).alias("_rows")))
     members = cut(shared_keys(index_rows(rows, similar, words)))
     # The member that shares the most with others leads its buckets.
     sizes = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
@@ -474,9 +473,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simila
     links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind, words), similar, words)))
     roots = components(links)
     known = classes.join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
-    least = known.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    known = known.select("_class", "_root").join(least, "_root").select("_class", "component_id")
-    out = each.join(known, "_class", "left")
+    first = F.struct(F.col("_first").isNull().alias("none"), F.col("_first").alias("id"), F.col("_class").alias("of"))
+    least = known.groupBy("_root").agg(F.min(first).alias("_least"))
+    known = known.select("_class", "_first", "_rows", "_root").join(least, "_root")
+    return each, known.select("_class", "_first", "_rows", F.col("_least.id").alias("component_id"), (F.col("_class") == F.col("_least.of")).alias("_lead"))
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR, words: int = WORDS) -> DataFrame:
+    """Per row: ``<id>, n_shingles, component_id``; shingles of ``words`` words, links from ``similar`` per cent up."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    each, known = classed(rows, kind, similar, words)
+    out = each.join(known.select("_class", "component_id"), "_class", "left")
     return out.select(
         F.col("_id").alias(id_col),
         "n_shingles",
@@ -484,7 +492,30 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simila
     )
 
 
+def named_rows(docs: DataFrame, text_col: str, words: int) -> DataFrame:
+    """``_class, _row`` of every row, the whole row as one struct."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, bounds in slices(batch.column(1)):
+                found, size = fingerprints(*shingles(data, bounds, words), last - first)
+                yield pa.RecordBatch.from_arrays([pa.array(found, mask=size == 0), batch.column(0).slice(first, last - first)], ["_class", "_row"])
+
+    return rows.mapInArrow(run, f"_class long, _row {rows.schema['_row'].dataType.simpleString()}")
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest identifier of every component stays, and all without a word."""
-    found = join(docs, similar=STAGE_SIMILAR, words=STAGE_WORDS).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
+    """Pipeline stage: one document of every component stays, the one with the smallest identifier, and all without a word.
+
+    Of rows that repeat it, or if no row of the component has an identifier, exactly one stays. Only classes that go or have
+    several rows meet the rows again. An empty table stays empty; columns of any name come through unchanged.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    _, known = classed(rows, kind, STAGE_SIMILAR, STAGE_WORDS)
+    special = known.where("not _lead or _rows > 1").select(F.col("_class").alias("_named"), "_lead", "_first")
+    met = named_rows(docs, "text", STAGE_WORDS).join(special, F.col("_class") == F.col("_named"), "left")
+    plain = met.where("_named is null").select("_row")
+    again = met.where("_lead").where(F.col("_row.doc_id").eqNullSafe(F.col("_first"))).dropDuplicates(["_class"]).select("_row")
+    return plain.unionAll(again).select("_row.*")

@@ -190,13 +190,18 @@ def taken(docs: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document as often as the mix takes it; a part of a document counts as one more
-    whole document with that part as its chance, decided by a hash of its identifier."""
+    whole document with that part as its chance, decided by a hash of its identifier.
+
+    Rows of one identifier share its chance and number of copies, null being one of them; documents without a word go; an
+    empty table stays empty; columns of any name come through unchanged.
+    """
     shares = taken(docs).groupBy("doc_id").agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("_share"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = shares.where("_share > 0").select(
         F.col("doc_id").alias("_doc"),
         (F.floor("_share") + (chance < F.col("_share") - F.floor("_share")).cast("int")).cast("int").alias("_copies"),
     )
-    chosen = docs.join(copies.where("_copies > 0"), docs["doc_id"].eqNullSafe(copies["_doc"]))
-    chosen = chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return chosen.select(*[docs[c] for c in docs.columns])
+    worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = worded.select(F.col("doc_id").alias("_own"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    chosen = rows.join(copies.where("_copies > 0"), F.col("_own").eqNullSafe(F.col("_doc")))
+    return chosen.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
