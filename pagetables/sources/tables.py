@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,8 +19,9 @@ CORRUPT = "_corrupt_record"
 def read_master(spark: SparkSession, path: str, kind: str, multi_line: bool = False) -> DataFrame:
     """Master records from JSON lines, or (``multi_line``) from files that hold one array each.
 
-    Unreadable records (or whole array files) are left out; ``unreadable`` shows them. A
-    missing path is an error.
+    Indented arrays, one field to a line, are split among tasks at their records' borders, whatever a file's size; other array
+    files are read whole. Unreadable records (or whole array files of the second sort) are left out; ``unreadable`` shows
+    them. A missing path is an error.
     """
     df = _json(spark, path, schema.MASTER[kind], multi_line)
     return df.filter(F.col("_bad").isNull()).select(*schema.master_fields(kind))
@@ -37,9 +39,11 @@ def _json(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) ->
     The text is parsed in a column, so that any selection of columns may be made of it.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = spark.read.option("wholetext", multi_line).text(path).filter(F.trim("value") != "")
+    border = _border(spark, path) if multi_line else None
+    text = _indented(spark, path, border) if border else spark.read.option("wholetext", multi_line).text(path)
+    text = text.filter(F.trim("value") != "")
     record = f"struct<{_fields(ddl)}, {CORRUPT}:string>"
-    if not multi_line:
+    if border or not multi_line:
         parsed = text.select(F.from_json("value", record, options).alias("r"))
         return parsed.select("r.*").withColumnRenamed(CORRUPT, "_bad")
     files = text.select("value", F.from_json("value", f"array<{record}>", options).alias("rs"))
@@ -52,6 +56,25 @@ def _json(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) ->
     return rows.select("r.*", "_bad").drop(CORRUPT)
 
 
+def _border(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """End of line and indent of the records of an indented array, None if the first file isn't one.
+
+    A line feed can't stand inside a JSON string, so where a line closes a record at this indent, a record ends.
+    """
+    head = [r["value"] for r in spark.read.option("lineSep", "\n").text(path).limit(2).collect()]
+    found = re.fullmatch(r"([ \t]+)\{(\r?)", head[1]) if len(head) == 2 and head[0].strip() == "[" else None
+    return (found[2] + "\n", found[1]) if found else None
+
+
+def _indented(spark: SparkSession, path: str, border: tuple[str, str]) -> DataFrame:
+    """The records of indented arrays, one text each; Spark splits the files at the separator."""
+    eol, indent = border
+    pieces = spark.read.option("lineSep", f"{eol}{indent}}},{eol}{indent}{{{eol}").text(path)
+    inner = F.regexp_replace("value", rf"\A\s*\[{eol}{indent}\{{{eol}", "")
+    inner = F.regexp_replace(inner, rf"{eol}{indent}\}}{eol}\]\s*\z", "")
+    return pieces.select(F.concat(F.lit("{"), inner, F.lit("}")).alias("value"))
+
+
 def _fields(ddl: str) -> str:
     return ", ".join(":".join(f.split(" ", 1)) for f in ddl.split(", "))
 

@@ -118,3 +118,30 @@ def test_an_interrupted_batch_is_not_committed(spark, tmp_path):
     io.write_snapshot(spark.range(4), state(9, 0), path, 2)  # run again
     records, log = io.snapshot_log(spark, path)
     assert records.count() == 9 and audit.retirable(log, ["run"], need_all=True).first().may_retire
+
+
+@pytest.mark.parametrize("eol, indent", [("\n", 2), ("\r\n", 4)])
+def test_an_indented_array_is_split_among_tasks(spark, tmp_path, eol, indent):
+    names = [f'n{i} }},\n  {{ "x": [1]' if i % 50 == 7 else f"name {i}" for i in range(5000)]
+    rows = [{"Institution": "I\u00e9", "Name": n, "Manage_URL": f"u{i}", "Other": [{"a": 1}, {"b": "}"}]} for i, n in enumerate(names)]
+    text = json.dumps(rows, indent=indent, ensure_ascii=False).replace("\n", eol)
+    (tmp_path / "one.json").write_bytes(text.encode())
+    (tmp_path / "two.json").write_bytes(json.dumps(rows[:1], indent=indent).replace("\n", eol).encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(text) // 8))
+    try:
+        df = io.read_master(spark, str(tmp_path), "expert", multi_line=True)
+        parts = [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert len(parts) >= 8 and max(parts) < 2 * 5001 / 8
+        got = sorted((r.Manage_URL, r.Name, r.Institution) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted([(r["Manage_URL"], r["Name"], r["Institution"]) for r in rows] + [("u0", names[0], "I\u00e9")])
+    assert io.unreadable(spark, str(tmp_path), "expert", multi_line=True).count() == 0
+
+
+def test_a_broken_record_of_an_indented_array_is_shown(spark, tmp_path):
+    text = json.dumps([{"Name": "a"}, {"Name": "b"}, {"Name": "c"}], indent=2).replace('"b"', "b")
+    (tmp_path / "one.json").write_text(text)
+    assert sorted(r.Name for r in io.read_master(spark, str(tmp_path), "expert", multi_line=True).collect()) == ["a", "c"]
+    assert [r.text.strip() for r in io.unreadable(spark, str(tmp_path), "expert", multi_line=True).collect()] == ['{    "Name": b}']
