@@ -1,6 +1,7 @@
 """Exact duplicates by a tree of merges over sorted digest runs, in DataFrame operations only.
 
-Every row belongs to a run by a hash of its identifier. A run holds each digest once, with its smallest
+Every row belongs to a run by a hash of its identifier and text, with as many runs as the input has partitions, so a run is as
+large as a partition however much there is. A run holds each digest once, with its smallest
 identifier and its number of rows. Round by round, ``fan_in`` neighbouring runs are merged into one, until one
 run is left; a level keeps the smallest identifier of what it merges. The result goes back down the same tree,
 so a group that holds a third of all rows never meets in one task: on every level a digest has at most one row
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pagetables.llm.common import cut
 
-RUNS, FAN_IN = 64, 8
+FAN_IN = 8
 KEY = ["_digest", "_length", "_check"]
 
 
@@ -27,16 +28,20 @@ def normalized(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
+def n_runs(docs: DataFrame) -> int:
+    """Partitions of the input that hold rows, one at least."""
+    return max(1, docs.select(F.spark_partition_id().alias("_at")).distinct().count())
+
+
 def digests(docs: DataFrame, columns: list[Column], id_col: str, text_col: str, runs: int) -> DataFrame:
     """``columns`` plus id, run and the three parts of the key. The text is normalised once, in a step of its own."""
     row = docs.select(*columns, F.col(id_col).alias("_id"), normalized(F.col(text_col)).alias("_norm"))
     return row.select(
         *[c for c in row.columns if c != "_norm"],
-        F.pmod(F.xxhash64("_id"), F.lit(runs)).cast("int").alias("_run"),
         F.unhex(F.sha2("_norm", 256)).alias("_digest"),
         F.length("_norm").alias("_length"),
         F.xxhash64("_norm").alias("_check"),
-    )
+    ).withColumn("_run", F.pmod(F.xxhash64("_id", "_check"), F.lit(runs)).cast("int"))
 
 
 def merge_tree(rows: DataFrame, runs: int, fan_in: int) -> DataFrame:
@@ -58,10 +63,11 @@ def merge_tree(rows: DataFrame, runs: int, fan_in: int) -> DataFrame:
 
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
-    runs: int = RUNS, fan_in: int = FAN_IN,
+    runs: int | None = None, fan_in: int = FAN_IN,
 ) -> DataFrame:
     """One row per row of ``docs``: ``carry`` (the id by default), ``keep_id, group_size, kept, text_sha256``."""
     names = [id_col] if carry is None else carry
+    runs = runs or n_runs(docs)
     # Carried columns travel under names of their own, so none can clash with the columns made here.
     own = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)]
     light = cut(digests(docs, [], id_col, text_col, runs))
@@ -69,7 +75,7 @@ def exact_groups(
     rows = light.withColumn("_c0", F.col("_id")) if carry is None else digests(docs, own, id_col, text_col, runs)
     marked = rows.join(found, ["_run", *KEY])
     first = F.row_number().over(Window.partitionBy("_run", *KEY, "_id").orderBy(F.lit(0)))
-    # Without an identifier the run is the same for all, so the row number alone decides.
+    # Rows without identifier that are equal are in one run, so the row number alone decides.
     return marked.select(
         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)],
         "keep_id",

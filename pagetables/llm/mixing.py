@@ -32,6 +32,8 @@ from pagetables.llm.common import cut, n_words
 BLOCK, MOST, WEIGHTS = 1024, 3, (5, 2, 1)
 #: Slots of an output shard on average, slots made by one row's work, parts of a source whose offsets are summed apart.
 SHARD, CHUNK, PARTS = 4096, 65_536, 4096
+#: Sources that are broadcast at most.
+SMALL = 50_000
 
 
 class Permutation:
@@ -143,7 +145,9 @@ def mix(
     placed = rows.join(begin, ["_key", "_part"]).select(
         "_key", id_col, "size", (F.col("_begin") + F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("_start")
     )
-    placed = placed.join(sources.select("_key", "source_size", "target"), "_key")
+    # One row per source meets all of a source's rows: few enough rows are sent to every task, so a hot source is no one's key.
+    sizes = sources.select("_key", "source_size", "target")
+    placed = placed.join(F.broadcast(sizes) if sources.count() <= SMALL else sizes, "_key")
 
     total = sources.agg(F.sum("_take")).first()[0] or 0
     shards = int(max(1, -(-total // (block * SHARD))))
