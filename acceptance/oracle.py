@@ -149,6 +149,9 @@ FROM nation LEFT JOIN (SELECT g, count(*) AS c FROM fac GROUP BY g) ON g = n_nat
     "snapshot_batches": """
 SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS processed, (SELECT count(*) FROM fac) AS total
 FROM (SELECT CAST(k % 4 AS INTEGER) AS batch_id, count(*) AS n FROM fac WHERE k % 4 <> 3 GROUP BY 1)""",
+    "partial_result": """
+SELECT institution AS "Institution", branch AS "Branch", facility_name AS "Facility_Name",
+       facility_type AS "Facility_Type", manage_url AS "Manage_URL" FROM fac WHERE k // 1100 % 3 <> 2""",
     "is_complete": """
 , runs AS (SELECT g, count(*) FILTER (manage_url <> 'Not Found' AND ready AND (g % 5 <> 0 OR k % 2 = 0)) AS processed,
        count(*) FILTER (manage_url <> 'Not Found' AND (ready OR g % 3 <> 0)) AS total,

@@ -258,6 +258,23 @@ def snapshot_batches(t):
     return records.groupBy("batch_id").agg(F.count("*").alias("n")).join(log.select("batch_id", "processed", "total"), "batch_id")
 
 
+@query
+def partial_result(t):
+    """A run stopped before its third batch was committed: what it had saved, kept as a master list under the run's id."""
+    path = work_dir(t.spark)
+    rows = fac_listing(t, "page_no")
+    state = t.spark.range(1).select(*audit.progress(F.lit(0), F.lit(0), F.lit(0)))
+    for b in range(3):
+        batch = rows.filter(F.col("page_no") % 3 == b).drop("page_no")
+        if b < 2:
+            io.write_snapshot(batch, state, path, b)
+        else:
+            io.write_batch(batch, f"{path}/data", b)
+    run = t.spark.range(1).select(X.run_id(F.lit("2024-01-01 12:30:00").cast("timestamp"))).first()[0]
+    io.write_records(io.snapshot_log(t.spark, path)[0].drop("batch_id"), f"{path}/partial_{run}", "json")
+    return io.read_master(t.spark, f"{path}/partial_{run}", "facility").drop("Scraped_At")
+
+
 @query
 def is_complete(t):
     """Each institution's run of expert pages: some with errors, some interrupted, some complete; two retirement rules."""

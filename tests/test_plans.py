@@ -13,7 +13,7 @@ from pagetables.operators.sections import page_sections
 from pagetables.plans import profile
 from pagetables.sources.html import html_nodes
 
-WRITES_FIRST = {"json_roundtrip", "snapshot_explode", "flat_export", "streamed_listing", "streamed_facilities", "streamed_experts", "stream_progress", "errors_roundtrip", "snapshot_batches", "is_complete"}
+WRITES_FIRST = {"json_roundtrip", "snapshot_explode", "flat_export", "streamed_listing", "streamed_facilities", "streamed_experts", "stream_progress", "errors_roundtrip", "snapshot_batches", "is_complete", "partial_result"}
 
 
 def plan(df):
