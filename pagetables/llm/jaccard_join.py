@@ -43,6 +43,8 @@ STAGE_WORDS, STAGE_SIMILAR = 5, 80
 #: slice that make it hot; members per side of a block; parities in a sketch at least; bits of
 #: the map of wanted classes; edges in one task at least.
 SMALL, WEAK, HOT, BLOCK, BITS, MAP, EDGES = 64, 1, 24, 256, 1024, 1 << 22, 100_000
+#: Classes that are broadcast at most when the stage's rows meet them.
+FEW = 500_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -514,7 +516,9 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     _, known = classed(rows, kind, STAGE_SIMILAR, STAGE_WORDS)
-    special = known.where("not _lead or _rows > 1").select(F.col("_class").alias("_named"), "_lead", "_first")
+    special = cut(known.where("not _lead or _rows > 1").select(F.col("_class").alias("_named"), "_lead", "_first"))
+    # So few that every task may hold them: then no text moves for them.
+    special = F.broadcast(special) if special.count() <= FEW else special
     met = named_rows(docs, "text", STAGE_WORDS).join(special, F.col("_class") == F.col("_named"), "left")
     plain = met.where("_named is null").select("_row")
     again = met.where("_lead").where(F.col("_row.doc_id").eqNullSafe(F.col("_first"))).dropDuplicates(["_class"]).select("_row")
