@@ -2,13 +2,17 @@
 
 The model is a modified Kneser-Ney model of order 4 over code points (white space squeezed to one space), one for each language that
 occurs and one for rows without a language. Tasks add up the 4-grams of their texts and Spark adds up the tasks. Continuation
-counts of the lower orders, counts of counts, totals of contexts and the shares of grams are Spark aggregations over all
-distinct grams. What tasks look up is kept in arrays sorted by 64-bit hash and found by binary search: the discounted share of
-every gram, and of every context what its grams leave to the lower order.
+counts of the lower orders, counts of counts, totals of contexts, the shares of grams, what their contexts leave to the lower order
+and so the bits of every 4-gram are Spark aggregations and joins over all distinct grams; none is left out.
 
-A gram enters the arrays if it makes up at least 1/``KEPT`` of its order's counts in its language, so an array holds at most
-``KEPT`` grams however much text there is; what a rarer gram would take is left to the lower orders. ``GROUP`` languages are learned and
-measured at a time, so driver and tasks hold the arrays of one group; every further group is one more pass over the table.
+Every 4-gram that a text holds is in that table. The ``COMMON`` most frequent ones of a language are handed to the tasks, in arrays sorted
+by 64-bit hash; a text's other grams leave the task with the number of its row and meet the table in a join. So the bits of a text are
+those of the whole model whatever its alphabet, and only the rarest grams move. Bits are added up as whole numbers of 1/``FINE``, so the order
+of adding doesn't matter. ``GROUP`` languages are learned and measured at a time, so driver and tasks hold the arrays of one group; every
+further group is one more pass over the table.
+
+``learn`` hands over arrays for texts that are not in the table, with an answer for every point after every three; those keep the grams
+that make up at least 1/``KEPT`` of their order's counts in their language. ``judge`` doesn't use them.
 
 A whole document is measured under the model of its own language, quotations in another language included. Its bits per
 character (the log of the perplexity) must lie in the band of its own language: median minus ``LOWER`` and plus ``UPPER`` times the scaled median
@@ -28,15 +32,15 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import IS_SPACE, code_points, cut, row_counts, scatter, slices, span_hash, spans
 
-#: Languages that are learned and measured together; grams of an order and language in the arrays at most.
-GROUP, KEPT = 8, 1 << 18
-#: Order of the model, bits of a code point, grams that a task adds up before it hands them on.
-ORDER, POINT, HELD = 4, 21, 1 << 20
+#: Languages that are learned and measured together; 4-grams of a language that the tasks look up themselves; grams of an order and language in ``learn``'s arrays at most.
+GROUP, COMMON, KEPT = 8, 1 << 16, 1 << 18
+#: Order of the model, bits of a code point, grams of a language that a task adds up before it hands them on, parts of a bit, bytes of text at a time.
+ORDER, POINT, HELD, FINE, PART = 4, 21, 1 << 18, 1 << 20, 1 << 19
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 LOWER, UPPER, SHORT, STEP = 4.5, 5.0, 300, 1000
 #: Fixed values of the base rules.
@@ -96,7 +100,7 @@ def count(docs: DataFrame) -> DataFrame:
         sizes: dict[int, int] = {}
         for batch in batches:
             slots = batch.column(2).to_numpy()
-            for first, last, data, bounds in slices(batch.column(1)):
+            for first, last, data, bounds in slices(batch.column(1), PART):
                 before, point, row = grams(data, bounds)
                 slot = slots[first:last][row]
                 for s in np.unique(slot).tolist():
@@ -123,20 +127,86 @@ def discounts(n: list[int]) -> list[float]:
     return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05 * k), 0.95 * k) for k in (1, 2, 3)]
 
 
-def shares(grams_of: DataFrame, kept: int) -> tuple[DataFrame, dict[int, int]]:
-    """``_slot, before, point, share`` of the grams of one order that enter the arrays; distinct grams per language."""
+def levels(rows: DataFrame) -> dict[int, DataFrame]:
+    """``_slot, before, point, n`` of every order: a gram of a lower order counts in how many distinct ways it is preceded."""
+    out = {ORDER: cut(count(rows))}
+    for order in range(ORDER - 1, 0, -1):
+        out[order] = out[order + 1].groupBy("_slot", shorter(order).alias("before"), "point").agg(F.count(F.lit(1)).alias("n"))
+    return out
+
+
+def shorter(order: int) -> Column:
+    """The context that a gram of the next higher order leaves to ``order``."""
+    return F.col("before").bitwiseAND(F.lit((1 << POINT * (order - 1)) - 1))
+
+
+def totals(orders: dict[int, DataFrame]) -> dict[tuple[int, int], Row]:
+    """By order and language slot: how many grams have each count up to 4, the sum of counts, and the number of grams."""
     ones = [F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    found = grams_of.groupBy("_slot").agg(*ones, F.sum("n").alias("all"), F.count(F.lit(1)).alias("distinct")).collect()
-    taken, least = F.lit(0.0), F.lit(1)
-    for r in found:
-        d = discounts([r[f"n{k}"] for k in (1, 2, 3, 4)])
-        own = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        taken = F.when(F.col("_slot") == r["_slot"], own).otherwise(taken)
-        least = F.when(F.col("_slot") == r["_slot"], r["all"] // kept + (r["all"] >= kept)).otherwise(least)
-    total = F.sum("n").over(Window.partitionBy("_slot", "before"))
-    share = ((F.col("n") - taken) / total).alias("share")
-    rows = grams_of.select("_slot", "before", "point", share, (F.col("n") >= least).alias("_in")).where("_in").drop("_in")
-    return rows, {r["_slot"]: r["distinct"] for r in found}
+    parts = [
+        level.groupBy(F.lit(order).alias("_order"), "_slot").agg(*ones, F.sum("n").alias("all"), F.count(F.lit(1)).alias("distinct"))
+        for order, level in orders.items()
+    ]
+    return {(r["_order"], r["_slot"]): r for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
+def shares(level: DataFrame, order: int, found: dict[tuple[int, int], Row]) -> DataFrame:
+    """``_slot, before, point, n, share, left`` of all grams of an order: the gram's own share, and what its context leaves to the lower order."""
+    taken = [F.lit(0.0)] * 3
+    for (o, slot), r in found.items():
+        if o == order:
+            own = discounts([r[f"n{k}"] for k in (1, 2, 3, 4)])
+            taken = [F.when(F.col("_slot") == slot, d).otherwise(t) for d, t in zip(own, taken, strict=True)]
+    context = Window.partitionBy("_slot", "before")
+    n, total = F.col("n"), F.sum("n").over(context)
+    off = F.when(n == 1, taken[0]).when(n == 2, taken[1]).otherwise(taken[2])
+    have = [F.count_if(test).over(context) for test in (n == 1, n == 2, n > 2)]
+    left = sum((h * t for h, t in zip(have, taken, strict=True)), F.lit(0.0)) / total
+    return level.select("_slot", "before", "point", "n", ((n - off) / total).alias("share"), left.alias("left"))
+
+
+def gram_bits(rows: DataFrame) -> DataFrame:
+    """``_slot, before, point, n, bits`` of every distinct 4-gram of ``_id, _text, _slot``; bits in parts of 1/``FINE``."""
+    orders = levels(rows)
+    found = totals(orders)
+    lower = F.lit(1.0)
+    for (order, slot), r in found.items():
+        if order == 1:
+            lower = F.when(F.col("_slot") == slot, 1 / (r["distinct"] + 1)).otherwise(lower)
+    level = shares(orders[1], 1, found).withColumn("p", F.col("share") + F.col("left") * lower)
+    for order in range(2, ORDER + 1):
+        below = level.select("_slot", F.col("before").alias("_shorter"), "point", F.col("p").alias("_p"))
+        level = shares(orders[order], order, found).withColumn("_shorter", shorter(order - 1)).join(below, ["_slot", "_shorter", "point"])
+        level = level.withColumn("p", F.col("share") + F.col("left") * F.col("_p"))
+    return cut(level.select("_slot", "before", "point", "n", F.round(-F.log2("p") * FINE).cast("long").alias("bits")))
+
+
+def common(table: DataFrame, most: int) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], DataFrame | None]:
+    """Of ``gram_bits``: by language slot the most frequent grams' sorted hashes and bits, and the rows of all other grams, None without any."""
+    # Counts up to 4096 one by one, then by powers of two, each named by the least count in it.
+    step = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.expr("shiftleft(1L, length(bin(n)) - 1)"))
+    steps: dict[int, list[tuple[int, int]]] = {}
+    for r in table.groupBy("_slot", step.alias("step")).agg(F.count(F.lit(1)).alias("grams")).collect():
+        steps.setdefault(r["_slot"], []).append((r["step"], r["grams"]))
+    least, rest = F.lit(0), False
+    for slot, some in steps.items():
+        held, bound = 0, 2 * max(some)[0]
+        for n, grams_of in sorted(some, reverse=True):
+            held += grams_of
+            if held > most:
+                rest = True
+                break
+            bound = n
+        least = F.when(F.col("_slot") == slot, bound).otherwise(least)
+    often = table.where(F.col("n") >= least).select("_slot", "before", "point", "bits").toArrow()
+    slots, before, point, bits = (c.to_numpy() for c in often.columns)
+    key = gram_hash(before, point)
+    arrays = {}
+    for slot in steps:
+        own = np.flatnonzero(slots == slot)
+        own = own[np.argsort(key[own])]
+        arrays[slot] = key[own], bits[own]
+    return arrays, table.where(F.col("n") < least) if rest else None
 
 
 class Model:
@@ -173,19 +243,16 @@ def found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: float
 
 
 def learn(rows: DataFrame, kept: int = KEPT) -> dict[int, Model]:
-    """The models of all language slots of ``_id, _text, _slot``."""
-    level = cut(count(rows))
-    orders: list[pd.DataFrame] = []
-    symbols: dict[int, int] = {}
-    for order in range(ORDER, 0, -1):
-        some, symbols = shares(level, kept)
-        orders.append(some.toPandas())
-        if order > 1:
-            # A gram of the next lower order counts in how many distinct ways it is preceded.
-            shorter = F.col("before").bitwiseAND(F.lit((1 << POINT * (order - 2)) - 1))
-            level = level.groupBy("_slot", shorter.alias("before"), "point").agg(F.count(F.lit(1)).alias("n"))
-    models = {s: Model(n) for s, n in symbols.items()}
-    for some in reversed(orders):
+    """The models of all language slots of ``_id, _text, _slot``, for texts that needn't be among them."""
+    orders = levels(rows)
+    found = totals(orders)
+    models = {slot: Model(r["distinct"]) for (order, slot), r in found.items() if order == 1}
+    for order in range(1, ORDER + 1):
+        least = F.lit(1)
+        for (o, slot), r in found.items():
+            if o == order:
+                least = F.when(F.col("_slot") == slot, r["all"] // kept + (r["all"] >= kept)).otherwise(least)
+        some = shares(orders[order], order, found).where(F.col("n") >= least).select("_slot", "before", "point", "share").toPandas()
         parts = dict(tuple(some.groupby("_slot")))
         for s, model in models.items():
             own = parts.get(s, some.iloc[:0])
@@ -236,35 +303,56 @@ def base_counts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def measure(docs: DataFrame, models: dict[int, Model], kind: str) -> DataFrame:
-    """``_id, _slot, _row``, base counts, ``n_chars`` and ``bits`` per character for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def measure(docs: DataFrame, arrays: dict[int, tuple[np.ndarray, np.ndarray]], kind: str) -> DataFrame:
+    """``_id, _slot``, base counts, ``_size`` in characters, ``_sum`` of the common grams' bits, and the other grams, for every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(arrays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slots = batch.column(2).to_numpy()
-            for first, last, data, bounds in slices(batch.column(1)):
+            for first, last, data, bounds in slices(batch.column(1), PART):
                 rows = last - first
                 before, point, row = grams(data, bounds)
                 size = row_counts(row, rows)
-                own, bits = slots[first:last][row], np.zeros(rows)
+                own, bits, other = slots[first:last][row], np.zeros(rows), np.zeros(len(row), bool)
                 for s in np.unique(own).tolist():
                     at = np.flatnonzero(own == s)
                     # Every distinct gram is looked up once a slice.
                     which, distinct = pd.factorize(gram_hash(before[at], point[at]))
-                    one = np.zeros(len(distinct), np.int64)
-                    one[which] = at
-                    bits += row_counts(row[at], rows, shared.value[s].bits(before[one], point[one])[which])
-                out = [*base_counts(data, bounds), size, bits / np.maximum(size, 1)]
+                    value = found(*shared.value[s], distinct, -1)[which]
+                    bits += row_counts(row[at], rows, np.maximum(value, 0))
+                    other[at] = value < 0
+                # Rows stand one after the other, so do their grams.
+                ends = _offsets(row[other], rows)
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x[other])) for x in (before, point.astype(np.int32))]
+                out = [*base_counts(data, bounds), size, bits.astype(np.int64)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, rows), pa.array(slots[first:last]), *map(pa.array, out)], names
+                    [batch.column(0).slice(first, rows), pa.array(slots[first:last]), *map(pa.array, out), *lists], names
                 )
 
-    names = ["_id", "_slot", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_size", "bits"]
-    shape = f"_id {kind}, _slot int, {', '.join(f'{n} long' for n in names[2:-1])}, bits double"
+    names = ["_id", "_slot", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_size", "_sum", "_before", "_point"]
+    shape = f"_id {kind}, _slot int, {', '.join(f'{n} long' for n in names[2:-2])}, _before array<long>, _point array<int>"
     return docs.select("_id", "_text", "_slot").mapInArrow(run, shape)
 
 
+def _offsets(row: np.ndarray, rows: int) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(row_counts(row, rows))]), pa.int32())
+
+
+def whole_bits(measured: DataFrame, rest: DataFrame | None) -> DataFrame:
+    """``measured`` with ``bits`` per character; the grams that the tasks had no bits of get theirs from the table ``rest``."""
+    total = F.col("_sum")
+    if rest is not None:
+        measured = cut(measured.withColumn("_row", F.monotonically_increasing_id()))
+        other = measured.select("_row", "_slot", F.inline(F.arrays_zip("_before", "_point")).alias("before", "point"))
+        theirs = rest.select("_slot", "before", "point", "bits")
+        added = other.join(theirs, ["_slot", "before", "point"]).groupBy("_row").agg(F.sum("bits").alias("_rest"))
+        measured = measured.join(added, "_row", "left")
+        total = total + F.coalesce("_rest", F.lit(0))
+    size = F.greatest("_size", F.lit(1))
+    return measured.withColumn("bits", total / FINE / size).drop("_row", "_rest", "_sum", "_before", "_point")
+
+
 def middle(values: np.ndarray, weights: np.ndarray) -> float:
     order = np.argsort(values, kind="stable")
     sums = np.cumsum(weights[order])
@@ -297,7 +385,8 @@ def judged(docs: DataFrame, langs: list, kind: str, id_col: str, text_col: str,
         slot = F.when(lang.eqNullSafe(F.lit(name)), i).otherwise(slot)
         own = own | lang.eqNullSafe(F.lit(name))
     rows = docs.where(own).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), slot.alias("_slot"))
-    measured = cut(measure(rows, learn(rows), kind))
+    arrays, rest = common(gram_bits(rows), COMMON)
+    measured = cut(whole_bits(measure(rows, arrays, kind), rest))
     found = bands(measured)
     center, spread = F.lit(0.0), F.lit(1.0)
     for s, (c, d) in found.items():

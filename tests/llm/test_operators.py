@@ -125,6 +125,18 @@ def test_perplexity_equals_its_definition(docs_of):
     assert got[0]["perplexity"] == pytest.approx(2 ** want[0], rel=1e-3)
 
 
+@pytest.mark.parametrize("most", [quality_rules.COMMON, 50, 0])
+def test_rare_grams_have_their_part(docs_of, monkeypatch, most):
+    """More characters than any array holds grams, and texts of grams that occur once."""
+    monkeypatch.setattr(quality_rules, "COMMON", most)
+    rng = random.Random(3)
+    rare = ["".join(chr(rng.randint(0x4E00, 0x5E00)) for _ in range(n)) for n in (5, 60, 400)]
+    texts = [" ".join(VOCABULARY[:20])] * 3000 + rare + ["", "zzq! " + rare[0]]
+    got = rows_of(quality_rules.judge(docs_of([*enumerate(texts), (99, None), (4, rare[0])])))
+    want = kneser_ney_bits([*texts, "", rare[0]])
+    assert sorted(r["bits"] for r in got) == pytest.approx(sorted(want), rel=1e-5, abs=1e-5)
+
+
 @pytest.mark.parametrize("kept", [quality_rules.KEPT, 50])
 def test_shares_sum_to_one(docs_of, kept):
     rows = docs_of([(i, words(40, random.Random(i))) for i in range(30)]).selectExpr("doc_id as _id", "text as _text", "0 as _slot")
