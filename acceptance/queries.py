@@ -751,7 +751,7 @@ def landed(t: R.Tables, kind: str, *drops: DataFrame) -> str:
     """Pages that land drop by drop, each taken in before the next; where the result lies."""
     base = work_dir(t.spark)
     for drop in drops:
-        drop.coalesce(2).write.mode("append").parquet(f"{base}/landing")
+        drop.write.mode("append").parquet(f"{base}/landing")
         stream_listing(t.spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", kind).awaitTermination()
     return f"{base}/out"
 

@@ -1,8 +1,8 @@
 """Listing pages that arrive over time -> growing, duplicate-free master tables.
 
-Reading, extraction and the projection to records are one stateless plan. First-wins is kept by Spark's state
-store: one entry per key, holding nothing but that the key is known, so a batch looks up its own
-keys and never reads what earlier batches wrote. With ``ROCKSDB`` set (``stream_listing`` does so) the entries lie on
+Reading, extraction and the projection to records are one stateless plan. First-wins is a grouped minimum in Spark's
+state store: one entry per key, its first record and the times of its batches, so a batch looks up its own
+keys and never reads what earlier batches wrote; tasks reduce their rows to one per key before they move. With ``ROCKSDB`` set (``stream_listing`` does so) the entries lie on
 disk and only their changes go to the checkpoint.
 
 Expert and facility listings come group by group, and a group may be visited again. A landed page tells its
@@ -13,16 +13,12 @@ nothing, while the others stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pagetables.functions.text import percent, valid_link
 from pagetables.operators.grid import table_rows
@@ -70,22 +66,18 @@ def marks_of(pages: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def first_of_keys(records: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """The first record of every key that no earlier batch had, by place within a batch."""
+    """The first record of every key that no earlier batch had, by place within a batch (missing places last).
+
+    A key of an earlier batch comes up again with two times of batches; only keys with one are new.
+    """
     columns = [f.name for f in records.schema.fields]
     place = [c for c in PLACE if c in columns]
-
-    def first(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = None
-        for part in parts:
-            if not state.exists:
-                some = part if best is None else pd.concat([best, part])
-                best = some.sort_values(place, kind="stable").head(1)
-        if best is not None:
-            state.update((True,))
-            yield best[columns]
-
-    known = T.StructType().add("known", T.BooleanType())
-    return records.groupBy(*key).applyInPandasWithState(first, records.schema, known, "append", GroupStateTimeout.NoTimeout)
+    order = [x for c in place for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    held = F.struct(*order, *[c for c in columns if c not in (*key, *place)])
+    timed = records.withColumn("_at", F.current_timestamp())  # in a stream the batch's own, also when it is run again
+    found = timed.groupBy(*key).agg(F.min(held).alias("_first"), F.min("_at").alias("_since"), F.max("_at").alias("_until"))
+    new = found.where(F.col("_since") == F.col("_until"))
+    return new.select(*[F.col(c) if c in key else F.col("_first")[c].alias(c) for c in columns])
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -147,6 +139,7 @@ def stream_listing(
 
     return (
         fresh.writeStream.foreachBatch(take)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
