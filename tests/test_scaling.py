@@ -1,6 +1,7 @@
 """What keeps the time of a query in step with its tables."""
 
 from acceptance import queries
+from pagetables.sources import html
 from pagetables.streaming.listing import first_of_keys
 
 RECORD = "Name string, page_no bigint, page_id bigint, row_pre int, _key string"
@@ -24,3 +25,24 @@ def test_landed_pages_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
     t = queries.R.Tables(spark, "/root/testdata/sf0.001")
     queries.landed(t, "organization", spark.range(800).repartition(8))
     assert len(list((tmp_path / "landing").glob("*.parquet"))) == 8
+
+
+def test_a_tag_written_the_same_way_is_read_once(monkeypatch):
+    class Counting:
+        n = 0
+
+        def search(self, *a):
+            self.n += 1
+            return token.search(*a)
+
+    token, counting = html._TOKEN, Counting()
+    monkeypatch.setattr(html, "_TOKEN", counting)
+    page = html.Page("<table>" + '<tr class="r"><td>a</td></tr>' * 500 + "</table>")
+    assert page.tag.count("td") == 500 and counting.n < 20
+
+
+def test_a_remembered_tag_does_not_hide_where_a_quote_closes():
+    titles = lambda markup: [dict(zip(a[0], a[1])).get("title") for a in html.Page(markup).attrs]
+    for _ in range(2):
+        assert titles('<b title="x>') == ['"x']
+        assert titles('<b title="x>y">z</b>') == ["x>y"]
