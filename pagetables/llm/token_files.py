@@ -48,8 +48,8 @@ END_ID = 1
 MAGIC = b"BITIDS01"
 #: Mark, bits of an id, ids of a block, ids in all, documents, where the offsets of the blocks begin.
 TRAILER = struct.Struct("<8sIIQQQ")
-#: Ids unpacked at a time; words remembered per worker before the memory starts anew.
-WINDOW, REMEMBERED = 1 << 20, 250_000
+#: Ids unpacked at a time; bytes of text encoded at a time; words remembered per worker before those used least are dropped.
+WINDOW, PART, REMEMBERED = 1 << 20, 1 << 23, 400_000
 #: Fixed value: the word pattern of the tokenizer file.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -112,7 +112,9 @@ class Encoder:
         if suffix:
             self.closes[[i for piece, i in spec["model"]["vocab"].items() if piece.endswith(suffix)]] = True
         self.marks = [t["content"].encode() for t in spec["added_tokens"]]
-        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        # Words met, the place of each one's ids and their number, how often a part of the texts held it.
+        self.known = pa.array([], pa.string())
+        self.flat, self.first, self.size, self.uses = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64, np.int64))
 
     def pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """All pieces in lower case where that's safe, which of them are one word, and the row of each."""
@@ -139,22 +141,44 @@ class Encoder:
         words = pa.StringArray.from_buffers(int(keep.sum()), pa.py_buffer(offsets), pa.py_buffer(low))
         return words, pure[keep], np.searchsorted(bounds, start[keep], "right") - 1
 
-    def learn(self, words: list[str], pure: np.ndarray) -> None:
-        """Ids of words not met yet: one-word pieces many at a time, others by themselves."""
-        alone = [w for w, p in zip(words, pure) if not p]
-        joined = [w for w, p in zip(words, pure) if p]
+    def learn(self, words: list[str], pure: np.ndarray) -> list[bytes]:
+        """Ids of words not met yet, as 32-bit integers: one-word pieces many at a time, others by themselves."""
+        out = [b""] * len(words)
+        alone = np.flatnonzero(~pure).tolist()
+        joined = np.flatnonzero(pure).tolist()
         groups = [joined[i : i + 256] for i in range(0, len(joined), 256)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ends = (np.flatnonzero(self.closes[e.ids]) + 1).tolist()
+        texts = [" ".join([words[i] for i in g]) for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            found = np.array(e.ids, "<u4")
+            ends = (4 * np.flatnonzero(self.closes[found]) + 4).tolist()
             if len(ends) != len(group):
                 alone += group
                 continue
-            ids, first = np.array(e.ids, "<u4").tobytes(), 0
-            for w, last in zip(group, ends):
-                self.known[w] = ids[first : 4 * last]
-                first = 4 * last
-        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+            ids, first = found.tobytes(), 0
+            for i, last in zip(group, ends):
+                out[i] = ids[first:last]
+                first = last
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
+
+    def keep(self, words: pa.Array, ids: list[bytes]) -> None:
+        """Add words to those met."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        self.uses = np.concatenate([self.uses, np.zeros(len(ids), np.int64)])
+        self.known = pa.concat_arrays([self.known, words])
+
+    def forget(self) -> None:
+        """Of too many words met, the half that was used most stays; a word that went is learned again when it is met."""
+        if len(self.known) <= REMEMBERED:
+            return
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2])
+        taken, self.size = ragged(self.first, self.size, stay)
+        self.flat, self.first = self.flat[taken], np.cumsum(self.size) - self.size
+        self.uses, self.known = self.uses[stay] // 2, self.known.take(pa.array(stay))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and the n + 1 bounds between them."""
@@ -162,21 +186,24 @@ class Encoder:
             data, bounds = utf8(texts)
             words, pure, rows = self.pieces(data, bounds) if len(data) else (pa.array([], pa.string()), np.zeros(0, bool), np.zeros(0, int))
             coded = words.dictionary_encode()
-            which, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-            if len(self.known) > REMEMBERED:
-                self.known = {}
+            which, distinct = coded.indices.to_numpy(), coded.dictionary
+            self.forget()
+            place = pc.index_in(distinct, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+            new = np.flatnonzero(place < 0)
             sure = np.zeros(len(distinct), bool)
             sure[which] = pure
-            new = [i for i, w in enumerate(distinct) if w not in self.known]
-            self.learn([distinct[i] for i in new], sure[new])
-            ids = [self.known[w] for w in distinct]
+            unmet = distinct.take(pa.array(new))
+            place[new] = len(self.known) + np.arange(len(new))
+            self.keep(unmet, self.learn(unmet.to_pylist(), sure[new]))
+            self.uses[place] += 1
+            flat, first, size, which = self.flat, self.first, self.size, place[which]
         else:
             which = rows = np.arange(len(texts))
             found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
-            ids = [np.array(e.ids, "<u4").tobytes() for e in found]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        taken, per_piece = ragged(np.cumsum(size) - size, size, which)
+            ids = [np.array(e.ids, "<u4") for e in found]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat, first = np.concatenate([*ids, np.zeros(0, "<u4")]), np.cumsum(size) - size
+        taken, per_piece = ragged(first, size, which)
         row = np.repeat(rows, per_piece)
         out = np.full(len(taken) + len(texts), end_id, np.uint32)
         out[np.arange(len(taken)) + row] = flat[taken]
@@ -236,7 +263,7 @@ def encode(rows: DataFrame, path: str, end_id: int, bounds: list[tuple], item: i
         code = encoder(path)
         for batch in batches:
             texts = batch.column(2).cast(pa.string())
-            for first, last, _, _ in slices(texts):
+            for first, last, _, _ in slices(texts, PART):
                 part = batch.slice(first, last - first)
                 ids, ends = code.encode(part.column(2).cast(pa.string()), end_id)
                 ids = ids.astype(f"<u{item}")

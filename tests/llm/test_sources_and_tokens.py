@@ -153,6 +153,20 @@ def test_pieces_are_encoded_like_whole_texts():
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == library_ids(texts)
 
 
+def test_frequent_words_stay_remembered_when_the_memory_is_full(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 100)
+    code = token_files.Encoder(token_files.default_path())
+    learn, learned = code.learn, Counter()
+    code.learn = lambda words, pure: learned.update(words) or learn(words, pure)
+    letters = np.random.default_rng(4).integers(97, 123, (20, 30, 6), np.uint8)
+    for part in letters:  # 30 new words in each, and two that all have
+        texts = ["always here " + " ".join(w.tobytes().decode() for w in part), "", "here"]
+        ids, bounds = code.encode(pa.array(texts), token_files.END_ID)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == library_ids(texts)
+        assert len(code.known) <= 100 + 32
+    assert learned["always"] == learned["here"] == 1
+
+
 def test_other_files_encode_whole_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
