@@ -263,8 +263,8 @@ def bitmap(named: DataFrame) -> np.ndarray:
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(_class, {MAP}) % 64 as int))")).alias("_bits")
     )
     out = np.zeros(MAP // 64, np.uint64)
-    for r in words.collect():
-        out[r["_word"]] = r["_bits"] & (1 << 64) - 1
+    found = words.toArrow()
+    out[found["_word"].to_numpy()] = found["_bits"].to_numpy().view(np.uint64)
     return out
 
 
@@ -343,10 +343,12 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: int, words: int = WORDS)
 
 def components(edges: DataFrame) -> DataFrame:
     """``_class, _root`` for every class with an edge: alternating large and small stars until nothing changes."""
-    # The edges never grow in number; as many tasks hold them as their number asks for.
+    # The edges never grow in number; as many tasks hold them as their number asks for. One task exchanges nothing, the
+    # other side of its joins, a row for each end of ``EDGES`` edges at most, is broadcast.
     tasks = max(1, -(-edges.count() // EDGES))
     stars = edges.select(F.greatest("_a", "_b").alias("hi"), F.least("_a", "_b").alias("lo")).where("hi != lo")
-    stars = cut(stars.distinct().coalesce(tasks))
+    stars = cut(stars.coalesce(tasks).distinct().coalesce(tasks))
+    met = F.broadcast if tasks == 1 else lambda side: side
     known = None
     while True:
         check = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
@@ -357,12 +359,12 @@ def components(edges: DataFrame) -> DataFrame:
         known = tuple(check)
         both = stars.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             stars.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
+        ).coalesce(tasks)
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.where("v > u").join(met(least), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         root = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(root, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi != lo")
-        stars = cut(small.unionByName(root.select("hi", F.col("m").alias("lo"))).distinct().coalesce(tasks))
+        small = large.join(met(root), "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi != lo")
+        stars = cut(small.unionByName(root.select("hi", F.col("m").alias("lo"))).coalesce(tasks).distinct().coalesce(tasks))
 
 
 # ---------------------------------------------------------------- candidates
@@ -406,8 +408,26 @@ def likely(pairs: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
     return pairs.select("_a", "_b", "_n_a", "_n_b", "_s_a", "_s_b").mapInArrow(run, "_a long, _b long")
 
 
+def shortened(classes: DataFrame) -> DataFrame:
+    """``_class, n_shingles, _part``: sketches folded to 256 bits, or for larger sets the first power of two from 0.6 times
+    the size up. In so many parities unlike sets still differ far more than similar ones may."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, found = batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            wanted = np.maximum(32, 1 << np.ceil(np.log2(np.maximum(0.6 * size, 8))).astype(np.int64) >> 3)
+            part = np.empty(len(found), object)
+            for n in np.unique(wanted):
+                some = np.flatnonzero(wanted == n)
+                part[some] = [x.tobytes() for x in folded([found[i] for i in some], int(n))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(part, pa.binary())], ["_class", "n_shingles", "_part"])
+
+    return classes.select("_class", "n_shingles", "_sketch").mapInArrow(run, "_class long, n_shingles long, _part binary")
+
+
 def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
-    """Likely pairs of members of one bucket that are in different components, found block by block."""
+    """Likely pairs of members of one bucket that are in different components, found block by block. A sketch comes once per
+    block of a bucket its class is in, so it comes short; what short ones leave is looked at with the whole ones."""
     size = rows.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_n"))
     # A bucket of two has seen its one pair.
     rows = rows.join(size.where("_n > 2").select("_key", "_blocks"), "_key")
@@ -416,13 +436,13 @@ def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
     rows = rows.select("_key", "_class", "_root", "_block", other.alias("_other"))
     rows = rows.select(
         "_key", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_class", "_root", "_block"
-    ).join(classes.select("_class", "n_shingles", "_sketch"), "_class")
-    columns = ["_key", "_i", "_j", "_class", "_root", "_block", "n_shingles", "_sketch"]
+    ).join(shortened(classes), "_class")
+    columns = ["_key", "_i", "_j", "_class", "_root", "_block", "n_shingles", "_part"]
     rows = rows.repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j").select(*columns)
 
     def pairs_of(table: pa.Table) -> pa.RecordBatch:
         key, i, j, name, root, block, size = (table.column(c).to_numpy() for c in columns[:-1])
-        sketches = table.column("_sketch").to_pylist()
+        sketches = table.column("_part").to_pylist()
         change = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
         left, right = [], []
         for a, b in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
@@ -453,7 +473,7 @@ def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
         if kept:
             yield pairs_of(pa.Table.from_batches(kept))
 
-    return rows.mapInArrow(run, "_a long, _b long").distinct()
+    return likely(rows.mapInArrow(run, "_a long, _b long").distinct(), classes, similar)
 
 
 def classed(rows: DataFrame, kind: str, similar: int, words: int) -> tuple[DataFrame, DataFrame]:

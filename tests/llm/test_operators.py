@@ -571,3 +571,47 @@ def test_names_of_frames_and_content_hide_no_article(spark):
             assert "Buy this now." not in html_extract.extract(less, weights)
         signup = '<form action="/s"><p>Sign up for letters.</p><input name="mail"><button>Go</button></form>'
         assert "Sign up" not in html_extract.extract(page[:at] + signup + page[at:], weights)
+
+
+def test_components_of_few_edges_are_one_task(spark, docs_of):
+    edges = [(i, i * 7919 % 601) for i in range(400)]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(kept, ("40", "false"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        spark.sparkContext.setJobGroup("few-edges", "components")
+        found = {r["_class"]: r["_root"] for r in jaccard_join.components(spark.createDataFrame(edges, "_a long, _b long")).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few-edges") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i)
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((top(a), top(b)))
+        parent[y] = x
+    assert found == {x: top(x) for e in edges for x in e if e[0] != e[1]}
+    assert tasks < 200
+
+
+@pytest.mark.parametrize("size", (1, 60, 300, 426, 700, 3000))
+def test_short_sketches_rule_out_the_unlike_and_never_a_link(spark, docs_of, size):
+    rng = np.random.default_rng(size)
+    one, other = rng.integers(0, 1 << 62, (2, size), np.uint64)
+    near = np.concatenate([one[size // 9 :], other[: size // 10]])
+    key, row = np.concatenate([one, near, other]), np.repeat(np.arange(3), (len(one), len(near), len(other)))
+    rows = list(zip(range(3), map(int, np.bincount(row)), jaccard_join.sketches(key, row, 3).to_pylist()))
+    made = jaccard_join.shortened(spark.createDataFrame(rows, "_class long, n_shingles long, _sketch binary")).orderBy("_class").collect()
+    parts, n = [r["_part"] for r in made], np.array([r["n_shingles"] for r in made])
+    assert all(4 * len(p) <= len(r[2]) for p, r in zip(parts, rows))
+    odd = jaccard_join.odd_bits(parts[:1] * 2, parts[1:])
+    may = jaccard_join.may_link(n[[0, 0]], n[1:], odd, 80)
+    assert odd[0] <= len(np.setxor1d(one, near)) and may[0] and (size == 1 or not may[1])
