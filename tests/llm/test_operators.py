@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -615,3 +616,26 @@ def test_short_sketches_rule_out_the_unlike_and_never_a_link(spark, docs_of, siz
     odd = jaccard_join.odd_bits(parts[:1] * 2, parts[1:])
     may = jaccard_join.may_link(n[[0, 0]], n[1:], odd, 80)
     assert odd[0] <= len(np.setxor1d(one, near)) and may[0] and (size == 1 or not may[1])
+
+def test_bits_are_counted_in_blocks_of_slots(spark, docs_of):
+    rows = spark.createDataFrame([(w.encode(), c, n) for w, c, n in (("word", 3, 5), ("wo", 3, 70), ("", 0, 2), ("x" * 90, 1, 1))] * 3, "_word binary, _class int, n long")
+    code = lm_scoring.byte_code(rows)
+    blocks = lm_scoring.count_bits(rows.repartition(3), code)
+    want = np.zeros((int(lm_scoring.OFFSETS[-1]), 2))
+    own = [tuple(r) for r in rows.collect()]
+    walk = lm_scoring.Walk(code, [bytes(r[0]) for r in own], np.array([r[1] for r in own]))
+    n = np.array([r[2] for r in own])[walk.owner]
+    for piece, _, bit, slots in walk:
+        for slot in slots:
+            np.add.at(want, (slot, bit), n[piece])
+    assert blocks.count() <= len(want) // lm_scoring.SLOTS
+    assert np.allclose(lm_scoring.bit_counts(blocks.toArrow()), want, rtol=1e-3)
+
+
+def test_contexts_of_some_rows_are_those_of_all():
+    b = lm_scoring.Batch(pa.array(["a b c", "", None, "a", "b a b a c", "c"]))
+    gram, keys = lm_scoring.gram_keys(b)
+    for first, last in ((0, 3), (3, 4), (3, 6), (1, 3)):
+        some = slice(*np.searchsorted(b.row, (first, last)))
+        part, levels = lm_scoring.gram_keys(b, some)
+        assert (part == gram[some]).all() and all((levels[k] == keys[k][some]).all() for k in keys)
