@@ -12,8 +12,9 @@ set is indexed by its content:
   of them skips none, so no pair is lost.
 
 Classes that share a key are candidates. Instead of all pairs of a bucket, every member is checked against a hub of
-the bucket, the member that shares most keys with others. Connected components of the verified links tell which buckets still join different components; there the remaining pairs across components
-are looked at in blocks of about ``BLOCK`` members per side. A pair is dropped without its texts only if sizes or
+the bucket, the member that shares most keys with others. Connected components of the verified links tell which buckets
+still join different components without their hubs; there the remaining pairs across components are looked at in blocks of about
+``BLOCK`` members per side, for all buckets of a hub at once where they have much the same members. A pair is dropped without its texts only if sizes or
 sketches rule it out: parities of token hashes differ in no more places than the sets differ in tokens. Every other
 candidate is verified on the shingles of the whole texts. A pair that is never compared is already connected, so the components are
 exact, but for the chance that two of all shingle hashes or fingerprints fall together (64 bits).
@@ -377,20 +378,31 @@ def shared_keys(index: DataFrame) -> DataFrame:
     return met.where("_hot > 0 or _low != _high").select("_key", "_class").distinct()
 
 
-def hub_pairs(members: DataFrame, rank: Column) -> DataFrame:
-    """``_a, _b``: every bucket's hub, the member that ranks highest, with each other member; pairs whose ``_root`` is the
-    same already are left out. Of two classes the same one is the hub in every bucket."""
-    rows = members.withColumn("_rank", rank)
-    hubs = rows.groupBy("_key").agg(F.max(F.struct("_rank", "_class", "_root")).alias("_hub"))
-    met = rows.join(hubs, "_key").where(F.col("_root") != F.col("_hub._root"))
-    return met.select(F.col("_hub._class").alias("_a"), F.col("_class").alias("_b")).distinct()
+def leaders(members: DataFrame, rank: Column) -> DataFrame:
+    """``_key, _hub``: every bucket's hub, the member that ranks highest. Of two classes the same one leads in every bucket."""
+    hubs = members.withColumn("_rank", rank).groupBy("_key").agg(F.max(F.struct("_rank", "_class")).alias("_first"))
+    return hubs.select("_key", F.col("_first._class").alias("_hub"))
 
 
-def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of buckets that still join several components, with their component as ``_root``."""
-    held = members.select("_key", "_class").join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))
-    ends = held.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"))
-    return held.join(ends.where("_low != _high").select("_key"), "_key")
+def hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``_a, _b``: every bucket's hub with each other member."""
+    met = members.join(hubs, "_key").where("_class != _hub")
+    return met.select(F.col("_hub").alias("_a"), F.col("_class").alias("_b")).distinct()
+
+
+def rest_groups(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``_key, _class, _root``: groups of classes in several components, so that any two of a bucket that no hub was compared
+    with are in one. A bucket goes without its hub, which has met all of it. Buckets of one hub that have much the same
+    members are one group, or a pair would be found again in each of them: a hub's members are put together where that
+    gives no more pairs than its buckets do."""
+    held = members.join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class")).join(hubs, "_key").where("_class != _hub")
+    ends = held.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.count(F.lit(1)).alias("_n"))
+    held = cut(held.join(ends.where("_low != _high").select("_key", "_n"), "_key"))
+    # A bucket has a row with its size for each member, so the sizes add up to the squares.
+    each = held.groupBy("_hub", "_class").agg(F.first("_root").alias("_root"), F.sum("_n").alias("_apart"))
+    alike = each.groupBy("_hub").agg(F.count(F.lit(1)).alias("_n"), F.sum("_apart").alias("_apart")).where("_n * _n <= _apart").select("_hub")
+    together = each.join(alike, "_hub").select(F.col("_hub").alias("_key"), "_class", "_root")
+    return together.unionByName(held.join(alike, "_hub", "left_anti").select("_key", "_class", "_root"))
 
 
 def likely(pairs: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
@@ -426,11 +438,10 @@ def shortened(classes: DataFrame) -> DataFrame:
 
 
 def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
-    """Likely pairs of members of one bucket that are in different components, found block by block. A sketch comes once per
-    block of a bucket its class is in, so it comes short; what short ones leave is looked at with the whole ones."""
-    size = rows.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_n"))
-    # A bucket of two has seen its one pair.
-    rows = rows.join(size.where("_n > 2").select("_key", "_blocks"), "_key")
+    """Likely pairs of members of one group that are in different components, found block by block. A sketch comes once per
+    block of a group its class is in, so it comes short; what short ones leave is looked at with the whole ones."""
+    size = rows.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    rows = rows.join(size, "_key")
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_class"), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     rows = rows.select("_key", "_class", "_root", "_block", other.alias("_other"))
@@ -487,11 +498,10 @@ def classed(rows: DataFrame, kind: str, similar: int, words: int) -> tuple[DataF
     # The member that shares the most with others leads its buckets.
     sizes = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     weights = members.join(sizes, "_key").groupBy("_class").agg(F.sum("_n").alias("_weight"))
-    weighed = members.join(weights, "_class").withColumn("_root", F.col("_class"))
-    pairs = cut(likely(hub_pairs(weighed, F.col("_weight")), classes, similar))
+    hubs = cut(leaders(members.join(weights, "_class"), F.col("_weight")))
+    pairs = cut(likely(hub_pairs(members, hubs), classes, similar))
     links = cut(verify(pairs, texts_of(rows, pairs, classes, kind, words), similar, words))
-    still = cut(rooted(members, components(links)))
-    pairs = cut(rest_pairs(still, classes, similar))
+    pairs = cut(rest_pairs(rest_groups(members, hubs, components(links)), classes, similar))
     links = cut(links.unionByName(verify(pairs, texts_of(rows, pairs, classes, kind, words), similar, words)))
     roots = components(links)
     known = classes.join(roots, "_class", "left").withColumn("_root", F.coalesce("_root", "_class"))

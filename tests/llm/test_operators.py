@@ -639,3 +639,22 @@ def test_contexts_of_some_rows_are_those_of_all():
         some = slice(*np.searchsorted(b.row, (first, last)))
         part, levels = lm_scoring.gram_keys(b, some)
         assert (part == gram[some]).all() and all((levels[k] == keys[k][some]).all() for k in keys)
+
+
+def test_buckets_of_one_hub_are_looked_at_once_where_they_are_alike(spark, docs_of):
+    rng = random.Random(4)
+    buckets = {k: [1000, *rng.sample(range(20), 18)] for k in range(30)}  # much the same members
+    buckets |= {100 + k: [2000, *range(100 + 10 * k, 110 + 10 * k)] for k in range(8)}  # nothing in common but the hub
+    buckets |= {200: [3000, 300], 201: [3000, 301, 302]}  # one that its hub has seen, one of a single component else
+    root = {c: 7 for c in (3, 5, 8)} | {301: 301, 302: 301}
+    members = spark.createDataFrame([(k, c) for k, own in buckets.items() for c in own], "_key long, _class long")
+    hubs = jaccard_join.leaders(members, F.col("_class"))
+    assert {r["_key"]: r["_hub"] for r in hubs.collect()} == {k: own[0] if own[0] >= 1000 else max(own) for k, own in buckets.items()}
+    pairs = {tuple(r) for r in jaccard_join.hub_pairs(members, hubs).collect()}
+    assert pairs == {(own[0], c) for own in buckets.values() for c in own[1:]}
+    found = jaccard_join.rest_groups(members, hubs, spark.createDataFrame(list(root.items()), "_class long, _root long")).collect()
+    assert all(r["_root"] == root.get(r["_class"], r["_class"]) for r in found)
+    groups = {}
+    for r in found:
+        groups.setdefault(r["_key"], []).append(r["_class"])
+    assert {k: sorted(own) for k, own in groups.items()} == {1000: list(range(20))} | {100 + k: list(range(100 + 10 * k, 110 + 10 * k)) for k in range(8)}
