@@ -658,3 +658,34 @@ def test_buckets_of_one_hub_are_looked_at_once_where_they_are_alike(spark, docs_
     for r in found:
         groups.setdefault(r["_key"], []).append(r["_class"])
     assert {k: sorted(own) for k, own in groups.items()} == {1000: list(range(20))} | {100 + k: list(range(100 + 10 * k, 110 + 10 * k)) for k in range(8)}
+
+
+def test_grams_move_by_short_names_and_meet_once(spark, docs_of):
+    texts = ["a b a b c", "b a b c c a b", "a b c", None, "", "c", "a b a b c"]
+    train = [True, True, False, True, True, True, True]
+    hashes = {w: lm_scoring.Batch(pa.array([w])).hash[0] for w in "abc"}
+    frequent = np.sort(np.array([hashes["a"], hashes["b"]]))
+    name = dict(zip("abc", lm_scoring.word_names(frequent, np.array([hashes[w] for w in "abc"])).tolist(), strict=True))
+    assert sorted(name.values())[1:] == [1, 2] and name["c"] < 0
+    batch = lm_scoring.Batch(pa.array(texts))
+    price = {k: float(i) for i, k in enumerate(np.sort(batch.key).tolist())}
+    costs = (np.sort(batch.key), np.arange(len(batch.key), dtype=float))
+    rows = spark.createDataFrame(list(zip(texts, train, strict=True)), "_text string, _train boolean").coalesce(1)
+    grams = lm_scoring.count_grams(rows, spark.sparkContext.broadcast(None), costs, frequent)
+    assert grams.columns == ["_u", "_v", "_w", "_class", "_cost", "_n"]
+    seen = lm_scoring.seen_after(grams, 2)
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 1
+    want, cost = Counter(), {}
+    for row, (t, known) in enumerate(zip(texts, train, strict=True)):
+        own = (t or "").split()
+        for i, w in enumerate(own):
+            at = (name[own[i - 2]] if i > 1 else 0, name[own[i - 1]] if i else 0, name[w])
+            want[(*at, int(batch.klass[row]))] += known
+            cost[name[w], int(batch.klass[row])] = price[int(lm_scoring.pair_key(np.array([hashes[w]]), batch.klass[[row]])[0])]
+    of = lambda at: sum(n for x, n in want.items() if x[: len(at)] == at)
+    got = {tuple(r)[:4]: r for r in seen.collect()}
+    assert {at: r["_n"] for at, r in got.items()} == dict(want)
+    for at, r in got.items():
+        followed = {x[2] for x, n in want.items() if n and x[:2] == at[:2]}
+        assert (r["_k2"], r["_all2"], r["_kinds2"], r["_cost"]) == (of(at[:3]), of(at[:2]), len(followed), cost[at[2:]])
