@@ -35,15 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pagetables.llm.common import IS_SPACE, LOWER, cut, row_counts, scatter, slices, span_hash, spans
+from pagetables.llm.common import IS_SPACE, LOWER, cut, mapped, row_counts, scatter, slices, span_hash, spans
 
 WORDS, SIMILAR = 4, 85
 #: The pipeline's stage: words of a shingle and least similarity in per cent.
 STAGE_WORDS, STAGE_SIMILAR = 5, 80
 #: Up to this size a band uses one-deletion neighbourhoods; tokens of a weak segment; classes of a key within one
 #: slice that make it hot; members per side of a block; parities in a sketch at least; bits of
-#: the map of wanted classes; edges in one task at least.
-SMALL, WEAK, HOT, BLOCK, BITS, MAP, EDGES = 64, 1, 24, 256, 1024, 1 << 22, 100_000
+#: the map of wanted classes; edges in one task at least; pairs of a block looked at together.
+SMALL, WEAK, HOT, BLOCK, BITS, MAP, EDGES, PAIRS = 64, 1, 24, 256, 1024, 1 << 22, 100_000, 1 << 17
 #: Classes that are broadcast at most when the stage's rows meet them.
 FEW = 500_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -54,7 +54,7 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 def shingles(data: np.ndarray, bounds: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes and their rows, sorted by row and hash; a shorter text is one shingle."""
-    data = LOWER[data]
+    data = mapped(data, LOWER)
     start, end, row = spans(data, bounds, IS_SPACE)
     hashes, size = span_hash(data, start, end), row_counts(row, len(bounds) - 1)
     first = np.cumsum(size) - size
@@ -74,8 +74,13 @@ def shingles(data: np.ndarray, bounds: np.ndarray, words: int = WORDS) -> tuple[
     out.append(scatter(key + size[short].astype(np.uint64)))
     rows.append(short)
     key, row = np.concatenate(out), np.concatenate(rows)
-    order = np.lexsort((key, row))
-    key, row = key[order], row[order]
+    if len(short):
+        order = np.argsort(row, kind="stable")
+        key, row = key[order], row[order]
+    first = 0
+    for last in np.cumsum(row_counts(row, len(bounds) - 1)).tolist():  # every set by itself, which takes no places along
+        key[first:last].sort()
+        first = last
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
     return key[new], row[new]
@@ -455,13 +460,30 @@ def rest_pairs(rows: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
         key, i, j, name, root, block, size = (table.column(c).to_numpy() for c in columns[:-1])
         sketches = table.column("_part").to_pylist()
         change = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        start = np.concatenate([[0], change])
+        size_of = np.diff(np.append(start, len(key)))
+        length = np.array([len(x) for x in sketches])
+        least = np.repeat(np.minimum.reduceat(length, start), size_of)  # the group's shortest sketch
+        before = np.arange(len(key)) - np.repeat(start, size_of)
+        inside = i == j
         left, right = [], []
-        for a, b in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
-            sketch = folded(sketches[a:b], min(map(len, sketches[a:b])))
-            for x in range(a + 1, b):
-                y = a + np.flatnonzero((root[a:x] != root[x]) & ((i[x] == j[x]) | (block[a:x] != block[x])))
-                odd = np.bitwise_count(sketch[y - a] ^ sketch[x - a]).sum(1, dtype=np.int64)
-                y = y[may_link(size[y], size[x], odd, similar)]
+        for n in np.unique(least).tolist():
+            own = np.flatnonzero((least == n) & (before > 0))
+            whole = np.flatnonzero(least == n)
+            sketch = folded([sketches[x] for x in whole], n)
+            at = np.zeros(len(key), np.int64)
+            at[whole] = np.arange(len(whole))
+            # All members before every member, for as many members at a time as make about ``PAIRS`` pairs.
+            for some in np.split(own, np.flatnonzero(np.diff(np.cumsum(before[own]) // PAIRS)) + 1):
+                x = np.repeat(some, before[some])
+                y = x - 1 - (np.arange(len(x)) - np.repeat(np.cumsum(before[some]) - before[some], before[some]))
+                meet = np.flatnonzero((root[y] != root[x]) & (inside[x] | (block[y] != block[x])))
+                x, y = x[meet], y[meet]
+                meet = np.flatnonzero(100 * np.minimum(size[y], size[x]) >= similar * np.maximum(size[y], size[x]))
+                x, y = x[meet], y[meet]
+                odd = np.bitwise_count(sketch[at[y]] ^ sketch[at[x]]).sum(1, dtype=np.int64)
+                meet = may_link(size[y], size[x], odd, similar)
+                x, y = x[meet], y[meet]
                 left.append(np.maximum(name[y], name[x]))
                 right.append(np.minimum(name[y], name[x]))
         none = np.zeros(0, np.int64)

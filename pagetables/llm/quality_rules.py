@@ -26,6 +26,7 @@ so repeated rows get equal results. An empty table gives an empty result; other
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import IS_SPACE, code_points, cut, row_counts, scatter, slices, span_hash, spans
+from pagetables.llm.common import IS_SPACE, byte_sums, cut, mapped, row_counts, scatter, slices, span_hash, spans
 
 #: Languages that are learned and measured together; 4-grams of a language that the tasks look up themselves; grams of an order and language in ``learn``'s arrays at most.
 GROUP, COMMON, KEPT = 8, 1 << 16, 1 << 18
@@ -56,21 +57,24 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Of every character, white space squeezed: the three code points before it in one number, its own, and its row."""
     at = np.flatnonzero((data & 0xC0) != 0x80)
     point = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4").astype(np.int64)
-    space = IS_SPACE[data[at]]
+    space = mapped(data, IS_SPACE).view(bool)[at]
     keep = np.ones(len(at), bool)
-    first = np.isin(at, bounds[:-1])
-    keep[1:] = ~(space[1:] & space[:-1]) | first[1:]
+    ends = np.searchsorted(at, bounds)  # of the rows, in characters
+    keep[1:] = ~(space[1:] & space[:-1])
+    keep[ends[:-1][ends[:-1] < len(at)]] = True
     point[space] = 32
-    point, at = point[keep], at[keep]
-    row = np.searchsorted(bounds, at, "right") - 1
+    kept = np.flatnonzero(keep)
+    size = np.diff(np.searchsorted(kept, ends))
+    row = np.repeat(np.arange(len(size)), size)
     # Every row begins after three spaces.
-    place = np.arange(len(at)) + (ORDER - 1) * (row + 1)
-    padded = np.full(len(at) + (ORDER - 1) * (len(bounds) - 1), 32, np.int64)
-    padded[place] = point
-    before = np.zeros(len(at), np.int64)
+    place = np.arange(len(kept)) + (ORDER - 1) * (row + 1)
+    padded = np.full(len(kept) + (ORDER - 1) * len(size), 32, np.int64)
+    padded[place] = point = point[kept]
+    before = np.zeros(len(padded), np.int64)
     for back in range(ORDER - 1, 0, -1):
-        before = before << POINT | padded[place - back]
-    return before, point, row
+        before <<= POINT
+        before[back:] |= padded[:-back]
+    return before[place], point, row
 
 
 def gram_hash(before: np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -285,21 +289,23 @@ def base_counts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of every row."""
     rows = len(bounds) - 1
     start, end, row = spans(data, bounds, IS_SPACE)
-    points = code_points(data)
-    symbols = np.concatenate([[0], np.cumsum(IS_SYMBOL[data])])
+    sums = byte_sums(data)
+    letter = ((data & 0xC0) != 0x80) & (mapped(data, IS_SPACE) == 0)  # a character's first byte, in a word
+    symbol = mapped(data, IS_SYMBOL)
+    each = list(itertools.pairwise(bounds.tolist()))
     # Lines with a word; one is a duplicate if an earlier line of its text is equal.
     l_start, l_end, l_row = spans(data, bounds, IS_LINE_END)
     worded = np.searchsorted(start, l_end) > np.searchsorted(start, l_start)
     l_start, l_end, l_row = l_start[worded], l_end[worded], l_row[worded]
-    key = span_hash(data, l_start, l_end) ^ scatter(l_row.astype(np.uint64) + np.uint64(1))
+    key = span_hash(data, l_start, l_end, sums) ^ scatter(l_row.astype(np.uint64) + np.uint64(1))
     _, firsts = np.unique(key, return_index=True)
     lines = row_counts(l_row, rows)
     return [
         row_counts(row, rows),
-        row_counts(row, rows, points[end] - points[start]).astype(np.int64),
-        np.diff(symbols[bounds]),
+        np.array([np.count_nonzero(letter[a:b]) for a, b in each], np.int64),
+        np.array([np.count_nonzero(symbol[a:b]) for a, b in each], np.int64),
         lines - row_counts(l_row[firsts], rows),
-        repeated_words(span_hash(data, start, end), row, rows),
+        repeated_words(span_hash(data, start, end, sums), row, rows),
     ]
 
 

@@ -24,7 +24,7 @@ from pagetables.llm import (
     pu_toxicity,
     quality_rules,
 )
-from pagetables.llm.common import remainder
+from pagetables.llm.common import n_words, remainder
 from pagetables.llm.queries import QUERIES, held_out
 from pagetables.shipping import ship
 
@@ -689,3 +689,49 @@ def test_grams_move_by_short_names_and_meet_once(spark, docs_of):
     for at, r in got.items():
         followed = {x[2] for x, n in want.items() if n and x[:2] == at[:2]}
         assert (r["_k2"], r["_all2"], r["_kinds2"], r["_cost"]) == (of(at[:3]), of(at[:2]), len(followed), cost[at[2:]])
+
+
+def test_bpe_words_of_one_length_are_scanned_together(monkeypatch):
+    from tokenizers import Tokenizer
+
+    code = bpe.Codec(bpe.default_path())
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdeé '1.\n", k=300)) for _ in range(40)] + ["", "<|endoftext|>a <|endoftext|>", "it's 12 ½", "x" * 200, "　a\x1fb\xa0 c"]
+    calls, scans = [], bpe.Codec.scans
+    monkeypatch.setattr(bpe.Codec, "scans", lambda self, ids: calls.append(ids.shape) or scans(self, ids))
+    ids, ends = code.encode_all(texts)
+    library = Tokenizer.from_file(bpe.default_path())
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert code.decode_all(ids, ends) == texts
+    assert len({n for _, n in calls}) == len(calls) < sum(n for n, _ in calls) / 10
+    monkeypatch.setattr(bpe, "REMEMBERED", 2)  # what was met before stays for one turn, long words never do
+    code.encode_all(texts[:2])
+    n = len(calls)
+    again, _ = code.encode_all(texts[:2])
+    assert len(calls) == n and (again == ids[: len(again)]).all() and not any(len(w) > bpe.SHORT for w in code.known)
+
+
+def test_words_are_counted_in_one_expression(spark):
+    rows = [(t,) for t in ("", None, " ", "a", " a\nb\tc\x0b\x0cd\r ", "  x", "é\x00 y\xa0z", "\x85 w")]
+    counted = spark.createDataFrame(rows, "text string").select("text", n_words("text").alias("n"))
+    assert all(r["n"] == len(WORD.findall(r["text"] or "")) for r in counted.collect())
+    assert "translate" not in counted._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("pairs", (1, 50, 1 << 17))
+def test_pairs_of_blocks_are_looked_at_together(spark, monkeypatch, pairs):
+    """The likely pairs of groups of all sizes against brute force, each block in few steps."""
+    rng = np.random.default_rng(8)
+    groups = {k: sorted(rng.choice(900, n, replace=False).tolist()) for k, n in enumerate([2, 3, 7, 40, 300, 700])}
+    root = {c: c % 50 if c % 3 else c for c in range(900)}
+    base = rng.integers(0, 1 << 62, (30, 80), np.uint64)
+    sets = [np.unique(np.concatenate([base[c % 30][: 70 + c % 7], rng.integers(0, 1 << 62, 4, np.uint64)])) for c in range(900)]
+    key, row = np.concatenate(sets), np.repeat(np.arange(900), [len(s) for s in sets])
+    sketch, size = jaccard_join.sketches(key, row, 900).to_pylist(), np.array([len(s) for s in sets])
+    classes = spark.createDataFrame(list(zip(range(900), size.tolist(), sketch, strict=True)), "_class long, n_shingles long, _sketch binary").coalesce(2)
+    rows = spark.createDataFrame([(k, c, root[c]) for k, own in groups.items() for c in own], "_key long, _class long, _root long").coalesce(2)
+    monkeypatch.setattr(jaccard_join, "PAIRS", pairs)
+    got = {tuple(r) for r in jaccard_join.rest_pairs(rows, classes, 80).collect()}
+    a, b = (np.array(x) for x in zip(*sorted({(max(x, y), min(x, y)) for own in groups.values() for x in own for y in own if x < y and root[x] != root[y]}), strict=True))
+    good = jaccard_join.may_link(size[a], size[b], jaccard_join.odd_bits([sketch[x] for x in a], [sketch[x] for x in b]), 80)
+    assert got == set(zip(a[good].tolist(), b[good].tolist(), strict=True)) and got
