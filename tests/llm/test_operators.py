@@ -735,3 +735,25 @@ def test_pairs_of_blocks_are_looked_at_together(spark, monkeypatch, pairs):
     a, b = (np.array(x) for x in zip(*sorted({(max(x, y), min(x, y)) for own in groups.values() for x in own for y in own if x < y and root[x] != root[y]}), strict=True))
     good = jaccard_join.may_link(size[a], size[b], jaccard_join.odd_bits([sketch[x] for x in a], [sketch[x] for x in b]), 80)
     assert got == set(zip(a[good].tolist(), b[good].tolist(), strict=True)) and got
+
+
+def test_lm_scoring_prices_are_no_nested_expressions(spark):
+    rows = spark.createDataFrame([(1, 2, w, 0, 9.0, w % 3) for w in range(20)], "_u long, _v long, _w long, _class int, _cost double, _n long")
+    prices = lm_scoring.priced(rows)
+    plan = prices._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "log2(" not in plan.lower()
+    assert prices.columns == ["_u", "_v", "_w", "_class", "_cost"] and prices.count() == 20
+
+
+def test_shares_serve_the_occurrences_best():
+    rng = np.random.default_rng(3)
+    n, cost = rng.integers(1, 5, 400), rng.uniform(1, 40, 400)
+    k = n + rng.integers(0, 3, 400)
+    counts = (k, k + rng.integers(0, 60, 400), rng.integers(1, 4, 400))
+    odds, of = lm_scoring.follows(counts, True)
+    sums = lm_scoring.tried(n, cost, counts)
+    for i, share in enumerate(lm_scoring.SHARES):
+        bits = lm_scoring.mixed(cost, odds, np.full(400, share))
+        assert np.allclose(2.0**-bits, (1 - share) * 2.0**-cost + share * odds)
+        assert np.allclose(sums[:, i], np.bincount(of[of >= 0], (n * bits)[of >= 0], len(sums)))
+    assert lm_scoring.gate(np.array([0, 1, 7, 8, 1 << 40]), np.array([0, 1, 7, 2, 1 << 40])).tolist() == [-1, 0, 12, 20, 138]
